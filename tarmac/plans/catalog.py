@@ -32,3 +32,156 @@ def labelled_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_engineer_features(spark, sf_dir):
     """Flagship: label + all 14 features, frequencies fitted on the labelled frame."""
     return engineer_features(labelled_flights(spark, sf_dir), keep=["flight_id"])
+
+
+# ── shared derived frames ─────────────────────────────────────────────
+from pyspark.sql import functions as F  # noqa: E402
+
+from tarmac.functions import tiers as tx  # noqa: E402
+from tarmac.operators import metrics as mx  # noqa: E402
+from tarmac.operators import profile as px  # noqa: E402
+from tarmac.operators import quality as qx  # noqa: E402
+from tarmac.operators import split as sx  # noqa: E402
+from tarmac.operators.encode import frequency_counts  # noqa: E402
+from tarmac.operators.featurize import base_features  # noqa: E402
+from tarmac.schema import FEATURE_COLS, RAW_REQUIRED_COLS, REFERENCE_SAMPLE_ROWS  # noqa: E402
+from tarmac.sources.csv_landing import normalize_columns  # noqa: E402
+from tarmac.sources.tables import load_table  # noqa: E402
+
+
+def features(spark, sf_dir):
+    return q_engineer_features(spark, sf_dir)
+
+
+def split_features(spark, sf_dir):
+    return sx.stratified_split(features(spark, sf_dir), id_col="flight_id")
+
+
+def rule_scored(spark, sf_dir):
+    """Features + a fixed rule score in [0, 1] used by the SQL-checkable metric operators."""
+    f = features(spark, sf_dir)
+    score = (F.col("dep_hour") + 4 * F.col("is_holiday_season") + 3 * F.col("is_weekend")) / 40.0
+    return (f.withColumn("rule_score", score)
+             .withColumn("rule_pred", (F.col("rule_score") >= 0.5).cast("int")))
+
+
+@query("label_rate")
+def q_label_rate(spark, sf_dir):
+    return mx.positive_rate(labelled_flights(spark, sf_dir), "delayed")
+
+
+@query("frequency_counts")
+def q_frequency_counts(spark, sf_dir):
+    return frequency_counts(base_features(labelled_flights(spark, sf_dir)))
+
+
+@query("time_bucket_counts")
+def q_time_bucket_counts(spark, sf_dir):
+    return features(spark, sf_dir).groupBy("dep_time_bucket").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("hub_flags")
+def q_hub_flags(spark, sf_dir):
+    return (features(spark, sf_dir).groupBy("is_hub_origin", "is_hub_dest")
+            .agg(F.count(F.lit(1)).alias("n")))
+
+
+@query("quality_report")
+def q_quality_report(spark, sf_dir):
+    return qx.quality_report(load_flights(spark, sf_dir).drop("flight_id"))
+
+
+@query("quarantine")
+def q_quarantine(spark, sf_dir):
+    _, bad = qx.split_requests(load_flights(spark, sf_dir))
+    return bad.select("flight_id", F.concat_ws(";", "errors").alias("errors"))
+
+
+@query("feature_profile")
+def q_feature_profile(spark, sf_dir):
+    train = split_features(spark, sf_dir).where(F.col("split") == "train")
+    return px.feature_profile(train, FEATURE_COLS)
+
+
+@query("baseline_quantiles")
+def q_baseline_quantiles(spark, sf_dir):
+    train = split_features(spark, sf_dir).where(F.col("split") == "train")
+    return px.exact_quantiles(train, FEATURE_COLS)
+
+
+@query("baseline_constraints")
+def q_baseline_constraints(spark, sf_dir):
+    train = split_features(spark, sf_dir).where(F.col("split") == "train")
+    return px.baseline_constraints(train, FEATURE_COLS)
+
+
+@query("null_counts")
+def q_null_counts(spark, sf_dir):
+    raw = normalize_columns(load_flights(spark, sf_dir))
+    return px.null_counts(raw, RAW_REQUIRED_COLS)
+
+
+@query("dup_fraction_lineitem")
+def q_dup_lineitem(spark, sf_dir):
+    return qx.duplicate_stats(load_table(spark, sf_dir, "lineitem"))
+
+
+@query("dup_fraction_flights")
+def q_dup_flights(spark, sf_dir):
+    return qx.duplicate_stats(load_flights(spark, sf_dir).drop("flight_id"))
+
+
+@query("split_assign")
+def q_split_assign(spark, sf_dir):
+    return split_features(spark, sf_dir).select("flight_id", "delayed", "split")
+
+
+@query("split_counts")
+def q_split_counts(spark, sf_dir):
+    return sx.split_counts(split_features(spark, sf_dir))
+
+
+@query("reference_sample")
+def q_reference_sample(spark, sf_dir):
+    train = split_features(spark, sf_dir).where(F.col("split") == "train")
+    return sx.reference_sample(train, "flight_id", REFERENCE_SAMPLE_ROWS).select(
+        "flight_id", *FEATURE_COLS, "delayed")
+
+
+@query("binary_metrics")
+def q_binary_metrics(spark, sf_dir):
+    return mx.binary_metrics(rule_scored(spark, sf_dir), "delayed", "rule_pred")
+
+
+@query("segment_metrics")
+def q_segment_metrics(spark, sf_dir):
+    return mx.binary_metrics(rule_scored(spark, sf_dir), "delayed", "rule_pred",
+                             by=["dep_time_bucket"])
+
+
+@query("roc_auc")
+def q_roc_auc(spark, sf_dir):
+    return mx.roc_auc(rule_scored(spark, sf_dir), "delayed", "rule_score")
+
+
+@query("segment_roc_auc")
+def q_segment_roc_auc(spark, sf_dir):
+    return mx.roc_auc(rule_scored(spark, sf_dir), "delayed", "rule_score", by=["is_holiday_season"])
+
+
+@query("risk_confidence")
+def q_risk_confidence(spark, sf_dir):
+    s = rule_scored(spark, sf_dir).join(
+        normalize_columns(load_flights(spark, sf_dir)).select("flight_id", "OP_CARRIER", "ORIGIN", "DEST"),
+        "flight_id")
+    p = tx.round4("rule_score")
+    return s.select("flight_id", F.col("rule_pred").alias("delayed"),
+                    p.alias("delay_probability"), tx.risk_level(p).alias("risk_level"),
+                    tx.confidence_level(p).alias("confidence"),
+                    tx.flight_label().alias("flight"))
+
+
+@query("batch_summary")
+def q_batch_summary(spark, sf_dir):
+    return mx.batch_summary(rule_scored(spark, sf_dir).withColumnRenamed("rule_pred", "delayed_pred"),
+                            "delayed_pred")

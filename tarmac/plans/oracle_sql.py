@@ -97,3 +97,223 @@ def sql(body: str) -> str:
 ORACLE: dict[str, str] = {}
 
 ORACLE["engineer_features"] = sql("SELECT * FROM features")
+
+# ── stratified split: row_number inside each label stratum ───────────
+TEST, VAL = 0.15, 0.15
+VAL_REL = VAL / (1.0 - TEST)
+
+SPLIT = f"""
+split AS (
+ SELECT * EXCLUDE (rn, n_s, t1),
+  CASE WHEN rn <= t1 THEN 'test'
+       WHEN rn <= t1 + floor(CAST({VAL_REL!r} AS DOUBLE) * (n_s - t1) + 0.5) THEN 'val'
+       ELSE 'train' END AS split
+ FROM (
+  SELECT *, floor(CAST({TEST!r} AS DOUBLE) * n_s + 0.5) AS t1 FROM (
+   SELECT *, row_number() OVER (PARTITION BY delayed
+                  ORDER BY md5('42|' || CAST(flight_id AS VARCHAR)), flight_id) AS rn,
+          count(*) OVER (PARTITION BY delayed) AS n_s
+   FROM features) a) b
+),
+train AS (SELECT * FROM split WHERE split = 'train')"""
+
+RULE = """
+scored AS (
+ SELECT *, CAST(rule_score >= 0.5 AS INT) AS rule_pred FROM (
+  SELECT *, (dep_hour + 4 * is_holiday_season + 3 * is_weekend) / CAST(40 AS DOUBLE) AS rule_score
+  FROM features) s
+)"""
+
+PREFIX2 = f"{PREFIX},{SPLIT},{RULE}"
+
+
+def sql2(body: str) -> str:
+    return f"{PREFIX2}\n{body}"
+
+
+FEATURE_NAMES = ["dep_hour", "dep_day_of_week", "dep_month", "is_weekend", "is_holiday_season",
+                 "carrier_encoded", "origin_encoded", "dest_encoded", "route_distance_km",
+                 "scheduled_elapsed_min", "dep_time_bucket", "is_hub_origin", "is_hub_dest",
+                 "route_id_encoded"]
+RAW_NAMES = ["FL_DATE", "OP_CARRIER", "ORIGIN", "DEST", "CRS_DEP_TIME", "CRS_ARR_TIME",
+             "CRS_ELAPSED_TIME", "DISTANCE", "DEP_DELAY", "ARR_DELAY"]
+
+ORACLE["label_rate"] = sql("""
+SELECT count(*) AS rows, CAST(sum(delayed) AS BIGINT) AS positives,
+       round_even(avg(CAST(delayed AS DOUBLE)), 4) AS positive_rate FROM labelled""")
+
+ORACLE["frequency_counts"] = sql("""
+SELECT feature, key, count(*) AS n FROM (
+ SELECT 'carrier_encoded' AS feature, OP_CARRIER AS key FROM labelled
+ UNION ALL SELECT 'origin_encoded', ORIGIN FROM labelled
+ UNION ALL SELECT 'dest_encoded', DEST FROM labelled
+ UNION ALL SELECT 'route_id_encoded', ORIGIN || '_' || DEST FROM labelled) u
+WHERE key IS NOT NULL GROUP BY feature, key""")
+
+ORACLE["time_bucket_counts"] = sql(
+    "SELECT dep_time_bucket, count(*) AS n FROM features GROUP BY dep_time_bucket")
+
+ORACLE["hub_flags"] = sql(
+    "SELECT is_hub_origin, is_hub_dest, count(*) AS n FROM features GROUP BY 1, 2")
+
+ORACLE["quality_report"] = sql("""
+, a AS (
+ SELECT count(*) AS n, count(OP_CARRIER) AS c1, count(ORIGIN) AS c2, count(DEST) AS c3,
+   count(CRS_DEP_TIME) AS c4, min(CRS_DEP_TIME) AS dmin, max(CRS_DEP_TIME) AS dmax,
+   min(DISTANCE) AS dist_min, min(CRS_ELAPSED_TIME) AS el_min, min(length(OP_CARRIER)) AS clen,
+   avg(CASE WHEN ARR_DELAY IS NOT NULL THEN CAST(ARR_DELAY >= 15 AS DOUBLE) END) AS rate,
+   count(DISTINCT OP_CARRIER) AS nc, count(DISTINCT ORIGIN) AS no, count(DISTINCT FL_DATE) AS nd,
+   stddev_samp(CRS_DEP_TIME) AS dstd
+ FROM flights
+), d AS (
+ SELECT sum(k) AS n_rows, count(*) AS n_distinct FROM (
+  SELECT count(*) AS k FROM flights
+  GROUP BY FL_DATE, OP_CARRIER, ORIGIN, DEST, CRS_DEP_TIME, CRS_ARR_TIME, CRS_ELAPSED_TIME,
+           DISTANCE, DEP_DELAY, ARR_DELAY) g
+)
+SELECT 'required_columns' AS rule, CAST(0 AS DOUBLE) AS observed, true AS passed
+UNION ALL SELECT 'min_rows', n, n >= 100 FROM a
+UNION ALL SELECT 'not_all_null_OP_CARRIER', c1, c1 > 0 FROM a
+UNION ALL SELECT 'not_all_null_ORIGIN', c2, c2 > 0 FROM a
+UNION ALL SELECT 'not_all_null_DEST', c3, c3 > 0 FROM a
+UNION ALL SELECT 'not_all_null_CRS_DEP_TIME', c4, c4 > 0 FROM a
+UNION ALL SELECT 'dep_time_min', dmin, coalesce(dmin >= 0, true) FROM a
+UNION ALL SELECT 'dep_time_max', dmax, coalesce(dmax <= 2359, true) FROM a
+UNION ALL SELECT 'numeric_CRS_DEP_TIME', 0, true
+UNION ALL SELECT 'numeric_DISTANCE', 0, true
+UNION ALL SELECT 'distance_positive', dist_min, coalesce(dist_min > 0, false) FROM a
+UNION ALL SELECT 'elapsed_positive', el_min, coalesce(el_min > 0, false) FROM a
+UNION ALL SELECT 'carrier_min_length', clen, coalesce(clen >= 2, false) FROM a
+UNION ALL SELECT 'delay_rate_range', round_even(rate, 4), coalesce(rate BETWEEN 0.05 AND 0.60, false) FROM a
+UNION ALL SELECT 'min_carriers', nc, nc >= 3 FROM a
+UNION ALL SELECT 'min_origins', no, no >= 10 FROM a
+UNION ALL SELECT 'min_dates', nd, nd >= 2 FROM a
+UNION ALL SELECT 'dep_time_std', round_even(dstd, 4), coalesce(dstd > 100, false) FROM a
+UNION ALL SELECT 'min_rows_strict', n, n >= 1000 FROM a
+UNION ALL SELECT 'duplicate_fraction', round_even((n_rows - n_distinct) / CAST(n_rows AS DOUBLE), 6),
+                 round_even((n_rows - n_distinct) / CAST(n_rows AS DOUBLE), 6) < 0.05 FROM d
+""".replace("\n, a AS", ", a AS", 1))
+
+_REQ_CHECKS = [f"CASE WHEN {c} IS NULL THEN 'missing_{c}' END" for c in
+               ["FL_DATE", "OP_CARRIER", "ORIGIN", "DEST", "CRS_DEP_TIME", "CRS_ARR_TIME",
+                "CRS_ELAPSED_TIME", "DISTANCE"]] + [
+    "CASE WHEN NOT (CRS_DEP_TIME BETWEEN 0 AND 2359) THEN 'range_CRS_DEP_TIME' END",
+    "CASE WHEN NOT (CRS_ARR_TIME BETWEEN 0 AND 2359) THEN 'range_CRS_ARR_TIME' END",
+    "CASE WHEN CRS_ELAPSED_TIME <= 0 THEN 'nonpositive_CRS_ELAPSED_TIME' END",
+    "CASE WHEN DISTANCE <= 0 THEN 'nonpositive_DISTANCE' END",
+    "CASE WHEN length(upper(trim(OP_CARRIER))) = 0 THEN 'empty_OP_CARRIER' END",
+    "CASE WHEN NOT (length(upper(trim(ORIGIN))) BETWEEN 2 AND 4) THEN 'code_length_ORIGIN' END",
+    "CASE WHEN NOT (length(upper(trim(DEST))) BETWEEN 2 AND 4) THEN 'code_length_DEST' END",
+]
+
+ORACLE["quarantine"] = sql(f"""
+SELECT flight_id, errors FROM (
+ SELECT flight_id, concat_ws(';', {', '.join(_REQ_CHECKS)}) AS errors FROM flights) q
+WHERE errors <> ''""")
+
+ORACLE["feature_profile"] = sql2("\nUNION ALL ".join(
+    f"""SELECT '{c}' AS feature, round_even(avg(CAST({c} AS DOUBLE)), 4) AS mean,
+  round_even(stddev_samp(CAST({c} AS DOUBLE)), 4) AS std,
+  round_even(min(CAST({c} AS DOUBLE)), 4) AS min, round_even(max(CAST({c} AS DOUBLE)), 4) AS max,
+  round_even(avg(CAST({c} IS NULL AS DOUBLE)), 4) AS null_pct FROM train""" for c in FEATURE_NAMES))
+
+_Q = [0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99]
+_QCOLS = ", ".join(
+    f"min(CASE WHEN cum >= greatest(ceil(CAST({p!r} AS DOUBLE) * n), 1) THEN value END) "
+    f"AS p{int(round(p * 100)):02d}" for p in _Q)
+ORACLE["baseline_quantiles"] = sql2(f"""
+, long AS (
+ {' UNION ALL '.join(f"SELECT '{c}' AS feature, CAST({c} AS DOUBLE) AS value FROM train" for c in FEATURE_NAMES)}
+), hist AS (
+ SELECT feature, value, count(*) AS cnt FROM long WHERE value IS NOT NULL GROUP BY 1, 2
+), cum AS (
+ SELECT *, sum(cnt) OVER (PARTITION BY feature ORDER BY value ROWS UNBOUNDED PRECEDING) AS cum,
+        sum(cnt) OVER (PARTITION BY feature) AS n FROM hist
+)
+SELECT feature, CAST(max(n) AS BIGINT) AS n, {_QCOLS} FROM cum GROUP BY feature""".replace("\n, long", ", long", 1))
+
+ORACLE["baseline_constraints"] = sql2("\nUNION ALL ".join(
+    f"""SELECT '{c}' AS feature, round_even(count({c}) / CAST(count(*) AS DOUBLE), 4) AS completeness,
+  coalesce(min({c}) >= 0, true) AS non_negative,
+  CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max FROM train""" for c in FEATURE_NAMES))
+
+ORACLE["null_counts"] = sql("\nUNION ALL ".join(
+    f"SELECT '{c}' AS column, CAST(count(*) - count({c}) AS BIGINT) AS nulls, "
+    f"count({c}) = 0 AS all_null FROM flights" for c in RAW_NAMES))
+
+
+def _dup(table: str, cols: str) -> str:
+    return f"""
+SELECT CAST(n_rows AS BIGINT) AS n_rows, n_distinct, CAST(n_rows - n_distinct AS BIGINT) AS dup_rows,
+  round_even(coalesce((n_rows - n_distinct) / CAST(n_rows AS DOUBLE), 0.0), 6) AS dup_fraction
+FROM (SELECT sum(k) AS n_rows, count(*) AS n_distinct FROM (
+  SELECT count(*) AS k FROM {table} GROUP BY {cols}) g) t"""
+
+
+ORACLE["dup_fraction_lineitem"] = _dup(
+    "lineitem", "l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, "
+                "l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate")
+ORACLE["dup_fraction_flights"] = sql(_dup("flights", ", ".join(RAW_NAMES)))
+
+ORACLE["split_assign"] = sql2("SELECT flight_id, delayed, split FROM split")
+
+ORACLE["split_counts"] = sql2("""
+SELECT split, count(*) AS rows, CAST(sum(delayed) AS BIGINT) AS positives,
+       round_even(avg(CAST(delayed AS DOUBLE)), 4) AS positive_rate FROM split GROUP BY split""")
+
+ORACLE["reference_sample"] = sql2(f"""
+SELECT flight_id, {', '.join(FEATURE_NAMES)}, delayed FROM train
+ORDER BY md5('42|' || CAST(flight_id AS VARCHAR)), flight_id LIMIT 5000""")
+
+
+def _metrics(by: str = "") -> str:
+    sel = f"{by}, " if by else ""
+    grp = f"GROUP BY {by}" if by else ""
+    return f"""
+SELECT {sel}n, tp, fp, fn, tn,
+  round_even(coalesce((tp + tn) / CAST(nullif(n, 0) AS DOUBLE), 0.0), 4) AS accuracy,
+  round_even(coalesce(tp / CAST(nullif(tp + fp, 0) AS DOUBLE), 0.0), 4) AS precision,
+  round_even(coalesce(tp / CAST(nullif(tp + fn, 0) AS DOUBLE), 0.0), 4) AS recall,
+  round_even(coalesce(2 * tp / CAST(nullif(2 * tp + fp + fn, 0) AS DOUBLE), 0.0), 4) AS f1
+FROM (SELECT {sel}count(*) AS n,
+  CAST(sum(CASE WHEN delayed = 1 AND rule_pred = 1 THEN 1 ELSE 0 END) AS BIGINT) AS tp,
+  CAST(sum(CASE WHEN delayed = 0 AND rule_pred = 1 THEN 1 ELSE 0 END) AS BIGINT) AS fp,
+  CAST(sum(CASE WHEN delayed = 1 AND rule_pred = 0 THEN 1 ELSE 0 END) AS BIGINT) AS fn,
+  CAST(sum(CASE WHEN delayed = 0 AND rule_pred = 0 THEN 1 ELSE 0 END) AS BIGINT) AS tn
+ FROM scored {grp}) c"""
+
+
+ORACLE["binary_metrics"] = sql2(_metrics())
+ORACLE["segment_metrics"] = sql2(_metrics("dep_time_bucket"))
+
+
+def _auc(by: str = "") -> str:
+    sel = f"{by}, " if by else ""
+    part = f"PARTITION BY {by}" if by else ""
+    grp = f"GROUP BY {by}" if by else ""
+    return f"""
+, ps AS (
+ SELECT {sel}rule_score, sum(CASE WHEN delayed = 1 THEN 1 ELSE 0 END) AS pos,
+        sum(CASE WHEN delayed <> 1 THEN 1 ELSE 0 END) AS neg
+ FROM scored WHERE rule_score IS NOT NULL AND delayed IS NOT NULL GROUP BY {sel}rule_score
+), c AS (
+ SELECT *, coalesce(sum(neg) OVER ({part} ORDER BY rule_score
+                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM ps
+)
+SELECT {sel}CAST(sum(pos) AS BIGINT) AS positives, CAST(sum(neg) AS BIGINT) AS negatives,
+  round_even(sum(pos * (2 * below + neg)) / (2.0 * sum(pos) * sum(neg)), 4) AS auc
+FROM c {grp}""".replace("\n, ps AS", ", ps AS", 1)
+
+
+ORACLE["roc_auc"] = sql2(_auc())
+ORACLE["segment_roc_auc"] = sql2(_auc("is_holiday_season"))
+
+ORACLE["risk_confidence"] = sql2("""
+SELECT s.flight_id, rule_pred AS delayed, p AS delay_probability,
+  CASE WHEN p < 0.25 THEN 'LOW' WHEN p < 0.55 THEN 'MEDIUM' ELSE 'HIGH' END AS risk_level,
+  CASE WHEN abs(p - 0.5) >= 0.35 THEN 'HIGH' WHEN abs(p - 0.5) >= 0.15 THEN 'MEDIUM' ELSE 'LOW' END AS confidence,
+  f.ORIGIN || '-' || f.DEST || ' ' || f.OP_CARRIER AS flight
+FROM (SELECT *, round_even(rule_score, 4) AS p FROM scored) s JOIN flights f USING (flight_id)""")
+
+ORACLE["batch_summary"] = sql2("""
+SELECT count(*) AS total, CAST(coalesce(sum(rule_pred), 0) AS BIGINT) AS delayed_count FROM scored""")
