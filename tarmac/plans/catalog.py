@@ -185,3 +185,90 @@ def q_risk_confidence(spark, sf_dir):
 def q_batch_summary(spark, sf_dir):
     return mx.batch_summary(rule_scored(spark, sf_dir).withColumnRenamed("rule_pred", "delayed_pred"),
                             "delayed_pred")
+
+
+# ── registry, routing, monitoring (tables derived from events) ───────
+from tarmac.operators import drift as dx  # noqa: E402
+from tarmac.operators import registry as rx  # noqa: E402
+from tarmac.operators import routing as ox  # noqa: E402
+from tarmac.sources import events as ex  # noqa: E402
+
+CAPTURE_FEATURES = ["value", "k", "user_id"]
+
+
+def registry(spark, sf_dir):
+    return ex.registry_from_events(load_table(spark, sf_dir, "events"))
+
+
+def comparison(spark, sf_dir):
+    reg = registry(spark, sf_dir)
+    return rx.compare_champion(rx.latest_per_group(reg, "PendingManualApproval"),
+                               rx.latest_per_group(reg, "Approved"))
+
+
+@query("latest_approved")
+def q_latest_approved(spark, sf_dir):
+    p = rx.package_metrics(rx.latest_per_group(registry(spark, sf_dir), "Approved"))
+    return p.select("group_name", "package_id", "created_at", "metrics_bucket", "metrics_key",
+                    F.col("metrics.val_f1").alias("val_f1"))
+
+
+@query("compare_champion")
+def q_compare_champion(spark, sf_dir):
+    return comparison(spark, sf_dir).select(
+        "group_name", "challenger_package", "champion_package", "challenger_score",
+        "champion_score", "improvement", "beats_champion")
+
+
+@query("decision_json")
+def q_decision_json(spark, sf_dir):
+    return rx.read_decision(rx.decision_document(comparison(spark, sf_dir)))
+
+
+@query("register_candidates")
+def q_register_candidates(spark, sf_dir):
+    return rx.registrations(rx.decision_document(comparison(spark, sf_dir)), registry(spark, sf_dir))
+
+
+@query("approval_route")
+def q_approval_route(spark, sf_dir):
+    ev = ex.approval_events(load_table(spark, sf_dir, "events"))
+    return ox.route_approval_events(ev).drop("body")
+
+
+@query("object_route")
+def q_object_route(spark, sf_dir):
+    ev = ex.object_events(load_table(spark, sf_dir, "events"))
+    return ox.route_object_events(ev, bucket_name=ex.DATA_BUCKET).drop("body")
+
+
+def monitoring(spark, sf_dir):
+    capture = dx.capture_from_events(load_table(spark, sf_dir, "events"))
+    ref, mon = dx.split_reference_window(capture)
+    base = dx.baseline_stats(dx.long_capture(ref, CAPTURE_FEATURES))
+    stats = dx.daily_stats(dx.long_capture(mon, CAPTURE_FEATURES))
+    return stats, base
+
+
+@query("daily_stats")
+def q_daily_stats(spark, sf_dir):
+    stats, _ = monitoring(spark, sf_dir)
+    return stats.select("day", "feature", "n", "nulls", "type_errors",
+                        F.bround("mean", 4).alias("mean"), F.bround("std", 4).alias("std"))
+
+
+@query("daily_drift")
+def q_daily_drift(spark, sf_dir):
+    stats, base = monitoring(spark, sf_dir)
+    return dx.violations(stats, base)
+
+
+@query("drift_alarm")
+def q_drift_alarm(spark, sf_dir):
+    stats, base = monitoring(spark, sf_dir)
+    return dx.drift_alarm(stats, dx.violations(stats, base))
+
+
+@query("served_stats")
+def q_served_stats(spark, sf_dir):
+    return dx.served_stats(dx.capture_from_events(load_table(spark, sf_dir, "events")))

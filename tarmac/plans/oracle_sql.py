@@ -317,3 +317,155 @@ FROM (SELECT *, round_even(rule_score, 4) AS p FROM scored) s JOIN flights f USI
 
 ORACLE["batch_summary"] = sql2("""
 SELECT count(*) AS total, CAST(coalesce(sum(rule_pred), 0) AS BIGINT) AS delayed_count FROM scored""")
+
+# ── registry / routing / monitoring over tables derived from events ──
+REGISTRY = """
+registry AS (
+ SELECT event_id AS package_id,
+  CASE user_id % 4 WHEN 0 THEN 'flight-delay-model-group' WHEN 1 THEN 'flight-delay-model-group'
+                   WHEN 2 THEN 'ranking-model-group' ELSE 'churn-model-group' END AS group_name,
+  CASE event_type WHEN 'purchase' THEN 'Approved' WHEN 'signup' THEN 'Rejected'
+       WHEN 'view' THEN 'PendingManualApproval' WHEN 'click' THEN 'PendingManualApproval'
+       WHEN 'error' THEN 'Failed' ELSE 'PendingManualApproval' END AS status,
+  ts AS created_at,
+  CASE WHEN event_id % 23 = 0 THEN ''
+       ELSE 's3://flight-delay-artifacts/evaluation/' || CAST(event_id AS VARCHAR) || '/comparison.json'
+  END AS metrics_uri,
+  CASE WHEN event_id % 11 = 0 THEN NULL
+       ELSE CAST(floor(value * 100) AS BIGINT) % 10000 END AS f1_bp
+ FROM events
+),
+pkg AS (
+ SELECT *, CASE WHEN metrics_uri <> '' AND f1_bp IS NOT NULL
+                THEN CAST('0.' || lpad(CAST(f1_bp AS VARCHAR), 4, '0') AS DOUBLE) END AS val_f1
+ FROM registry
+),
+latest_approved AS (
+ SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY group_name
+                ORDER BY created_at DESC, package_id DESC) AS rn FROM pkg WHERE status = 'Approved') a
+ WHERE rn = 1
+),
+latest_pending AS (
+ SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY group_name
+                ORDER BY created_at DESC, package_id DESC) AS rn FROM pkg
+                WHERE status = 'PendingManualApproval') a WHERE rn = 1
+),
+cmp AS (
+ SELECT c.group_name, c.package_id AS challenger_package, p.package_id AS champion_package,
+   coalesce(c.val_f1, 0.0) AS challenger_score, coalesce(p.val_f1, 0.0) AS champion_score
+ FROM latest_pending c
+ LEFT JOIN latest_approved p USING (group_name)
+)"""
+
+PREFIX_REG = f"WITH {REGISTRY}"
+
+ORACLE["latest_approved"] = PREFIX_REG + """
+SELECT group_name, package_id, created_at,
+  regexp_extract(metrics_uri, '^s3://([^/]+)/(.*)$', 1) AS metrics_bucket,
+  regexp_extract(metrics_uri, '^s3://([^/]+)/(.*)$', 2) AS metrics_key, val_f1
+FROM latest_approved"""
+
+ORACLE["compare_champion"] = PREFIX_REG + """
+SELECT group_name, challenger_package, champion_package, challenger_score, champion_score,
+  round_even(challenger_score - champion_score, 4) AS improvement,
+  (challenger_score - champion_score) >= 0.01 AS beats_champion
+FROM cmp"""
+
+ORACLE["decision_json"] = PREFIX_REG + """
+SELECT group_name, challenger_package,
+  CASE WHEN (challenger_score - champion_score) >= 0.01 THEN 1.0 ELSE 0.0 END AS beats_value,
+  challenger_score AS challenger_f1,
+  round_even(challenger_score - champion_score, 4) AS improvement
+FROM cmp"""
+
+ORACLE["register_candidates"] = PREFIX_REG + """
+SELECT c.group_name, c.challenger_package AS package_id, 'PendingManualApproval' AS status,
+  's3://flight-delay-artifacts/models/' || CAST(c.challenger_package AS VARCHAR) || '/model.tar.gz' AS model_uri,
+  r.metrics_uri
+FROM cmp c JOIN registry r ON r.package_id = c.challenger_package
+WHERE (challenger_score - champion_score) >= 0.01"""
+
+ORACLE["approval_route"] = PREFIX_REG + """
+, a AS (
+ SELECT package_id AS event_id,
+  CASE WHEN package_id % 13 = 0 THEN ''
+       ELSE 'arn:aws:sagemaker:us-east-1:000000000000:model-package/' || group_name || '/'
+            || CAST(package_id AS VARCHAR) END AS package_arn,
+  group_name AS package_group, status AS approval_status
+ FROM registry
+)
+SELECT event_id, package_arn, package_group, approval_status,
+  (approval_status = 'Approved' AND package_group = 'flight-delay-model-group') AS rule_match,
+  CASE WHEN package_arn = '' THEN 400 ELSE 200 END AS status_code,
+  CASE WHEN package_arn = '' THEN 'missing_arn'
+       WHEN package_group <> 'flight-delay-model-group' THEN 'skip_group'
+       WHEN approval_status <> 'Approved' THEN 'skip_status' ELSE 'deploy' END AS outcome
+FROM a""".replace("\n, a AS", ", a AS", 1)
+
+ORACLE["object_route"] = """
+WITH o AS (
+ SELECT event_id,
+  CASE WHEN user_id % 17 = 0 THEN '' ELSE 'flight-delay-data' END AS bucket,
+  CASE event_type WHEN 'purchase' THEN 'data/raw/flights_' || CAST(event_id AS VARCHAR) || '.csv'
+                  WHEN 'view' THEN 'data/raw/flights_' || CAST(event_id AS VARCHAR) || '.json'
+                  WHEN 'click' THEN 'models/' || CAST(event_id AS VARCHAR) || '.csv'
+                  WHEN 'signup' THEN 'data/raw/2024/' || CAST(event_id AS VARCHAR) || '.csv'
+                  ELSE '' END AS key
+ FROM events
+)
+SELECT event_id, bucket, key,
+  (starts_with(key, 'data/raw/') AND bucket = 'flight-delay-data') AS rule_match,
+  CASE WHEN bucket = '' OR key = '' THEN 400 ELSE 200 END AS status_code,
+  CASE WHEN bucket = '' OR key = '' THEN 'missing_bucket_or_key'
+       WHEN NOT (starts_with(key, 'data/raw/') AND ends_with(key, '.csv')) THEN 'skipped'
+       ELSE 'triggered' END AS outcome
+FROM o"""
+
+MONITOR = """
+WITH cap AS (
+ SELECT ts AS captured_at, value AS v_value, CAST(value AS VARCHAR) AS t_value,
+  TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE) AS v_k, json_extract_string(props, '$.k') AS t_k,
+  CAST(user_id AS DOUBLE) AS v_user_id, CAST(user_id AS VARCHAR) AS t_user_id
+ FROM events
+), long AS (
+ SELECT captured_at, 'value' AS feature, v_value AS value, t_value AS text FROM cap
+ UNION ALL SELECT captured_at, 'k', v_k, t_k FROM cap
+ UNION ALL SELECT captured_at, 'user_id', v_user_id, t_user_id FROM cap
+), cut AS (
+ SELECT date_trunc('day', min(captured_at)) + INTERVAL 7 DAY AS c FROM cap
+), ref AS (
+ SELECT feature, avg(value) AS mean0, stddev_samp(value) AS std0,
+        avg(CAST(value IS NULL AS DOUBLE)) AS null_frac0
+ FROM long, cut WHERE captured_at < c GROUP BY feature
+), stats AS (
+ SELECT CAST(date_trunc('day', captured_at) AS DATE) AS day, feature, count(*) AS n,
+   CAST(sum(CAST(value IS NULL AS INT)) AS BIGINT) AS nulls,
+   CAST(sum(CAST(text IS NOT NULL AND value IS NULL AS INT)) AS BIGINT) AS type_errors,
+   avg(value) AS mean, stddev_samp(value) AS std
+ FROM long, cut WHERE captured_at >= c GROUP BY 1, 2
+), viol AS (
+ SELECT day, feature, 'baseline_drift' AS "check", round_even(mean, 4) AS observed,
+        round_even(mean0, 4) AS baseline
+ FROM stats JOIN ref USING (feature) WHERE abs(mean - mean0) / std0 > 0.1
+ UNION ALL
+ SELECT day, feature, 'missing_values', round_even(nulls / CAST(n AS DOUBLE), 4), round_even(null_frac0, 4)
+ FROM stats JOIN ref USING (feature) WHERE nulls / CAST(n AS DOUBLE) > null_frac0 + 0.05
+ UNION ALL
+ SELECT day, feature, 'data_type_errors', CAST(type_errors AS DOUBLE), 0.0
+ FROM stats JOIN ref USING (feature) WHERE type_errors > 0
+)"""
+
+ORACLE["daily_stats"] = MONITOR + """
+SELECT day, feature, n, nulls, type_errors, round_even(mean, 4) AS mean, round_even(std, 4) AS std
+FROM stats"""
+
+ORACLE["daily_drift"] = MONITOR + "\nSELECT * FROM viol"
+
+ORACLE["drift_alarm"] = MONITOR + """
+SELECT d.day, CAST(coalesce(v.k, 0) AS BIGINT) AS drift_count, coalesce(v.k, 0) >= 1 AS alarm
+FROM (SELECT DISTINCT day FROM stats) d
+LEFT JOIN (SELECT day, count(*) AS k FROM viol WHERE "check" = 'baseline_drift' GROUP BY day) v
+USING (day)"""
+
+ORACLE["served_stats"] = """
+SELECT count(*) AS predictions_served, max(ts) AS last_prediction FROM events"""
