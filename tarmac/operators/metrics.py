@@ -80,3 +80,44 @@ def positive_rate(df: DataFrame, label: str) -> DataFrame:
 def batch_summary(pred: DataFrame, delayed: str = "delayed") -> DataFrame:
     return pred.agg(F.count(F.lit(1)).alias("total"),
                     F.coalesce(F.sum(delayed), F.lit(0)).cast("long").alias("delayed_count"))
+
+
+def classification_report(df: DataFrame, label: str, score: str, pred: str,
+                          by: list[str] | None = None) -> DataFrame:
+    """Confusion counts, ratios and AUC in one aggregation chain (one row per segment).
+
+    The per-score table carries the confusion counts of its rows, so the
+    final aggregate yields both the counts and the Mann–Whitney sum.
+    """
+    by = by or []
+    y, p = F.col(label), F.col(pred)
+    per_score = (df.where(F.col(score).isNotNull() & y.isNotNull())
+                 .groupBy(*by, score).agg(
+                     F.sum((y == 1).cast("long")).alias("pos"),
+                     F.sum((y != 1).cast("long")).alias("neg"),
+                     F.sum(((y == 1) & (p == 1)).cast("long")).alias("tp"),
+                     F.sum(((y != 1) & (p == 1)).cast("long")).alias("fp"),
+                     F.sum(((y == 1) & (p != 1)).cast("long")).alias("fn"),
+                     F.sum(((y != 1) & (p != 1)).cast("long")).alias("tn")))
+    b = F.least(F.greatest(F.floor(F.col(score) * SCORE_BUCKETS), F.lit(0)),
+                F.lit(SCORE_BUCKETS - 1))
+    per_score = per_score.withColumn("_b", b)
+    buckets = per_score.groupBy(*by, "_b").agg(F.sum("neg").alias("_bneg"))
+    wb = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    buckets = buckets.withColumn("_nbb", F.coalesce(F.sum("_bneg").over(wb), F.lit(0))).drop("_bneg")
+    ws = Window.partitionBy(*by, "_b").orderBy(score).rowsBetween(Window.unboundedPreceding, -1)
+    per_score = per_score.withColumn("_nbi", F.coalesce(F.sum("neg").over(ws), F.lit(0)))
+    j = per_score.join(buckets, on=[*by, "_b"], how="inner")
+    u2 = F.col("pos") * (2 * (F.col("_nbb") + F.col("_nbi")) + F.col("neg"))
+    g = (j.groupBy(*by) if by else j.groupBy()).agg(
+        *[F.sum(c).cast("long").alias(c) for c in ("tp", "fp", "fn", "tn")],
+        F.sum(u2).cast("long").alias("_u2"))
+    tp, fp, fn, tn = (F.col(c).cast("double") for c in ("tp", "fp", "fn", "tn"))
+    n = tp + fp + fn + tn
+    auc = F.try_divide(F.col("_u2").cast("double"), 2.0 * (tp + fn) * (fp + tn))
+    return g.select(*by, n.cast("long").alias("n"), "tp", "fp", "fn", "tn",
+                    round4(_ratio(tp + tn, n)).alias("accuracy"),
+                    round4(_ratio(tp, tp + fp)).alias("precision"),
+                    round4(_ratio(tp, tp + fn)).alias("recall"),
+                    round4(_ratio(2 * tp, 2 * tp + fp + fn)).alias("f1"),
+                    round4(auc).alias("auc"))

@@ -272,3 +272,86 @@ def q_drift_alarm(spark, sf_dir):
 @query("served_stats")
 def q_served_stats(spark, sf_dir):
     return dx.served_stats(dx.capture_from_events(load_table(spark, sf_dir, "events")))
+
+
+# ── model training and scoring (rows-only checks: trees are not SQL) ─
+from tarmac.operators import scoring as scx  # noqa: E402
+from tarmac.operators import train as trx  # noqa: E402
+from tarmac.session import scratch_path  # noqa: E402
+from tarmac.sources.model_store import ModelBundle  # noqa: E402
+
+_BUNDLES: dict = {}
+
+
+def trained_bundle(spark, sf_dir) -> ModelBundle:
+    """Fit once per (application, data folder); later queries load the saved bundle."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _BUNDLES:
+        sp = split_features(spark, sf_dir)
+        path = scratch_path(spark, "model")
+        sp.write.mode("overwrite").parquet(f"{path}/split")
+        sp = spark.read.parquet(f"{path}/split")
+        train = sp.where(F.col("split") == "train")
+        enc = frequency_model_of(spark, sf_dir)
+        model = trx.fit_model(train)
+        ModelBundle(pipeline=model, encoder=enc).save(path)
+        _BUNDLES[key] = (path, f"{path}/split")
+    path, split_path = _BUNDLES[key]
+    return ModelBundle.load(spark, path), spark.read.parquet(split_path)
+
+
+def frequency_model_of(spark, sf_dir):
+    from tarmac.operators.encode import fit_frequencies
+    return fit_frequencies(base_features(labelled_flights(spark, sf_dir)))
+
+
+@query("train_metrics")
+def q_train_metrics(spark, sf_dir):
+    from tarmac.plans.jobs import evaluate_frame
+    bundle, sp = trained_bundle(spark, sf_dir)
+    return evaluate_frame(bundle, sp.where(F.col("split") == "val"))
+
+
+@query("feature_importance")
+def q_feature_importance(spark, sf_dir):
+    bundle, _ = trained_bundle(spark, sf_dir)
+    return trx.feature_importance(bundle.pipeline)
+
+
+@query("quality_gates")
+def q_quality_gates(spark, sf_dir):
+    return trx.quality_gates(q_train_metrics(spark, sf_dir))
+
+
+@query("score_flights")
+def q_score_flights(spark, sf_dir):
+    bundle, sp = trained_bundle(spark, sf_dir)
+    test_ids = sp.where(F.col("split") == "test").select("flight_id")
+    requests = load_flights(spark, sf_dir).join(test_ids, "flight_id", "left_semi")
+    scored, _ = scx.score(normalize_columns(requests), bundle, keep=["flight_id"])
+    return scored
+
+
+@query("behaviour_checks")
+def q_behaviour_checks(spark, sf_dir):
+    """Morning (08:00) vs evening (19:00) copies of every val flight, scored together."""
+    bundle, sp = trained_bundle(spark, sf_dir)
+    val = sp.where(F.col("split") == "val").drop("dep_hour", "dep_time_bucket")
+    pairs = val.withColumn("slot", F.explode(F.array(F.lit(8), F.lit(19))))
+    pairs = pairs.withColumn("dep_hour", F.col("slot").cast("int")).withColumn(
+        "dep_time_bucket", F.when(F.col("slot") < 12, 1).otherwise(3).cast("int"))
+    scored = scx.predict(pairs, bundle)
+    err = F.abs(F.col("p_delayed") + F.col("p_on_time") - 1)
+    per = scored.groupBy("flight_id").agg(
+        F.max(F.when(F.col("slot") == 8, F.col("p_delayed"))).alias("p_morning"),
+        F.max(F.when(F.col("slot") == 19, F.col("p_delayed"))).alias("p_evening"),
+        F.min("prediction").alias("min_pred"), F.max("prediction").alias("max_pred"),
+        F.min("p_delayed").alias("min_p"), F.max("p_delayed").alias("max_p"),
+        F.max(err).alias("sum_error"))
+    out = per.agg(F.count(F.lit(1)).alias("pairs"),
+                  F.min("min_pred").alias("min_pred"), F.max("max_pred").alias("max_pred"),
+                  F.min("min_p").alias("min_p"), F.max("max_p").alias("max_p"),
+                  F.max("sum_error").alias("max_sum_error"),
+                  F.avg("p_morning").alias("mean_p_morning"),
+                  F.avg("p_evening").alias("mean_p_evening"))
+    return out.withColumn("evening_not_lower", F.col("mean_p_evening") >= 0.8 * F.col("mean_p_morning"))
