@@ -28,7 +28,7 @@ def capture_from_events(events: DataFrame) -> DataFrame:
     """Captured traffic from ``events``: numeric request fields plus their raw text."""
     k_text = F.get_json_object("props", "$.k")
     return events.select(
-        F.col("event_id"), F.col("ts").alias("captured_at"),
+        F.col("event_id"), F.col("ts").cast("timestamp").alias("captured_at"),
         F.struct(F.col("value").cast("double").alias("value"),
                  F.col("value").cast("string").alias("text")).alias("value"),
         F.struct(k_text.try_cast("double").alias("value"), k_text.alias("text")).alias("k"),

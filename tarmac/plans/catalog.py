@@ -355,3 +355,53 @@ def q_behaviour_checks(spark, sf_dir):
                   F.avg("p_morning").alias("mean_p_morning"),
                   F.avg("p_evening").alias("mean_p_evening"))
     return out.withColumn("evening_not_lower", F.col("mean_p_evening") >= 0.8 * F.col("mean_p_morning"))
+
+
+# ── Structured Streaming variants (same answers as the batch queries) ─
+from tarmac.streaming import landing as lx  # noqa: E402
+from tarmac.streaming import monitor as mnx  # noqa: E402
+from tarmac.streaming import scoring as ssx  # noqa: E402
+
+
+@query("stream_daily_stats")
+def q_stream_daily_stats(spark, sf_dir):
+    """events.parquet as a file stream → watermarked daily windows → day-partitioned table."""
+    schema = load_table(spark, sf_dir, "events").schema
+    src = (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
+           .parquet(sf_dir))
+    base = scratch_path(spark, "monitor")
+    q = mnx.start_daily_stats_stream(spark, dx.capture_from_events(src), CAPTURE_FEATURES,
+                                     f"{base}/stats", f"{base}/_checkpoint")
+    q.awaitTermination()
+    out = spark.read.parquet(f"{base}/stats")
+    return out.select("day", "feature", "n", "nulls", "type_errors",
+                      F.bround("mean", 4).alias("mean"), F.bround("std", 4).alias("std"))
+
+
+@query("stream_landing")
+def q_stream_landing(spark, sf_dir):
+    """flights written as CSV files into a landing folder → file stream → labelled rows."""
+    base = scratch_path(spark, "landing")
+    (load_flights(spark, sf_dir).repartition(4, "flight_id")
+     .write.option("header", True).csv(f"{base}/in/data/raw"))
+    q = lx.start_landing_stream(spark, f"{base}/in", f"{base}/out", f"{base}/_checkpoint")
+    q.awaitTermination()
+    out = spark.read.parquet(f"{base}/out/labelled")
+    return out.drop("batch_id", "source_file")
+
+
+@query("stream_scoring_capture")
+def q_stream_scoring_capture(spark, sf_dir):
+    """Test-split requests as a file stream → scores → capture table (100 % sampling)."""
+    bundle, sp = trained_bundle(spark, sf_dir)
+    base = scratch_path(spark, "scoring")
+    test_ids = sp.where(F.col("split") == "test").select("flight_id")
+    reqs = (normalize_columns(load_flights(spark, sf_dir)).join(test_ids, "flight_id", "left_semi")
+            .withColumnRenamed("flight_id", "request_id").drop("DEP_DELAY", "ARR_DELAY"))
+    reqs.write.parquet(f"{base}/requests")
+    stream = spark.readStream.schema(reqs.schema).parquet(f"{base}/requests")
+    q = ssx.start_scoring_stream(spark, stream, bundle, f"{base}/capture", f"{base}/_checkpoint")
+    q.awaitTermination()
+    cap = spark.read.parquet(f"{base}/capture")
+    return cap.select("request_id", "delayed", "delay_probability", "risk_level", "confidence",
+                      "flight")

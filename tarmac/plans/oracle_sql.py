@@ -469,3 +469,14 @@ USING (day)"""
 
 ORACLE["served_stats"] = """
 SELECT count(*) AS predictions_served, max(ts) AS last_prediction FROM events"""
+
+ORACLE["stream_daily_stats"] = MONITOR.replace("WHERE captured_at >= c GROUP BY 1, 2",
+                                               "GROUP BY 1, 2") + """
+SELECT day, feature, n, nulls, type_errors, round_even(mean, 4) AS mean, round_even(std, 4) AS std
+FROM stats"""
+
+ORACLE["stream_landing"] = sql(f"""
+SELECT flight_id, FL_DATE, OP_CARRIER, ORIGIN, DEST, CRS_DEP_TIME, CRS_ARR_TIME, CRS_ELAPSED_TIME,
+  DISTANCE, DEP_DELAY, ARR_DELAY, delayed
+FROM (SELECT *, concat_ws(';', {', '.join(_REQ_CHECKS)}) AS errors FROM labelled) l
+WHERE errors = ''""")
