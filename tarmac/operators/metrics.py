@@ -67,7 +67,7 @@ def roc_auc(df: DataFrame, label: str, score: str, by: list[str] | None = None)
         F.sum("pos").cast("long").alias("positives"),
         F.sum("neg").cast("long").alias("negatives"),
         F.sum(u2).cast("long").alias("_u2"))
-    auc = F.col("_u2").cast("double") / (2.0 * F.col("positives") * F.col("negatives"))
+    auc = F.try_divide(F.col("_u2").cast("double"), 2.0 * F.col("positives") * F.col("negatives"))
     return agg.select(*by, "positives", "negatives", round4(auc).alias("auc"))
 
 
