@@ -138,3 +138,42 @@ def evaluate(spark: SparkSession, prep_dir: str, model_dir: str, registry_path:
     decision = rx.decision_document(cmp)
     decision.select("doc").coalesce(1).write.mode("overwrite").text(f"{out_dir}/comparison.json")
     return decision
+
+
+def baseline_job(spark: SparkSession, reference_path: str, out_dir: str,
+                 cols: list[str] | None = None) -> bool:
+    """Profile + exact quantiles + suggested constraints of the reference rows.
+
+    Written once: when ``{out_dir}/statistics`` already exists the job is skipped
+    (returns False), matching "baseline already exists" behaviour.
+    """
+    from pyspark.errors import AnalysisException
+
+    try:
+        spark.read.parquet(f"{out_dir}/statistics").schema   # exists → skip
+        return False
+    except AnalysisException:
+        pass
+    ref = spark.read.parquet(reference_path)
+    cols = cols or [c for c in FEATURE_COLS if c in ref.columns]
+    stats = px.feature_profile(ref, cols).join(px.exact_quantiles(ref, cols), "feature", "left")
+    stats.write.mode("ignore").parquet(f"{out_dir}/statistics")
+    px.baseline_constraints(ref, cols).write.mode("ignore").parquet(f"{out_dir}/constraints")
+    return True
+
+
+def monitor_job(spark: SparkSession, capture: DataFrame, baseline_long: DataFrame,
+                features: list[str], out_dir: str) -> DataFrame:
+    """Daily stats of captured rows vs the baseline; writes violations and the alarm by day."""
+    from tarmac.operators import drift as dx
+
+    stats = dx.daily_stats(dx.long_capture(capture, features))
+    stats.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+        .partitionBy("day").parquet(f"{out_dir}/daily_stats")
+    stats = spark.read.parquet(f"{out_dir}/daily_stats")
+    viol = dx.violations(stats, dx.baseline_stats(baseline_long))
+    viol.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+        .partitionBy("day").parquet(f"{out_dir}/violations")
+    alarm = dx.drift_alarm(stats, spark.read.parquet(f"{out_dir}/violations"))
+    alarm.write.mode("overwrite").parquet(f"{out_dir}/alarm")
+    return spark.read.parquet(f"{out_dir}/alarm")
