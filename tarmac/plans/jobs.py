@@ -137,6 +137,16 @@ def evaluate(spark: SparkSession, prep_dir: str, model_dir: str, registry_path:
     cmp = rx.compare_champion(rx.latest_per_group(challenger), champion)
     decision = rx.decision_document(cmp)
     decision.select("doc").coalesce(1).write.mode("overwrite").text(f"{out_dir}/comparison.json")
+    decision = spark.read.text(f"{out_dir}/comparison.json").select(
+        F.lit(group).alias("group_name"), F.lit(-1).cast("long").alias("challenger_package"),
+        F.col("value").alias("doc"))
+    # conditional registration: flag >= 0.5 → append a pending package with a fresh id
+    next_id = registry.select(F.coalesce(F.max("package_id"), F.lit(0)) + 1).scalar()
+    pending = (rx.registrations(decision, challenger)
+               .withColumn("package_id", next_id)
+               .withColumn("created_at", F.current_timestamp())
+               .withColumn("metrics_doc", F.lit(None).cast("string")))
+    (pending.select(*registry.columns).write.mode("append").parquet(registry_path))
     return decision
 
 

@@ -99,3 +99,18 @@ def test_baseline_written_once_and_monitor(spark, tmp_dir):
     alarm = jobs.monitor_job(spark, mon, dx.long_capture(ref, C.CAPTURE_FEATURES),
                              C.CAPTURE_FEATURES, f"{tmp_dir}/monitor")
     assert alarm.count() == mon.select(F.to_date("captured_at")).distinct().count()
+
+
+def test_evaluate_appends_registration_when_winning(spark, tmp_dir):
+    flights = load_flights(spark, SF_SMALL)
+    jobs.preprocess(flights.drop("flight_id"), f"{tmp_dir}/prep")     # content-hash row key
+    jobs.train(spark, f"{tmp_dir}/prep", f"{tmp_dir}/models/m1", params={"n_estimators": 3})
+    empty = registry_from_events(load_table(spark, SF_SMALL, "events")).limit(0)
+    empty.write.parquet(f"{tmp_dir}/registry")
+    r = rx.read_decision(jobs.evaluate(spark, f"{tmp_dir}/prep", f"{tmp_dir}/models/m1",
+                                       f"{tmp_dir}/registry", f"{tmp_dir}/eval")).first()
+    reg = spark.read.parquet(f"{tmp_dir}/registry")
+    # no champion → champion score 0.0; a challenger F1 ≥ 0.01 wins and is registered
+    assert (reg.count() == 1) == (r["beats_value"] == 1.0)
+    if r["beats_value"] == 1.0:
+        assert reg.first()["status"] == "PendingManualApproval"
