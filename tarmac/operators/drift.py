@@ -10,7 +10,7 @@ compare null fractions and unparsable counts.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tarmac.functions.tiers import round4
@@ -106,3 +106,57 @@ def split_reference_window(capture: DataFrame, days: int = BASELINE_DAYS):
 def served_stats(capture: DataFrame) -> DataFrame:
     return capture.agg(F.count(F.lit(1)).alias("predictions_served"),
                        F.max("captured_at").alias("last_prediction"))
+
+
+# ── population stability index on baseline decile bins ───────────────
+# fixed values (our choice; parameters)
+PSI_PROBS = [i / 10 for i in range(1, 10)]
+PSI_THRESHOLD = 0.2
+PSI_FLOOR = 1e-4
+
+
+def baseline_edges(base_long: DataFrame, probs: list[float] = PSI_PROBS) -> DataFrame:
+    """(feature, edges): exact inverted-CDF quantiles of the baseline values."""
+    hist = (base_long.where(F.col("value").isNotNull())
+            .groupBy("feature", "value").agg(F.count(F.lit(1)).alias("cnt")))
+    cum = (hist.withColumn("cum", F.sum("cnt").over(
+                Window.partitionBy("feature").orderBy("value")
+                .rowsBetween(Window.unboundedPreceding, 0)))
+               .withColumn("n", F.sum("cnt").over(Window.partitionBy("feature"))))
+    qs = [F.min(F.when(F.col("cum") >= F.greatest(F.ceil(F.lit(p) * F.col("n")), F.lit(1)),
+                       F.col("value"))) for p in probs]
+    return cum.groupBy("feature").agg(F.array(*qs).alias("edges"))
+
+
+def _binned(long: DataFrame, edges: DataFrame) -> DataFrame:
+    # one row per feature → broadcast
+    j = long.where(F.col("value").isNotNull()).join(F.broadcast(edges), "feature")
+    b = F.aggregate("edges", F.lit(0), lambda acc, e: acc + (F.col("value") > e).cast("int"))
+    return j.withColumn("bin", b)
+
+
+def daily_psi(base_long: DataFrame, mon_long: DataFrame,
+              probs: list[float] = PSI_PROBS, floor: float = PSI_FLOOR) -> DataFrame:
+    """(day, feature, psi) of each monitored day against the baseline bins."""
+    edges = baseline_edges(base_long, probs)
+    expected = (_binned(base_long, edges).groupBy("feature", "bin").agg(F.count(F.lit(1)).alias("c0"))
+                .withColumn("e", F.col("c0") / F.sum("c0").over(Window.partitionBy("feature")))
+                .select("feature", "bin", "e"))
+    actual = (_binned(mon_long, edges)
+              .groupBy(F.window("captured_at", "1 day").alias("w"), "feature", "bin")
+              .agg(F.count(F.lit(1)).alias("c"))
+              .select(F.col("w.start").cast("date").alias("day"), "feature", "bin", "c"))
+    totals = actual.groupBy("day", "feature").agg(F.sum("c").alias("n"))
+    grid = totals.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(len(probs)))))
+    g = (grid.join(actual, ["day", "feature", "bin"], "left")
+             .join(F.broadcast(expected), ["feature", "bin"], "left"))   # ≤ features × bins rows
+    a = F.greatest(F.coalesce(F.col("c"), F.lit(0)) / F.col("n"), F.lit(floor))
+    e = F.greatest(F.coalesce(F.col("e"), F.lit(0.0)), F.lit(floor))
+    term = (a - e) * F.log(a / e)
+    return g.groupBy("day", "feature").agg(round4(F.sum(term)).alias("psi"))
+
+
+def psi_violations(psi: DataFrame, threshold: float = PSI_THRESHOLD) -> DataFrame:
+    return psi.where(F.col("psi") > threshold).select(
+        "day", "feature", F.lit("psi").alias("check"), F.col("psi").alias("observed"),
+        F.lit(threshold).alias("baseline"))

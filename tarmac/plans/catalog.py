@@ -269,6 +269,13 @@ def q_drift_alarm(spark, sf_dir):
     return dx.drift_alarm(stats, dx.violations(stats, base))
 
 
+@query("daily_psi")
+def q_daily_psi(spark, sf_dir):
+    capture = dx.capture_from_events(load_table(spark, sf_dir, "events"))
+    ref, mon = dx.split_reference_window(capture)
+    return dx.daily_psi(dx.long_capture(ref, CAPTURE_FEATURES), dx.long_capture(mon, CAPTURE_FEATURES))
+
+
 @query("served_stats")
 def q_served_stats(spark, sf_dir):
     return dx.served_stats(dx.capture_from_events(load_table(spark, sf_dir, "events")))

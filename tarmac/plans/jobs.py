@@ -181,7 +181,8 @@ def monitor_job(spark: SparkSession, capture: DataFrame, baseline_long: DataFram
     stats.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
         .partitionBy("day").parquet(f"{out_dir}/daily_stats")
     stats = spark.read.parquet(f"{out_dir}/daily_stats")
-    viol = dx.violations(stats, dx.baseline_stats(baseline_long))
+    psi = dx.daily_psi(baseline_long, dx.long_capture(capture, features))
+    viol = dx.violations(stats, dx.baseline_stats(baseline_long)).unionByName(dx.psi_violations(psi))
     viol.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
         .partitionBy("day").parquet(f"{out_dir}/violations")
     alarm = dx.drift_alarm(stats, spark.read.parquet(f"{out_dir}/violations"))

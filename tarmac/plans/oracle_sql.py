@@ -480,3 +480,40 @@ SELECT flight_id, FL_DATE, OP_CARRIER, ORIGIN, DEST, CRS_DEP_TIME, CRS_ARR_TIME,
   DISTANCE, DEP_DELAY, ARR_DELAY, delayed
 FROM (SELECT *, concat_ws(';', {', '.join(_REQ_CHECKS)}) AS errors FROM labelled) l
 WHERE errors = ''""")
+
+_PSI_P = [i / 10 for i in range(1, 10)]
+_EDGE_COLS = ", ".join(
+    f"min(CASE WHEN cum >= greatest(ceil(CAST({p!r} AS DOUBLE) * n), 1) THEN value END) AS e{i}"
+    for i, p in enumerate(_PSI_P, start=1))
+_BIN = " + ".join(f"CAST(l.value > e.e{i} AS INT)" for i in range(1, 10))
+
+ORACLE["daily_psi"] = MONITOR + f"""
+, bh AS (
+ SELECT feature, value, count(*) AS cnt FROM long, cut
+ WHERE captured_at < c AND value IS NOT NULL GROUP BY 1, 2
+), bc AS (
+ SELECT *, sum(cnt) OVER (PARTITION BY feature ORDER BY value ROWS UNBOUNDED PRECEDING) AS cum,
+        sum(cnt) OVER (PARTITION BY feature) AS n FROM bh
+), edges AS (
+ SELECT feature, {_EDGE_COLS} FROM bc GROUP BY feature
+), binned AS (
+ SELECT l.captured_at, l.feature, ({_BIN}) AS bin, l.captured_at < cut.c AS is_base
+ FROM long l JOIN edges e USING (feature), cut WHERE l.value IS NOT NULL
+), expected AS (
+ SELECT feature, bin, cnt / CAST(sum(cnt) OVER (PARTITION BY feature) AS DOUBLE) AS e FROM (
+  SELECT feature, bin, count(*) AS cnt FROM binned WHERE is_base GROUP BY 1, 2) x
+), actual AS (
+ SELECT CAST(date_trunc('day', captured_at) AS DATE) AS day, feature, bin, count(*) AS c
+ FROM binned WHERE NOT is_base GROUP BY 1, 2, 3
+), totals AS (
+ SELECT day, feature, sum(c) AS n FROM actual GROUP BY 1, 2
+), grid AS (
+ SELECT day, feature, n, b.bin FROM totals, (SELECT range AS bin FROM range(0, 10)) b
+), terms AS (
+ SELECT g.day, g.feature,
+   greatest(coalesce(a.c, 0) / CAST(g.n AS DOUBLE), 0.0001) AS pa,
+   greatest(coalesce(x.e, 0.0), 0.0001) AS pe
+ FROM grid g LEFT JOIN actual a ON a.day = g.day AND a.feature = g.feature AND a.bin = g.bin
+ LEFT JOIN expected x ON x.feature = g.feature AND x.bin = g.bin
+)
+SELECT day, feature, round_even(sum((pa - pe) * ln(pa / pe)), 4) AS psi FROM terms GROUP BY 1, 2"""
