@@ -28,14 +28,17 @@ def model_input(df: DataFrame) -> DataFrame:
     return df.na.fill(MISSING_FEATURE_VALUE, subset=FEATURE_COLS)
 
 
-def build_pipeline(params: dict | None = None, max_bins: int = 64) -> Pipeline:
+def build_pipeline(params: dict | None = None, max_bins: int = 64,
+                   subsample: float = 1.0) -> Pipeline:
+    """Assembler + GBT. ``subsample`` < 1 trains each tree on a row sample (off by default)."""
     p = {**GBT_PARAMS, **(params or {})}
     assembler = VectorAssembler(inputCols=FEATURE_COLS, outputCol="features", handleInvalid="keep")
     gbt = GBTClassifier(featuresCol="features", labelCol="label",
                         maxIter=int(p["n_estimators"]), maxDepth=int(p["max_depth"]),
                         stepSize=float(p["learning_rate"]),
                         minInstancesPerNode=int(p["min_samples_leaf"]),
-                        seed=int(p["random_state"]), maxBins=max_bins)
+                        seed=int(p["random_state"]), maxBins=max_bins,
+                        subsamplingRate=subsample)
     return Pipeline(stages=[assembler, gbt])
 
 

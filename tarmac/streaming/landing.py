@@ -48,6 +48,12 @@ def type_rows(df: DataFrame, id_col: str | None = "flight_id") -> DataFrame:
 
 def process_landed(batch: DataFrame, batch_id: int, out_dir: str,
                    id_col: str | None = "flight_id") -> None:
+    """Rows of files under the landing prefix are processed; others are skipped (counted)."""
+    if "source_file" in batch.columns:
+        (batch.where(~under_landing_prefix()).groupBy("source_file").count()
+         .withColumn("batch_id", F.lit(batch_id))
+         .write.mode("overwrite").parquet(f"{out_dir}/skipped/batch_id={batch_id}"))
+        batch = batch.where(under_landing_prefix())
     typed = type_rows(batch, id_col)
     tagged = typed.withColumn("errors", F.array_union(qx.request_errors(typed), F.col("_type_errors")))
     tagged.persist()

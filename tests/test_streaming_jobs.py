@@ -114,3 +114,14 @@ def test_evaluate_appends_registration_when_winning(spark, tmp_dir):
     assert (reg.count() == 1) == (r["beats_value"] == 1.0)
     if r["beats_value"] == 1.0:
         assert reg.first()["status"] == "PendingManualApproval"
+
+
+def test_landing_skips_files_outside_prefix(spark, tmp_dir):
+    flights = load_flights(spark, SF_SMALL).limit(50)
+    flights.write.option("header", True).csv(f"{tmp_dir}/in/data/raw")
+    flights.write.option("header", True).csv(f"{tmp_dir}/in/models")
+    lx.start_landing_stream(spark, f"{tmp_dir}/in", f"{tmp_dir}/out", f"{tmp_dir}/ck").awaitTermination()
+    kept = spark.read.parquet(f"{tmp_dir}/out/labelled").count() + \
+        spark.read.parquet(f"{tmp_dir}/out/quarantine").count()
+    skipped = spark.read.parquet(f"{tmp_dir}/out/skipped").agg(F.sum("count")).first()[0]
+    assert skipped == 50 and kept <= 50
