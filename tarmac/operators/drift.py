@@ -117,12 +117,12 @@ PSI_FLOOR = 1e-4
 
 def baseline_edges(base_long: DataFrame, probs: list[float] = PSI_PROBS) -> DataFrame:
     """(feature, edges): exact inverted-CDF quantiles of the baseline values."""
+    from tarmac.operators.running import running_total
+
     hist = (base_long.where(F.col("value").isNotNull())
             .groupBy("feature", "value").agg(F.count(F.lit(1)).alias("cnt")))
-    cum = (hist.withColumn("cum", F.sum("cnt").over(
-                Window.partitionBy("feature").orderBy("value")
-                .rowsBetween(Window.unboundedPreceding, 0)))
-               .withColumn("n", F.sum("cnt").over(Window.partitionBy("feature"))))
+    cum = (running_total(hist, ["feature"], "value", ["cnt"])
+           .withColumnsRenamed({"cum_cnt": "cum", "total_cnt": "n"}))
     qs = [F.min(F.when(F.col("cum") >= F.greatest(F.ceil(F.lit(p) * F.col("n")), F.lit(1)),
                        F.col("value"))) for p in probs]
     return cum.groupBy("feature").agg(F.array(*qs).alias("edges"))

@@ -4,20 +4,18 @@
 zero-division → 0, optionally per segment.
 ``roc_auc``: exact Mann–Whitney AUC with half credit for ties. Scores
 are aggregated to (score → positives, negatives); negatives below each
-score come from a bucket-level running sum (≤ 65,536 buckets per
-segment) plus a running sum inside the bucket, so no task holds more
-than one bucket of distinct scores. All sums are integers; the single
-division happens last.
+score come from ``running_total`` (bounded windows over sketch-cut score
+ranges), so no task holds all distinct scores of a segment. All sums
+are integers; the single division happens last.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.functions.tiers import round4
-
-SCORE_BUCKETS = 65536
+from tarmac.operators.running import running_total
 
 
 def _ratio(a, b):
@@ -46,29 +44,27 @@ def binary_metrics(df: DataFrame, label: str, pred: str, by: list[str] | None =
 
 
 def roc_auc(df: DataFrame, label: str, score: str, by: list[str] | None = None) -> DataFrame:
-    """(by…, positives, negatives, auc). Scores are probabilities in [0, 1]."""
+    """(by…, positives, negatives, auc) — any real-valued score."""
     by = by or []
     y = F.col(label)
     per_score = (df.where(F.col(score).isNotNull() & y.isNotNull())
                  .groupBy(*by, score).agg(F.sum((y == 1).cast("long")).alias("pos"),
                                           F.sum((y != 1).cast("long")).alias("neg")))
-    b = F.least(F.greatest(F.floor(F.col(score) * SCORE_BUCKETS), F.lit(0)),
-                F.lit(SCORE_BUCKETS - 1))
-    per_score = per_score.withColumn("_b", b)
-    buckets = per_score.groupBy(*by, "_b").agg(F.sum("neg").alias("_bneg"))
-    wb = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    buckets = buckets.withColumn("_neg_before_bucket", F.coalesce(F.sum("_bneg").over(wb), F.lit(0)))
-    ws = Window.partitionBy(*by, "_b").orderBy(score).rowsBetween(Window.unboundedPreceding, -1)
-    per_score = per_score.withColumn("_neg_before_in", F.coalesce(F.sum("neg").over(ws), F.lit(0)))
-    j = per_score.join(buckets.drop("_bneg"), on=[*by, "_b"], how="inner")
-    below = F.col("_neg_before_bucket") + F.col("_neg_before_in")
-    u2 = F.col("pos") * (2 * below + F.col("neg"))
-    agg = (j.groupBy(*by) if by else j.groupBy()).agg(
+    return _auc_from_scores(per_score, by, score, [])
+
+
+def _auc_from_scores(per_score: DataFrame, by: list[str], score: str, extra: list[str]) -> DataFrame:
+    """Mann–Whitney sum over a (by…, score) → pos, neg (+ extra counts) table."""
+    r = running_total(per_score, by, score, ["neg"])
+    below = F.col("cum_neg") - F.col("neg")                  # negatives with a lower score
+    u2 = F.col("pos") * (2 * below + F.col("neg"))           # ties count half
+    agg = (r.groupBy(*by) if by else r.groupBy()).agg(
         F.sum("pos").cast("long").alias("positives"),
         F.sum("neg").cast("long").alias("negatives"),
+        *[F.sum(c).cast("long").alias(c) for c in extra],
         F.sum(u2).cast("long").alias("_u2"))
     auc = F.try_divide(F.col("_u2").cast("double"), 2.0 * F.col("positives") * F.col("negatives"))
-    return agg.select(*by, "positives", "negatives", round4(auc).alias("auc"))
+    return agg.select(*by, "positives", "negatives", *extra, round4(auc).alias("auc"))
 
 
 def positive_rate(df: DataFrame, label: str) -> DataFrame:
@@ -99,25 +95,12 @@ def classification_report(df: DataFrame, label: str, score: str, pred: str,
                      F.sum(((y != 1) & (p == 1)).cast("long")).alias("fp"),
                      F.sum(((y == 1) & (p != 1)).cast("long")).alias("fn"),
                      F.sum(((y != 1) & (p != 1)).cast("long")).alias("tn")))
-    b = F.least(F.greatest(F.floor(F.col(score) * SCORE_BUCKETS), F.lit(0)),
-                F.lit(SCORE_BUCKETS - 1))
-    per_score = per_score.withColumn("_b", b)
-    buckets = per_score.groupBy(*by, "_b").agg(F.sum("neg").alias("_bneg"))
-    wb = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    buckets = buckets.withColumn("_nbb", F.coalesce(F.sum("_bneg").over(wb), F.lit(0))).drop("_bneg")
-    ws = Window.partitionBy(*by, "_b").orderBy(score).rowsBetween(Window.unboundedPreceding, -1)
-    per_score = per_score.withColumn("_nbi", F.coalesce(F.sum("neg").over(ws), F.lit(0)))
-    j = per_score.join(buckets, on=[*by, "_b"], how="inner")
-    u2 = F.col("pos") * (2 * (F.col("_nbb") + F.col("_nbi")) + F.col("neg"))
-    g = (j.groupBy(*by) if by else j.groupBy()).agg(
-        *[F.sum(c).cast("long").alias(c) for c in ("tp", "fp", "fn", "tn")],
-        F.sum(u2).cast("long").alias("_u2"))
+    g = _auc_from_scores(per_score, by, score, ["tp", "fp", "fn", "tn"])
     tp, fp, fn, tn = (F.col(c).cast("double") for c in ("tp", "fp", "fn", "tn"))
     n = tp + fp + fn + tn
-    auc = F.try_divide(F.col("_u2").cast("double"), 2.0 * (tp + fn) * (fp + tn))
     return g.select(*by, n.cast("long").alias("n"), "tp", "fp", "fn", "tn",
                     round4(_ratio(tp + tn, n)).alias("accuracy"),
                     round4(_ratio(tp, tp + fp)).alias("precision"),
                     round4(_ratio(tp, tp + fn)).alias("recall"),
                     round4(_ratio(2 * tp, 2 * tp + fp + fn)).alias("f1"),
-                    round4(auc).alias("auc"))
+                    "auc")

@@ -2,16 +2,17 @@
 
 ``feature_profile``: one aggregate over all features → one row per feature.
 ``exact_quantiles``: value histogram (partial-aggregated) → cumulative
-counts per feature → smallest value whose cumulative count reaches
-``ceil(p·n)``. Work per task is bounded by the distinct values of one
-feature, not by the row count.
+counts per feature (``running_total``: bounded windows, no feature in one
+task) → smallest value whose cumulative count reaches ``ceil(p·n)``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tarmac.operators.running import running_total
+
 from tarmac.schema import FEATURE_COLS
 
 QUANTILES = [0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99]
@@ -50,9 +51,8 @@ def exact_quantiles(df: DataFrame, cols: list[str] | None = None,
     cols = [c for c in (cols or FEATURE_COLS) if c in df.columns]
     hist = (_long_values(df, cols).where(F.col("value").isNotNull())
             .groupBy("feature", "value").agg(F.count(F.lit(1)).alias("cnt")))
-    w = Window.partitionBy("feature").orderBy("value")
-    cum = (hist.withColumn("cum", F.sum("cnt").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-               .withColumn("n", F.sum("cnt").over(Window.partitionBy("feature"))))
+    cum = (running_total(hist, ["feature"], "value", ["cnt"])
+           .withColumnsRenamed({"cum_cnt": "cum", "total_cnt": "n"}))
     qs = [F.min(F.when(F.col("cum") >= F.greatest(F.ceil(F.lit(p) * F.col("n")), F.lit(1)),
                        F.col("value"))).alias(_qname(p)) for p in probs]
     return cum.groupBy("feature").agg(F.max("n").cast("long").alias("n"), *qs)

@@ -54,11 +54,10 @@ def feature_importance(model) -> DataFrame:
     """(feature, importance, rank) from the fitted trees, descending."""
     spark = SparkSession.getActiveSession()
     gbt = model.stages[-1]
-    rows = [(name, float(v)) for name, v in zip(FEATURE_COLS, gbt.featureImportances.toArray())]
-    df = spark.createDataFrame(rows, "feature string, importance double")
-    from pyspark.sql import Window
-    return df.withColumn("rank", F.row_number().over(
-        Window.orderBy(F.desc("importance"), "feature"))).orderBy("rank")
+    # 14 model parameters, not data: ranked while building the rows
+    pairs = sorted(zip(FEATURE_COLS, gbt.featureImportances.toArray()), key=lambda t: (-t[1], t[0]))
+    rows = [(name, float(v), i) for i, (name, v) in enumerate(pairs, start=1)]
+    return spark.createDataFrame(rows, "feature string, importance double, rank int")
 
 
 RUN_SCHEMA = T.StructType([
