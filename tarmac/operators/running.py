@@ -20,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tarmac.session import ensure_checkpoint_dir
+
 DEFAULT_BUCKETS = 256
 SKETCH_ACCURACY = 10000
 
@@ -28,18 +30,29 @@ def running_total(df: DataFrame, by: list[str], order: str, weights: list[str],
                   buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     """For one row per (by…, order) value, add ``cum_<w>`` (inclusive running sum of
     each weight along ``order``) and ``total_<w>`` (group total)."""
-    grouped = bool(by)
-    if not grouped:                     # one group: a constant key keeps every join an equi-join
-        df, by = df.withColumn("_g", F.lit(0)), ["_g"]
-    cols = [c for c in df.columns if c != "_g"]
     probs = [i / buckets for i in range(1, buckets)]
-    cuts = df.groupBy(*by).agg(
-        F.percentile_approx(F.col(order), probs, SKETCH_ACCURACY).alias("_cuts"))
+    sketch = F.percentile_approx(F.col(order), probs, SKETCH_ACCURACY)
     v = F.col(order)
-    bucket = F.aggregate("_cuts", F.lit(0), lambda acc, e: acc + (v > e).cast("int"))
-    x = df.join(cuts, by, "inner").withColumn("_rb", bucket).drop("_cuts")
+
+    def bucket_of(cuts):
+        return F.aggregate(cuts, F.lit(0), lambda acc, e: acc + (v > e).cast("int"))
+
+    # the input is an aggregate (one row per distinct value): materialise it once in the
+    # shared checkpoint folder so the sketch, the bucket totals and the in-bucket windows
+    # all read it instead of re-running everything upstream
+    ensure_checkpoint_dir(df.sparkSession)
+    df = df.checkpoint(eager=True)
+    if by:
+        cuts = df.groupBy(*by).agg(sketch.alias("_cuts"))     # one row per group
+        x = df.join(cuts, by, "inner").withColumn("_rb", bucket_of(F.col("_cuts"))).drop("_cuts")
+    else:
+        # one group: its ``buckets − 1`` cut points are a bounded summary, inlined as a literal
+        points = df.select(sketch).first()[0] or []
+        x = df.withColumn("_rb", bucket_of(F.array(*[F.lit(float(c)) for c in points])
+                                           if points else F.array().cast("array<double>")))
+    cols = df.columns
     tot = x.groupBy(*by, "_rb").agg(*[F.sum(w).alias(f"_bt_{w}") for w in weights])
-    wb = Window.partitionBy(*by).orderBy("_rb")
+    wb = Window.partitionBy(*by).orderBy("_rb")               # ≤ ``buckets`` rows per group
     tot = tot.select(*by, "_rb", *[
         F.coalesce(F.sum(f"_bt_{w}").over(wb.rowsBetween(Window.unboundedPreceding, -1)),
                    F.lit(0)).alias(f"_off_{w}") for w in weights], *[
