@@ -41,7 +41,10 @@ def build_session(master: str | None = None, app: str = "tarmac",
 
 
 def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    try:
+        return spark.sparkContext.master.startswith("local")
+    except Exception:  # noqa: BLE001 — a Connect session has no local context
+        return False
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -52,7 +55,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     is an error, because a machine-local folder does not survive the loss of
     an executor.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 — Connect: the server's setting applies
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder") from None
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current

@@ -78,3 +78,20 @@ def test_approval_routing(spark):
                                 (ev("", "flight-delay-model-group", "Approved"),)], "body string")
     got = [(r["status_code"], r["outcome"]) for r in ox.route_approval_events(df).collect()]
     assert got == [(200, "deploy"), (200, "skip_group"), (200, "skip_status"), (400, "missing_arn")]
+
+
+def test_routing_on_a_stream(spark, tmp_dir):
+    from conftest import SF_SMALL
+    from tarmac.sources.events import approval_events
+    from tarmac.sources.tables import load_table
+
+    ev = approval_events(load_table(spark, SF_SMALL, "events"))
+    ev.select("body").write.text(f"{tmp_dir}/events")
+    stream = spark.readStream.text(f"{tmp_dir}/events").withColumnRenamed("value", "body")
+    routed = ox.route_approval_events(stream).drop("body")
+    q = (routed.writeStream.format("parquet").option("checkpointLocation", f"{tmp_dir}/ck")
+         .trigger(availableNow=True).start(f"{tmp_dir}/out"))
+    q.awaitTermination()
+    got = dict(spark.read.parquet(f"{tmp_dir}/out").groupBy("outcome").count().collect())
+    want = dict(ox.route_approval_events(ev).groupBy("outcome").count().collect())
+    assert got == want and got.get("deploy", 0) > 0
