@@ -24,11 +24,27 @@ BASELINE_DAYS = 7
 STAT_COLS = ["day", "feature", "n", "nulls", "type_errors", "mean", "std"]
 
 
+def utc_instant(wall_clock) -> Column:
+    """UTC wall-clock (TIMESTAMP_NTZ) → the instant (TIMESTAMP), whatever the session zone."""
+    c = F.col(wall_clock) if isinstance(wall_clock, str) else wall_clock
+    return F.convert_timezone(F.lit("UTC"), F.current_timezone(), c).cast("timestamp")
+
+
+def utc_wall(instant) -> Column:
+    """Instant (TIMESTAMP) → its UTC wall clock (TIMESTAMP_NTZ)."""
+    c = F.col(instant) if isinstance(instant, str) else instant
+    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), c.cast("timestamp_ntz"))
+
+
+def utc_day(instant) -> Column:
+    return F.to_date(utc_wall(instant))
+
+
 def capture_from_events(events: DataFrame) -> DataFrame:
     """Captured traffic from ``events``: numeric request fields plus their raw text."""
     k_text = F.get_json_object("props", "$.k")
     return events.select(
-        F.col("event_id"), F.col("ts").cast("timestamp").alias("captured_at"),
+        F.col("event_id"), utc_instant("ts").alias("captured_at"),
         F.struct(F.col("value").cast("double").alias("value"),
                  F.col("value").cast("string").alias("text")).alias("value"),
         F.struct(k_text.try_cast("double").alias("value"), k_text.alias("text")).alias("k"),
@@ -55,7 +71,7 @@ def _stat_aggs() -> list[Column]:
 def daily_stats(long: DataFrame) -> DataFrame:
     """Per (day, feature) statistics over a 1-day tumbling window (batch or stream)."""
     g = long.groupBy(F.window("captured_at", "1 day").alias("w"), "feature").agg(*_stat_aggs())
-    return g.select(F.col("w.start").cast("date").alias("day"), *STAT_COLS[1:])
+    return g.select(utc_day(F.col("w.start")).alias("day"), *STAT_COLS[1:])
 
 
 def baseline_stats(long: DataFrame) -> DataFrame:
@@ -97,15 +113,15 @@ def drift_alarm(stats: DataFrame, viol: DataFrame) -> DataFrame:
 
 def split_reference_window(capture: DataFrame, days: int = BASELINE_DAYS):
     """(reference, monitored): the first ``days`` days of capture and the rest."""
-    start = capture.select(F.min("captured_at")).scalar()
-    cut = F.date_trunc("day", start) + F.make_interval(days=F.lit(days))
-    return (capture.where(F.col("captured_at") < cut),
-            capture.where(F.col("captured_at") >= cut))
+    start = capture.select(F.min(utc_wall("captured_at"))).scalar()
+    cut = F.date_trunc("day", start).cast("timestamp_ntz") + F.make_interval(days=F.lit(days))
+    wall = utc_wall("captured_at")
+    return capture.where(wall < cut), capture.where(wall >= cut)
 
 
 def served_stats(capture: DataFrame) -> DataFrame:
     return capture.agg(F.count(F.lit(1)).alias("predictions_served"),
-                       F.max("captured_at").alias("last_prediction"))
+                       utc_wall(F.max("captured_at")).alias("last_prediction"))
 
 
 # ── population stability index on baseline decile bins ───────────────
@@ -145,7 +161,7 @@ def daily_psi(base_long: DataFrame, mon_long: DataFrame,
     actual = (_binned(mon_long, edges)
               .groupBy(F.window("captured_at", "1 day").alias("w"), "feature", "bin")
               .agg(F.count(F.lit(1)).alias("c"))
-              .select(F.col("w.start").cast("date").alias("day"), "feature", "bin", "c"))
+              .select(utc_day(F.col("w.start")).alias("day"), "feature", "bin", "c"))
     totals = actual.groupBy("day", "feature").agg(F.sum("c").alias("n"))
     grid = totals.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(len(probs)))))
     g = (grid.join(actual, ["day", "feature", "bin"], "left")
