@@ -28,11 +28,16 @@ from tarmac.sources.model_store import ModelBundle
 
 
 def with_row_key(df: DataFrame, id_col: str | None) -> tuple[DataFrame, str]:
-    """Rows need a stable key for the seeded split; hash the content when none is given."""
+    """Rows need a unique key for the seeded split.
+
+    Without an id column, identical copies must still get different keys
+    (otherwise a large group of copies would share one hash bucket), so the
+    key is a generated row id. It is only stable once written: callers
+    write the keyed rows before anything reads them twice.
+    """
     if id_col and id_col in df.columns:
         return df, id_col
-    cols = [c for c in df.columns if c not in ("_type_errors",)]
-    return df.withColumn("row_key", F.xxhash64(*cols)), "row_key"
+    return df.withColumn("row_key", F.monotonically_increasing_id()), "row_key"
 
 
 def preprocess(raw: DataFrame, out_dir: str, id_col: str | None = None,
@@ -46,7 +51,9 @@ def preprocess(raw: DataFrame, out_dir: str, id_col: str | None = None,
     raw = normalize_columns(raw)
     qx.validate_raw_data(raw)
     labelled, key = with_row_key(create_target(raw), id_col)
-    base = base_features(labelled)
+    base_path = f"{out_dir}/_base"
+    base_features(labelled).write.mode("overwrite").parquet(base_path)   # keys fixed from here on
+    base = raw.sparkSession.read.parquet(base_path)
     split = sx.stratified_split(base, id_col=key, test_size=test_size, val_size=val_size, seed=seed)
     split_path = f"{out_dir}/_split"
     split.write.mode("overwrite").parquet(split_path)          # lineage cut, reused below

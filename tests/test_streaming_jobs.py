@@ -125,3 +125,18 @@ def test_landing_skips_files_outside_prefix(spark, tmp_dir):
         spark.read.parquet(f"{tmp_dir}/out/quarantine").count()
     skipped = spark.read.parquet(f"{tmp_dir}/out/skipped").agg(F.sum("count")).first()[0]
     assert skipped == 50 and kept <= 50
+
+
+def test_preprocess_copies_get_distinct_keys(spark, tmp_dir):
+    # a third of the rows are one repeated row: keys stay unique, split sizes stay exact
+    flights = load_flights(spark, SF_SMALL).drop("flight_id")
+    one = flights.where(F.col("ARR_DELAY").isNotNull()).limit(1)
+    n = flights.count()
+    copies = spark.range(n // 2).select(*[F.lit(v).cast(t).alias(c) for c, v, t in
+                                         zip(one.columns, one.first(), [f.dataType for f in one.schema])])
+    raw = flights.unionByName(copies)
+    res = jobs.preprocess(raw, f"{tmp_dir}/prep")
+    feats = spark.read.parquet(f"{tmp_dir}/prep/features")
+    assert feats.select("row_key").distinct().count() == feats.count()
+    total = sum(res["rows"].values())
+    assert abs(res["rows"]["test"] - 0.15 * total) <= 2
