@@ -10,9 +10,29 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
-from tarmac.operators.featurize import create_target, engineer_features
-from tarmac.sources.tables import load_flights
+from pyspark.sql import functions as F
+
+from tarmac.functions import tiers as tx
+from tarmac.operators import drift as dx
+from tarmac.operators import metrics as mx
+from tarmac.operators import profile as px
+from tarmac.operators import quality as qx
+from tarmac.operators import registry as rx
+from tarmac.operators import routing as ox
+from tarmac.operators import scoring as scx
+from tarmac.operators import split as sx
+from tarmac.operators import train as trx
+from tarmac.operators.encode import fit_frequencies, frequency_counts
+from tarmac.operators.featurize import base_features, create_target, engineer_features
+from tarmac.schema import FEATURE_COLS, RAW_REQUIRED_COLS, REFERENCE_SAMPLE_ROWS
+from tarmac.session import scratch_path
+from tarmac.sources import events as ex
+from tarmac.sources.csv_landing import normalize_columns
+from tarmac.sources.model_store import ModelBundle
+from tarmac.sources.tables import load_flights, load_table
+from tarmac.streaming import landing as lx
+from tarmac.streaming import monitor as mnx
+from tarmac.streaming import scoring as ssx
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -35,18 +55,7 @@ def q_engineer_features(spark, sf_dir):
 
 
 # ── shared derived frames ─────────────────────────────────────────────
-from pyspark.sql import functions as F  # noqa: E402
 
-from tarmac.functions import tiers as tx  # noqa: E402
-from tarmac.operators import metrics as mx  # noqa: E402
-from tarmac.operators import profile as px  # noqa: E402
-from tarmac.operators import quality as qx  # noqa: E402
-from tarmac.operators import split as sx  # noqa: E402
-from tarmac.operators.encode import frequency_counts  # noqa: E402
-from tarmac.operators.featurize import base_features  # noqa: E402
-from tarmac.schema import FEATURE_COLS, RAW_REQUIRED_COLS, REFERENCE_SAMPLE_ROWS  # noqa: E402
-from tarmac.sources.csv_landing import normalize_columns  # noqa: E402
-from tarmac.sources.tables import load_table  # noqa: E402
 
 
 def features(spark, sf_dir):
@@ -188,10 +197,6 @@ def q_batch_summary(spark, sf_dir):
 
 
 # ── registry, routing, monitoring (tables derived from events) ───────
-from tarmac.operators import drift as dx  # noqa: E402
-from tarmac.operators import registry as rx  # noqa: E402
-from tarmac.operators import routing as ox  # noqa: E402
-from tarmac.sources import events as ex  # noqa: E402
 
 CAPTURE_FEATURES = ["value", "k", "user_id"]
 
@@ -282,10 +287,6 @@ def q_served_stats(spark, sf_dir):
 
 
 # ── model training and scoring (rows-only checks: trees are not SQL) ─
-from tarmac.operators import scoring as scx  # noqa: E402
-from tarmac.operators import train as trx  # noqa: E402
-from tarmac.session import scratch_path  # noqa: E402
-from tarmac.sources.model_store import ModelBundle  # noqa: E402
 
 _BUNDLES: dict = {}
 
@@ -308,15 +309,15 @@ def trained_bundle(spark, sf_dir) -> ModelBundle:
 
 
 def frequency_model_of(spark, sf_dir):
-    from tarmac.operators.encode import fit_frequencies
+    """Counts over the whole labelled frame — the frame the catalog's features were built on."""
     return fit_frequencies(base_features(labelled_flights(spark, sf_dir)))
 
 
 @query("train_metrics")
 def q_train_metrics(spark, sf_dir):
-    from tarmac.plans.jobs import evaluate_frame
     bundle, sp = trained_bundle(spark, sf_dir)
-    return evaluate_frame(bundle, sp.where(F.col("split") == "val"))
+    return mx.classification_report(scx.predict(sp.where(F.col("split") == "val"), bundle),
+                                    "delayed", "p_delayed", "prediction")
 
 
 @query("feature_importance")
@@ -365,9 +366,6 @@ def q_behaviour_checks(spark, sf_dir):
 
 
 # ── Structured Streaming variants (same answers as the batch queries) ─
-from tarmac.streaming import landing as lx  # noqa: E402
-from tarmac.streaming import monitor as mnx  # noqa: E402
-from tarmac.streaming import scoring as ssx  # noqa: E402
 
 
 @query("stream_daily_stats")

@@ -10,7 +10,6 @@ Violations and the alarm are then batch queries over that table.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tarmac.operators.drift import daily_stats, long_capture
 
