@@ -140,3 +140,27 @@ def test_preprocess_copies_get_distinct_keys(spark, tmp_dir):
     assert feats.select("row_key").distinct().count() == feats.count()
     total = sum(res["rows"].values())
     assert abs(res["rows"]["test"] - 0.15 * total) <= 2
+
+
+def test_numeric_rule_sees_csv_type_errors(spark, tmp_dir):
+    from tarmac.operators import quality as qx
+    path = f"{tmp_dir}/raw"
+    os.makedirs(path)
+    with open(f"{path}/a.csv", "w") as f:
+        f.write("FL_DATE,OP_CARRIER,ORIGIN,DEST,CRS_DEP_TIME,CRS_ARR_TIME,CRS_ELAPSED_TIME,"
+                "DISTANCE,DEP_DELAY,ARR_DELAY\n")
+        f.write("15-02-2024,AA,JFK,LAX,900,1100,120,far,1.0,20.0\n")
+        f.write("16-02-2024,UA,JFK,LAX,1000,1200,120,1000,1.0,2.0\n")
+    rep = {r["rule"]: r for r in qx.quality_report(read_raw_csv(spark, path)).collect()}
+    assert rep["numeric_DISTANCE"]["observed"] == 1.0 and not rep["numeric_DISTANCE"]["passed"]
+    assert rep["numeric_CRS_DEP_TIME"]["passed"]
+
+
+def test_capture_sampling_is_deterministic(spark):
+    from tarmac.streaming.scoring import capture_columns
+    df = spark.range(10000).withColumnRenamed("id", "request_id")
+    a = capture_columns(df, 20).select("request_id")
+    b = capture_columns(df, 20).select("request_id")
+    n = a.count()
+    assert 1500 < n < 2500 and a.exceptAll(b).count() == 0
+    assert capture_columns(df, 100).count() == 10000
