@@ -293,7 +293,7 @@ _BUNDLES: dict = {}
 
 def trained_bundle(spark, sf_dir) -> ModelBundle:
     """Fit once per (application, data folder); later queries load the saved bundle."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (spark.conf.get("spark.app.id", "app"), sf_dir)
     if key not in _BUNDLES:
         sp = split_features(spark, sf_dir)
         path = scratch_path(spark, "model")

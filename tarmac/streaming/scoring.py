@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tarmac.operators.drift import utc_day
 from tarmac.operators.scoring import score
 from tarmac.schema import REQUEST_COLS
 from tarmac.sources.model_store import ModelBundle
@@ -19,7 +20,7 @@ from tarmac.sources.model_store import ModelBundle
 
 def capture_columns(scored: DataFrame, sampling_pct: int = 100, id_col: str = "request_id") -> DataFrame:
     out = scored.withColumn("captured_at", F.current_timestamp()) \
-                .withColumn("capture_date", F.to_date("captured_at"))
+                .withColumn("capture_date", utc_day("captured_at"))
     if sampling_pct < 100:
         out = out.where(F.pmod(F.xxhash64(id_col), F.lit(100)) < sampling_pct)
     return out

@@ -88,3 +88,15 @@ def test_reference_sample_exact_size(spark):
     n = f.count()
     assert sx.reference_sample(f, "flight_id", 100).count() == 100
     assert sx.reference_sample(f, "flight_id", n + 10).count() == n
+
+
+def test_sketch_quantiles_track_exact(spark):
+    from tarmac.operators import profile as px
+    f = C.features(spark, SF_SMALL)
+    cols = ["dep_hour", "route_distance_km", "origin_encoded"]
+    ex = {r["feature"]: r for r in px.exact_quantiles(f, cols).collect()}
+    ap = {r["feature"]: r for r in px.approx_quantiles(f, cols).collect()}
+    for c in cols:
+        assert ex[c]["n"] == ap[c]["n"]
+        for q in ("p05", "p50", "p95"):
+            assert ex[c][q] == ap[c][q], (c, q)
