@@ -46,11 +46,14 @@ def _rule(name: str, observed: Column, passed: Column) -> Column:
 
 
 def quality_report(df: DataFrame, include_duplicates: bool = True,
-                   first_rows: int | None = None) -> DataFrame:
+                   first_rows: int | None = None, approx_distinct: bool = False) -> DataFrame:
     """One row per rule: (rule, observed, passed). Runs as one aggregate job.
 
     ``first_rows`` evaluates the rules on a bounded prefix of the input
     (the data-test mode); by default the whole frame is checked.
+    ``approx_distinct`` counts carriers/origins/dates with HyperLogLog
+    sketches instead of exact distinct aggregation (which expands each
+    row once per distinct column before the shuffle).
     """
     df = normalize_columns(df)
     if first_rows is not None:
@@ -66,6 +69,7 @@ def quality_report(df: DataFrame, include_duplicates: bool = True,
               else F.array().cast("array<string>"))
     label = F.when(F.col("ARR_DELAY").isNotNull(), (F.col("ARR_DELAY") >= 15).cast("double"))
     date = F.col("FL_DATE")
+    distinct = F.approx_count_distinct if approx_distinct else F.count_distinct
     aggs = [
         n.alias("n"),
         *[F.count(c).alias(f"nn_{c}") for c in NOT_ALL_NULL_COLS],
@@ -75,9 +79,9 @@ def quality_report(df: DataFrame, include_duplicates: bool = True,
         F.min("DISTANCE").alias("dist_min"), F.min("CRS_ELAPSED_TIME").alias("elapsed_min"),
         F.min(F.length("OP_CARRIER")).alias("carrier_len_min"),
         F.avg(label).alias("delay_rate"),
-        F.countDistinct("OP_CARRIER").alias("n_carriers"),
-        F.countDistinct("ORIGIN").alias("n_origins"),
-        F.countDistinct(date).alias("n_dates"),
+        distinct("OP_CARRIER").alias("n_carriers"),
+        distinct("ORIGIN").alias("n_origins"),
+        distinct(date).alias("n_dates"),
         F.stddev_samp(dep).alias("dep_std"),
     ]
     a = df.agg(*aggs)
