@@ -19,7 +19,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tarmac.operators.running import running_total
 from tarmac.schema import RANDOM_STATE, TARGET_COL, TEST_SIZE, VAL_SIZE
 
 BUCKET_HEX_DIGITS = 5            # 20 bits → 1,048,576 buckets per stratum
@@ -92,21 +91,22 @@ def split_counts(split_df: DataFrame, label_col: str = TARGET_COL) -> DataFrame:
 def reference_sample(df: DataFrame, id_col: str, n: int, seed: int = RANDOM_STATE) -> DataFrame:
     """Exactly min(n, rows) rows, the same ones on every run: the first n by seeded hash.
 
-    Equal to ``orderBy(hash, id).limit(n)`` without a top-n merge in one task
-    (which would receive n rows from every partition): a bucket histogram
-    gives the bucket holding the n-th row; rows of earlier buckets are kept
-    as they are and only the rows of that one bucket are ranked.
+    Equal to ``orderBy(hash, id).limit(n)`` but the final top-n merge (one
+    task) never receives more than about 2n rows, however many partitions
+    the input has: rows are first kept only when the leading 60 hash bits
+    are below a threshold admitting ≈ 2n of them. Because that prefix of
+    the hash order is complete, the top n inside it are the global top n.
+    The threshold widens (×4) in the rare case fewer than n rows pass.
     """
-    keyed = df.withColumn("_h", row_hash(id_col, seed)).withColumn("_b", _hash_bucket(F.col("_h")))
-    hist = keyed.groupBy("_b").agg(F.count(F.lit(1)).alias("cnt"))
-    cum = running_total(hist, [], "_b", ["cnt"])
-    cut = (cum.where(F.col("cum_cnt") >= n)
-              .agg(F.min_by(F.struct("_b", (F.col("cum_cnt") - F.col("cnt")).alias("lo")), "_b")
-                   .alias("c")).first()["c"])           # one (bucket, offset) pair
-    if cut is None:                                     # fewer than n rows: all of them
-        return keyed.drop("_h", "_b")
-    head = keyed.where(F.col("_b") < cut["_b"])
-    rank = F.row_number().over(Window.partitionBy("_b").orderBy("_h", id_col))
-    edge = (keyed.where(F.col("_b") == cut["_b"]).withColumn("_r", rank)
-                 .where(F.col("_r") <= n - cut["lo"]).drop("_r"))
-    return head.unionByName(edge).drop("_h", "_b")
+    keyed = df.withColumn("_h", row_hash(id_col, seed))
+    total = keyed.count()
+    if total <= n:
+        return keyed.drop("_h")
+    lead = F.conv(F.substring("_h", 1, 15), 16, 10).cast("long")     # uniform in [0, 2^60)
+    frac = min(1.0, (2 * n + 64) / total)
+    while True:
+        cand = keyed.where(lead < F.lit(int(frac * 2 ** 60)))
+        if frac >= 1.0 or cand.count() >= n:
+            break
+        frac = min(1.0, frac * 4)
+    return cand.orderBy("_h", id_col).limit(n).drop("_h")
