@@ -57,7 +57,6 @@ def q_engineer_features(spark, sf_dir):
 # ── shared derived frames ─────────────────────────────────────────────
 
 
-
 def features(spark, sf_dir):
     return q_engineer_features(spark, sf_dir)
 

@@ -164,3 +164,15 @@ def test_capture_sampling_is_deterministic(spark):
     n = a.count()
     assert 1500 < n < 2500 and a.exceptAll(b).count() == 0
     assert capture_columns(df, 100).count() == 10000
+
+
+def test_cli_preprocess_and_train(spark, tmp_dir, monkeypatch):
+    from tarmac import cli
+    load_flights(spark, SF_SMALL).write.option("header", True).csv(f"{tmp_dir}/raw")
+    out = cli.main(["preprocess", "--input", f"{tmp_dir}/raw", "--output", f"{tmp_dir}/prep",
+                    "--id-col", "flight_id", "--test-size", "0.2"])
+    total = sum(out["rows"].values())
+    assert abs(out["rows"]["test"] - 0.2 * total) <= 2
+    monkeypatch.setenv("N_ESTIMATORS", "3")        # env default, as the training job allows
+    m = cli.main(["train", "--prep", f"{tmp_dir}/prep", "--model-dir", f"{tmp_dir}/m"])
+    assert set(m) == {"val_accuracy", "val_f1", "val_precision", "val_recall", "val_auc_roc"}
