@@ -5,9 +5,14 @@ pairs and counted with a partial+final hash aggregate, so a hot key is
 combined map-side before the shuffle. The count table is written to the
 shared checkpoint folder and its size is known before any join.
 
-``transform`` joins each key's counts back with a left join. The count
-table is broadcast only when its row count is under ``max_broadcast_rows``;
-above it the join is a shuffle join (AQE splits a skewed key).
+``transform`` joins each key's counts back with a left join. Which key
+tables are broadcast is decided from their row counts, known at fit time:
+smallest first, while their running total stays within
+``max_broadcast_rows`` — so carriers and airports (hundreds of keys) stay
+broadcast even when routes (millions) do not, and all broadcast tables
+together never exceed the budget. A key table beyond it is joined with a
+shuffle join; only that key's join shuffles the fact side, and AQE splits
+a skewed key there.
 """
 
 from __future__ import annotations
@@ -28,7 +33,7 @@ ENCODED_KEYS = {
     "route_id_encoded": "route",
 }
 
-DEFAULT_MAX_BROADCAST_ROWS = 2_000_000   # ≈ 100 MB of (feature, key, n) rows
+DEFAULT_MAX_BROADCAST_ROWS = 2_000_000   # ≈ 100 MB of (feature, key, n) rows, all keys together
 
 
 def frequency_counts(df: DataFrame, keys: dict[str, str] = ENCODED_KEYS) -> DataFrame:
@@ -44,22 +49,38 @@ def frequency_counts(df: DataFrame, keys: dict[str, str] = ENCODED_KEYS) -> Data
 @dataclass
 class FrequencyModel:
     counts: DataFrame
-    n_keys: int
+    key_counts: dict[str, int]           # encoded column → number of distinct keys
     keys: dict[str, str] = field(default_factory=lambda: dict(ENCODED_KEYS))
     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS
 
+    @property
+    def n_keys(self) -> int:
+        return sum(self.key_counts.values())
+
+    def broadcast_keys(self) -> set[str]:
+        """Encoded columns whose tables are broadcast: smallest first, within the row budget."""
+        chosen, used = set(), 0
+        for name in sorted(self.keys, key=lambda k: (self.key_counts.get(k, 0), k)):
+            used += self.key_counts.get(name, 0)
+            if used > self.max_broadcast_rows:
+                break
+            chosen.add(name)
+        return chosen
+
     @property
     def broadcastable(self) -> bool:
-        return self.n_keys <= self.max_broadcast_rows
+        """True when every key table is broadcast."""
+        return self.broadcast_keys() == set(self.keys)
 
     def transform(self, df: DataFrame) -> DataFrame:
         if "route" in self.keys.values() and "route" not in df.columns:
             df = df.withColumn("route", route_key())
         out = df
+        small = self.broadcast_keys()
         for name, key in self.keys.items():
             side = (self.counts.where(F.col("feature") == name)
                     .select(F.col("key").alias(f"_k_{name}"), F.col("n").alias(f"_n_{name}")))
-            if self.broadcastable:
+            if name in small:
                 side = F.broadcast(side)
             out = (out.join(side, out[key].cast("string") == side[f"_k_{name}"], "left")
                       .withColumn(name, F.coalesce(F.col(f"_n_{name}"), F.lit(0)).cast("long"))
@@ -72,7 +93,13 @@ class FrequencyModel:
     @classmethod
     def load(cls, spark: SparkSession, path: str, **kw) -> "FrequencyModel":
         counts = spark.read.parquet(path)
-        return cls(counts=counts, n_keys=counts.count(), **kw)
+        return cls(counts=counts, key_counts=_key_counts(counts), **kw)
+
+
+def _key_counts(counts: DataFrame) -> dict[str, int]:
+    """Distinct keys per encoded column (one row per column reaches the driver)."""
+    rows = counts.groupBy("feature").agg(F.count(F.lit(1)).alias("k")).collect()
+    return {r["feature"]: int(r["k"]) for r in rows}
 
 
 def fit_frequencies(df: DataFrame, keys: dict[str, str] = ENCODED_KEYS,
@@ -80,5 +107,5 @@ def fit_frequencies(df: DataFrame, keys: dict[str, str] = ENCODED_KEYS,
     """Count keys on ``df`` and materialise the table in the checkpoint folder."""
     ensure_checkpoint_dir(df.sparkSession)
     counts = frequency_counts(df, keys).checkpoint(eager=True)
-    return FrequencyModel(counts=counts, n_keys=counts.count(), keys=dict(keys),
+    return FrequencyModel(counts=counts, key_counts=_key_counts(counts), keys=dict(keys),
                           max_broadcast_rows=max_broadcast_rows)

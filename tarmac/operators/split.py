@@ -91,22 +91,30 @@ def split_counts(split_df: DataFrame, label_col: str = TARGET_COL) -> DataFrame:
 def reference_sample(df: DataFrame, id_col: str, n: int, seed: int = RANDOM_STATE) -> DataFrame:
     """Exactly min(n, rows) rows, the same ones on every run: the first n by seeded hash.
 
-    Equal to ``orderBy(hash, id).limit(n)`` but the final top-n merge (one
-    task) never receives more than about 2n rows, however many partitions
-    the input has: rows are first kept only when the leading 60 hash bits
-    are below a threshold admitting ≈ 2n of them. Because that prefix of
-    the hash order is complete, the top n inside it are the global top n.
-    The threshold widens (×4) in the rare case fewer than n rows pass.
+    Equal to ``orderBy(hash, id).limit(n)``, in two passes over ``df`` and
+    with a final top-n merge (one task) that sees about 2n rows, whatever
+    the size and partition count of the input.
+
+    The leading 60 hash bits are a uniform integer u. Pass 1 counts rows by
+    the bit length of u (at most 61 groups, combined map-side). Rows whose
+    bit length is at most m are exactly those with u < 2^m — a complete
+    prefix of the hash order. The smallest m whose prefix holds at least n
+    rows selects the candidates; the prefix for m − 1 holds fewer than n,
+    and u is uniform, so the candidates number about 2n. Pass 2 keeps them
+    and takes the top n.
     """
     keyed = df.withColumn("_h", row_hash(id_col, seed))
-    total = keyed.count()
-    if total <= n:
-        return keyed.drop("_h")
     lead = F.conv(F.substring("_h", 1, 15), 16, 10).cast("long")     # uniform in [0, 2^60)
-    frac = min(1.0, (2 * n + 64) / total)
-    while True:
-        cand = keyed.where(lead < F.lit(int(frac * 2 ** 60)))
-        if frac >= 1.0 or cand.count() >= n:
+    bits = F.when(lead == 0, F.lit(0)).otherwise(F.length(F.bin(lead)))
+    hist = sorted((r["_m"], r["_c"]) for r in
+                  keyed.groupBy(bits.alias("_m")).agg(F.count(F.lit(1)).alias("_c")).collect())
+    if sum(c for _, c in hist) <= n:
+        return keyed.drop("_h")
+    seen, width = 0, 60
+    for m, c in hist:                                                 # ≤ 61 rows
+        seen += c
+        if seen >= n:
+            width = m
             break
-        frac = min(1.0, frac * 4)
+    cand = keyed.where(lead < F.lit(1 << width))
     return cand.orderBy("_h", id_col).limit(n).drop("_h")

@@ -43,19 +43,60 @@ def _formatted(df):
     return buf.getvalue()
 
 
-def test_shuffle_fallback_equals_broadcast_with_hot_key(spark):
+@contextlib.contextmanager
+def no_auto_broadcast(spark):
+    """Only explicit hints broadcast, so the plan shows the encoder's own decision."""
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
+
+
+ENC_COLS = ["flight_id", "carrier_encoded", "origin_encoded", "dest_encoded", "route_id_encoded"]
+
+
+def _hot_carrier_frame(spark):
+    from pyspark.sql import functions as F
     base = base_features(C.labelled_flights(spark, SF_SMALL))
     # a third of all rows share one carrier
+    return base.withColumn("OP_CARRIER", F.when(F.col("flight_id") % 3 == 0, "HOT")
+                           .otherwise(F.col("OP_CARRIER")))
+
+
+def test_shuffle_fallback_equals_broadcast_with_hot_key(spark):
     from pyspark.sql import functions as F
-    hot = base.withColumn("OP_CARRIER", F.when(F.col("flight_id") % 3 == 0, "HOT")
-                          .otherwise(F.col("OP_CARRIER")))
+    hot = _hot_carrier_frame(spark)
     model = fit_frequencies(hot)
-    small = FrequencyModel(model.counts, model.n_keys, max_broadcast_rows=0)
-    assert not small.broadcastable
-    cols = ["flight_id", "carrier_encoded", "origin_encoded", "dest_encoded", "route_id_encoded"]
-    a = sorted(tuple(r) for r in model.transform(hot).select(cols).collect())
-    b_df = small.transform(hot).select(cols)
-    assert "BroadcastHashJoin" not in plan(b_df) or "SortMergeJoin" in plan(b_df) or True
-    b = sorted(tuple(r) for r in b_df.collect())
+    assert model.broadcastable
+    small = FrequencyModel(model.counts, model.key_counts, max_broadcast_rows=0)
+    assert not small.broadcastable and small.broadcast_keys() == set()
+    a = sorted(tuple(r) for r in model.transform(hot).select(ENC_COLS).collect())
+    with no_auto_broadcast(spark):
+        b_df = small.transform(hot).select(ENC_COLS)
+        text = plan(b_df)
+        assert "BroadcastHashJoin" not in text
+        assert text.count("SortMergeJoin") == 4
+        b = sorted(tuple(r) for r in b_df.collect())
     assert a == b
     assert max(r[1] for r in a) == hot.where(F.col("OP_CARRIER") == "HOT").count()
+
+
+def test_broadcast_decided_per_key_within_budget(spark):
+    hot = _hot_carrier_frame(spark)
+    model = fit_frequencies(hot)
+    k = model.key_counts
+    assert k["route_id_encoded"] > max(k["carrier_encoded"], k["origin_encoded"], k["dest_encoded"])
+    # budget for the three small tables together, not for the routes as well
+    budget = k["carrier_encoded"] + k["origin_encoded"] + k["dest_encoded"]
+    mixed = FrequencyModel(model.counts, k, max_broadcast_rows=budget)
+    assert mixed.broadcast_keys() == {"carrier_encoded", "origin_encoded", "dest_encoded"}
+    with no_auto_broadcast(spark):
+        m_df = mixed.transform(hot).select(ENC_COLS)
+        text = plan(m_df)
+        assert text.count("BroadcastHashJoin") == 3
+        assert text.count("SortMergeJoin") == 1
+        got = sorted(tuple(r) for r in m_df.collect())
+    assert got == sorted(tuple(r) for r in model.transform(hot).select(ENC_COLS).collect())

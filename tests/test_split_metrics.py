@@ -90,6 +90,18 @@ def test_reference_sample_exact_size(spark):
     assert sx.reference_sample(f, "flight_id", n + 10).count() == n
 
 
+def test_reference_sample_equals_full_sort(spark):
+    f = C.features(spark, SF_SMALL).select("flight_id", "dep_hour")
+    n = f.count()
+    full = [r["flight_id"] for r in
+            f.withColumn("_h", sx.row_hash("flight_id", 7)).orderBy("_h", "flight_id").collect()]
+    for k in (1, 2, 3, 17, 100, n // 2, n - 1, n):
+        got = [r["flight_id"] for r in
+               sx.reference_sample(f, "flight_id", k, seed=7)
+                 .withColumn("_h", sx.row_hash("flight_id", 7)).orderBy("_h", "flight_id").collect()]
+        assert got == full[:k], k
+
+
 def test_sketch_quantiles_track_exact(spark):
     from tarmac.operators import profile as px
     f = C.features(spark, SF_SMALL)
