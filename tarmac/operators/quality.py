@@ -12,10 +12,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tarmac.functions.features import canonical_code
 from tarmac.schema import (DEP_TIME_MAX, DEP_TIME_MIN, MIN_ROWS, NOT_ALL_NULL_COLS,
                            RAW_REQUIRED_COLS, REQUEST_COLS)
+from tarmac.session import ensure_checkpoint_dir
 from tarmac.sources.csv_landing import normalize_columns
 
 # ── fixed values: data-test thresholds ────────────────────────────────
@@ -29,15 +31,70 @@ MAX_DUP_FRACTION = 0.05
 REPORT_COLS = ["rule", "observed", "passed"]
 
 
-def duplicate_stats(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
-    """(n_rows, n_distinct, dup_rows, dup_fraction) — NULLs compare equal, as in groupBy."""
+DUP_BROADCAST_FINGERPRINTS = 1_000_000   # repeated fingerprints sent to every task, ≈ 8 MB
+
+_ATOMIC = (T.NumericType, T.StringType, T.BooleanType, T.DateType, T.TimestampType,
+           T.TimestampNTZType, T.BinaryType)
+
+
+def _fingerprint_col(f: T.StructField) -> Column:
+    c = F.col(f.name)
+    if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
+        return F.when(c == 0, F.lit(0.0).cast(f.dataType)).otherwise(c)   # −0.0 groups with 0.0
+    return c
+
+
+def duplicate_stats(df: DataFrame, cols: list[str] | None = None, two_pass: bool = True,
+                    max_broadcast: int = DUP_BROADCAST_FINGERPRINTS) -> DataFrame:
+    """(n_rows, n_distinct, dup_rows, dup_fraction) — exact; NULLs compare equal, as in groupBy.
+
+    Pass 1 shuffles a 64-bit fingerprint per row instead of the row: a
+    fingerprint seen once proves its row has no copy. Fingerprints seen
+    more than once (true copies or a collision) are kept in the shared
+    checkpoint folder; pass 2 selects their rows with a broadcast semi-join
+    (no shuffle of the table) and groups only those rows on all columns, so
+    a row copied a third of the table is combined map-side. With more
+    repeated fingerprints than ``max_broadcast``, or a frame that may differ
+    between passes (``two_pass=False``, e.g. after ``limit``), it is one
+    ``groupBy`` over all columns.
+    """
     cols = cols or df.columns
-    groups = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
-    return (groups.agg(F.sum("_n").cast("long").alias("n_rows"),
-                       F.count(F.lit(1)).cast("long").alias("n_distinct"))
-                  .withColumn("dup_rows", F.col("n_rows") - F.col("n_distinct"))
-                  .withColumn("dup_fraction",
-                              F.bround(F.coalesce(F.try_divide("dup_rows", "n_rows"), F.lit(0.0)), 6)))
+    fields = [df.schema[c] for c in cols]
+
+    def one_pass(frame: DataFrame) -> DataFrame:
+        groups = frame.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
+        return groups.agg(F.sum("_n").cast("long").alias("n_rows"),
+                          F.count(F.lit(1)).cast("long").alias("n_distinct"))
+
+    def finish(counts: DataFrame) -> DataFrame:
+        return (counts.withColumn("dup_rows", F.col("n_rows") - F.col("n_distinct"))
+                      .withColumn("dup_fraction", F.bround(
+                          F.coalesce(F.try_divide("dup_rows", "n_rows"), F.lit(0.0)), 6)))
+
+    if not two_pass or not all(isinstance(f.dataType, _ATOMIC) for f in fields):
+        return finish(one_pass(df))
+    ensure_checkpoint_dir(df.sparkSession)
+    fp = F.xxhash64(*[_fingerprint_col(f) for f in fields])
+    per_fp = df.select(fp.alias("_fp")).groupBy("_fp").agg(F.count(F.lit(1)).alias("_n"))
+    # fingerprints seen once collapse into one NULL-keyed row per partition before the shuffle
+    rep = (per_fp.groupBy(F.when(F.col("_n") > 1, F.col("_fp")).alias("_fp"))
+                 .agg(F.sum("_n").alias("_n"), F.count(F.lit(1)).alias("_k"))
+                 .checkpoint(eager=True))
+    t = rep.agg(F.sum("_n").alias("rows"),
+                F.sum(F.when(F.col("_fp").isNull(), F.col("_k"))).alias("singles"),
+                F.count("_fp").alias("repeated")).first()
+    n_rows, singles, repeated = int(t["rows"] or 0), int(t["singles"] or 0), int(t["repeated"] or 0)
+    spark = df.sparkSession
+    if repeated == 0:
+        return finish(spark.range(1).select(F.lit(n_rows).cast("long").alias("n_rows"),
+                                            F.lit(singles).cast("long").alias("n_distinct")))
+    if repeated > max_broadcast:
+        return finish(one_pass(df))
+    keys = F.broadcast(rep.where(F.col("_fp").isNotNull()).select("_fp"))
+    copies = df.join(keys, fp == keys["_fp"], "left_semi")
+    d = one_pass(copies)
+    return finish(d.select(F.lit(n_rows).cast("long").alias("n_rows"),
+                           (F.lit(singles) + F.col("n_distinct")).cast("long").alias("n_distinct")))
 
 
 def _rule(name: str, observed: Column, passed: Column) -> Column:
@@ -113,7 +170,7 @@ def quality_report(df: DataFrame, include_duplicates: bool = True,
     report = a.select(F.inline(F.array(*rules)))
     if include_duplicates:
         cols = [x for x in df.columns if x not in ("_type_errors", "source_file")]
-        dup = duplicate_stats(df, cols).select(
+        dup = duplicate_stats(df, cols, two_pass=first_rows is None).select(
             _rule("duplicate_fraction", F.col("dup_fraction"),
                   F.col("dup_fraction") < MAX_DUP_FRACTION).alias("r")).select("r.*")
         report = report.unionByName(dup)

@@ -52,6 +52,33 @@ def test_duplicates_count_null_rows_equal(spark):
     assert (r["n_rows"], r["n_distinct"], r["dup_rows"]) == (3, 2, 1)
 
 
+def _dup_tuple(df, **kw):
+    r = qx.duplicate_stats(df, **kw).first()
+    return (r["n_rows"], r["n_distinct"], r["dup_rows"], r["dup_fraction"])
+
+
+def test_duplicate_passes_agree_on_nulls_zeros_and_nan(spark):
+    rows = [(1, None, 0.0), (1, None, -0.0), (1, None, 0.0), (2, "a", float("nan")),
+            (2, "a", float("nan")), (None, None, None), (None, None, None), (3, "b", 1.5),
+            (3, "b", None), (None, "b", 1.5)]
+    df = spark.createDataFrame(rows, "a int, b string, c double")
+    plain = _dup_tuple(df, two_pass=False)
+    assert plain[:3] == (10, 6, 4)
+    assert _dup_tuple(df) == plain
+    assert _dup_tuple(df, max_broadcast=0) == plain
+
+
+def test_duplicate_hot_row_and_no_copies(spark):
+    from pyspark.sql import functions as F
+    base = spark.range(3000).select(F.col("id"), (F.col("id") % 7).alias("k"))
+    # a third of all rows are copies of one row
+    hot = base.select(F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("id"), "k")
+    hot = hot.withColumn("k", F.when(F.col("id") == -1, F.lit(0)).otherwise(F.col("k")))
+    assert _dup_tuple(hot) == _dup_tuple(hot, two_pass=False)
+    assert _dup_tuple(hot)[:3] == (3000, 2001, 999)
+    assert _dup_tuple(base) == (3000, 3000, 0, 0.0)
+
+
 def test_request_quarantine(spark):
     rows = [base_row(), base_row(OP_CARRIER="  "), base_row(ORIGIN="X"), base_row(CRS_ARR_TIME=2400),
             base_row(DISTANCE=0.0), base_row(CRS_ELAPSED_TIME=None), base_row(ORIGIN=" jfk ")]
