@@ -1,7 +1,9 @@
 """Landing-folder stream: new ``*.csv`` files → typed, labelled rows + quarantine + reports.
 
 ``readStream.csv`` with a fixed text schema (no inference), files picked
-up once each (file-source log in the checkpoint). ``foreachBatch``
+up once each (file-source log in the checkpoint), at most
+``max_files_per_trigger`` files per micro-batch so a backlog is worked off
+in bounded batches (``availableNow`` honours the cap). ``foreachBatch``
 writes every output under ``batch_id=<n>``, so a batch that is re-run
 after a failure overwrites its own output — exactly-once per file.
 """
@@ -71,10 +73,11 @@ def process_landed(batch: DataFrame, batch_id: int, out_dir: str,
 
 def start_landing_stream(spark: SparkSession, landing_dir: str, out_dir: str, checkpoint: str,
                          id_col: str | None = "flight_id", available_now: bool = True,
-                         carrier_name: str = "AIRLINE_CODE"):
+                         carrier_name: str = "AIRLINE_CODE", max_files_per_trigger: int = 1000):
     """Start the landing stream; returns the ``StreamingQuery``."""
     src = (spark.readStream.schema(landing_schema(id_col, carrier_name))
            .option("header", True).option("pathGlobFilter", "*.csv")
+           .option("maxFilesPerTrigger", max_files_per_trigger)
            .option("recursiveFileLookup", True).csv(landing_dir)
            .withColumn("source_file", F.col("_metadata.file_path")))
     w = (src.writeStream.option("checkpointLocation", checkpoint)

@@ -49,6 +49,18 @@ def test_landing_stream_picks_each_file_once(spark, tmp_dir):
     assert first + quarantined >= flights.count() - cancelled
 
 
+def test_landing_backlog_in_bounded_batches(spark, tmp_dir):
+    flights = load_flights(spark, SF_SMALL)
+    flights.repartition(3).write.option("header", True).csv(f"{tmp_dir}/in/data/raw")
+    lx.start_landing_stream(spark, f"{tmp_dir}/in", f"{tmp_dir}/one", f"{tmp_dir}/ck1").awaitTermination()
+    lx.start_landing_stream(spark, f"{tmp_dir}/in", f"{tmp_dir}/capped", f"{tmp_dir}/ck2",
+                            max_files_per_trigger=1).awaitTermination()
+    capped = spark.read.parquet(f"{tmp_dir}/capped/labelled")
+    assert capped.select("batch_id").distinct().count() == 3      # one file per micro-batch
+    one = spark.read.parquet(f"{tmp_dir}/one/labelled")
+    assert _rows(capped.drop("batch_id")) == _rows(one.drop("batch_id"))
+
+
 def test_csv_reader_types_by_name(spark, tmp_dir):
     path = f"{tmp_dir}/raw"
     os.makedirs(path)
