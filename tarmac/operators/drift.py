@@ -154,7 +154,12 @@ def _binned(long: DataFrame, edges: DataFrame) -> DataFrame:
 def daily_psi(base_long: DataFrame, mon_long: DataFrame,
               probs: list[float] = PSI_PROBS, floor: float = PSI_FLOOR) -> DataFrame:
     """(day, feature, psi) of each monitored day against the baseline bins."""
-    edges = baseline_edges(base_long, probs)
+    from tarmac.session import ensure_checkpoint_dir
+
+    # one row per feature, read by both the baseline and the daily binning: materialised
+    # once in the shared checkpoint folder instead of being planned (and run) twice
+    ensure_checkpoint_dir(base_long.sparkSession)
+    edges = baseline_edges(base_long, probs).checkpoint(eager=True)
     expected = (_binned(base_long, edges).groupBy("feature", "bin").agg(F.count(F.lit(1)).alias("c0"))
                 .withColumn("e", F.col("c0") / F.sum("c0").over(Window.partitionBy("feature")))
                 .select("feature", "bin", "e"))
