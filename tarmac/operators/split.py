@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tarmac.schema import RANDOM_STATE, TARGET_COL, TEST_SIZE, VAL_SIZE
+from tarmac.session import ensure_checkpoint_dir
 
 BUCKET_HEX_DIGITS = 5            # 20 bits → 1,048,576 buckets per stratum
 
@@ -60,7 +61,10 @@ def stratified_split(df: DataFrame, id_col: str, label_col: str = TARGET_COL,
         F.min_by(F.struct("_b", (F.col("_hi") - F.col("_cnt")).alias("lo")),
                  F.when(F.col("_hi") > F.col("_t2"), F.col("_b"))).alias("_c2"),
     )
-    # one row per stratum: safe to broadcast
+    # one row per stratum: written once to the shared checkpoint folder (both branches
+    # below read it; the histogram pass runs once) and safe to broadcast
+    ensure_checkpoint_dir(df.sparkSession)
+    cuts = cuts.checkpoint(eager=True)
     j = keyed.join(F.broadcast(cuts), on=s, how="left")
     b, b1, b2 = F.col("_b"), F.col("_c1._b"), F.col("_c2._b")
     before1 = b1.isNull() | (b < b1)
