@@ -65,14 +65,25 @@ def split_features(spark, sf_dir):
     return sx.stratified_split(features(spark, sf_dir), id_col="flight_id")
 
 
-def rule_scored(spark, sf_dir):
-    """Features + a fixed rule score in [0, 1] used by the SQL-checkable metric operators."""
-    f = features(spark, sf_dir)
+def with_rule_score(f: DataFrame) -> DataFrame:
+    """A fixed rule score in [0, 1] used by the SQL-checkable metric operators."""
     score = (F.col("dep_hour") + 4 * F.col("is_holiday_season") + 3 * F.col("is_weekend")) / 40.0
     return (f.withColumn("rule_score", score)
              .withColumn("rule_pred", (F.col("rule_score") >= 0.5).cast("int")))
 
 
+def rule_scored(spark, sf_dir):
+    return with_rule_score(features(spark, sf_dir))
+
+
+def held_out_requests(spark, sf_dir):
+    """Raw rows of the test split. The split is a function of (id, label) alone, so it is
+    applied to the raw labelled rows directly — no join of the flights with the stored
+    split's ids (a join of two fact-sized tables)."""
+    split = sx.stratified_split(labelled_flights(spark, sf_dir), id_col="flight_id")
+    return split.where(F.col("split") == "test").drop("split", "delayed")
+
+
 @query("label_rate")
 def q_label_rate(spark, sf_dir):
     return mx.positive_rate(labelled_flights(spark, sf_dir), "delayed")
@@ -179,9 +190,9 @@ def q_segment_roc_auc(spark, sf_dir):
 
 @query("risk_confidence")
 def q_risk_confidence(spark, sf_dir):
-    s = rule_scored(spark, sf_dir).join(
-        normalize_columns(load_flights(spark, sf_dir)).select("flight_id", "OP_CARRIER", "ORIGIN", "DEST"),
-        "flight_id")
+    # the codes ride along the feature projection: no join back to the flights
+    raw = normalize_columns(labelled_flights(spark, sf_dir))
+    s = with_rule_score(engineer_features(raw, keep=["flight_id", "OP_CARRIER", "ORIGIN", "DEST"]))
     p = tx.round4("rule_score")
     return s.select("flight_id", F.col("rule_pred").alias("delayed"),
                     p.alias("delay_probability"), tx.risk_level(p).alias("risk_level"),
@@ -332,10 +343,8 @@ def q_quality_gates(spark, sf_dir):
 
 @query("score_flights")
 def q_score_flights(spark, sf_dir):
-    bundle, sp = trained_bundle(spark, sf_dir)
-    test_ids = sp.where(F.col("split") == "test").select("flight_id")
-    requests = load_flights(spark, sf_dir).join(test_ids, "flight_id", "left_semi")
-    scored, _ = scx.score(normalize_columns(requests), bundle, keep=["flight_id"])
+    bundle, _ = trained_bundle(spark, sf_dir)
+    scored, _ = scx.score(normalize_columns(held_out_requests(spark, sf_dir)), bundle, keep=["flight_id"])
     return scored
 
 
@@ -397,10 +406,9 @@ def q_stream_landing(spark, sf_dir):
 @query("stream_scoring_capture")
 def q_stream_scoring_capture(spark, sf_dir):
     """Test-split requests as a file stream → scores → capture table (100 % sampling)."""
-    bundle, sp = trained_bundle(spark, sf_dir)
+    bundle, _ = trained_bundle(spark, sf_dir)
     base = scratch_path(spark, "scoring")
-    test_ids = sp.where(F.col("split") == "test").select("flight_id")
-    reqs = (normalize_columns(load_flights(spark, sf_dir)).join(test_ids, "flight_id", "left_semi")
+    reqs = (normalize_columns(held_out_requests(spark, sf_dir))
             .withColumnRenamed("flight_id", "request_id").drop("DEP_DELAY", "ARR_DELAY"))
     reqs.write.parquet(f"{base}/requests")
     stream = spark.readStream.schema(reqs.schema).parquet(f"{base}/requests")

@@ -112,3 +112,11 @@ def test_sketch_quantiles_track_exact(spark):
         assert ex[c]["n"] == ap[c]["n"]
         for q in ("p05", "p50", "p95"):
             assert ex[c][q] == ap[c][q], (c, q)
+
+
+def test_held_out_requests_are_the_feature_split_test_rows(spark):
+    stored = C.split_features(spark, SF_SMALL).where(F.col("split") == "test").select("flight_id")
+    raw = C.held_out_requests(spark, SF_SMALL)
+    assert "AIRLINE_CODE" in raw.columns and "split" not in raw.columns
+    assert sorted(r[0] for r in raw.select("flight_id").collect()) == \
+        sorted(r[0] for r in stored.collect())
