@@ -11,6 +11,11 @@ from tarmac.schema import MODEL_GROUP
 # ── fixed values: routing rules ───────────────────────────────────────
 LANDING_PREFIX = "data/raw/"
 LANDING_SUFFIX = ".csv"
+OBJECT_SOURCE = "aws.s3"
+OBJECT_DETAIL_TYPE = "Object Created"
+APPROVAL_SOURCE = "aws.sagemaker"
+APPROVAL_DETAIL_TYPE = "SageMaker Model Package State Change"
+APPROVED_STATUS = "Approved"
 # ───────────────────────────────────────────────────────────────────────
 
 OBJECT_EVENT = T.StructType([
@@ -40,7 +45,7 @@ def route_object_events(df: DataFrame, body: str = "body", bucket_name: str | No
     e = F.from_json(F.col(body), OBJECT_EVENT)
     bucket = F.coalesce(e["detail"]["bucket"]["name"], F.lit(""))
     key = F.coalesce(e["detail"]["object"]["key"], F.lit(""))
-    rule = ((e["source"] == "aws.s3") & (e["detail-type"] == "Object Created")
+    rule = ((e["source"] == OBJECT_SOURCE) & (e["detail-type"] == OBJECT_DETAIL_TYPE)
             & key.startswith(LANDING_PREFIX))
     if bucket_name is not None:
         rule = rule & (bucket == bucket_name)
@@ -61,12 +66,11 @@ def route_approval_events(df: DataFrame, body: str = "body", group: str = MODEL_
     arn = F.coalesce(d["ModelPackageArn"], F.lit(""))
     grp = F.coalesce(d["ModelPackageGroupName"], F.lit(""))
     status = F.coalesce(d["ModelApprovalStatus"], F.lit(""))
-    rule = ((e["source"] == "aws.sagemaker")
-            & (e["detail-type"] == "SageMaker Model Package State Change")
-            & (status == "Approved") & (grp == group))
+    rule = ((e["source"] == APPROVAL_SOURCE) & (e["detail-type"] == APPROVAL_DETAIL_TYPE)
+            & (status == APPROVED_STATUS) & (grp == group))
     return df.select(
         "*", arn.alias("package_arn"), grp.alias("package_group"), status.alias("approval_status"),
         F.coalesce(rule, F.lit(False)).alias("rule_match"),
         F.when(arn == "", 400).otherwise(200).alias("status_code"),
         F.when(arn == "", "missing_arn").when(grp != group, "skip_group")
-         .when(status != "Approved", "skip_status").otherwise("deploy").alias("outcome"))
+         .when(status != APPROVED_STATUS, "skip_status").otherwise("deploy").alias("outcome"))

@@ -10,6 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tarmac.operators.routing import (APPROVAL_DETAIL_TYPE, APPROVAL_SOURCE, OBJECT_DETAIL_TYPE,
+                                      OBJECT_SOURCE)
+
 # ── fixed values: names used in the derived registry and events ───────
 GROUPS = ["flight-delay-model-group", "flight-delay-model-group",
           "ranking-model-group", "churn-model-group"]          # by user_id % 4
@@ -63,7 +66,7 @@ def approval_events(events: DataFrame) -> DataFrame:
         F.lit("arn:aws:sagemaker:us-east-1:000000000000:model-package/"),
         F.col("group_name"), F.lit("/"), F.col("package_id").cast("string")))
     body = F.concat(
-        F.lit('{"source": "aws.sagemaker", "detail-type": "SageMaker Model Package State Change", '
+        F.lit(f'{{"source": "{APPROVAL_SOURCE}", "detail-type": "{APPROVAL_DETAIL_TYPE}", '
               '"detail": {"ModelPackageArn": "'), arn,
         F.lit('", "ModelPackageGroupName": "'), F.col("group_name"),
         F.lit('", "ModelApprovalStatus": "'), F.col("status"),
@@ -81,7 +84,8 @@ def object_events(events: DataFrame) -> DataFrame:
             .otherwise(F.lit("")))
     bucket = F.when(F.col("user_id") % 17 == 0, F.lit("")).otherwise(F.lit(DATA_BUCKET))
     body = F.concat(
-        F.lit('{"source": "aws.s3", "detail-type": "Object Created", "detail": {"bucket": {"name": "'),
+        F.lit(f'{{"source": "{OBJECT_SOURCE}", "detail-type": "{OBJECT_DETAIL_TYPE}", '
+              '"detail": {"bucket": {"name": "'),
         bucket, F.lit('"}, "object": {"key": "'), key, F.lit('", "size": '),
         (F.col("event_id") * 10).cast("string"), F.lit("}}}"))
     return events.select(F.col("event_id"), body.alias("body"))
