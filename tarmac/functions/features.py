@@ -10,6 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tarmac.schema import (DELAY_THRESHOLD_MIN, FALLBACK_KM_PER_MIN, HOLIDAY_MONTHS,
+                           HOUR_MAX, HOUR_MIN, TIME_BUCKET_BELOW, WEEKEND_FROM_DOW,
                            HUB_AIRPORTS, MILES_TO_KM)
 
 DATE_FORMATS = ("dd-MM-yyyy", "yyyy-MM-dd")
@@ -33,13 +34,15 @@ def dep_hour(t="CRS_DEP_TIME") -> Column:
     """HHMM → hour clipped to [0, 23]; NULL stays NULL."""
     t = _c(t)
     h = F.floor(t / 100)
-    return F.when(t.isNotNull(), F.least(F.greatest(h, F.lit(0)), F.lit(23))).cast("int")
+    return F.when(t.isNotNull(),
+                  F.least(F.greatest(h, F.lit(HOUR_MIN)), F.lit(HOUR_MAX))).cast("int")
 
 
 def time_bucket(hour="dep_hour") -> Column:
     """0 red-eye (<6), 1 morning (<12), 2 afternoon (<18), 3 evening — NULL hour → 3."""
     h = _c(hour)
-    return (F.when(h < 6, 0).when(h < 12, 1).when(h < 18, 2).otherwise(3)).cast("int")
+    b0, b1, b2 = TIME_BUCKET_BELOW
+    return (F.when(h < b0, 0).when(h < b1, 1).when(h < b2, 2).otherwise(3)).cast("int")
 
 
 def day_of_week(d) -> Column:
@@ -53,7 +56,7 @@ def month_of(d) -> Column:
 
 def weekend_flag(dow="dep_day_of_week") -> Column:
     """1 on Saturday/Sunday; a missing date compares false → 0."""
-    return F.coalesce((_c(dow) >= 5).cast("int"), F.lit(0))
+    return F.coalesce((_c(dow) >= WEEKEND_FROM_DOW).cast("int"), F.lit(0))
 
 
 def holiday_flag(month="dep_month") -> Column:

@@ -37,6 +37,10 @@ HUB_AIRPORTS = [
 
 HOLIDAY_MONTHS = [6, 7, 11, 12]
 
+HOUR_MIN, HOUR_MAX = 0, 23
+TIME_BUCKET_BELOW = [6, 12, 18]     # hour < 6 → 0, < 12 → 1, < 18 → 2, else 3
+WEEKEND_FROM_DOW = 5                # Monday = 0: Saturday and Sunday
+
 COLUMN_ALIASES = {"AIRLINE_CODE": "OP_CARRIER"}
 
 MILES_TO_KM = 1.60934
