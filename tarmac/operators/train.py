@@ -19,7 +19,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tarmac.schema import FEATURE_COLS, GBT_PARAMS, GATE_ACCURACY, GATE_AUC, GATE_F1, TARGET_COL
+from tarmac.schema import (BEHAVIOUR_RATIO, FEATURE_COLS, GBT_PARAMS, GATE_ACCURACY, GATE_AUC,
+                           GATE_F1, TARGET_COL)
 
 # a missing date leaves day-of-week / month NULL; trees get a value of their own
 MISSING_FEATURE_VALUE = -1
@@ -92,3 +93,20 @@ def quality_gates(metrics: DataFrame) -> DataFrame:
                      F.lit(t).alias("threshold"), (F.col(c) >= t).alias("passed"))
             for g, c, t in gates]
     return metrics.select(F.inline(F.array(*rows)))
+
+
+def behaviour_summary(scored: DataFrame, slot: str, morning: int, evening: int) -> DataFrame:
+    """One row over scored (flight, slot) copies: pair count, class and probability ranges,
+    largest |P(0) + P(1) − 1|, mean P(delay) per slot, and whether the evening mean is at
+    least 0.8 × the morning mean. Every figure is a plain aggregate over the copies, so no
+    per-flight grouping (and no shuffle of the copies) is needed."""
+    s, p = F.col(slot), F.col("p_delayed")
+    err = F.abs(p + F.col("p_on_time") - 1)
+    out = scored.agg(F.count(F.when(s == morning, F.lit(1))).alias("pairs"),
+                     F.min("prediction").alias("min_pred"), F.max("prediction").alias("max_pred"),
+                     F.min(p).alias("min_p"), F.max(p).alias("max_p"),
+                     F.max(err).alias("max_sum_error"),
+                     F.avg(F.when(s == morning, p)).alias("mean_p_morning"),
+                     F.avg(F.when(s == evening, p)).alias("mean_p_evening"))
+    return out.withColumn("evening_not_lower",
+                          F.col("mean_p_evening") >= BEHAVIOUR_RATIO * F.col("mean_p_morning"))

@@ -356,21 +356,7 @@ def q_behaviour_checks(spark, sf_dir):
     pairs = val.withColumn("slot", F.explode(F.array(F.lit(8), F.lit(19))))
     pairs = pairs.withColumn("dep_hour", F.col("slot").cast("int")).withColumn(
         "dep_time_bucket", F.when(F.col("slot") < 12, 1).otherwise(3).cast("int"))
-    scored = scx.predict(pairs, bundle)
-    err = F.abs(F.col("p_delayed") + F.col("p_on_time") - 1)
-    per = scored.groupBy("flight_id").agg(
-        F.max(F.when(F.col("slot") == 8, F.col("p_delayed"))).alias("p_morning"),
-        F.max(F.when(F.col("slot") == 19, F.col("p_delayed"))).alias("p_evening"),
-        F.min("prediction").alias("min_pred"), F.max("prediction").alias("max_pred"),
-        F.min("p_delayed").alias("min_p"), F.max("p_delayed").alias("max_p"),
-        F.max(err).alias("sum_error"))
-    out = per.agg(F.count(F.lit(1)).alias("pairs"),
-                  F.min("min_pred").alias("min_pred"), F.max("max_pred").alias("max_pred"),
-                  F.min("min_p").alias("min_p"), F.max("max_p").alias("max_p"),
-                  F.max("sum_error").alias("max_sum_error"),
-                  F.avg("p_morning").alias("mean_p_morning"),
-                  F.avg("p_evening").alias("mean_p_evening"))
-    return out.withColumn("evening_not_lower", F.col("mean_p_evening") >= 0.8 * F.col("mean_p_morning"))
+    return trx.behaviour_summary(scx.predict(pairs, bundle), "slot", morning=8, evening=19)
 
 
 # ── Structured Streaming variants (same answers as the batch queries) ─

@@ -74,6 +74,9 @@ REFERENCE_SAMPLE_ROWS = 5000
 
 # quality gates
 GATE_ACCURACY, GATE_F1, GATE_AUC = 0.70, 0.55, 0.70
+
+# behaviour check: P(evening flight) ≥ 0.8 × P(morning flight), buckets 1 and 3
+BEHAVIOUR_RATIO = 0.8
 # ───────────────────────────────────────────────────────────────────────
 
 RAW_SCHEMA = T.StructType([

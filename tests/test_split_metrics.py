@@ -120,3 +120,30 @@ def test_held_out_requests_are_the_feature_split_test_rows(spark):
     assert "AIRLINE_CODE" in raw.columns and "split" not in raw.columns
     assert sorted(r[0] for r in raw.select("flight_id").collect()) == \
         sorted(r[0] for r in stored.collect())
+
+
+def test_behaviour_summary_equals_per_flight_pairs(spark):
+    import random
+    from tarmac.operators import train as trx
+    rnd = random.Random(3)
+    rows = []
+    for fid in range(200):
+        for slot in (8, 19):
+            p = rnd.random()
+            rows.append((fid, slot, p, 1 - p + (1e-9 if fid == 7 else 0.0), int(p >= 0.5)))
+    scored = spark.createDataFrame(rows, "flight_id long, slot int, p_delayed double, "
+                                         "p_on_time double, prediction int")
+    got = trx.behaviour_summary(scored, "slot", morning=8, evening=19).first().asDict()
+    # brute force: pair the two copies of each flight first
+    pairs = {}
+    for fid, slot, p, q, c in rows:
+        pairs.setdefault(fid, {})[slot] = (p, q, c)
+    morning = [v[8][0] for v in pairs.values()]
+    evening = [v[19][0] for v in pairs.values()]
+    assert got["pairs"] == len(pairs)
+    assert got["min_pred"] == min(r[4] for r in rows) and got["max_pred"] == max(r[4] for r in rows)
+    assert got["min_p"] == min(r[2] for r in rows) and got["max_p"] == max(r[2] for r in rows)
+    assert math.isclose(got["max_sum_error"], max(abs(r[2] + r[3] - 1) for r in rows), abs_tol=1e-15)
+    assert math.isclose(got["mean_p_morning"], sum(morning) / len(morning), rel_tol=1e-12)
+    assert math.isclose(got["mean_p_evening"], sum(evening) / len(evening), rel_tol=1e-12)
+    assert got["evening_not_lower"] == (got["mean_p_evening"] >= 0.8 * got["mean_p_morning"])
