@@ -3,7 +3,11 @@
 Event-time 1-day tumbling windows with a watermark; ``update`` mode and
 ``foreachBatch`` rewrite only the day partitions a batch touched
 (dynamic partition overwrite), so the stats table always holds the
-latest value per (day, feature) and a re-run batch is idempotent.
+latest value per (day, feature) and a re-run batch is idempotent. A
+touched day comes with all of its features: every captured row adds one
+row per feature (a missing value still counts in ``n``), so each feature
+of that day is updated in the same batch and the rewritten partition is
+complete.
 Violations and the alarm are then batch queries over that table.
 """
 

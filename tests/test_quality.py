@@ -87,3 +87,18 @@ def test_request_quarantine(spark):
     assert errs == sorted(["empty_OP_CARRIER", "code_length_ORIGIN", "range_CRS_ARR_TIME",
                            "nonpositive_DISTANCE", "missing_CRS_ELAPSED_TIME"])
     assert sorted(r["ORIGIN"] for r in valid.collect()) == ["JFK", "JFK"]
+
+
+from hypothesis import given, settings, strategies as st  # noqa: E402
+
+_VALS = st.one_of(st.none(), st.sampled_from([0.0, -0.0, 1.5, float("nan")]))
+
+
+@settings(max_examples=12, deadline=None)
+@given(st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 3)),
+                          st.one_of(st.none(), st.sampled_from(["a", "b"])), _VALS),
+                min_size=1, max_size=40),
+       st.sampled_from([0, 1, 1_000_000]))
+def test_duplicate_two_pass_equals_one_pass(spark, rows, cap):
+    df = spark.createDataFrame(rows, "a int, b string, c double")
+    assert _dup_tuple(df, max_broadcast=cap) == _dup_tuple(df, two_pass=False)
