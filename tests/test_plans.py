@@ -100,3 +100,14 @@ def test_broadcast_decided_per_key_within_budget(spark):
         assert text.count("SortMergeJoin") == 1
         got = sorted(tuple(r) for r in m_df.collect())
     assert got == sorted(tuple(r) for r in model.transform(hot).select(ENC_COLS).collect())
+
+
+def test_no_fact_to_fact_joins(spark):
+    with no_auto_broadcast(spark):
+        # risk tiers: the four encoder lookups only, no join back to the flights
+        text = plan(E.queries()["risk_confidence"](spark, SF_SMALL))
+        assert text.count("BroadcastHashJoin") == 4 and "SortMergeJoin" not in text
+        # held-out requests: the raw rows split in place, the cut table is the only join
+        text = plan(C.held_out_requests(spark, SF_SMALL))
+        assert text.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in text
+        assert "LeftSemi" not in text
