@@ -40,9 +40,12 @@ def read_raw_csv(spark: SparkSession, path: str, keep_file: bool = True,
 
     Adds ``_type_errors`` (names of columns whose non-empty text did not
     parse) and, if ``keep_file``, ``source_file`` from the file metadata.
+    Column names come from the header of the first file; every other file's
+    header is checked against them (``enforceSchema`` off), so a file with
+    another column order fails instead of being read into the wrong columns.
     """
-    raw = (spark.read.option("header", True).option("pathGlobFilter", glob)
-           .option("recursiveFileLookup", True).csv(path))
+    raw = (spark.read.option("header", True).option("enforceSchema", False)
+           .option("pathGlobFilter", glob).option("recursiveFileLookup", True).csv(path))
     raw = normalize_columns(raw)
     typed = {}
     errors = []

@@ -188,3 +188,21 @@ def test_cli_preprocess_and_train(spark, tmp_dir, monkeypatch):
     monkeypatch.setenv("N_ESTIMATORS", "3")        # env default, as the training job allows
     m = cli.main(["train", "--prep", f"{tmp_dir}/prep", "--model-dir", f"{tmp_dir}/m"])
     assert set(m) == {"val_accuracy", "val_f1", "val_precision", "val_recall", "val_auc_roc"}
+
+
+def test_csv_reader_rejects_reordered_header(spark, tmp_dir):
+    import pytest
+    path = f"{tmp_dir}/mixed"
+    os.makedirs(path)
+    cols = ["FL_DATE", "AIRLINE_CODE", "ORIGIN", "DEST", "CRS_DEP_TIME", "CRS_ARR_TIME",
+            "CRS_ELAPSED_TIME", "DISTANCE", "DEP_DELAY", "ARR_DELAY"]
+    row = {"FL_DATE": "15-02-2024", "AIRLINE_CODE": "AA", "ORIGIN": "JFK", "DEST": "LAX",
+           "CRS_DEP_TIME": "900", "CRS_ARR_TIME": "1100", "CRS_ELAPSED_TIME": "120",
+           "DISTANCE": "1000", "DEP_DELAY": "1.0", "ARR_DELAY": "20.0"}
+    for name, order in (("a.csv", cols), ("b.csv", cols[::-1])):
+        with open(f"{path}/{name}", "w") as f:
+            f.write(",".join(order) + "\n" + ",".join(row[c] for c in order) + "\n")
+    with pytest.raises(Exception, match="(?i)header|schema"):
+        read_raw_csv(spark, path).collect()
+    os.remove(f"{path}/b.csv")
+    assert read_raw_csv(spark, path).count() == 1
