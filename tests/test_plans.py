@@ -111,3 +111,13 @@ def test_no_fact_to_fact_joins(spark):
         text = plan(C.held_out_requests(spark, SF_SMALL))
         assert text.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in text
         assert "LeftSemi" not in text
+
+
+def test_saved_encoder_keeps_per_key_decision(spark, tmp_dir):
+    model = fit_frequencies(_hot_carrier_frame(spark))
+    model.save(f"{tmp_dir}/freq")
+    k = model.key_counts
+    budget = k["carrier_encoded"] + k["origin_encoded"] + k["dest_encoded"]
+    loaded = FrequencyModel.load(spark, f"{tmp_dir}/freq", max_broadcast_rows=budget)
+    assert loaded.key_counts == k
+    assert loaded.broadcast_keys() == {"carrier_encoded", "origin_encoded", "dest_encoded"}
