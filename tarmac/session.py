@@ -42,7 +42,8 @@ def build_session(master: str | None = None, app: str = "tarmac",
 
 def _is_local(spark: SparkSession) -> bool:
     try:
-        return spark.sparkContext.master.startswith("local")
+        master = spark.sparkContext.master
+        return master.startswith("local") and not master.startswith("local-cluster")
     except Exception:  # noqa: BLE001 — a Connect session has no local context
         return False
 
