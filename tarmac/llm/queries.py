@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tarmac.llm import ngram_jaccard
+from tarmac.llm import ngram_jaccard, suffix_dedup
 from tarmac.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,3 +23,9 @@ def query(name: str):
 def op4_ngram_jaccard(spark, sf_dir):
     """Shingle count and Jaccard component of every document."""
     return ngram_jaccard.link_components(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query("op5_suffix_dedup")
+def op5_suffix_dedup(spark, sf_dir):
+    """Bytes of every document that repeated 400-byte strings cover."""
+    return suffix_dedup.removal_report(table(spark, sf_dir, "documents", "doc_id", "text"))
