@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -37,9 +39,30 @@ def build_session(master: str | None = None, app: str = "tarmac",
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the Python workers this package (as ``--py-files`` would), once per application."""
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 — Connect: the server's installation applies
+        return
+    if sc.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parent
+    path = os.path.join(tempfile.mkdtemp(prefix="tarmac-code-"), "tarmac_code.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f.relative_to(package.parent))
+    sc.addPyFile(path)
+    _shipped.add(sc.applicationId)
+
+
 def _is_local(spark: SparkSession) -> bool:
     try:
         master = spark.sparkContext.master
