@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tarmac.llm import ngram_jaccard, suffix_dedup
+from tarmac.llm import decontaminate, line_crf, ngram_jaccard, suffix_dedup
 from tarmac.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,6 +19,13 @@ def query(name: str):
     return deco
 
 
+@query("op2_decontaminate")
+def op2_decontaminate(spark, sf_dir):
+    """Benchmark items that contaminate each document."""
+    return decontaminate.report(table(spark, sf_dir, "documents", "doc_id", "text"),
+                                table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
 @query("op4_ngram_jaccard")
 def op4_ngram_jaccard(spark, sf_dir):
     """Shingle count and Jaccard component of every document."""
@@ -29,3 +36,10 @@ def op4_ngram_jaccard(spark, sf_dir):
 def op5_suffix_dedup(spark, sf_dir):
     """Bytes of every document that repeated 400-byte strings cover."""
     return suffix_dedup.removal_report(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query("op7_line_crf")
+def op7_line_crf(spark, sf_dir):
+    """Quality score of every document."""
+    return line_crf.quality(table(spark, sf_dir, "documents", "doc_id", "text"),
+                            table(spark, sf_dir, "labels", "doc_id", "quality"))
