@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tarmac.llm import decontaminate, line_crf, ngram_jaccard, suffix_dedup
+from tarmac.llm import decontaminate, line_crf, ngram_jaccard, piece_viterbi, suffix_dedup
 from tarmac.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,3 +43,9 @@ def op7_line_crf(spark, sf_dir):
     """Quality score of every document."""
     return line_crf.quality(table(spark, sf_dir, "documents", "doc_id", "text"),
                             table(spark, sf_dir, "labels", "doc_id", "quality"))
+
+
+@query("op9_piece_viterbi")
+def op9_piece_viterbi(spark, sf_dir):
+    """Token ids of every document, and whether they decode to its text."""
+    return piece_viterbi.encoded_and_checked(table(spark, sf_dir, "documents", "doc_id", "text"))
