@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tarmac.llm import decontaminate, line_crf, ngram_jaccard, piece_viterbi, suffix_dedup
+from tarmac.llm import decontaminate, ego_join, line_crf, ngram_jaccard, piece_viterbi, suffix_dedup
 from tarmac.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,6 +26,12 @@ def op2_decontaminate(spark, sf_dir):
                                 table(spark, sf_dir, "benchmark", "item_id", "text"))
 
 
+@query("op3_ego_join")
+def op3_ego_join(spark, sf_dir):
+    """Links and components of all embeddings with equal labels."""
+    return ego_join.link_report(table(spark, sf_dir, "embeddings", "vec_id", "label", "embedding"))
+
+
 @query("op4_ngram_jaccard")
 def op4_ngram_jaccard(spark, sf_dir):
     """Shingle count and Jaccard component of every document."""
