@@ -9,17 +9,23 @@ How the work is dealt out:
 
 1. Documents with equal sets form a class (a 64-bit fingerprint of set and size),
    and only one document of a class goes on, so copies cost one row each.
-2. Two sets that link share a shingle among the ``n // 4 + 1`` first of each in any
-   common order of shingles. Frequent shingles (found in one pass over everything)
-   come last in the order, the rest by hash. Each such leading shingle is one row;
-   shingles that only one class leads with go at once.
-3. Seeds: each class is compared with the smallest class of the shingle group it
-   shares most leading shingles with. That joins copy groups without their pairs.
+2. Sets of sizes n and m that link share ``k`` of the first ``n // 4 + k`` and
+   ``m // 4 + k`` shingles in any common order; here ``k = 1 + min(n, m) // 32``. Frequent
+   shingles (found in one pass over everything) come last in the order, the rest by
+   hash. Each such leading shingle is one row. Shingles that only one class leads with
+   go at once, and so do classes that share too few with all others together.
+3. Seeds: of the classes that lead with a shingle, the one that shares most is the
+   center; each class is compared with the center it shares most shingles with. That
+   joins copy groups without their pairs.
 4. Groups that still hold two components are joined by a count-vector R-tree:
    shingles are hashed into ``GROUPS`` groups, a set is the point of its group
-   counts, and ``sum_g min(a_g, b_g)`` bounds the overlap of two points, of a point
-   and a box or of two boxes (a box by its largest counts and smallest size). Pairs in one component are
-   skipped, as they can't change the result. The survivors are verified on the sets.
+   counts, and ``sum_g min(a_g, b_g)`` bounds the overlap of two points or of two
+   boxes (a box by its largest counts and smallest size). A group of at most ``LEAF``
+   classes is one leaf, whose pairs go on at once. Pairs in one component are skipped,
+   as they can't change the result.
+5. Pairs that share ``k`` leading shingles meet the same bound over finer points, of as
+   many groups as the set has shingles (halving the groups of a point adds neighbours, so points of two
+   resolutions compare). The sets of the survivors are computed anew and intersected.
 
 Defined cases: null text counts as empty. Rows with a null doc_id get their shingle
 count, but no links (component_id is null). Repeated doc_ids are separate rows; the
@@ -35,14 +41,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarmac.llm.common import (byte_codes, components, mix64, sliding_runs, SpanHash, stored,
-                               utf8_chunks, word_spans)
+from tarmac.llm.common import (SpanHash, byte_codes, components, mix64, rows_with_ids, sliding_runs,
+                               stored, utf8_chunks, word_spans)
 
 SHINGLE_WORDS = 5
-GROUPS = 64                   # coordinates of a count vector
-LEAF, FANOUT = 32, 16         # points of an R-tree leaf, children of a node
+GROUPS = 64                   # coordinates of a count vector in the tree
+FINEST = 1 << 16              # most coordinates of a fine count vector
+LEAF, FANOUT = 8, 16          # points of an R-tree leaf, children of a node
 SEGMENT = 2048                # points of one tree; a larger block is a row of trees by size
 MAX_FREQUENT = 1 << 18        # frequent shingles kept for the order (2 MB to each task)
+MORE = 32                     # a set of n leads with n // MORE shingles more than one common one needs
 FLUSH, FLUSH_LEAST, FREQUENT_LEAST = 1 << 22, 4, 64
 STEP = np.uint64(0xD6E8FEB86659FD93)
 
@@ -89,9 +97,30 @@ def class_id(tokens: np.ndarray) -> int:
     return int(mix64(h * STEP + np.add.reduce(tokens)).view(np.int64)[0])
 
 
-def count_vector(tokens: np.ndarray) -> np.ndarray:
-    shift = np.uint64(64 - GROUPS.bit_length() + 1)
-    return np.bincount((tokens >> shift).astype(np.int64), minlength=GROUPS).astype("<i4")
+def resolution(n: int) -> int:
+    """Coordinates of the fine point of a set of ``n``: a power of two, at most one shingle
+    per coordinate on average (up to ``FINEST``)."""
+    return min(max(GROUPS, 1 << max(n - 1, 0).bit_length()), FINEST)
+
+
+def fine_point(tokens: np.ndarray) -> bytes:
+    """Counts of the shingles by their leading bits: a byte each, or four if one needs them."""
+    g = resolution(len(tokens))
+    count = np.bincount((tokens >> np.uint64(65 - g.bit_length())).astype(np.int64), minlength=g)
+    return count.astype("u1" if count.max() < 256 else "<i4").tobytes()
+
+
+def unpack_point(point: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(point, "u1" if len(point) == resolution(n) else "<i4").astype(np.int32)
+
+
+def folded(point: np.ndarray, groups: int) -> np.ndarray:
+    return point.reshape(groups, -1).sum(axis=1, dtype=np.int32)
+
+
+def overlap_bound(a: np.ndarray, b: np.ndarray) -> int:
+    g = min(len(a), len(b))
+    return int(np.minimum(folded(a, g), folded(b, g)).sum())
 
 
 def frequent_shingles(docs: DataFrame) -> np.ndarray:
@@ -154,8 +183,8 @@ def signatures(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
                     tokens_in_order = np.concatenate((tokens[~last], tokens[last]))
                 else:
                     tokens_in_order = tokens
-                point.append(count_vector(tokens).tobytes())
-                prefix.append(tokens_in_order[: len(tokens) // 4 + 1].view(np.int64))
+                point.append(fine_point(tokens))
+                prefix.append(tokens_in_order[: len(tokens) // 4 + 1 + len(tokens) // MORE].view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [ids, pa.array(cls, pa.int64()), pa.array(size, pa.int64()),
                  pa.array(point, pa.binary()), pa.array(prefix, pa.list_(pa.int64()))],
@@ -168,13 +197,12 @@ def signatures(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
 # ── shared leading shingles ───────────────────────────────────────────
 
 
-def shared_prefixes(signed: DataFrame) -> DataFrame:
-    """(token, cls, n, center, center_n) of leading shingles that two classes or more have;
-    center is the group's smallest class. Groups are read as a sorted stream, so a hot
-    one needs no memory."""
-    rows = (signed.where("prefix is not null")
-            .select("cls", F.col("n").cast("int").alias("n"), F.explode("prefix").alias("token"))
-            .repartition("token").sortWithinPartitions("token", "cls")
+def grouped(rows: DataFrame, *order) -> DataFrame:
+    """(token, cls, n, center, center_n) of shingles that two classes of ``rows(token, cls, n)``
+    or more lead with; center is the first class of the group in the given order, in which
+    equal rows follow each other. Groups are read as a sorted stream, so a hot one needs no
+    memory."""
+    rows = (rows.repartition("token").sortWithinPartitions("token", *order)
             .select("token", "cls", "n"))
 
     def group(batches):
@@ -191,11 +219,10 @@ def shared_prefixes(signed: DataFrame) -> DataFrame:
             token, cls, n = token[new], cls[new], n[new]
             if not len(token):
                 continue
+            told = False
             if head is not None and head[0] == token[0]:
                 token, cls, n = (np.concatenate(([h], x)) for h, x in zip(head[:3], (token, cls, n)))
                 told = head[3]
-            else:
-                told = False
             at = sliding_runs(token)
             size = np.diff(np.append(at, len(token)))
             which = np.repeat(np.arange(len(at)), size)
@@ -213,6 +240,16 @@ def shared_prefixes(signed: DataFrame) -> DataFrame:
     return rows.mapInArrow(group, "token long, cls long, n int, center long, center_n int")
 
 
+def shared_prefixes(signed: DataFrame) -> DataFrame:
+    """``grouped`` leading shingles of the classes that share enough of them to link at all."""
+    rows = (signed.where("prefix is not null")
+            .select("cls", F.col("n").cast("int").alias("n"), F.explode("prefix").alias("token")))
+    led = stored(grouped(rows, "cls").select("token", "cls", "n"), "jaccard-led")
+    able = (led.groupBy("cls", "n").agg(F.count(F.lit(1)).alias("w"))
+            .where(f"w >= 1 + (3L * n div 4) div {MORE}").select("cls", "w"))
+    return grouped(led.join(able, "cls"), F.desc("w"), "cls")
+
+
 # ── R-tree over count vectors ─────────────────────────────────────────
 
 
@@ -271,26 +308,26 @@ def _descend(pairs: np.ndarray, side: int, step: int, n: int) -> np.ndarray:
     return out
 
 
-def block_pairs(cls, n, comp, points) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs (smaller class first) of one block, sorted by size, in different components."""
-    trees: list[tuple[CountTree, np.ndarray, np.ndarray, int]] = []
+def block_pairs(cls, n, comp, points) -> Iterator[np.ndarray]:
+    """Pairs of one block, sorted by size, in different components: rows (a, b, n_a, n_b), the
+    smaller class first."""
+    trees: list[tuple[CountTree, int]] = []                         # and the first row of each
     for k in range(0, len(n), SEGMENT):
-        s = slice(k, k + SEGMENT)
-        tree = CountTree(points[s], n[s])
-        trees = [t for t in trees if 4 * t[3] >= 3 * n[s][0]]       # sizes too far apart
-        trees.append((tree, cls[s], comp[s], int(n[s][-1])))
-        for t, c, m, _ in trees:
+        tree = CountTree(points[k: k + SEGMENT], n[k: k + SEGMENT])
+        trees = [t for t in trees if 4 * n[min(t[1] + SEGMENT, len(n)) - 1] >= 3 * n[k]]
+        trees.append((tree, k))
+        for t, first in trees:
             for i, j in t.join(tree):
-                a, b = c[i], cls[s][j]
-                ok = (m[i] != comp[s][j]) & (a != b)
-                if t is tree:
-                    ok &= a < b
-                a, b = a[ok], b[ok]
-                yield np.minimum(a, b), np.maximum(a, b)
+                i, j = i + first, j + k
+                ok = (comp[i] != comp[j]) & (cls[i] < cls[j] if t is tree else cls[i] != cls[j])
+                i, j = i[ok], j[ok]
+                i, j = np.where(cls[i] < cls[j], i, j), np.where(cls[i] < cls[j], j, i)
+                yield np.stack((cls[i], cls[j], n[i], n[j]), axis=1)
 
 
 def tree_pairs(rows: DataFrame) -> DataFrame:
-    """Candidate pairs ``(a, b)`` of rows ``(token, n, cls, comp, point)``, by block of a token."""
+    """Candidate pairs ``(a, b, n_a, n_b, c)`` of rows ``(token, n, cls, comp, point)``, by block of
+    a token; c counts common shingles, in parts."""
     def join(batches):
         held: list[pa.RecordBatch] = []
 
@@ -301,18 +338,22 @@ def tree_pairs(rows: DataFrame) -> DataFrame:
             ends = np.append(at[1:], len(token))
             done = len(at) if last else len(at) - 1
             n, cls, comp = (t.column(k).to_numpy() for k in (1, 2, 3))
-            points = np.frombuffer(b"".join(t.column(4).to_pylist()), "<i4").reshape(-1, GROUPS)
+            points = np.stack([folded(unpack_point(p, m), GROUPS)
+                               for p, m in zip(t.column(4).to_pylist(), n.tolist())])
             out = [p for a, b in zip(at[:done], ends[:done])
                    for p in block_pairs(cls[a:b], n[a:b].astype(np.int64), comp[a:b], points[a:b])]
             held.clear()
             if not last:
                 held.extend(t.slice(int(at[-1])).to_batches())
-            if out:
-                a = np.concatenate([x for x, _ in out])
-                b = np.concatenate([x for _, x in out])
-                seen = np.unique(np.stack((a, b), axis=1), axis=0)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(seen[:, 0].copy()), pa.array(seen[:, 1].copy())], ["a", "b"])
+            out = np.concatenate(out) if out else np.zeros((0, 4), np.int64)
+            if len(out):
+                order = np.lexsort((out[:, 1], out[:, 0]))
+                out = out[order]
+                new = np.ones(len(out), bool)
+                new[1:] = (out[1:, :2] != out[:-1, :2]).any(axis=1)
+                at = np.flatnonzero(new)
+                cols = [*(out[at, k].copy() for k in range(4)), np.diff(np.append(at, len(out)))]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["a", "b", "n_a", "n_b", "c"])
 
         for batch in batches:
             if batch.num_rows:
@@ -324,7 +365,42 @@ def tree_pairs(rows: DataFrame) -> DataFrame:
 
     return (rows.select("token", "n", "cls", "comp", "point")
             .repartition("token").sortWithinPartitions("token", "n", "cls")
-            .mapInArrow(join, "a long, b long").distinct())
+            .mapInArrow(join, "a long, b long, n_a long, n_b long, c long"))
+
+
+def leaf_pairs(rows: DataFrame) -> DataFrame:
+    """All pairs ``(a, b)`` of groups of at most ``LEAF`` classes that could link by size and
+    aren't connected yet."""
+    a = rows.select("token", *(F.col(c).alias(f"{c}_a") for c in ("cls", "n", "comp")))
+    b = rows.select("token", *(F.col(c).alias(f"{c}_b") for c in ("cls", "n", "comp")))
+    return (a.join(b, "token").where("cls_a < cls_b and comp_a <> comp_b and "
+                                     "4L * least(n_a, n_b) >= 3L * greatest(n_a, n_b)")
+            .select(F.col("cls_a").alias("a"), F.col("cls_b").alias("b"),
+                    F.col("n_a").cast("long").alias("n_a"), F.col("n_b").cast("long").alias("n_b"),
+                    F.lit(1).cast("long").alias("c")))
+
+
+def enough(pairs: DataFrame) -> DataFrame:
+    """(a, b) of the pairs that have enough leading shingles in common."""
+    return (pairs.groupBy("a", "b", "n_a", "n_b").agg(F.sum("c").alias("c"))
+            .where(f"c >= 1 + least(n_a, n_b) div {MORE}").select("a", "b"))
+
+
+def bounded(pairs: DataFrame, points: DataFrame) -> DataFrame:
+    """The pairs whose fine points ``points(cls, n, point)`` allow a link."""
+    a = points.select(F.col("cls").alias("a"), F.col("n").alias("n_a"), F.col("point").alias("p_a"))
+    b = points.select(F.col("cls").alias("b"), F.col("n").alias("n_b"), F.col("point").alias("p_b"))
+
+    def keep(batches):
+        for batch in batches:
+            cols = [batch.column(k).to_pylist() for k in range(2, 6)]
+            ok = [175 * overlap_bound(unpack_point(x, m), unpack_point(y, n)) >= 75 * (m + n)
+                  for x, m, y, n in zip(*cols)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(k).filter(pa.array(ok, pa.bool_())) for k in (0, 1)], ["a", "b"])
+
+    return (pairs.join(a, "a").join(b, "b").select("a", "b", "p_a", "n_a", "p_b", "n_b")
+            .mapInArrow(keep, "a long, b long"))
 
 
 # ── verification ──────────────────────────────────────────────────────
@@ -332,8 +408,8 @@ def tree_pairs(rows: DataFrame) -> DataFrame:
 
 def class_sets(docs: DataFrame, signed: DataFrame, classes: DataFrame) -> DataFrame:
     """(cls, n, tokens) of the given classes, computed anew from one document of each."""
-    ids = (signed.where("doc_id is not null").groupBy("cls").agg(F.min("doc_id").alias("doc_id"))
-           .join(classes, "cls", "left_semi").select("doc_id").distinct())
+    ids = (rows_with_ids(signed.where("doc_id is not null").select("cls", "doc_id"), classes, "cls")
+           .groupBy("cls").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct())
     schema = pa.schema([("cls", pa.int64()), ("n", pa.int32()), ("tokens", pa.list_(pa.int64()))])
 
     def sets(batches):
@@ -347,43 +423,49 @@ def class_sets(docs: DataFrame, signed: DataFrame, classes: DataFrame) -> DataFr
                 [pa.array(cls, pa.int64()), pa.array(n, pa.int32()),
                  pa.array(out, pa.list_(pa.int64()))], schema=schema)
 
-    found = (docs.select("doc_id", "text").join(ids, "doc_id", "left_semi").select("text")
+    found = (rows_with_ids(docs.select("doc_id", "text"), ids, "doc_id").select("text")
              .mapInArrow(sets, "cls long, n int, tokens array<long>"))
     return found.join(classes, "cls", "left_semi").dropDuplicates(["cls"])
 
 
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs ``(a, b)`` of classes that link."""
+def verified(pairs: DataFrame, docs: DataFrame, signed: DataFrame, points: DataFrame) -> DataFrame:
+    """The pairs ``(a, b)`` of classes that link, written down."""
+    pairs = stored(bounded(pairs, points), "jaccard-pairs")
+    classes = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
+    sets = stored(class_sets(docs, signed, classes), "jaccard-sets")
     a = sets.select(F.col("cls").alias("a"), F.col("n").alias("n_a"), F.col("tokens").alias("t_a"))
     b = sets.select(F.col("cls").alias("b"), F.col("n").alias("n_b"), F.col("tokens").alias("t_b"))
     both = F.size(F.array_intersect("t_a", "t_b"))
-    return (pairs.join(a, "a").join(b, "b").withColumn("both", both)
-            .where("100L * both >= 75L * (n_a + n_b - both)").select("a", "b"))
+    return stored(pairs.join(a, "a").join(b, "b").withColumn("both", both)
+                  .where("100L * both >= 75L * (n_a + n_b - both)").select("a", "b"), "jaccard-links")
 
 
 def link_components(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of ``docs(doc_id, text)``."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     signed = stored(signatures(docs, frequent_shingles(docs)), "jaccard-signed")
-    led = stored(shared_prefixes(signed), "jaccard-led")
-    sets = stored(class_sets(docs, signed, led.select("cls").distinct()), "jaccard-sets")
+    points = signed.where("point is not null").select("cls", "n", "point").dropDuplicates(["cls"])
+    led = stored(shared_prefixes(signed), "jaccard-groups")
 
     near = led.where("cls <> center and 4L * least(n, center_n) >= 3L * greatest(n, center_n)")
-    seeds = (near.groupBy("cls", "center").agg(F.count(F.lit(1)).alias("w"))
-             .groupBy("cls").agg(F.max_by("center", F.struct("w", "center")).alias("center"))
+    seeds = (near.groupBy("cls", "n", "center", "center_n").agg(F.count(F.lit(1)).alias("c"))
+             .where(f"c >= 1 + least(n, center_n) div {MORE}")
+             .groupBy("cls").agg(F.max_by("center", F.struct("c", "center")).alias("center"))
              .select(F.col("center").alias("a"), F.col("cls").alias("b")))
-    seeded = stored(verified(seeds, sets), "jaccard-seeded")
+    seeded = verified(seeds, docs, signed, points)
     comp = components(seeded, "jaccard-cc")
 
     rows = led.select("token", "cls", "n").join(
         comp.select(F.col("id").alias("cls"), F.col("component").alias("comp")), "cls", "left")
     rows = rows.withColumn("comp", F.coalesce("comp", "cls"))
-    mixed = (rows.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-             .where("lo <> hi").select("token"))
-    points = (signed.where("point is not null").select("cls", "point").dropDuplicates(["cls"]))
-    rows = rows.join(mixed, "token", "left_semi").join(points, "cls")
-    more = stored(verified(tree_pairs(rows), sets), "jaccard-more")
-    comp = components(seeded.unionByName(more), "jaccard-cc2")
+    mixed = (rows.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"),
+                                       F.count(F.lit(1)).alias("size"))
+             .where("lo <> hi").select("token", "size"))
+    rows = stored(rows.join(mixed, "token"), "jaccard-mixed")
+    large = rows.where(F.col("size") > LEAF).join(points.drop("n"), "cls")
+    pairs = leaf_pairs(rows.where(F.col("size") <= LEAF)).unionByName(tree_pairs(large))
+    more = verified(enough(pairs), docs, signed, points)
+    comp = components(seeded.unionByName(more), "jaccard-cc")
 
     known = signed.select("doc_id", "cls", "n").join(
         comp.select(F.col("id").alias("cls"), "component"), "cls", "left")
@@ -395,3 +477,15 @@ def link_components(docs: DataFrame) -> DataFrame:
         F.when(F.col("doc_id").isNotNull(),
                F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")))
         .alias("component_id"))
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` without near duplicates: of each group of linked documents the one
+    whose doc_id is smallest (of rows with this id, one). Documents without words link with
+    nothing and stay, as do rows without an id."""
+    found = link_components(docs.select("doc_id", "text"))
+    keep = found.where("doc_id = component_id").select("doc_id").distinct()
+    ids = docs.where("doc_id is not null").dropDuplicates(["doc_id"])
+    kept = ids.join(keep.withColumnRenamed("doc_id", "_kept"),
+                    ids["doc_id"].cast("long") == F.col("_kept"), "left_semi")
+    return kept.unionByName(docs.where("doc_id is null"))
