@@ -39,14 +39,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 BROADCAST_ROWS = 1_000_000
 
 
-def rows_with_ids(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+def rows_with_ids(df: DataFrame, ids: DataFrame, key: str, how: str = "inner") -> DataFrame:
     """``df`` joined with ``ids`` (distinct ``key``, maybe with small columns). The ids are
     written and counted first: up to ``BROADCAST_ROWS`` they go to the rows, beyond that
     both sides are shuffled."""
     ids = stored(ids, "ids")
     if ids.count() <= BROADCAST_ROWS:
         ids = F.broadcast(ids)
-    return df.join(ids, key)
+    return df.join(ids, key, how)
 
 
 # ── bytes ─────────────────────────────────────────────────────────────

@@ -1,3 +1,123 @@
 """DuckDB SQL for the corpus queries that SQL can express."""
 
+from __future__ import annotations
+
+from tarmac.llm import license_scan
+
 ORACLE: dict[str, str] = {}
+
+ORACLE["op1_warc_captures"] = """
+WITH p AS (
+  SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes,
+         sha1(coalesce(html, '')) AS payload_digest
+  FROM pages),
+last AS (SELECT payload_digest, max(page_id) AS response FROM p
+         WHERE payload_bytes >= 1000 GROUP BY payload_digest)
+SELECT p.page_id, p.payload_bytes, p.payload_digest,
+       CASE WHEN response IS NULL OR response = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN response <> page_id THEN response END AS refers_to
+FROM p LEFT JOIN last ON p.payload_digest = last.payload_digest AND p.payload_bytes >= 1000
+"""
+
+ORACLE["op3_ego_join"] = """
+WITH RECURSIVE
+v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e, len(embedding) AS d,
+         sqrt(list_sum(list_transform(CAST(embedding AS DOUBLE[]), lambda x: x * x))) AS norm
+  FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b
+  FROM v a JOIN v b ON a.label = b.label AND a.d = b.d AND a.vec_id <> b.vec_id
+  WHERE a.norm > 0 AND b.norm > 0 AND list_inner_product(a.e, b.e) / (a.norm * b.norm) >= 0.98),
+reach(id, other) AS (
+  SELECT vec_id, vec_id FROM embeddings
+  UNION
+  SELECT r.id, l.b FROM reach r JOIN links l ON l.a = r.other),
+comp AS (SELECT id, min(other) AS component_id FROM reach GROUP BY id),
+n AS (SELECT a, count(*) AS n_links FROM links GROUP BY a)
+SELECT e.vec_id, CAST(coalesce(n_links, 0) AS BIGINT) AS n_links, component_id,
+       e.vec_id = component_id AS kept
+FROM embeddings e JOIN comp ON comp.id = e.vec_id LEFT JOIN n ON n.a = e.vec_id
+"""
+
+ORACLE["op4_ngram_jaccard"] = """
+WITH RECURSIVE
+w AS (
+  SELECT doc_id, regexp_extract_all(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\\x20\\x09-\\x0D]+') AS ws
+  FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, list_aggregate(list_slice(ws, i, i + 4), 'string_agg', ' ') AS g
+  FROM w, unnest(generate_series(1, greatest(len(ws) - 4, least(len(ws), 1)))) AS t(i)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+links AS (
+  SELECT x.doc_id AS a, y.doc_id AS b
+  FROM s x JOIN s y ON x.g = y.g AND x.doc_id <> y.doc_id
+  GROUP BY x.doc_id, y.doc_id
+  HAVING 100 * count(*) >= 75 * ((SELECT n FROM n WHERE n.doc_id = x.doc_id)
+                                 + (SELECT n FROM n WHERE n.doc_id = y.doc_id) - count(*))),
+reach(id, other) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION
+  SELECT r.id, l.b FROM reach r JOIN links l ON l.a = r.other),
+comp AS (SELECT id, min(other) AS component_id FROM reach GROUP BY id)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, component_id
+FROM documents d JOIN comp ON comp.id = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id
+"""
+
+
+def _license_sql() -> str:
+    rows = []
+    for k, (name, grams) in enumerate(license_scan.template_rows()):
+        lo, hi = license_scan.size_bounds(len(grams))
+        items = ", ".join("'" + g + "'" for g in grams)
+        rows.append(f"({k}, '{name}', CAST({lo!r} AS DOUBLE), CAST({hi!r} AS DOUBLE), [{items}])")
+    return f"""
+WITH t(k, name, lo, hi, grams) AS (VALUES {', '.join(rows)}),
+p AS (SELECT doc_id, row_number() OVER () AS r,
+             regexp_replace(lower(coalesce(text, '')), '[^\\p{{L}}\\p{{N}}\\n]+', ' ', 'g') AS plain
+      FROM documents),
+l AS (SELECT r, string_split(plain, chr(10)) AS ls FROM p),
+u AS (SELECT r, unnest(ls) AS unit FROM l
+      UNION ALL
+      SELECT r, list_aggregate(ls, 'string_agg', ' ') FROM l WHERE len(ls) > 1),
+x AS (SELECT r, row_number() OVER () AS q,
+             list_filter(string_split(unit, ' '), lambda w: w <> '') AS w FROM u),
+g AS (SELECT r, q, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS grams
+      FROM x WHERE len(w) > 1),
+s AS (SELECT r, q, name, 2.0::DOUBLE * len(list_intersect(g.grams, t.grams)) / (len(g.grams) + len(t.grams)) AS dice
+      FROM g JOIN t ON len(g.grams) BETWEEN lo AND hi),
+b AS (SELECT r, q, max({{'dice': dice, 'name': name}}) AS best FROM s WHERE dice >= {license_scan.DICE} GROUP BY r, q),
+d AS (SELECT r, max(best) AS best, count(*) AS n_units, list_sort(list_distinct(list(best.name))) AS licenses
+      FROM b GROUP BY r)
+SELECT doc_id, d.best.name AS license, d.best.dice AS dice, CAST(coalesce(n_units, 0) AS BIGINT) AS n_units,
+       coalesce(licenses, []) AS licenses
+FROM p LEFT JOIN d USING (r)
+"""
+
+
+ORACLE["op6_license_scan"] = _license_sql()
+
+ORACLE["op10_chat_format"] = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+m AS (
+  SELECT *, lag(role) OVER w AS before,
+         replace(replace(replace(text, '\', '\\'), '#', '\#'), '<', '\<') AS esc,
+         CASE WHEN role IN ('user', 'system', 'assistant') THEN length(role)
+              ELSE 1 + length(replace(replace(replace(replace(role, '\', '\\'), '#', '\#'), '<', '\<'), ':', '\:'))
+         END AS shown
+  FROM t WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text))
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), ''))
+         AS loss_sha256,
+       CAST(sum(length(esc) + CASE WHEN before = role THEN 8 ELSE 4 + shown + 2 + 9 END) AS BIGINT) AS formatted_chars
+FROM m GROUP BY conv_id
+"""
