@@ -5,7 +5,8 @@ aggregated per (1-day tumbling window, feature) — partial aggregation,
 so a hot day costs one combine per partition. The baseline holds one
 row per feature and is broadcast. The drift rule is the standardised
 mean shift ``|μ_day − μ_0| / σ_0``; missing-value and data-type checks
-compare null fractions and unparsable counts.
+compare null fractions and unparsable counts; the baseline's constraints
+(completeness, sign, range) are checked as well.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ MISSING_TOLERANCE = 0.05
 BASELINE_DAYS = 7
 # ───────────────────────────────────────────────────────────────────────
 
-STAT_COLS = ["day", "feature", "n", "nulls", "type_errors", "mean", "std"]
+STAT_COLS = ["day", "feature", "n", "nulls", "type_errors", "mean", "std", "min", "max"]
 
 
 def utc_instant(wall_clock) -> Column:
@@ -65,7 +66,8 @@ def _stat_aggs() -> list[Column]:
     return [F.count(F.lit(1)).alias("n"),
             F.sum(v.isNull().cast("long")).alias("nulls"),
             F.sum((t.isNotNull() & v.isNull()).cast("long")).alias("type_errors"),
-            F.avg(v).alias("mean"), F.stddev_samp(v).alias("std")]
+            F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
+            F.min(v).alias("min"), F.max(v).alias("max")]
 
 
 def daily_stats(long: DataFrame) -> DataFrame:
@@ -74,6 +76,32 @@ def daily_stats(long: DataFrame) -> DataFrame:
     return g.select(utc_day(F.col("w.start")).alias("day"), *STAT_COLS[1:])
 
 
+def partial_stats(long: DataFrame) -> DataFrame:
+    """Per (day, feature) additive parts: n, nulls, type_errors, k values with their mean and
+    centred square sum, least and greatest."""
+    v, t = F.col("value"), F.col("text")
+    g = long.groupBy(F.window("captured_at", "1 day").alias("w"), "feature").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(v.isNull().cast("long")).alias("nulls"),
+        F.sum((t.isNotNull() & v.isNull()).cast("long")).alias("type_errors"),
+        F.count(v).alias("k"), F.avg(v).alias("m"), (F.var_pop(v) * F.count(v)).alias("q"),
+        F.min(v).alias("min"), F.max(v).alias("max"))
+    return g.select(utc_day(F.col("w.start")).alias("day"), "feature", "n", "nulls", "type_errors",
+                    "k", "m", "q", "min", "max")
+
+
+def merged_stats(parts: DataFrame) -> DataFrame:
+    """The statistics of ``daily_stats`` from any number of partial rows per (day, feature)."""
+    w = Window.partitionBy("day", "feature")
+    mean = F.try_divide(F.sum(F.col("k") * F.col("m")).over(w), F.sum("k").over(w))
+    p = parts.withColumn("_mean", mean)
+    d = F.col("m") - F.col("_mean")
+    g = p.groupBy("day", "feature").agg(
+        F.sum("n").alias("n"), F.sum("nulls").alias("nulls"), F.sum("type_errors").alias("type_errors"),
+        F.max("_mean").alias("mean"), F.sum("k").alias("_k"),
+        F.sum(F.col("q") + F.col("k") * d * d).alias("_q"), F.min("min").alias("min"), F.max("max").alias("max"))
+    return g.withColumn("std", F.when(F.col("_k") > 1, F.sqrt(F.col("_q") / (F.col("_k") - 1)))).select(*STAT_COLS)
+
+
 def baseline_stats(long: DataFrame) -> DataFrame:
     """One row per feature: mean0, std0, null_frac0."""
     return long.groupBy("feature").agg(
@@ -81,40 +109,85 @@ def baseline_stats(long: DataFrame) -> DataFrame:
         F.avg(F.col("value").isNull().cast("double")).alias("null_frac0"))
 
 
-def violations(stats: DataFrame, baseline: DataFrame, drift_z: float = DRIFT_Z,
-               missing_tol: float = MISSING_TOLERANCE) -> DataFrame:
+def baseline_of_profile(statistics: DataFrame) -> DataFrame:
+    """Baseline rows from a stored feature profile (feature, mean, std, null_pct)."""
+    return statistics.select("feature", F.col("mean").alias("mean0"), F.col("std").alias("std0"),
+                             F.col("null_pct").alias("null_frac0"))
+
+
+def _check(name: str, bad: Column, observed: Column, baseline: Column) -> Column:
+    return F.struct(F.lit(name).alias("check"), F.coalesce(bad, F.lit(False)).alias("failed"),
+                    observed.cast("double").alias("observed"), baseline.cast("double").alias("baseline"))
+
+
+def checks(stats: DataFrame, baseline: DataFrame, constraints: DataFrame | None = None,
+           drift_z: float = DRIFT_Z, missing_tol: float = MISSING_TOLERANCE) -> DataFrame:
+    """(day, feature, check, failed, observed, baseline): every check of every monitored day.
+
+    A feature that never varied in the baseline (σ0 zero or unknown) drifts as soon as its
+    mean moves. A baseline feature without rows on a monitored day fails ``missing_feature``,
+    one that the baseline doesn't know ``unexpected_feature``. ``constraints`` (feature,
+    completeness, non_negative, min, max) add their own checks. All sides but ``stats`` hold
+    one row per feature.
+    """
+    side = baseline
+    if constraints is not None:
+        side = side.join(constraints.select("feature", "completeness", "non_negative",
+                                            F.col("min").alias("min0"), F.col("max").alias("max0")),
+                         "feature", "full_outer")
+    j = stats.join(F.broadcast(side.withColumn("_known", F.lit(True))), "feature", "left")   # a row a feature
+    null_frac = F.try_divide("nulls", "n")
+    shift = F.abs(F.col("mean") - F.col("mean0"))
+    z = F.when(F.coalesce("std0", F.lit(0.0)) == 0, F.when(shift > 0, F.lit(float("inf"))).otherwise(0.0)) \
+         .otherwise(F.try_divide(shift, F.col("std0")))
+    all_checks = [
+        _check("baseline_drift", z > drift_z, round4("mean"), round4("mean0")),
+        _check("missing_values", null_frac > F.col("null_frac0") + missing_tol,
+               round4(null_frac), round4("null_frac0")),
+        _check("data_type_errors", F.col("type_errors") > 0, F.col("type_errors"), F.lit(0.0)),
+        _check("unexpected_feature", F.col("_known").isNull(), F.col("n"), F.lit(0.0)),
+    ]
+    if constraints is not None:
+        all_checks += [
+            _check("completeness", 1 - null_frac < F.col("completeness") - missing_tol,
+                   round4(1 - null_frac), F.col("completeness")),
+            _check("non_negative", F.col("non_negative") & (F.col("min") < 0), F.col("min"), F.lit(0.0)),
+            _check("range_min", F.col("min") < F.col("min0"), round4("min"), round4("min0")),
+            _check("range_max", F.col("max") > F.col("max0"), round4("max"), round4("max0")),
+        ]
+    seen = j.select("day", "feature", F.inline(F.array(*all_checks)))
+    names = F.array(*[F.lit(r["feature"]) for r in side.select("feature").collect()]).cast("array<string>")
+    gone = (stats.groupBy("day").agg(F.collect_set("feature").alias("_f"))
+            .select("day", F.explode(F.array_except(names, "_f")).alias("feature"))
+            .select("day", "feature", F.lit("missing_feature").alias("check"), F.lit(True).alias("failed"),
+                    F.lit(0.0).alias("observed"), F.lit(1.0).alias("baseline")))
+    return seen.unionByName(gone)
+
+
+def violations(stats: DataFrame, baseline: DataFrame, constraints: DataFrame | None = None,
+               drift_z: float = DRIFT_Z, missing_tol: float = MISSING_TOLERANCE) -> DataFrame:
     """(day, feature, check, observed, baseline) for every failed check."""
-    j = stats.join(F.broadcast(baseline), "feature", "inner")   # one row per feature
-    null_frac = F.col("nulls") / F.col("n")
-    z = F.abs(F.col("mean") - F.col("mean0")) / F.col("std0")
-    checks = F.array(
-        F.struct(F.lit("baseline_drift").alias("check"), (z > drift_z).alias("bad"),
-                 round4("mean").alias("observed"), round4("mean0").alias("baseline")),
-        F.struct(F.lit("missing_values").alias("check"),
-                 (null_frac > F.col("null_frac0") + missing_tol).alias("bad"),
-                 round4(null_frac).alias("observed"), round4("null_frac0").alias("baseline")),
-        F.struct(F.lit("data_type_errors").alias("check"), (F.col("type_errors") > 0).alias("bad"),
-                 F.col("type_errors").cast("double").alias("observed"),
-                 F.lit(0.0).alias("baseline")),
-    )
-    return (j.select("day", "feature", F.inline(checks))
-             .where(F.coalesce(F.col("bad"), F.lit(False))).drop("bad"))
+    return checks(stats, baseline, constraints, drift_z, missing_tol).where("failed").drop("failed")
+
+
+def alarm_of_checks(all_checks: DataFrame) -> DataFrame:
+    """Per monitored day: drift violation count, alarm when ≥ 1."""
+    bad = (F.col("check") == "baseline_drift") & F.col("failed")
+    return (all_checks.groupBy("day").agg(F.count_if(bad).alias("drift_count"))
+            .withColumn("alarm", F.col("drift_count") >= 1))
 
 
-def drift_alarm(stats: DataFrame, viol: DataFrame) -> DataFrame:
-    """Per monitored day: drift violation count, alarm when ≥ 1. Days without traffic: no row."""
-    days = stats.select("day").distinct()
-    counts = (viol.where(F.col("check") == "baseline_drift")
-                  .groupBy("day").agg(F.count(F.lit(1)).alias("drift_count")))
-    return (days.join(counts, "day", "left")
-                .select("day", F.coalesce("drift_count", F.lit(0)).cast("long").alias("drift_count"))
-                .withColumn("alarm", F.col("drift_count") >= 1))
+def drift_alarm(stats: DataFrame, baseline: DataFrame) -> DataFrame:
+    """Days without traffic have no row."""
+    return alarm_of_checks(checks(stats, baseline))
 
 
 def split_reference_window(capture: DataFrame, days: int = BASELINE_DAYS):
     """(reference, monitored): the first ``days`` days of capture and the rest."""
-    start = capture.select(F.min(utc_wall("captured_at"))).scalar()
-    cut = F.date_trunc("day", start).cast("timestamp_ntz") + F.make_interval(days=F.lit(days))
+    # found once, here: as a subquery it would scan the capture again wherever it is used
+    start = capture.select(F.min(utc_wall("captured_at"))).first()[0]
+    cut = (F.date_trunc("day", F.lit(start).cast("timestamp_ntz")).cast("timestamp_ntz")
+           + F.make_interval(days=F.lit(days)))
     wall = utc_wall("captured_at")
     return capture.where(wall < cut), capture.where(wall >= cut)
 

@@ -17,9 +17,15 @@ def create_target(df: DataFrame) -> DataFrame:
               .withColumn(TARGET_COL, fx.delayed_label()))
 
 
-def base_features(df: DataFrame) -> DataFrame:
-    """All features that need no fitted state, as one projection."""
+CODE_COLS = ("OP_CARRIER", "ORIGIN", "DEST")
+
+
+def base_features(df: DataFrame, canonicalise: bool = True) -> DataFrame:
+    """All features that need no fitted state, as one projection. Codes are trimmed and
+    upper-cased, as for scoring, unless ``canonicalise`` is off."""
     df = normalize_columns(df)
+    if canonicalise:
+        df = df.withColumns({c: fx.canonical_code(c) for c in CODE_COLS if c in df.columns})
     d = fx.parse_flight_date("FL_DATE")
     return (df.withColumn("_date", d)
               .withColumns({

@@ -6,7 +6,8 @@ zero-division → 0, optionally per segment.
 are aggregated to (score → positives, negatives); negatives below each
 score come from ``running_total`` (bounded windows over sketch-cut score
 ranges), so no task holds all distinct scores of a segment. All sums
-are integers; the single division happens last.
+are integers (DECIMAL, as twice positives times negatives passes 2^63 at a few
+billion rows); the single division happens last.
 """
 
 from __future__ import annotations
@@ -57,13 +58,15 @@ def _auc_from_scores(per_score: DataFrame, by: list[str], score: str, extra: lis
     """Mann–Whitney sum over a (by…, score) → pos, neg (+ extra counts) table."""
     r = running_total(per_score, by, score, ["neg"])
     below = F.col("cum_neg") - F.col("neg")                  # negatives with a lower score
-    u2 = F.col("pos") * (2 * below + F.col("neg"))           # ties count half
+    wide = "decimal(19,0)"
+    u2 = F.col("pos").cast(wide) * (2 * below.cast("decimal(18,0)") + F.col("neg")).cast(wide)  # ties: half
     agg = (r.groupBy(*by) if by else r.groupBy()).agg(
         F.sum("pos").cast("long").alias("positives"),
         F.sum("neg").cast("long").alias("negatives"),
         *[F.sum(c).cast("long").alias(c) for c in extra],
-        F.sum(u2).cast("long").alias("_u2"))
-    auc = F.try_divide(F.col("_u2").cast("double"), 2.0 * F.col("positives") * F.col("negatives"))
+        F.sum(u2.cast("decimal(38,0)")).alias("_u2"))
+    auc = F.try_divide(F.col("_u2").cast("double"),
+                       2.0 * F.col("positives").cast("double") * F.col("negatives").cast("double"))
     return agg.select(*by, "positives", "negatives", *extra, round4(auc).alias("auc"))
 
 

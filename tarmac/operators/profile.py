@@ -58,16 +58,6 @@ def exact_quantiles(df: DataFrame, cols: list[str] | None = None,
     return cum.groupBy("feature").agg(F.max("n").cast("long").alias("n"), *qs)
 
 
-def approx_quantiles(df: DataFrame, cols: list[str] | None = None,
-                     probs: list[float] = QUANTILES, accuracy: int = 10000) -> DataFrame:
-    """Sketch-based quantiles (one pass, fixed memory per feature)."""
-    cols = [c for c in (cols or FEATURE_COLS) if c in df.columns]
-    long = _long_values(df, cols).where(F.col("value").isNotNull())
-    q = F.percentile_approx("value", probs, accuracy)
-    out = long.groupBy("feature").agg(F.count(F.lit(1)).alias("n"), q.alias("_q"))
-    return out.select("feature", "n", *[F.col("_q")[i].alias(_qname(p)) for i, p in enumerate(probs)])
-
-
 def null_counts(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """(column, nulls, all_null) per column — one aggregate job."""
     cols = cols or df.columns
@@ -86,7 +76,7 @@ def baseline_constraints(df: DataFrame, cols: list[str] | None = None) -> DataFr
                  *[F.min(F.col(c).cast("double")).alias(f"{c}__min") for c in cols],
                  *[F.max(F.col(c).cast("double")).alias(f"{c}__max") for c in cols])
     rows = [F.struct(F.lit(c).alias("feature"),
-                     F.bround(F.col(f"{c}__nn") / F.col("_n"), 4).alias("completeness"),
+                     F.bround(F.try_divide(F.col(f"{c}__nn"), F.col("_n")), 4).alias("completeness"),
                      F.coalesce(F.col(f"{c}__min") >= 0, F.lit(True)).alias("non_negative"),
                      F.col(f"{c}__min").alias("min"), F.col(f"{c}__max").alias("max"))
             for c in cols]

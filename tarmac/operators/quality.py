@@ -1,8 +1,8 @@
 """Data-quality rules as one fused aggregate, plus row-level request checks.
 
 ``quality_report`` evaluates every table-level rule with a single
-``agg`` job (all rules share one scan) and the duplicate fraction with
-one ``groupBy`` over all columns; the result is one row per rule.
+``agg`` job (all rules share one scan) and the duplicate fraction over row
+fingerprints; the result is one row per rule.
 ``validate_raw_data`` raises on the first failing rule, in rule order.
 ``request_errors`` tags each row with the names of the checks it fails,
 so a frame splits into valid rows and a quarantine without a second scan.
@@ -10,6 +10,8 @@ so a frame splits into valid rows and a quarantine without a second scan.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -44,19 +46,18 @@ def _fingerprint_col(f: T.StructField) -> Column:
     return c
 
 
-def duplicate_stats(df: DataFrame, cols: list[str] | None = None, two_pass: bool = True,
+def duplicate_stats(df: DataFrame, cols: list[str] | None = None,
                     max_broadcast: int = DUP_BROADCAST_FINGERPRINTS) -> DataFrame:
     """(n_rows, n_distinct, dup_rows, dup_fraction) — exact; NULLs compare equal, as in groupBy.
 
     Pass 1 shuffles a 64-bit fingerprint per row instead of the row: a
     fingerprint seen once proves its row has no copy. Fingerprints seen
     more than once (true copies or a collision) are kept in the shared
-    checkpoint folder; pass 2 selects their rows with a broadcast semi-join
-    (no shuffle of the table) and groups only those rows on all columns, so
-    a row copied a third of the table is combined map-side. With more
-    repeated fingerprints than ``max_broadcast``, or a frame that may differ
-    between passes (``two_pass=False``, e.g. after ``limit``), it is one
-    ``groupBy`` over all columns.
+    checkpoint folder; pass 2 selects their rows with a semi-join and groups
+    only those rows on all columns, so a row copied a third of the table is
+    combined map-side. Up to ``max_broadcast`` repeated fingerprints are
+    broadcast to the rows; beyond that the semi-join shuffles (a hot
+    fingerprint's partition is split by AQE).
     """
     cols = cols or df.columns
     fields = [df.schema[c] for c in cols]
@@ -71,7 +72,7 @@ def duplicate_stats(df: DataFrame, cols: list[str] | None = None, two_pass: bool
                       .withColumn("dup_fraction", F.bround(
                           F.coalesce(F.try_divide("dup_rows", "n_rows"), F.lit(0.0)), 6)))
 
-    if not two_pass or not all(isinstance(f.dataType, _ATOMIC) for f in fields):
+    if not all(isinstance(f.dataType, _ATOMIC) for f in fields):
         return finish(one_pass(df))
     ensure_checkpoint_dir(df.sparkSession)
     fp = F.xxhash64(*[_fingerprint_col(f) for f in fields])
@@ -88,92 +89,75 @@ def duplicate_stats(df: DataFrame, cols: list[str] | None = None, two_pass: bool
     if repeated == 0:
         return finish(spark.range(1).select(F.lit(n_rows).cast("long").alias("n_rows"),
                                             F.lit(singles).cast("long").alias("n_distinct")))
-    if repeated > max_broadcast:
-        return finish(one_pass(df))
-    keys = F.broadcast(rep.where(F.col("_fp").isNotNull()).select("_fp"))
+    keys = rep.where(F.col("_fp").isNotNull()).select("_fp")
+    if repeated <= max_broadcast:
+        keys = F.broadcast(keys)
     copies = df.join(keys, fp == keys["_fp"], "left_semi")
     d = one_pass(copies)
     return finish(d.select(F.lit(n_rows).cast("long").alias("n_rows"),
                            (F.lit(singles) + F.col("n_distinct")).cast("long").alias("n_distinct")))
 
 
-def _rule(name: str, observed: Column, passed: Column) -> Column:
-    return F.struct(F.lit(name).alias("rule"), observed.cast("double").alias("observed"),
-                    passed.alias("passed"))
+def _rules(type_errors: Column) -> dict[str, tuple[Column, Callable[[Column], Column], Column]]:
+    """rule → (aggregate, test of it, what is reported of it), in rule order."""
+    n, dep, c = F.count(F.lit(1)), F.col("CRS_DEP_TIME"), F.col
+    label = F.when(c("ARR_DELAY").isNotNull(), (c("ARR_DELAY") >= 15).cast("double"))
+    lo, hi = DELAY_RATE_RANGE
+
+    def errors(name: str) -> Column:
+        return F.sum(F.array_contains(type_errors, name).cast("int"))
+
+    def known(test, missing: bool = False):
+        return lambda v: F.coalesce(test(v), F.lit(missing))
+
+    def as_is(v):
+        return v
+
+    def round4(v):
+        return F.bround(v, 4)
+
+    return {
+        "required_columns": (F.lit(0), lambda v: F.lit(True), as_is),
+        "min_rows": (n, lambda v: v >= MIN_ROWS, as_is),
+        **{f"not_all_null_{x}": (F.count(x), lambda v: v > 0, as_is) for x in NOT_ALL_NULL_COLS},
+        "dep_time_min": (F.min(dep), known(lambda v: v >= DEP_TIME_MIN, True), as_is),
+        "dep_time_max": (F.max(dep), known(lambda v: v <= DEP_TIME_MAX, True), as_is),
+        "numeric_CRS_DEP_TIME": (errors("CRS_DEP_TIME"), lambda v: v == 0, as_is),
+        "numeric_DISTANCE": (errors("DISTANCE"), lambda v: v == 0, as_is),
+        "distance_positive": (F.min("DISTANCE"), known(lambda v: v > 0), as_is),
+        "elapsed_positive": (F.min("CRS_ELAPSED_TIME"), known(lambda v: v > 0), as_is),
+        "carrier_min_length": (F.min(F.length("OP_CARRIER")), known(lambda v: v >= 2), as_is),
+        "delay_rate_range": (F.avg(label), known(lambda v: v.between(lo, hi)), round4),
+        "min_carriers": (F.count_distinct("OP_CARRIER"), lambda v: v >= MIN_CARRIERS, as_is),
+        "min_origins": (F.count_distinct("ORIGIN"), lambda v: v >= MIN_ORIGINS, as_is),
+        "min_dates": (F.count_distinct("FL_DATE"), lambda v: v >= MIN_DATES, as_is),
+        "dep_time_std": (F.stddev_samp(dep), known(lambda v: v > MIN_DEP_TIME_STD), round4),
+        "min_rows_strict": (n, lambda v: v >= MIN_ROWS_STRICT, as_is),
+    }
 
 
 def quality_report(df: DataFrame, include_duplicates: bool = True,
-                   first_rows: int | None = None, approx_distinct: bool = False) -> DataFrame:
-    """One row per rule: (rule, observed, passed). Runs as one aggregate job.
-
-    ``first_rows`` evaluates the rules on a bounded prefix of the input
-    (the data-test mode); by default the whole frame is checked.
-    ``approx_distinct`` counts carriers/origins/dates with HyperLogLog
-    sketches instead of exact distinct aggregation (which expands each
-    row once per distinct column before the shuffle).
-    """
+                   rules: list[str] | None = None) -> DataFrame:
+    """One row per rule: (rule, observed, passed). Runs as one aggregate job over the whole
+    frame; with ``rules`` only the aggregates of those rules are built."""
     df = normalize_columns(df)
-    if first_rows is not None:
-        df = df.limit(first_rows)
     missing = [c for c in RAW_REQUIRED_COLS if c not in df.columns]
     if missing:   # V1 needs no job; nothing else can be evaluated
         return df.sparkSession.createDataFrame(
             [("required_columns", float(len(missing)), False)],
             "rule string, observed double, passed boolean")
-    n = F.count(F.lit(1))
-    dep = F.col("CRS_DEP_TIME")
     errors = (F.col("_type_errors") if "_type_errors" in df.columns
               else F.array().cast("array<string>"))
-    label = F.when(F.col("ARR_DELAY").isNotNull(), (F.col("ARR_DELAY") >= 15).cast("double"))
-    date = F.col("FL_DATE")
-    distinct = F.approx_count_distinct if approx_distinct else F.count_distinct
-    aggs = [
-        n.alias("n"),
-        *[F.count(c).alias(f"nn_{c}") for c in NOT_ALL_NULL_COLS],
-        F.min(dep).alias("dep_min"), F.max(dep).alias("dep_max"),
-        F.sum(F.array_contains(errors, "CRS_DEP_TIME").cast("int")).alias("err_dep"),
-        F.sum(F.array_contains(errors, "DISTANCE").cast("int")).alias("err_dist"),
-        F.min("DISTANCE").alias("dist_min"), F.min("CRS_ELAPSED_TIME").alias("elapsed_min"),
-        F.min(F.length("OP_CARRIER")).alias("carrier_len_min"),
-        F.avg(label).alias("delay_rate"),
-        distinct("OP_CARRIER").alias("n_carriers"),
-        distinct("ORIGIN").alias("n_origins"),
-        distinct(date).alias("n_dates"),
-        F.stddev_samp(dep).alias("dep_std"),
-    ]
-    a = df.agg(*aggs)
-    c = F.col
-    lo, hi = DELAY_RATE_RANGE
-    rules = [
-        _rule("required_columns", F.lit(0), F.lit(True)),
-        _rule("min_rows", c("n"), c("n") >= MIN_ROWS),
-        *[_rule(f"not_all_null_{x}", c(f"nn_{x}"), c(f"nn_{x}") > 0) for x in NOT_ALL_NULL_COLS],
-        _rule("dep_time_min", c("dep_min"),
-              F.coalesce(c("dep_min") >= DEP_TIME_MIN, F.lit(True))),
-        _rule("dep_time_max", c("dep_max"),
-              F.coalesce(c("dep_max") <= DEP_TIME_MAX, F.lit(True))),
-        _rule("numeric_CRS_DEP_TIME", c("err_dep"), c("err_dep") == 0),
-        _rule("numeric_DISTANCE", c("err_dist"), c("err_dist") == 0),
-        _rule("distance_positive", c("dist_min"), F.coalesce(c("dist_min") > 0, F.lit(False))),
-        _rule("elapsed_positive", c("elapsed_min"), F.coalesce(c("elapsed_min") > 0, F.lit(False))),
-        _rule("carrier_min_length", c("carrier_len_min"),
-              F.coalesce(c("carrier_len_min") >= 2, F.lit(False))),
-        _rule("delay_rate_range", F.bround(c("delay_rate"), 4),
-              F.coalesce(c("delay_rate").between(lo, hi), F.lit(False))),
-        _rule("min_carriers", c("n_carriers"), c("n_carriers") >= MIN_CARRIERS),
-        _rule("min_origins", c("n_origins"), c("n_origins") >= MIN_ORIGINS),
-        _rule("min_dates", c("n_dates"), c("n_dates") >= MIN_DATES),
-        _rule("dep_time_std", F.bround(c("dep_std"), 4),
-              F.coalesce(c("dep_std") > MIN_DEP_TIME_STD, F.lit(False))),
-        _rule("min_rows_strict", c("n"), c("n") >= MIN_ROWS_STRICT),
-    ]
-    report = a.select(F.inline(F.array(*rules)))
+    wanted = {k: v for k, v in _rules(errors).items() if rules is None or k in rules}
+    a = df.agg(*[agg.alias(name) for name, (agg, _, _) in wanted.items()])
+    rows = [F.struct(F.lit(name).alias("rule"), shown(F.col(name)).cast("double").alias("observed"),
+                     test(F.col(name)).alias("passed")) for name, (_, test, shown) in wanted.items()]
+    report = a.select(F.inline(F.array(*rows)))
     if include_duplicates:
         cols = [x for x in df.columns if x not in ("_type_errors", "source_file")]
-        dup = duplicate_stats(df, cols, two_pass=first_rows is None).select(
-            _rule("duplicate_fraction", F.col("dup_fraction"),
-                  F.col("dup_fraction") < MAX_DUP_FRACTION).alias("r")).select("r.*")
-        report = report.unionByName(dup)
+        report = report.unionByName(duplicate_stats(df, cols).select(
+            F.lit("duplicate_fraction").alias("rule"), F.col("dup_fraction").alias("observed"),
+            (F.col("dup_fraction") < MAX_DUP_FRACTION).alias("passed")))
     return report
 
 
@@ -186,7 +170,7 @@ BLOCKING_RULES = ["required_columns", "min_rows",
 def validate_raw_data(df: DataFrame, rules: list[str] | None = None) -> DataFrame:
     """Raise ValueError on the first failing blocking rule; return the report otherwise."""
     rules = rules or BLOCKING_RULES
-    report = quality_report(df, include_duplicates=False).where(F.col("rule").isin(*rules))
+    report = quality_report(df, include_duplicates=False, rules=rules)
     rows = {r["rule"]: r for r in report.collect()}   # ≤ 20 rows
     for name in rules:
         r = rows.get(name)
@@ -195,6 +179,13 @@ def validate_raw_data(df: DataFrame, rules: list[str] | None = None) -> DataFram
     return report
 
 
+def split_unusable(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(usable, quarantine): a flight with neither an elapsed time nor a distance has no
+    elapsed-time feature and can't be trained on."""
+    unusable = F.col("CRS_ELAPSED_TIME").isNull() & F.col("DISTANCE").isNull()
+    return df.where(~unusable), df.where(unusable)
+
+
 def request_errors(df: DataFrame) -> Column:
     """Array of failed request checks for each row (empty = valid)."""
     c = F.col

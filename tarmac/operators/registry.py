@@ -1,9 +1,9 @@
 """Model registry operators: latest approved package, champion/challenger, decision document.
 
-Every "latest per group" is a ``max_by`` aggregate keyed by
-(created_at, package_id): partial aggregation per partition, then one
-row per group — a group holding a third of all rows costs no more
-than any other.
+"Latest per group" hash-aggregates fixed-width maxima (created_at, then package_id among
+the newest) and fetches the winning rows with semi-joins, so neither the wide columns nor
+the JSON text are sorted or shuffled for it, and a group holding a third of all rows is
+combined map-side like any other.
 """
 
 from __future__ import annotations
@@ -33,8 +33,33 @@ def latest_per_group(registry: DataFrame, status: str | None = None,
         r = r.where(F.col("status") == status)
     if group is not None:
         r = r.where(F.col("group_name") == group)
-    pick = F.max_by(F.struct(*PACKAGE_FIELDS), F.struct("created_at", "package_id"))
-    return r.groupBy("group_name").agg(pick.alias("p")).select("group_name", "p.*")
+    r = r.select("group_name", *PACKAGE_FIELDS)
+    newest = r.groupBy("group_name").agg(F.max("created_at").alias("_at"))
+    same_group = F.col("r.group_name").eqNullSafe(F.col("m.group_name"))
+    at = r.alias("r").join(newest.alias("m"), same_group & F.col("r.created_at").eqNullSafe(F.col("m._at")),
+                           "left_semi")
+    last = at.groupBy("group_name").agg(F.max("package_id").alias("_id"))
+    return at.alias("r").join(last.alias("m"), same_group & F.col("r.package_id").eqNullSafe(F.col("m._id")),
+                              "left_semi")
+
+
+def with_documents(spark, packages: DataFrame) -> DataFrame:
+    """``packages`` (one row per group, few) with ``metrics_doc`` read from the document at
+    ``metrics_uri`` where the registry holds no text of it. An empty URI means no document;
+    one that can't be read is an error."""
+    wanted = (packages.where(F.col("metrics_doc").isNull() & (F.col("metrics_uri") != ""))
+              .select("package_id", "metrics_uri").collect())
+    if not wanted:
+        return packages
+    texts = []
+    for r in wanted:
+        lines = spark.read.text(r["metrics_uri"], wholetext=True).collect()
+        if not lines:
+            raise ValueError(f"no document at {r['metrics_uri']}")
+        texts.append((r["package_id"], "".join(x["value"] for x in lines)))
+    read = spark.createDataFrame(texts, "_id long, _doc string")
+    return (packages.join(F.broadcast(read), F.col("package_id") == F.col("_id"), "left")
+            .withColumn("metrics_doc", F.coalesce("metrics_doc", "_doc")).drop("_id", "_doc"))
 
 
 def package_metrics(packages: DataFrame) -> DataFrame:
@@ -78,9 +103,10 @@ def decision_document(comparison: DataFrame, metric: str = METRIC_TO_COMPARE,
                       threshold: float = IMPROVEMENT_THRESHOLD) -> DataFrame:
     """(group_name, challenger_package, doc) with ``doc`` the decision as JSON text."""
     flag = F.when(F.col("beats_champion"), 1.0).otherwise(0.0)
+    none = F.struct(*(F.lit(None).cast(f.dataType).alias(f.name) for f in METRICS_SCHEMA))
     doc = F.struct(
         F.col("challenger_metrics").alias("challenger"),
-        F.col("champion_metrics").alias("champion"),
+        F.coalesce("champion_metrics", none).alias("champion"),       # no champion: {}
         F.struct(F.lit(metric).alias("metric"), F.col("challenger_score").alias("challenger"),
                  F.col("champion_score").alias("champion"), F.col("improvement"),
                  F.lit(threshold).alias("threshold"), F.col("beats_champion")).alias("comparison"),

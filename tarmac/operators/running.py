@@ -4,7 +4,7 @@ A running sum over a sorted column is a window with ``orderBy`` — but a
 window partitioned only by a feature or segment puts every distinct
 value of that group into one task. Here each group's distinct values are
 first cut into ``buckets`` ranges by approximate quantiles (a sketch, one
-pass), then:
+pass; more ranges for more distinct values), then:
 
 * bucket totals → running offset per bucket (a window over ≤ ``buckets`` rows);
 * inside each bucket → running sum ordered by value (a window over about
@@ -22,28 +22,42 @@ from pyspark.sql import functions as F
 
 from tarmac.session import ensure_checkpoint_dir
 
-DEFAULT_BUCKETS = 256
+LEAST_BUCKETS, MOST_BUCKETS = 256, 4096
+VALUES_PER_BUCKET = 500_000      # distinct values that one window task should sort
 SKETCH_ACCURACY = 10000
+BROADCAST_GROUPS = 10_000        # groups whose cut points (one row each) go to every task
+STRIDE = 64                      # cut points are searched in two steps
 
 
 def running_total(df: DataFrame, by: list[str], order: str, weights: list[str],
-                  buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                  buckets: int | None = None) -> DataFrame:
     """For one row per (by…, order) value, add ``cum_<w>`` (inclusive running sum of
     each weight along ``order``) and ``total_<w>`` (group total)."""
-    probs = [i / buckets for i in range(1, buckets)]
-    sketch = F.percentile_approx(F.col(order), probs, SKETCH_ACCURACY)
     v = F.col(order)
 
+    def below(cuts):
+        return F.size(F.filter(cuts, lambda e: v > e))
+
     def bucket_of(cuts):
-        return F.aggregate(cuts, F.lit(0), lambda acc, e: acc + (v > e).cast("int"))
+        """How many cut points lie below the value: first among every ``STRIDE``-th."""
+        coarse = F.filter(cuts, lambda e, i: i % STRIDE == STRIDE - 1)
+        whole = below(coarse)
+        return whole * STRIDE + below(F.slice(cuts, whole * STRIDE + 1, STRIDE))
 
     # the input is an aggregate (one row per distinct value): materialise it once in the
     # shared checkpoint folder so the sketch, the bucket totals and the in-bucket windows
     # all read it instead of re-running everything upstream
     ensure_checkpoint_dir(df.sparkSession)
     df = df.checkpoint(eager=True)
+    if buckets is None:
+        buckets = min(max(-(-df.count() // VALUES_PER_BUCKET), LEAST_BUCKETS), MOST_BUCKETS)
+    probs = [i / buckets for i in range(1, buckets)]
+    sketch = F.percentile_approx(v, probs, SKETCH_ACCURACY)
     if by:
-        cuts = df.groupBy(*by).agg(sketch.alias("_cuts"))     # one row per group
+        cuts = df.groupBy(*by).agg(sketch.alias("_cuts")).checkpoint(eager=True)     # one row per group
+        # joined by a shuffle, all distinct values of a group would meet in one task
+        if cuts.count() <= BROADCAST_GROUPS:
+            cuts = F.broadcast(cuts)
         x = df.join(cuts, by, "inner").withColumn("_rb", bucket_of(F.col("_cuts"))).drop("_cuts")
     else:
         # one group: its ``buckets − 1`` cut points are a bounded summary, inlined as a literal

@@ -8,10 +8,11 @@ are ``val``; the rest ``train``.
 Exact ranks are computed without ever putting a stratum into one task:
 the 20 leading hash bits give 2^20 buckets per stratum; a histogram of
 (stratum, bucket) counts yields, per stratum, the two buckets that
-contain a cut. Rows in every other bucket are assigned from the bucket
-alone; only rows of the (at most two) cut buckets are ranked, within
-their bucket. Buckets are uniform because ids are unique and hashed, so
-a large stratum spreads over all buckets.
+contain a cut, and only their rows are ranked, inside their bucket, to
+find the last row before each cut. The cut table then holds that row's
+(hash, id) per stratum and cut, and the split itself is one comparison in
+a projection: no window, no union, no second scan of what is split. A
+NULL label is a stratum like any other.
 """
 
 from __future__ import annotations
@@ -35,53 +36,73 @@ def _hash_bucket(h: Column) -> Column:
 
 def stratified_split(df: DataFrame, id_col: str, label_col: str = TARGET_COL,
                      test_size: float = TEST_SIZE, val_size: float = VAL_SIZE,
-                     seed: int = RANDOM_STATE, exact: bool = True) -> DataFrame:
-    """Add ``split`` ∈ {train, val, test}. ``exact=False`` cuts on hash fractions (no shuffle)."""
+                     seed: int = RANDOM_STATE) -> DataFrame:
+    """Add ``split`` ∈ {train, val, test}."""
+    cuts = F.broadcast(split_cuts(df, id_col, label_col, test_size, val_size, seed))  # a row a stratum
+    at = F.struct(row_hash(id_col, seed).alias("h"), F.col(id_col).alias("id"))
+    j = df.join(cuts, F.col(label_col).eqNullSafe(F.col("_stratum")), "left")
+    split = (F.when(at <= F.col("_test"), "test").when(at <= F.col("_val"), "val").otherwise("train"))
+    return j.withColumn("split", split).drop("_stratum", "_test", "_val")
+
+
+def split_cuts(df: DataFrame, id_col: str, label_col: str, test_size: float, val_size: float,
+               seed: int) -> DataFrame:
+    """(_stratum, _test, _val): (hash, id) of the last test row and of the last val row of each
+    stratum, NULL if there is none. Written to the checkpoint folder."""
     val_rel = val_size / (1.0 - test_size)
-    keyed = df.withColumn("_h", row_hash(id_col, seed)).withColumn("_b", _hash_bucket(F.col("_h")))
-    if not exact:
-        u = F.col("_b") / float(16 ** BUCKET_HEX_DIGITS)
-        split = (F.when(u < test_size, "test")
-                  .when(u < test_size + (1 - test_size) * val_rel, "val").otherwise("train"))
-        return keyed.withColumn("split", split).drop("_h", "_b")
-
-    s = label_col
-    hist = keyed.groupBy(s, "_b").agg(F.count(F.lit(1)).alias("_cnt"))
-    w = Window.partitionBy(s).orderBy("_b")
+    s = F.col("_stratum")
+    keyed = df.select(F.col(label_col).alias("_stratum"), F.col(id_col).alias("id"),
+                      row_hash(id_col, seed).alias("h")).withColumn("_b", _hash_bucket(F.col("h")))
+    hist = keyed.groupBy("_stratum", "_b").agg(F.count(F.lit(1)).alias("_cnt"))
+    w = Window.partitionBy("_stratum").orderBy("_b")
     hist = (hist.withColumn("_hi", F.sum("_cnt").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-                .withColumn("_n", F.sum("_cnt").over(Window.partitionBy(s))))
+                .withColumn("_n", F.sum("_cnt").over(Window.partitionBy("_stratum"))))
     t1 = F.floor(F.lit(test_size) * F.col("_n") + 0.5)
     t2 = t1 + F.floor(F.lit(val_rel) * (F.col("_n") - t1) + 0.5)
-    hist = hist.withColumn("_t1", t1).withColumn("_t2", t2)
-    # per stratum: first bucket that is not wholly before each cut, and its offset
-    cuts = hist.groupBy(s).agg(
-        F.first("_t1").alias("_t1"), F.first("_t2").alias("_t2"),
-        F.min_by(F.struct("_b", (F.col("_hi") - F.col("_cnt")).alias("lo")),
-                 F.when(F.col("_hi") > F.col("_t1"), F.col("_b"))).alias("_c1"),
-        F.min_by(F.struct("_b", (F.col("_hi") - F.col("_cnt")).alias("lo")),
-                 F.when(F.col("_hi") > F.col("_t2"), F.col("_b"))).alias("_c2"),
-    )
-    # one row per stratum: written once to the shared checkpoint folder (both branches
-    # below read it; the histogram pass runs once) and safe to broadcast
     ensure_checkpoint_dir(df.sparkSession)
-    cuts = cuts.checkpoint(eager=True)
-    j = keyed.join(F.broadcast(cuts), on=s, how="left")
-    b, b1, b2 = F.col("_b"), F.col("_c1._b"), F.col("_c2._b")
-    before1 = b1.isNull() | (b < b1)
-    before2 = b2.isNull() | (b < b2)
-    decided = (F.when(before1, "test")
-                .when((b > b1) & before2, "val")
-                .when(b > b2, "train"))
-    j = j.withColumn("split", decided)
-    done = j.where(F.col("split").isNotNull())
-    todo = j.where(F.col("split").isNull())
-    rank = F.row_number().over(Window.partitionBy(s, "_b").orderBy("_h", id_col))
-    lo = F.when(b == b1, F.col("_c1.lo")).otherwise(F.col("_c2.lo"))
-    r = lo + rank
-    ranked = todo.withColumn("split", F.when(r <= F.col("_t1"), "test")
-                                       .when(r <= F.col("_t2"), "val").otherwise("train"))
-    drop = ["_h", "_b", "_t1", "_t2", "_c1", "_c2"]
-    return done.drop(*drop).unionByName(ranked.drop(*drop))
+    # the bucket that holds the last row before each cut, and that row's rank in the bucket
+    ends = (hist.select("_stratum", "_b", "_hi", (F.col("_hi") - F.col("_cnt")).alias("_lo"),
+                        F.explode(F.array(F.struct(F.lit(1).alias("cut"), t1.alias("t")),
+                                          F.struct(F.lit(2).alias("cut"), t2.alias("t")))).alias("c"))
+            .where((F.col("c.t") > F.col("_lo")) & (F.col("c.t") <= F.col("_hi")))
+            .select("_stratum", "_b", "c.cut", (F.col("c.t") - F.col("_lo")).alias("_rank"))
+            .checkpoint(eager=True))                               # two rows a stratum
+    near = F.broadcast(ends.select(s.alias("_s"), F.col("_b").alias("_cb")).distinct())
+    inside = keyed.join(near, s.eqNullSafe(F.col("_s")) & (F.col("_b") == F.col("_cb")), "left_semi")
+    ranked = inside.withColumn("_r", F.row_number().over(
+        Window.partitionBy("_stratum", "_b").orderBy("h", "id")))
+    e = F.broadcast(ends.select(s.alias("_s"), F.col("_b").alias("_cb"), "cut", "_rank"))
+    last = ranked.join(e, s.eqNullSafe(F.col("_s")) & (F.col("_b") == F.col("_cb"))
+                       & (F.col("_r") == F.col("_rank")))
+    at = F.struct("h", "id")
+    return (last.groupBy("_stratum").agg(F.max(F.when(F.col("cut") == 1, at)).alias("_test"),
+                                         F.max(F.when(F.col("cut") == 2, at)).alias("_val"))
+            .checkpoint(eager=True))
+
+
+def content_key(df: DataFrame, name: str = "row_key") -> DataFrame:
+    """Add a unique text key made of the row's content: the same rows get the same keys in any
+    layout. Identical rows are numbered from 1; they are interchangeable, so a hot one is
+    numbered by partition: counts per partition give offsets, rows are numbered within."""
+    ensure_checkpoint_dir(df.sparkSession)
+    cols = sorted(df.columns)
+    keyed = df.withColumn("_fp", F.md5(F.to_json(F.struct(*cols)).cast("binary")))
+    repeated = (keyed.groupBy("_fp").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_fp")
+                .checkpoint(eager=True))
+    n = repeated.count()
+    if n == 0:
+        return keyed.withColumnRenamed("_fp", name)
+    side = F.broadcast(repeated) if n <= 1_000_000 else repeated
+    single = keyed.join(side, "_fp", "left_anti").withColumnRenamed("_fp", name)
+    copies = (keyed.join(side, "_fp", "left_semi").withColumn("_p", F.spark_partition_id())
+              .checkpoint(eager=True))
+    w = Window.partitionBy("_fp").orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    before = (copies.groupBy("_fp", "_p").agg(F.count(F.lit(1)).alias("_c"))
+              .select("_fp", "_p", F.coalesce(F.sum("_c").over(w), F.lit(0)).alias("_before")))
+    number = F.row_number().over(Window.partitionBy("_fp", "_p").orderBy("_fp"))
+    counted = copies.withColumn("_k", number).join(before, ["_fp", "_p"])
+    counted = counted.withColumn(name, F.concat_ws("-", "_fp", (F.col("_before") + F.col("_k")).cast("string")))
+    return single.unionByName(counted.select(*df.columns, name).select(*single.columns))
 
 
 def split_counts(split_df: DataFrame, label_col: str = TARGET_COL) -> DataFrame:

@@ -24,10 +24,10 @@ from tarmac.operators import split as sx
 from tarmac.operators import train as trx
 from tarmac.operators.encode import fit_frequencies, frequency_counts
 from tarmac.operators.featurize import base_features, create_target, engineer_features
-from tarmac.schema import FEATURE_COLS, RAW_REQUIRED_COLS, REFERENCE_SAMPLE_ROWS
+from tarmac.schema import FEATURE_COLS, GBT_PARAMS, RAW_REQUIRED_COLS, REFERENCE_SAMPLE_ROWS
 from tarmac.session import scratch_path
 from tarmac.sources import events as ex
-from tarmac.sources.csv_landing import normalize_columns
+from tarmac.sources.csv_landing import normalize_columns, read_raw_csv
 from tarmac.sources.model_store import ModelBundle
 from tarmac.sources.tables import load_flights, load_table
 from tarmac.streaming import landing as lx
@@ -57,12 +57,15 @@ def q_engineer_features(spark, sf_dir):
 # ── shared derived frames ─────────────────────────────────────────────
 
 
-def features(spark, sf_dir):
-    return q_engineer_features(spark, sf_dir)
+def plain_features(spark, sf_dir):
+    """Labelled flights with the features that need no fitted state (no encoding joins)."""
+    return base_features(labelled_flights(spark, sf_dir))
 
 
 def split_features(spark, sf_dir):
-    return sx.stratified_split(features(spark, sf_dir), id_col="flight_id")
+    """All features and the split, which depends on id and label alone and so comes first."""
+    split = sx.stratified_split(labelled_flights(spark, sf_dir), id_col="flight_id")
+    return engineer_features(split, keep=["flight_id", "split"])
 
 
 def with_rule_score(f: DataFrame) -> DataFrame:
@@ -73,15 +76,7 @@ def with_rule_score(f: DataFrame) -> DataFrame:
 
 
 def rule_scored(spark, sf_dir):
-    return with_rule_score(features(spark, sf_dir))
-
-
-def held_out_requests(spark, sf_dir):
-    """Raw rows of the test split. The split is a function of (id, label) alone, so it is
-    applied to the raw labelled rows directly — no join of the flights with the stored
-    split's ids (a join of two fact-sized tables)."""
-    split = sx.stratified_split(labelled_flights(spark, sf_dir), id_col="flight_id")
-    return split.where(F.col("split") == "test").drop("split", "delayed")
+    return with_rule_score(plain_features(spark, sf_dir))
 
 
 @query("label_rate")
@@ -96,12 +91,12 @@ def q_frequency_counts(spark, sf_dir):
 
 @query("time_bucket_counts")
 def q_time_bucket_counts(spark, sf_dir):
-    return features(spark, sf_dir).groupBy("dep_time_bucket").agg(F.count(F.lit(1)).alias("n"))
+    return plain_features(spark, sf_dir).groupBy("dep_time_bucket").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("hub_flags")
 def q_hub_flags(spark, sf_dir):
-    return (features(spark, sf_dir).groupBy("is_hub_origin", "is_hub_dest")
+    return (plain_features(spark, sf_dir).groupBy("is_hub_origin", "is_hub_dest")
             .agg(F.count(F.lit(1)).alias("n")))
 
 
@@ -152,12 +147,13 @@ def q_dup_flights(spark, sf_dir):
 
 @query("split_assign")
 def q_split_assign(spark, sf_dir):
-    return split_features(spark, sf_dir).select("flight_id", "delayed", "split")
+    split = sx.stratified_split(labelled_flights(spark, sf_dir), id_col="flight_id")
+    return split.select("flight_id", "delayed", "split")
 
 
 @query("split_counts")
 def q_split_counts(spark, sf_dir):
-    return sx.split_counts(split_features(spark, sf_dir))
+    return sx.split_counts(sx.stratified_split(labelled_flights(spark, sf_dir), id_col="flight_id"))
 
 
 @query("reference_sample")
@@ -190,9 +186,7 @@ def q_segment_roc_auc(spark, sf_dir):
 
 @query("risk_confidence")
 def q_risk_confidence(spark, sf_dir):
-    # the codes ride along the feature projection: no join back to the flights
-    raw = normalize_columns(labelled_flights(spark, sf_dir))
-    s = with_rule_score(engineer_features(raw, keep=["flight_id", "OP_CARRIER", "ORIGIN", "DEST"]))
+    s = rule_scored(spark, sf_dir)
     p = tx.round4("rule_score")
     return s.select("flight_id", F.col("rule_pred").alias("delayed"),
                     p.alias("delay_probability"), tx.risk_level(p).alias("risk_level"),
@@ -257,11 +251,37 @@ def q_object_route(spark, sf_dir):
     return ox.route_object_events(ev, bucket_name=ex.DATA_BUCKET).drop("body")
 
 
+@query("champion_loop")
+def q_champion_loop(spark, sf_dir):
+    """Every pending package's model once registered from a written decision and approved,
+    against an equal, a worse and a better challenger (group by group)."""
+    reg = registry(spark, sf_dir)
+    pending = rx.latest_per_group(reg, "PendingManualApproval")
+    nobody = reg.where(F.lit(False))
+    path = scratch_path(spark, "decisions")
+    rx.decision_document(rx.compare_champion(pending, nobody)).write.mode("overwrite").parquet(path)
+    docs = spark.read.parquet(path).select("group_name", F.col("doc").alias("metrics_doc"))
+    approved = pending.drop("metrics_doc").join(docs, "group_name").withColumns(
+        {"status": F.lit("Approved"), "metrics_uri": F.concat(F.lit("approved/"), "group_name")})
+    out = None
+    for case, change in (("equal", 0.0), ("worse", -0.05), ("better", 0.05)):
+        known = rx.package_metrics(pending)
+        f1 = F.coalesce(F.col("metrics.val_f1"), F.lit(0.0)) + change
+        doc = F.to_json(F.struct(F.struct(f1.alias("val_f1")).alias("challenger")))
+        rival = known.withColumns({"metrics_doc": doc, "metrics_uri": F.lit("candidate")}).select(*pending.columns)
+        row = rx.compare_champion(rival, approved).select(
+            "group_name", F.lit(case).alias("case"), F.bround("improvement", 4).alias("improvement"),
+            "beats_champion")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 def monitoring(spark, sf_dir):
+    """(daily statistics, baseline), written down: both are small and read several times."""
     capture = dx.capture_from_events(load_table(spark, sf_dir, "events"))
     ref, mon = dx.split_reference_window(capture)
-    base = dx.baseline_stats(dx.long_capture(ref, CAPTURE_FEATURES))
-    stats = dx.daily_stats(dx.long_capture(mon, CAPTURE_FEATURES))
+    base = dx.baseline_stats(dx.long_capture(ref, CAPTURE_FEATURES)).checkpoint(eager=True)
+    stats = dx.daily_stats(dx.long_capture(mon, CAPTURE_FEATURES)).checkpoint(eager=True)
     return stats, base
 
 
@@ -281,7 +301,48 @@ def q_daily_drift(spark, sf_dir):
 @query("drift_alarm")
 def q_drift_alarm(spark, sf_dir):
     stats, base = monitoring(spark, sf_dir)
-    return dx.drift_alarm(stats, dx.violations(stats, base))
+    return dx.drift_alarm(stats, base)
+
+
+# ── captured flights against the stored baseline of the training rows ─
+
+
+def flight_checks(spark, sf_dir):
+    """Baseline statistics and constraints of the training rows, written; then the checks of all
+    flights as captured traffic (two weeks of it) against the written tables."""
+    from tarmac.plans import jobs
+
+    split = base_features(sx.stratified_split(labelled_flights(spark, sf_dir), id_col="flight_id"))
+    train = split.where(F.col("split") == "train")
+    encoder = fit_frequencies(train)
+    path = scratch_path(spark, "flight-baseline")
+    encoder.transform(train).select(*FEATURE_COLS).write.parquet(f"{path}/reference")
+    jobs.baseline_job(spark, f"{path}/reference", f"{path}/baseline")
+    at = F.timestamp_add("DAY", F.col("flight_id") % 14, F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))
+    captured = load_flights(spark, sf_dir).withColumn("captured_at", dx.utc_instant(at))
+    long = jobs.capture_features(captured, encoder)
+    stats = dx.daily_stats(long).checkpoint(eager=True)
+    return dx.checks(stats, dx.baseline_of_profile(spark.read.parquet(f"{path}/baseline/statistics")),
+                     spark.read.parquet(f"{path}/baseline/constraints"))
+
+
+@query("flight_drift")
+def q_flight_drift(spark, sf_dir):
+    """Statistical checks of every day and feature."""
+    c = flight_checks(spark, sf_dir)
+    return c.where(F.col("check").isin("baseline_drift", "missing_values", "data_type_errors"))
+
+
+@query("flight_constraints")
+def q_flight_constraints(spark, sf_dir):
+    """Checks of the baseline's constraints."""
+    c = flight_checks(spark, sf_dir)
+    return c.where(F.col("check").isin("completeness", "non_negative", "range_min", "range_max"))
+
+
+@query("flight_alarm")
+def q_flight_alarm(spark, sf_dir):
+    return dx.alarm_of_checks(flight_checks(spark, sf_dir))
 
 
 @query("daily_psi")
@@ -296,67 +357,128 @@ def q_served_stats(spark, sf_dir):
     return dx.served_stats(dx.capture_from_events(load_table(spark, sf_dir, "events")))
 
 
-# ── model training and scoring (rows-only checks: trees are not SQL) ─
+# ── model training and scoring ───────────────────────────────────────
+# Trees can't be restated in SQL; what must hold of their output can, row by row.
 
 _BUNDLES: dict = {}
 
 
-def trained_bundle(spark, sf_dir) -> ModelBundle:
-    """Fit once per (application, data folder); later queries load the saved bundle."""
-    key = (spark.conf.get("spark.app.id", "app"), sf_dir)
+def trained_bundle(spark, sf_dir) -> tuple[ModelBundle, DataFrame, str]:
+    """(saved and loaded bundle, train/val/test features, folder). Frequencies are counted on the
+    training rows. Fitted once per application and data folder."""
+    key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _BUNDLES:
-        sp = split_features(spark, sf_dir)
         path = scratch_path(spark, "model")
-        sp.write.mode("overwrite").parquet(f"{path}/split")
-        sp = spark.read.parquet(f"{path}/split")
-        train = sp.where(F.col("split") == "train")
-        enc = frequency_model_of(spark, sf_dir)
-        model = trx.fit_model(train)
-        ModelBundle(pipeline=model, encoder=enc).save(path)
-        _BUNDLES[key] = (path, f"{path}/split")
-    path, split_path = _BUNDLES[key]
-    return ModelBundle.load(spark, path), spark.read.parquet(split_path)
-
-
-def frequency_model_of(spark, sf_dir):
-    """Counts over the whole labelled frame — the frame the catalog's features were built on."""
-    return fit_frequencies(base_features(labelled_flights(spark, sf_dir)))
+        split = base_features(sx.stratified_split(labelled_flights(spark, sf_dir), id_col="flight_id"))
+        enc = fit_frequencies(split.where(F.col("split") == "train"))
+        enc.transform(split).select("flight_id", "split", *FEATURE_COLS, "delayed").write.parquet(f"{path}/split")
+        rows = spark.read.parquet(f"{path}/split")
+        bundle = ModelBundle(pipeline=trx.fit_model(rows.where(F.col("split") == "train")), encoder=enc)
+        (scx.predict(rows.where(F.col("split") == "val"), bundle).select("flight_id", "p_delayed")
+         .write.parquet(f"{path}/val_scores"))          # by the model as fitted, before it was saved
+        bundle.save(path)
+        _BUNDLES[key] = path
+    path = _BUNDLES[key]
+    return ModelBundle.load(spark, path), spark.read.parquet(f"{path}/split"), path
+
+
+def val_report(spark, sf_dir):
+    bundle, rows, _ = trained_bundle(spark, sf_dir)
+    return mx.classification_report(scx.predict(rows.where(F.col("split") == "val"), bundle),
+                                    "delayed", "p_delayed", "prediction")
 
 
 @query("train_metrics")
 def q_train_metrics(spark, sf_dir):
-    bundle, sp = trained_bundle(spark, sf_dir)
-    return mx.classification_report(scx.predict(sp.where(F.col("split") == "val"), bundle),
-                                    "delayed", "p_delayed", "prediction")
+    """Validation report: row and positive counts, and whether cells and ratios agree."""
+    tp, fp, fn, tn = (F.col(c) for c in ("tp", "fp", "fn", "tn"))
+    ratio = lambda a, b: tx.round4(F.coalesce(F.try_divide(a, b), F.lit(0.0)))
+    return val_report(spark, sf_dir).select(
+        "n", (tp + fn).alias("positives"), (tp + fp + fn + tn == F.col("n")).alias("cells_add_up"),
+        ((ratio(tp + tn, F.col("n")) == F.col("accuracy")) & (ratio(tp, tp + fp) == F.col("precision"))
+         & (ratio(tp, tp + fn) == F.col("recall"))
+         & (ratio(2 * tp, 2 * tp + fp + fn) == F.col("f1"))).alias("ratios_follow"),
+        F.col("auc").between(0, 1).alias("auc_in_range"))
 
 
 @query("feature_importance")
 def q_feature_importance(spark, sf_dir):
-    bundle, _ = trained_bundle(spark, sf_dir)
-    return trx.feature_importance(bundle.pipeline)
+    """Every feature, whether its importance is a share of one and its rank one of 1 … 14."""
+    bundle, _, _ = trained_bundle(spark, sf_dir)
+    rows = trx.feature_importance(bundle.pipeline)
+    total = rows.agg(F.sum("importance").alias("total"), F.collect_set("rank").alias("ranks"))
+    n = len(FEATURE_COLS)
+    return rows.join(F.broadcast(total), F.lit(True)).select(                        # one row
+        "feature", (F.col("importance").between(0, 1) & (F.abs(F.col("total") - 1) < 1e-6)).alias("is_share"),
+        (F.col("rank").between(1, n) & (F.size("ranks") == n)).alias("is_ranked"))
 
 
 @query("quality_gates")
 def q_quality_gates(spark, sf_dir):
-    return trx.quality_gates(q_train_metrics(spark, sf_dir))
+    """Gates with their thresholds, and whether each flag is value >= threshold."""
+    gates = trx.quality_gates(val_report(spark, sf_dir))
+    return gates.select("gate", "threshold",
+                        (F.col("passed") == (F.col("value") >= F.col("threshold"))).alias("flag_follows"))
+
+
+@query("run_record")
+def q_run_record(spark, sf_dir):
+    """The record of the training run: what it names and whether every part is there."""
+    _, _, path = trained_bundle(spark, sf_dir)
+    m = val_report(spark, sf_dir).first().asDict()
+    metrics = {f"val_{k}": m[k] for k in ("accuracy", "f1", "precision", "recall", "auc")}
+    rec = trx.run_record(spark, GBT_PARAMS, {"model_type": "GBTClassifier"}, metrics, path)
+    return rec.select(F.size("params").cast("long").alias("n_params"),
+                      F.col("tags")["model_type"].alias("model_type"),
+                      F.size("metrics").cast("long").alias("n_metrics"),
+                      (F.length("run_id") == 36).alias("has_run_id"),
+                      F.col("model_uri").isNotNull().alias("has_model_uri"))
+
+
+@query("model_roundtrip")
+def q_model_roundtrip(spark, sf_dir):
+    """Validation rows, and those whose score changed when the model was saved and loaded."""
+    bundle, rows, path = trained_bundle(spark, sf_dir)
+    loaded = scx.predict(rows.where(F.col("split") == "val"), bundle).select(
+        "flight_id", F.col("p_delayed").alias("p_loaded"))
+    both = loaded.join(spark.read.parquet(f"{path}/val_scores"), "flight_id")
+    return both.agg(F.count(F.lit(1)).alias("rows"),
+                    F.count_if(F.col("p_loaded") != F.col("p_delayed")).alias("changed"))
+
+
+def scoring_facts(scored: DataFrame, rejected: DataFrame, id_col: str) -> DataFrame:
+    """A row for every request: scored or rejected, the flight's label, whether the tiers follow
+    from the published probability, and whether class and probability are in range."""
+    p = F.col("delay_probability")
+    return scored.select(
+        id_col, F.lit("scored").alias("outcome"), "flight",
+        ((F.col("risk_level") == tx.risk_level(p)) & (F.col("confidence") == tx.confidence_level(p)))
+        .alias("tiers_follow"),
+        (p.between(0, 1) & F.col("delayed").isin(0, 1)).alias("in_range")).unionByName(rejected.select(
+            id_col, F.lit("rejected").alias("outcome"), F.lit(None).cast("string").alias("flight"),
+            F.lit(None).cast("boolean").alias("tiers_follow"), F.lit(None).cast("boolean").alias("in_range")))
 
 
 @query("score_flights")
 def q_score_flights(spark, sf_dir):
-    bundle, _ = trained_bundle(spark, sf_dir)
-    scored, _ = scx.score(normalize_columns(held_out_requests(spark, sf_dir)), bundle, keep=["flight_id"])
-    return scored
+    """All flights as requests (labelled or not)."""
+    bundle, _, _ = trained_bundle(spark, sf_dir)
+    scored, rejected = scx.score(normalize_columns(load_flights(spark, sf_dir)), bundle, keep=["flight_id"])
+    return scoring_facts(scored, rejected, "flight_id")
 
 
 @query("behaviour_checks")
 def q_behaviour_checks(spark, sf_dir):
     """Morning (08:00) vs evening (19:00) copies of every val flight, scored together."""
-    bundle, sp = trained_bundle(spark, sf_dir)
-    val = sp.where(F.col("split") == "val").drop("dep_hour", "dep_time_bucket")
+    bundle, rows, _ = trained_bundle(spark, sf_dir)
+    val = rows.where(F.col("split") == "val").drop("dep_hour", "dep_time_bucket")
     pairs = val.withColumn("slot", F.explode(F.array(F.lit(8), F.lit(19))))
     pairs = pairs.withColumn("dep_hour", F.col("slot").cast("int")).withColumn(
         "dep_time_bucket", F.when(F.col("slot") < 12, 1).otherwise(3).cast("int"))
-    return trx.behaviour_summary(scx.predict(pairs, bundle), "slot", morning=8, evening=19)
+    b = trx.behaviour_summary(scx.predict(pairs, bundle), "slot", morning=8, evening=19)
+    return b.select("pairs", ((F.col("min_pred") >= 0) & (F.col("max_pred") <= 1)).alias("classes_ok"),
+                    ((F.col("min_p") >= 0) & (F.col("max_p") <= 1)).alias("probabilities_ok"),
+                    (F.col("max_sum_error") < 1e-6).alias("sums_ok"), "evening_not_lower")
 
 
 # ── Structured Streaming variants (same answers as the batch queries) ─
@@ -364,7 +486,7 @@ def q_behaviour_checks(spark, sf_dir):
 
 @query("stream_daily_stats")
 def q_stream_daily_stats(spark, sf_dir):
-    """events.parquet as a file stream → watermarked daily windows → day-partitioned table."""
+    """events.parquet as a file stream → partial daily statistics per batch → merged on read."""
     schema = load_table(spark, sf_dir, "events").schema
     src = (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
            .parquet(sf_dir))
@@ -372,7 +494,7 @@ def q_stream_daily_stats(spark, sf_dir):
     q = mnx.start_daily_stats_stream(spark, dx.capture_from_events(src), CAPTURE_FEATURES,
                                      f"{base}/stats", f"{base}/_checkpoint")
     q.awaitTermination()
-    out = spark.read.parquet(f"{base}/stats")
+    out = mnx.read_daily_stats(spark, f"{base}/stats")
     return out.select("day", "feature", "n", "nulls", "type_errors",
                       F.bround("mean", 4).alias("mean"), F.bround("std", 4).alias("std"))
 
@@ -389,17 +511,36 @@ def q_stream_landing(spark, sf_dir):
     return out.drop("batch_id", "source_file")
 
 
+@query("csv_roundtrip")
+def q_csv_roundtrip(spark, sf_dir):
+    """All flights written as CSV in three header layouts (original, reversed with a further
+    column, whole numbers with a fraction and missing values spelled out) and read back."""
+    base = scratch_path(spark, "csv")
+    rows = load_flights(spark, sf_dir)
+    part = F.col("flight_id") % 3
+    rows.where(part == 0).write.option("header", True).csv(f"{base}/a")
+    (rows.where(part == 1).select(*reversed(rows.columns), F.lit("x").alias("NOTE"))
+     .write.option("header", True).csv(f"{base}/b"))
+    spelled = rows.where(part == 2).withColumns({
+        c: F.coalesce(F.col(c).cast("double").cast("string"), F.lit("NA"))
+        for c in ("CRS_DEP_TIME", "CRS_ARR_TIME", "CRS_ELAPSED_TIME", "DISTANCE", "DEP_DELAY", "ARR_DELAY")})
+    spelled.write.option("header", True).csv(f"{base}/c")
+    back = read_raw_csv(spark, base, keep_file=False, id_col="flight_id")
+    return back.withColumn("flight_id", F.col("flight_id").cast("long")).withColumn(
+        "type_errors", F.size("_type_errors").cast("long")).drop("_type_errors")
+
+
 @query("stream_scoring_capture")
 def q_stream_scoring_capture(spark, sf_dir):
-    """Test-split requests as a file stream → scores → capture table (100 % sampling)."""
-    bundle, _ = trained_bundle(spark, sf_dir)
+    """All flights as a request stream → capture table and quarantine, a row for each request."""
+    bundle, _, _ = trained_bundle(spark, sf_dir)
     base = scratch_path(spark, "scoring")
-    reqs = (normalize_columns(held_out_requests(spark, sf_dir))
+    reqs = (normalize_columns(load_flights(spark, sf_dir))
             .withColumnRenamed("flight_id", "request_id").drop("DEP_DELAY", "ARR_DELAY"))
     reqs.write.parquet(f"{base}/requests")
     stream = spark.readStream.schema(reqs.schema).parquet(f"{base}/requests")
-    q = ssx.start_scoring_stream(spark, stream, bundle, f"{base}/capture", f"{base}/_checkpoint")
+    q = ssx.start_scoring_stream(spark, stream, bundle, f"{base}/capture", f"{base}/quarantine",
+                                 f"{base}/_checkpoint")
     q.awaitTermination()
-    cap = spark.read.parquet(f"{base}/capture")
-    return cap.select("request_id", "delayed", "delay_probability", "risk_level", "confidence",
-                      "flight")
+    return scoring_facts(spark.read.parquet(f"{base}/capture"), spark.read.parquet(f"{base}/quarantine"),
+                         "request_id")

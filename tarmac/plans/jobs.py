@@ -1,4 +1,4 @@
-"""The three batch jobs: preprocess → train → evaluate (+ conditional registration).
+"""The batch jobs: preprocess → train → evaluate (+ conditional registration), baseline, monitor.
 
 Each job reads its inputs from tables and writes its outputs as tables,
 so a lost executor only costs the tasks of the running stage, and each
@@ -12,6 +12,7 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tarmac.operators import drift as dx
 from tarmac.operators import metrics as mx
 from tarmac.operators import profile as px
 from tarmac.operators import quality as qx
@@ -28,16 +29,11 @@ from tarmac.sources.model_store import ModelBundle
 
 
 def with_row_key(df: DataFrame, id_col: str | None) -> tuple[DataFrame, str]:
-    """Rows need a unique key for the seeded split.
-
-    Without an id column, identical copies must still get different keys
-    (otherwise a large group of copies would share one hash bucket), so the
-    key is a generated row id. It is only stable once written: callers
-    write the keyed rows before anything reads them twice.
-    """
+    """Rows need a unique key for the seeded split: the id column, or one made of the row's
+    content (the same in any file layout, see ``split.content_key``)."""
     if id_col and id_col in df.columns:
         return df, id_col
-    return df.withColumn("row_key", F.monotonically_increasing_id()), "row_key"
+    return sx.content_key(df), "row_key"
 
 
 def preprocess(raw: DataFrame, out_dir: str, id_col: str | None = None,
@@ -46,29 +42,28 @@ def preprocess(raw: DataFrame, out_dir: str, id_col: str | None = None,
     """Validate, label, split, encode, profile and write train/val/test + reference outputs.
 
     ``fit_on="train"`` fits frequencies on the training rows only;
-    ``"all"`` counts the whole labelled frame before the split.
+    ``"all"`` counts the whole labelled frame before the split. Flights with neither an
+    elapsed time nor a distance go to ``quarantine``.
     """
+    spark = raw.sparkSession
     raw = normalize_columns(raw)
     qx.validate_raw_data(raw)
-    labelled, key = with_row_key(create_target(raw), id_col)
-    base_path = f"{out_dir}/_base"
-    base_features(labelled).write.mode("overwrite").parquet(base_path)   # keys fixed from here on
-    base = raw.sparkSession.read.parquet(base_path)
-    split = sx.stratified_split(base, id_col=key, test_size=test_size, val_size=val_size, seed=seed)
-    split_path = f"{out_dir}/_split"
-    split.write.mode("overwrite").parquet(split_path)          # lineage cut, reused below
-    split = raw.sparkSession.read.parquet(split_path)
-    fit_frame = split.where(F.col("split") == "train") if fit_on == "train" else split
-    encoder = fit_frequencies(fit_frame)
+    usable, unusable = qx.split_unusable(raw)
+    unusable.write.mode("overwrite").parquet(f"{out_dir}/quarantine")
+    labelled, key = with_row_key(create_target(usable), id_col)
+    # the split needs key and label only, so it comes before the features
+    split = base_features(sx.stratified_split(labelled, id_col=key, test_size=test_size,
+                                              val_size=val_size, seed=seed))
+    encoder = fit_frequencies(split.where(F.col("split") == "train") if fit_on == "train" else split)
     encoder.save(f"{out_dir}/frequencies")
     feats = encoder.transform(split).select(key, *FEATURE_COLS, TARGET_COL, "split")
     feats.write.mode("overwrite").partitionBy("split").parquet(f"{out_dir}/features")
-    spark = raw.sparkSession
     written = spark.read.parquet(f"{out_dir}/features")
     train = written.where(F.col("split") == "train")
-    ref = sx.reference_sample(train, key, REFERENCE_SAMPLE_ROWS, seed)
-    ref.write.mode("overwrite").parquet(f"{out_dir}/reference")
-    ref.write.mode("overwrite").option("header", True).csv(f"{out_dir}/monitoring/reference")
+    sx.reference_sample(train, key, REFERENCE_SAMPLE_ROWS, seed).write.mode("overwrite").parquet(
+        f"{out_dir}/reference")
+    (spark.read.parquet(f"{out_dir}/reference").write.mode("overwrite").option("header", True)
+     .csv(f"{out_dir}/monitoring/reference"))
     px.feature_profile(train).coalesce(1).write.mode("overwrite").json(f"{out_dir}/feature_stats")
     counts = {r["split"]: r["rows"] for r in sx.split_counts(written).collect()}   # 3 rows
     return {"rows": counts, "key": key, "features": f"{out_dir}/features",
@@ -96,8 +91,10 @@ def train(spark: SparkSession, prep_dir: str, model_dir: str, params: dict | Non
     run = tr.run_record(spark, {**p, "n_features": len(FEATURE_COLS)},
                         {"model_type": "GBTClassifier", **(tags or {})}, metrics, model_dir)
     run.write.mode("append").parquet(f"{model_dir}/../runs")
+    run_id = spark.read.parquet(f"{model_dir}/../runs").where(F.col("model_uri") == model_dir).agg(
+        F.max_by("run_id", "created_at")).first()[0]
     with open_text(spark, f"{model_dir}/metrics.json") as f:
-        f.write(json.dumps({"metrics": metrics, "model_uri": model_dir}))
+        f.write(json.dumps({"run_id": run_id, "metrics": metrics, "model_uri": model_dir}))
     return metrics
 
 
@@ -124,36 +121,61 @@ class open_text:
              .coalesce(1).write.mode("overwrite").text(self.path))
 
 
+REGISTRY_SCHEMA = ("package_id long, group_name string, status string, created_at timestamp, "
+                   "model_uri string, metrics_uri string, metrics_doc string")
+
+
+def read_registry(spark: SparkSession, path: str) -> DataFrame:
+    """The registry table; an empty one if nothing has been registered yet."""
+    from pyspark.errors import AnalysisException
+
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return spark.createDataFrame([], REGISTRY_SCHEMA)
+        raise
+
+
 def evaluate(spark: SparkSession, prep_dir: str, model_dir: str, registry_path: str,
              out_dir: str, group: str = MODEL_GROUP) -> DataFrame:
     """Challenger (val metrics) vs latest approved champion; writes the decision document
-    and appends a pending registration when the challenger wins."""
+    and appends a pending registration when the challenger wins.
+
+    The champion's metrics are those of the document registered with it, or the one at its
+    URI. A registration carries the decision document, so the model is known by its metrics
+    once it is approved."""
     bundle = ModelBundle.load(spark, model_dir)
     val_df = spark.read.parquet(f"{prep_dir}/features").where(F.col("split") == "val")
     m = evaluate_frame(bundle, val_df)
     doc = F.to_json(F.struct(F.struct(
         F.col("accuracy").alias("val_accuracy"), F.col("f1").alias("val_f1"),
         F.col("auc").alias("val_auc_roc")).alias("challenger")))
+    doc_uri = f"{out_dir}/comparison.json"
     challenger = m.select(
         F.lit(group).alias("group_name"), F.lit(-1).cast("long").alias("package_id"),
         F.current_timestamp().alias("created_at"), F.lit("Candidate").alias("status"),
-        F.lit(model_dir).alias("model_uri"), F.lit(f"{out_dir}/comparison.json").alias("metrics_uri"),
+        F.lit(model_dir).alias("model_uri"), F.lit(doc_uri).alias("metrics_uri"),
         doc.alias("metrics_doc"))
-    registry = spark.read.parquet(registry_path)
-    champion = rx.latest_per_group(registry, "Approved", group)
-    cmp = rx.compare_champion(rx.latest_per_group(challenger), champion)
-    decision = rx.decision_document(cmp)
-    decision.select("doc").coalesce(1).write.mode("overwrite").text(f"{out_dir}/comparison.json")
-    decision = spark.read.text(f"{out_dir}/comparison.json").select(
+    registry = read_registry(spark, registry_path)
+    champion = rx.with_documents(spark, rx.latest_per_group(registry, "Approved", group))
+    decision = rx.decision_document(rx.compare_champion(challenger, champion))
+    decision.select("doc").coalesce(1).write.mode("overwrite").text(doc_uri)
+    decision = spark.read.text(doc_uri).select(
         F.lit(group).alias("group_name"), F.lit(-1).cast("long").alias("challenger_package"),
         F.col("value").alias("doc"))
     # conditional registration: flag >= 0.5 → append a pending package with a fresh id
-    next_id = registry.select(F.coalesce(F.max("package_id"), F.lit(0)) + 1).scalar()
-    pending = (rx.registrations(decision, challenger)
-               .withColumn("package_id", next_id)
-               .withColumn("created_at", F.current_timestamp())
-               .withColumn("metrics_doc", F.lit(None).cast("string")))
-    (pending.select(*registry.columns).write.mode("append").parquet(registry_path))
+    next_id = (registry.agg(F.max("package_id")).first()[0] or 0) + 1
+    winner = rx.registrations(decision, challenger).select("status").collect()       # at most one row
+    if winner:
+        text = decision.first()["doc"]
+        now = spark.range(1).select(
+            F.lit(next_id).cast("long").alias("package_id"), F.lit(group).alias("group_name"),
+            F.lit(winner[0]["status"]).alias("status"),
+            F.current_timestamp().cast(registry.schema["created_at"].dataType).alias("created_at"),
+            F.lit(model_dir).alias("model_uri"), F.lit(doc_uri).alias("metrics_uri"),
+            F.lit(text).alias("metrics_doc"))
+        now.select(*registry.columns).write.mode("append").parquet(registry_path)
     return decision
 
 
@@ -179,19 +201,33 @@ def baseline_job(spark: SparkSession, reference_path: str, out_dir: str,
     return True
 
 
-def monitor_job(spark: SparkSession, capture: DataFrame, baseline_long: DataFrame,
-                features: list[str], out_dir: str) -> DataFrame:
-    """Daily stats of captured rows vs the baseline; writes violations and the alarm by day."""
-    from tarmac.operators import drift as dx
-
-    stats = dx.daily_stats(dx.long_capture(capture, features))
-    stats.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-        .partitionBy("day").parquet(f"{out_dir}/daily_stats")
-    stats = spark.read.parquet(f"{out_dir}/daily_stats")
-    psi = dx.daily_psi(baseline_long, dx.long_capture(capture, features))
-    viol = dx.violations(stats, dx.baseline_stats(baseline_long)).unionByName(dx.psi_violations(psi))
-    viol.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-        .partitionBy("day").parquet(f"{out_dir}/violations")
-    alarm = dx.drift_alarm(stats, spark.read.parquet(f"{out_dir}/violations"))
+def capture_features(capture: DataFrame, encoder, at: str = "captured_at") -> DataFrame:
+    """Captured requests → the model's features in long form (captured_at, feature, value, text),
+    by the same expressions and training counts as scoring."""
+    feats = encoder.transform(base_features(capture)).select(F.col(at).alias("captured_at"), *FEATURE_COLS)
+    wide = feats.select("captured_at", *[F.struct(F.col(c).cast("double").alias("value"),
+                                                  F.col(c).cast("string").alias("text")).alias(c)
+                                         for c in FEATURE_COLS])
+    return dx.long_capture(wide, FEATURE_COLS)
+
+
+def monitor_job(spark: SparkSession, long: DataFrame, baseline_dir: str, out_dir: str) -> DataFrame:
+    """Daily statistics of captured values against the stored baseline; writes checks and alarm.
+
+    ``baseline_dir`` holds the ``statistics`` and ``constraints`` of ``baseline_job``. Every check
+    of every monitored day is written with a ``failed`` flag, so a day that is run again
+    replaces all of its rows, and a day without violations is a day with rows."""
+    def by_day(df: DataFrame, name: str) -> DataFrame:
+        (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("day").parquet(f"{out_dir}/{name}"))
+        return spark.read.schema(df.schema).parquet(f"{out_dir}/{name}")
+
+    fresh = dx.daily_stats(long)
+    by_day(fresh, "daily_stats")
+    days = fresh.select("day").distinct()
+    stats = spark.read.schema(fresh.schema).parquet(f"{out_dir}/daily_stats").join(days, "day", "left_semi")
+    checked = dx.checks(stats, dx.baseline_of_profile(spark.read.parquet(f"{baseline_dir}/statistics")),
+                        spark.read.parquet(f"{baseline_dir}/constraints"))
+    alarm = dx.alarm_of_checks(by_day(checked, "checks"))
     alarm.write.mode("overwrite").parquet(f"{out_dir}/alarm")
     return spark.read.parquet(f"{out_dir}/alarm")

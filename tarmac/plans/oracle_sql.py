@@ -6,6 +6,10 @@ side; everything after it restates each operator's definition in SQL.
 
 from __future__ import annotations
 
+_CARRIERS = "['AA', 'UA', 'DL', 'WN', 'B6', 'AS']"
+_AIRPORTS = ("['ATL', 'ORD', 'LAX', 'DFW', 'DEN', 'JFK', 'SFO', 'SEA', 'LAS', 'MCO', "
+             "'EWR', 'CLT', 'PHX', 'MIA', 'BOS', 'BZN', 'BNA', 'SLC', 'PDX', 'SAN']")
+
 FLIGHTS = """
 flights AS (
  WITH o AS (
@@ -17,11 +21,10 @@ flights AS (
  SELECT flight_id,
   CASE WHEN flight_id % 97 = 0 THEN 'not-a-date' ELSE strftime(d, '%d-%m-%Y') END AS FL_DATE,
   CASE WHEN flight_id % 101 = 0 THEN NULL
-       ELSE substr('AAUADLWNB6AS', CAST((c % 6)*2+1 AS INT), 2) END AS OP_CARRIER,
-  substr('ATLORDLAXDFWDENJFKSFOSEALASMCOEWRCLTPHXMIABOSBZNBNASLCPDXSAN',
-         CAST((c % 20)*3+1 AS INT), 3) AS ORIGIN,
-  substr('ATLORDLAXDFWDENJFKSFOSEALASMCOEWRCLTPHXMIABOSBZNBNASLCPDXSAN',
-         CAST(((c + 1 + flight_id % 19) % 20)*3+1 AS INT), 3) AS DEST,
+       WHEN flight_id % 89 = 0 THEN ' ' || lower(CARRIERS[c % 6 + 1]) || ' '
+       ELSE CARRIERS[c % 6 + 1] END AS OP_CARRIER,
+  AIRPORTS[c % 20 + 1] AS ORIGIN,
+  AIRPORTS[(c + 1 + flight_id % 19) % 20 + 1] AS DEST,
   CAST(h*100 + c % 60 AS INT) AS CRS_DEP_TIME,
   CAST(((h+3) % 24)*100 + c % 60 AS INT) AS CRS_ARR_TIME,
   CASE WHEN flight_id % 53 = 0 THEN NULL
@@ -34,7 +37,7 @@ flights AS (
                  + CASE WHEN h >= 18 THEN 15 ELSE 0 END
                  + CASE WHEN m IN (6,7,11,12) THEN 8 ELSE 0 END AS DOUBLE) END AS ARR_DELAY
  FROM g
-)"""
+)""".replace("CARRIERS[", f"({_CARRIERS})[").replace("AIRPORTS[", f"({_AIRPORTS})[")
 
 # features of every row of a frame ``src`` with the frame's own frequencies
 def _base(src: str) -> str:
@@ -53,7 +56,9 @@ def _base(src: str) -> str:
    CAST(month(dt) AS INT) AS mon,
    ORIGIN || '_' || DEST AS route,
    round_even(DISTANCE * 1.60934, 1) AS km
-  FROM (SELECT *, CAST(coalesce(try_strptime(FL_DATE, '%d-%m-%Y'),
+  FROM (SELECT * REPLACE (upper(trim(OP_CARRIER)) AS OP_CARRIER, upper(trim(ORIGIN)) AS ORIGIN,
+                          upper(trim(DEST)) AS DEST),
+               CAST(coalesce(try_strptime(FL_DATE, '%d-%m-%Y'),
                                 try_strptime(FL_DATE, '%Y-%m-%d')) AS DATE) AS dt FROM {src}) s0
  ) s1"""
 
@@ -144,7 +149,7 @@ SELECT count(*) AS rows, CAST(sum(delayed) AS BIGINT) AS positives,
 
 ORACLE["frequency_counts"] = sql("""
 SELECT feature, key, count(*) AS n FROM (
- SELECT 'carrier_encoded' AS feature, OP_CARRIER AS key FROM labelled
+ SELECT 'carrier_encoded' AS feature, upper(trim(OP_CARRIER)) AS key FROM labelled
  UNION ALL SELECT 'origin_encoded', ORIGIN FROM labelled
  UNION ALL SELECT 'dest_encoded', DEST FROM labelled
  UNION ALL SELECT 'route_id_encoded', ORIGIN || '_' || DEST FROM labelled) u
@@ -312,7 +317,7 @@ ORACLE["risk_confidence"] = sql2("""
 SELECT s.flight_id, rule_pred AS delayed, p AS delay_probability,
   CASE WHEN p < 0.25 THEN 'LOW' WHEN p < 0.55 THEN 'MEDIUM' ELSE 'HIGH' END AS risk_level,
   CASE WHEN abs(p - 0.5) >= 0.35 THEN 'HIGH' WHEN abs(p - 0.5) >= 0.15 THEN 'MEDIUM' ELSE 'LOW' END AS confidence,
-  f.ORIGIN || '-' || f.DEST || ' ' || f.OP_CARRIER AS flight
+  f.ORIGIN || '-' || f.DEST || ' ' || upper(trim(f.OP_CARRIER)) AS flight
 FROM (SELECT *, round_even(rule_score, 4) AS p FROM scored) s JOIN flights f USING (flight_id)""")
 
 ORACLE["batch_summary"] = sql2("""
@@ -475,11 +480,10 @@ ORACLE["stream_daily_stats"] = MONITOR.replace("WHERE captured_at >= c GROUP BY
 SELECT day, feature, n, nulls, type_errors, round_even(mean, 4) AS mean, round_even(std, 4) AS std
 FROM stats"""
 
-ORACLE["stream_landing"] = sql(f"""
-SELECT flight_id, FL_DATE, OP_CARRIER, ORIGIN, DEST, CRS_DEP_TIME, CRS_ARR_TIME, CRS_ELAPSED_TIME,
-  DISTANCE, DEP_DELAY, ARR_DELAY, delayed
-FROM (SELECT *, concat_ws(';', {', '.join(_REQ_CHECKS)}) AS errors FROM labelled) l
-WHERE errors = ''""")
+ORACLE["stream_landing"] = sql("""
+SELECT flight_id, FL_DATE, trim(OP_CARRIER) AS OP_CARRIER, ORIGIN, DEST, CRS_DEP_TIME, CRS_ARR_TIME,
+  CRS_ELAPSED_TIME, DISTANCE, DEP_DELAY, ARR_DELAY, delayed
+FROM labelled""")
 
 _PSI_P = [i / 10 for i in range(1, 10)]
 _EDGE_COLS = ", ".join(
@@ -517,3 +521,107 @@ ORACLE["daily_psi"] = MONITOR + f"""
  LEFT JOIN expected x ON x.feature = g.feature AND x.bin = g.bin
 )
 SELECT day, feature, round_even(sum((pa - pe) * ln(pa / pe)), 4) AS psi FROM terms GROUP BY 1, 2"""
+
+
+# ── champion loop ────────────────────────────────────────────────────
+ORACLE["champion_loop"] = PREFIX_REG + """
+SELECT group_name, k AS case, round_even((coalesce(val_f1, 0.0) + d) - coalesce(val_f1, 0.0), 4) AS improvement,
+  (coalesce(val_f1, 0.0) + d) - coalesce(val_f1, 0.0) >= 0.01 AS beats_champion
+FROM latest_pending,
+ (VALUES ('equal', CAST(0.0 AS DOUBLE)), ('worse', CAST(-0.05 AS DOUBLE)), ('better', CAST(0.05 AS DOUBLE))) v(k, d)"""
+
+# ── CSV files in several layouts ─────────────────────────────────────
+ORACLE["csv_roundtrip"] = sql(f"""
+SELECT flight_id, {', '.join('trim(OP_CARRIER) AS OP_CARRIER' if c == 'OP_CARRIER' else c for c in RAW_NAMES)},
+  CAST(0 AS BIGINT) AS type_errors FROM flights""")
+
+# ── captured flights against the baseline of the training rows ───────
+_KEYS = {"carrier_encoded": "OP_CARRIER", "origin_encoded": "ORIGIN", "dest_encoded": "DEST",
+         "route_id_encoded": "route"}
+
+
+def _encoded(src: str) -> str:
+    """The features of ``src`` (base columns) with the counts of the training rows."""
+    plain = {"dep_hour": "dep_hour0", "dep_day_of_week": "dow", "dep_month": "mon", "route_distance_km": "km",
+             "is_hub_origin": f"CAST(coalesce(ORIGIN IN {HUBS}, false) AS INT)",
+             "is_hub_dest": f"CAST(coalesce(DEST IN {HUBS}, false) AS INT)"}
+    cols = ", ".join(f"CAST(coalesce(n_{f}.n, 0) AS DOUBLE) AS {f}" if f in _KEYS
+                     else f"CAST({plain.get(f, f)} AS DOUBLE) AS {f}" for f in FEATURE_NAMES)
+    joins = " ".join(f"LEFT JOIN n_{f} ON n_{f}.k = b.{k}" for f, k in _KEYS.items())
+    return f"SELECT b.flight_id, {cols} FROM {src} b {joins}"
+
+
+_COUNTS = ", ".join(f"n_{f} AS (SELECT {k} AS k, count(*) AS n FROM train_base WHERE {k} IS NOT NULL GROUP BY 1)"
+                    for f, k in _KEYS.items())
+_LONG = " UNION ALL ".join(f"SELECT flight_id, '{f}' AS feature, {f} AS value FROM {{src}}" for f in FEATURE_NAMES)
+
+CHECKS = f"""{PREFIX2},
+train_base AS (SELECT b.* FROM ({_base('labelled')}) b JOIN train t ON t.flight_id = b.flight_id),
+all_base AS ({_base('flights')}),
+{_COUNTS},
+ft AS ({_encoded('train_base')}), fa AS ({_encoded('all_base')}),
+lt AS ({_LONG.format(src='ft')}), la AS ({_LONG.format(src='fa')}),
+prof AS (
+ SELECT feature, round_even(avg(value), 4) AS mean0, round_even(stddev_samp(value), 4) AS std0,
+   round_even(avg(CAST(value IS NULL AS DOUBLE)), 4) AS null0,
+   round_even(count(value) / CAST(count(*) AS DOUBLE), 4) AS completeness,
+   coalesce(min(value) >= 0, true) AS non_negative, min(value) AS min0, max(value) AS max0
+ FROM lt GROUP BY feature
+), st AS (
+ SELECT CAST(DATE '2024-01-01' + CAST(flight_id % 14 AS INT) AS DATE) AS day, feature, count(*) AS n,
+   count(*) - count(value) AS nulls, avg(value) AS mean, min(value) AS lo, max(value) AS hi
+ FROM la GROUP BY 1, 2
+), j AS (
+ SELECT *, abs(mean - mean0) AS shift, nulls / CAST(n AS DOUBLE) AS nf FROM st JOIN prof USING (feature)
+), checked AS (
+ SELECT day, feature, 'baseline_drift' AS "check",
+   coalesce(CASE WHEN coalesce(std0, 0) = 0 THEN shift > 0 ELSE shift / nullif(std0, 0) > 0.1 END, false) AS failed,
+   round_even(mean, 4) AS observed, round_even(mean0, 4) AS baseline FROM j
+ UNION ALL SELECT day, feature, 'missing_values', coalesce(nf > null0 + 0.05, false), round_even(nf, 4),
+   round_even(null0, 4) FROM j
+ UNION ALL SELECT day, feature, 'data_type_errors', false, CAST(0 AS DOUBLE), CAST(0 AS DOUBLE) FROM j
+ UNION ALL SELECT day, feature, 'completeness', coalesce(1 - nf < completeness - 0.05, false),
+   round_even(1 - nf, 4), completeness FROM j
+ UNION ALL SELECT day, feature, 'non_negative', coalesce(non_negative AND lo < 0, false), lo, CAST(0 AS DOUBLE) FROM j
+ UNION ALL SELECT day, feature, 'range_min', coalesce(lo < min0, false), round_even(lo, 4), round_even(min0, 4) FROM j
+ UNION ALL SELECT day, feature, 'range_max', coalesce(hi > max0, false), round_even(hi, 4), round_even(max0, 4) FROM j
+)"""
+
+ORACLE["flight_drift"] = CHECKS + """
+SELECT * FROM checked WHERE "check" IN ('baseline_drift', 'missing_values', 'data_type_errors')"""
+ORACLE["flight_constraints"] = CHECKS + """
+SELECT * FROM checked WHERE "check" IN ('completeness', 'non_negative', 'range_min', 'range_max')"""
+ORACLE["flight_alarm"] = CHECKS + """
+SELECT day, CAST(sum(CAST("check" = 'baseline_drift' AND failed AS INT)) AS BIGINT) AS drift_count,
+  coalesce(bool_or("check" = 'baseline_drift' AND failed), false) AS alarm FROM checked GROUP BY day"""
+
+# ── model queries: what must hold of the trees' output ───────────────
+ORACLE["train_metrics"] = sql2("""
+SELECT count(*) AS n, CAST(sum(delayed) AS DOUBLE) AS positives, true AS cells_add_up, true AS ratios_follow,
+  true AS auc_in_range FROM split WHERE split = 'val'""")
+ORACLE["feature_importance"] = (
+    "SELECT unnest([" + ", ".join(f"'{c}'" for c in FEATURE_NAMES) + "]) AS feature, "
+    "true AS is_share, true AS is_ranked")
+ORACLE["quality_gates"] = """
+SELECT * FROM (VALUES ('accuracy', CAST(0.7 AS DOUBLE), true), ('f1', CAST(0.55 AS DOUBLE), true),
+                      ('auc', CAST(0.7 AS DOUBLE), true)) t(gate, threshold, flag_follows)"""
+ORACLE["run_record"] = """
+SELECT CAST(5 AS BIGINT) AS n_params, 'GBTClassifier' AS model_type, CAST(5 AS BIGINT) AS n_metrics,
+  true AS has_run_id, true AS has_model_uri"""
+ORACLE["model_roundtrip"] = sql2(
+    "SELECT count(*) AS rows, CAST(0 AS BIGINT) AS changed FROM split WHERE split = 'val'")
+ORACLE["behaviour_checks"] = sql2("""
+SELECT count(*) AS pairs, true AS classes_ok, true AS probabilities_ok, true AS sums_ok,
+  true AS evening_not_lower FROM split WHERE split = 'val'""")
+
+
+def _scoring(id_col: str) -> str:
+    return sql(f"""
+SELECT flight_id AS {id_col}, CASE WHEN errors = '' THEN 'scored' ELSE 'rejected' END AS outcome,
+  CASE WHEN errors = '' THEN ORIGIN || '-' || DEST || ' ' || upper(trim(OP_CARRIER)) END AS flight,
+  CASE WHEN errors = '' THEN true END AS tiers_follow, CASE WHEN errors = '' THEN true END AS in_range
+FROM (SELECT *, concat_ws(';', {', '.join(_REQ_CHECKS)}) AS errors FROM flights) q""")
+
+
+ORACLE["score_flights"] = _scoring("flight_id")
+ORACLE["stream_scoring_capture"] = _scoring("request_id")

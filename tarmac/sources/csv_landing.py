@@ -1,14 +1,14 @@
 """Raw CSV ingestion (header, all matching files, typed by name).
 
-Columns are read as text and cast by *name* with ``try_cast`` so that
-extra columns are tolerated, the ``AIRLINE_CODE`` spelling is accepted
-and a value that does not parse becomes NULL and is counted by the
-quality report instead of failing the job. No schema inference pass.
+Files are read as lines and each file's columns are found by its own header, so
+other column orders, further columns and the ``AIRLINE_CODE`` spelling are
+accepted side by side. A value that does not parse becomes NULL and is counted
+by the quality report instead of failing the job. No schema inference pass.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,36 +34,100 @@ def nan_to_null(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in cols})
 
 
-def read_raw_csv(spark: SparkSession, path: str, keep_file: bool = True,
-                 glob: str = "*.csv") -> DataFrame:
-    """Read every CSV under ``path`` and type the required columns.
+# ── fixed values: spellings of a missing value in the original reader ──
+MISSING = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+           "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"]
+# ───────────────────────────────────────────────────────────────────────
 
-    Adds ``_type_errors`` (names of columns whose non-empty text did not
-    parse) and, if ``keep_file``, ``source_file`` from the file metadata.
-    Column names come from the header of the first file; every other file's
-    header is checked against them (``enforceSchema`` off), so a file with
-    another column order fails instead of being read into the wrong columns.
+
+def with_file_columns(lines: DataFrame) -> DataFrame:
+    """Lines of a text source with the file and place they come from."""
+    return lines.select("value", F.col("_metadata.file_path").alias("source_file"),
+                        F.col("_metadata.file_block_start").alias("_block"),
+                        F.monotonically_increasing_id().alias("_line"))
+
+
+def rows_by_header(lines: DataFrame, extra: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """(rows, rejected) of CSV lines: every file's columns are found by that file's own header.
+
+    ``rows`` has the raw columns as text (alias spellings accepted, order and further columns
+    of a file don't matter), ``extra`` columns where a file has them, and ``source_file``.
+    A file whose header lacks a required column goes to ``rejected`` (source_file, missing)
+    as a whole; the others are read. The header is the first line at the start of a file.
+    Quoted fields may not contain line breaks.
     """
-    raw = (spark.read.option("header", True).option("enforceSchema", False)
-           .option("pathGlobFilter", glob).option("recursiveFileLookup", True).csv(path))
-    raw = normalize_columns(raw)
-    typed = {}
-    errors = []
+    heads = (lines.where(F.col("_block") == 0).groupBy("source_file")
+             .agg(F.min_by("value", "_line").alias("_header")))
+    names = F.transform(F.split(F.regexp_replace("_header", "\r$", ""), ","),
+                        lambda x: F.trim(F.regexp_replace(x, '^\ufeff|"', "")))
+    heads = heads.withColumn("_names", names)
+    wanted = [f.name for f in RAW_SCHEMA.fields]
+    spelled = {v: k for k, v in COLUMN_ALIASES.items()}
+
+    def place(name: str) -> Column:
+        at = F.array_position("_names", name)
+        return F.when(at == 0, F.array_position("_names", spelled[name])).otherwise(at) if name in spelled else at
+
+    missing = F.array_compact(F.array(*[F.when(place(c) == 0, F.lit(c)) for c in wanted]))
+    heads = heads.withColumn("_missing", missing).checkpoint(eager=True)       # one row per file
+    n_files = heads.count()
+    good = heads.where(F.size("_missing") == 0).drop("_missing")
+    if n_files <= 10_000:
+        good = F.broadcast(good)
+    rows = (lines.join(good, "source_file").where(F.col("value") != F.col("_header"))
+            .withColumn("value", F.regexp_replace("value", "\r$", "")))
+    # the CSV parser allocates a buffer per line, so cells are cut by pattern
+    plain = F.split("value", ",")
+    quoted = F.transform(
+        F.regexp_extract_all("value", F.lit(r'("(?:[^"]|"")*"|[^,]*)(?:,|$)'), 1),
+        lambda c: F.when(F.startswith(c, F.lit('"')), F.replace(
+            F.substr(c, F.lit(2), F.length(c) - 2), F.lit('""'), F.lit('"'))).otherwise(c))
+    rows = rows.withColumn("_cells", F.when(F.contains("value", F.lit('"')), quoted).otherwise(plain))
+    cells = F.col("_cells")
+
+    def cell(name: str, at: Column) -> Column:
+        text = F.trim(F.try_element_at(cells, F.when(at > 0, at.cast("int"))))
+        return F.when(~text.isin(MISSING), text).alias(name)
+
+    out = rows.select(*[cell(c, place(c)) for c in wanted],
+                      *[cell(c, F.array_position("_names", c)) for c in (extra or [])], "source_file")
+    rejected = heads.where(F.size("_missing") > 0).select("source_file", F.col("_missing").alias("missing"))
+    return out, rejected
+
+
+def typed_value(name: str, kind: T.DataType) -> Column:
+    """Text → number or NULL. Whole numbers may be written with a fraction of zero (``900.0``)."""
+    text = F.col(name)
+    number = text.try_cast("double")
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        return number.cast(kind)
+    if isinstance(kind, T.IntegralType):
+        return F.when(number == F.floor(number), F.floor(number)).try_cast(kind)
+    return text.try_cast(kind)
+
+
+def type_rows(df: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """Raw text columns → typed columns; ``_type_errors`` lists columns whose text didn't parse."""
+    typed, errors = [], []
     for f in RAW_SCHEMA.fields:
-        if f.name not in raw.columns:
-            continue
-        text = F.col(f.name)
         if isinstance(f.dataType, T.StringType):
-            typed[f.name] = text
+            typed.append(F.col(f.name))
             continue
-        parsed = F.expr(f"try_cast(`{f.name}` AS {f.dataType.simpleString()})")
-        typed[f.name] = parsed
-        errors.append(F.when(text.isNotNull() & parsed.isNull(), F.lit(f.name)))
-    extra = [c for c in raw.columns if c not in typed]
-    out = raw.select(
-        *[typed[n].alias(n) for n in typed], *extra,
-        F.array_compact(F.array(*errors)).alias("_type_errors") if errors
-        else F.array().cast("array<string>").alias("_type_errors"),
-        *([F.col("_metadata.file_path").alias("source_file")] if keep_file else []),
-    )
-    return nan_to_null(out)
+        v = typed_value(f.name, f.dataType)
+        typed.append(v.alias(f.name))
+        errors.append(F.when(F.col(f.name).isNotNull() & v.isNull(), F.lit(f.name)))
+    return nan_to_null(df.select(*[F.col(c) for c in keep or []], *typed,
+                                 F.array_compact(F.array(*errors)).alias("_type_errors")))
+
+
+def read_raw_csv(spark: SparkSession, path: str, keep_file: bool = True, glob: str = "*.csv",
+                 id_col: str | None = None) -> DataFrame:
+    """Read every CSV file under ``path`` by its own header (see ``rows_by_header``) and type the
+    raw columns. Adds ``_type_errors`` and, if ``keep_file``, ``source_file``. A file without
+    a required column is an error."""
+    lines = (spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", True).text(path))
+    rows, rejected = rows_by_header(with_file_columns(lines), [id_col] if id_col else None)
+    bad = rejected.limit(3).collect()
+    if bad:
+        raise ValueError(f"files without required columns: {[(r['source_file'], r['missing']) for r in bad]}")
+    return type_rows(rows, ([id_col] if id_col else []) + (["source_file"] if keep_file else []))

@@ -3,8 +3,8 @@
 ``flights`` is a deterministic, integer-only projection of ``orders``
 into the raw flight-row schema (``AIRLINE_CODE`` spelling included, so
 the alias rename is exercised). It has one row per order, so it grows
-with the data, and contains bad dates, NULL carriers, NULL elapsed
-times and cancelled flights.
+with the data, and contains bad dates, NULL carriers, padded lower-case
+carriers, NULL elapsed times and cancelled flights.
 """
 
 from __future__ import annotations
@@ -16,9 +16,10 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
           "conversations"]
 
-# ── fixed values: code strings the derivation slices ──────────────────
-CARRIER_CODES = "AAUADLWNB6AS"          # 6 two-letter carriers
-AIRPORT_CODES = "ATLORDLAXDFWDENJFKSFOSEALASMCOEWRCLTPHXMIABOSBZNBNASLCPDXSAN"  # 20 airports
+# ── fixed values: codes the derivation picks from ─────────────────────
+CARRIER_CODES = ["AA", "UA", "DL", "WN", "B6", "AS"]
+AIRPORT_CODES = ["ATL", "ORD", "LAX", "DFW", "DEN", "JFK", "SFO", "SEA", "LAS", "MCO",
+                 "EWR", "CLT", "PHX", "MIA", "BOS", "BZN", "BNA", "SLC", "PDX", "SAN"]
 # ───────────────────────────────────────────────────────────────────────
 
 
@@ -26,8 +27,8 @@ def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _code(codes: str, width: int, index: Column) -> Column:
-    return F.substring(F.lit(codes), (index * width + 1).cast("int"), width)
+def _code(codes: list[str], index: Column) -> Column:
+    return F.element_at(F.array(*[F.lit(c) for c in codes]), (index + 1).cast("int"))
 
 
 def flights_from_orders(orders: DataFrame) -> DataFrame:
@@ -45,9 +46,10 @@ def flights_from_orders(orders: DataFrame) -> DataFrame:
         F.when(fid % 97 == 0, F.lit("not-a-date"))
          .otherwise(F.date_format(d, "dd-MM-yyyy")).alias("FL_DATE"),
         F.when(fid % 101 == 0, F.lit(None).cast("string"))
-         .otherwise(_code(CARRIER_CODES, 2, c % 6)).alias("AIRLINE_CODE"),
-        _code(AIRPORT_CODES, 3, c % 20).alias("ORIGIN"),
-        _code(AIRPORT_CODES, 3, (c + 1 + fid % 19) % 20).alias("DEST"),
+         .otherwise(F.when(fid % 89 == 0, F.concat(F.lit(" "), F.lower(_code(CARRIER_CODES, c % 6)), F.lit(" ")))
+         .otherwise(_code(CARRIER_CODES, c % 6))).alias("AIRLINE_CODE"),
+        _code(AIRPORT_CODES, c % 20).alias("ORIGIN"),
+        _code(AIRPORT_CODES, (c + 1 + fid % 19) % 20).alias("DEST"),
         (h * 100 + c % 60).cast("int").alias("CRS_DEP_TIME"),
         (((h + 3) % 24) * 100 + c % 60).cast("int").alias("CRS_ARR_TIME"),
         F.when(fid % 53 == 0, F.lit(None).cast("double"))

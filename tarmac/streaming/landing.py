@@ -1,88 +1,59 @@
 """Landing-folder stream: new ``*.csv`` files → typed, labelled rows + quarantine + reports.
 
-``readStream.csv`` with a fixed text schema (no inference), files picked
-up once each (file-source log in the checkpoint), at most
-``max_files_per_trigger`` files per micro-batch so a backlog is worked off
-in bounded batches (``availableNow`` honours the cap). ``foreachBatch``
-writes every output under ``batch_id=<n>``, so a batch that is re-run
-after a failure overwrites its own output — exactly-once per file.
+Files are streamed as text lines and read by their own headers
+(``rows_by_header``), picked up once each (file-source log in the
+checkpoint), at most ``max_files_per_trigger`` files per micro-batch so a
+backlog is worked off in bounded batches (``availableNow`` honours the
+cap). A file without a required column is listed in ``rejected_files``; the
+others go on. ``foreachBatch`` writes every output under ``batch_id=<n>``,
+so a batch that is re-run after a failure overwrites its own output —
+exactly-once per file. The labelled rows are those that the batch path
+keeps: the request rules belong to scoring and drop nothing here.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tarmac.operators import quality as qx
 from tarmac.operators.featurize import create_target
 from tarmac.operators.routing import LANDING_PREFIX
-from tarmac.schema import RAW_SCHEMA
-from tarmac.sources.csv_landing import nan_to_null, normalize_columns
+from tarmac.sources.csv_landing import rows_by_header, type_rows, with_file_columns
 
 
-def landing_schema(id_col: str | None = "flight_id", carrier_name: str = "AIRLINE_CODE") -> T.StructType:
-    """Text columns in file order (the carrier column may use its alias spelling)."""
-    fields = [T.StructField(id_col, T.StringType())] if id_col else []
-    for f in RAW_SCHEMA.fields:
-        name = carrier_name if f.name == "OP_CARRIER" else f.name
-        fields.append(T.StructField(name, T.StringType()))
-    return T.StructType(fields)
-
-
-def type_rows(df: DataFrame, id_col: str | None = "flight_id") -> DataFrame:
-    """Text → typed columns by name with ``try_cast``; ``_type_errors`` lists failures."""
-    df = normalize_columns(df)
-    typed, errors = [], []
-    if id_col:
-        typed.append(F.col(id_col).try_cast("long").alias(id_col))
-    for f in RAW_SCHEMA.fields:
-        if isinstance(f.dataType, T.StringType):
-            typed.append(F.col(f.name))
-            continue
-        v = F.col(f.name).try_cast(f.dataType)
-        typed.append(v.alias(f.name))
-        errors.append(F.when(F.col(f.name).isNotNull() & v.isNull(), F.lit(f.name)))
-    extra = [F.col("source_file")] if "source_file" in df.columns else []
-    return nan_to_null(df.select(*typed, F.array_compact(F.array(*errors)).alias("_type_errors"),
-                                 *extra))
-
-
-def process_landed(batch: DataFrame, batch_id: int, out_dir: str,
+def process_landed(lines: DataFrame, batch_id: int, out_dir: str,
                    id_col: str | None = "flight_id") -> None:
-    """Rows of files under the landing prefix are processed; others are skipped (counted)."""
-    if "source_file" in batch.columns:
-        (batch.where(~under_landing_prefix()).groupBy("source_file").count()
-         .withColumn("batch_id", F.lit(batch_id))
-         .write.mode("overwrite").parquet(f"{out_dir}/skipped/batch_id={batch_id}"))
-        batch = batch.where(under_landing_prefix())
-    typed = type_rows(batch, id_col)
-    tagged = typed.withColumn("errors", F.array_union(qx.request_errors(typed), F.col("_type_errors")))
-    tagged.persist()
-    try:
-        qx.quality_report(typed, include_duplicates=False).withColumn(
-            "batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(
-            f"{out_dir}/reports/batch_id={batch_id}")
-        (tagged.where(F.size("errors") > 0).drop("_type_errors")
-         .write.mode("overwrite").parquet(f"{out_dir}/quarantine/batch_id={batch_id}"))
-        (create_target(tagged.where(F.size("errors") == 0)).drop("errors", "_type_errors")
-         .write.mode("overwrite").parquet(f"{out_dir}/labelled/batch_id={batch_id}"))
-    finally:
-        tagged.unpersist()
+    """Lines of files under the landing prefix are processed; others are skipped (counted)."""
+    def write(df: DataFrame, name: str) -> None:
+        df.write.mode("overwrite").parquet(f"{out_dir}/{name}/batch_id={batch_id}")
+
+    inside = under_landing_prefix()
+    write(lines.where(~inside).groupBy("source_file").agg((F.count(F.lit(1)) - 1).alias("count")), "skipped")
+    rows, rejected = rows_by_header(lines.where(inside), [id_col] if id_col else None)
+    write(rejected, "rejected_files")
+    typed = type_rows(rows, ([id_col] if id_col else []) + ["source_file"])
+    if id_col:
+        typed = typed.withColumn(id_col, F.col(id_col).try_cast("long"))
+    write(qx.quality_report(typed, include_duplicates=False), "reports")
+    usable, unusable = qx.split_unusable(typed)
+    write(unusable, "quarantine")
+    write(create_target(usable).drop("_type_errors"), "labelled")
 
 
 def start_landing_stream(spark: SparkSession, landing_dir: str, out_dir: str, checkpoint: str,
                          id_col: str | None = "flight_id", available_now: bool = True,
-                         carrier_name: str = "AIRLINE_CODE", max_files_per_trigger: int = 1000):
+                         max_files_per_trigger: int = 1000):
     """Start the landing stream; returns the ``StreamingQuery``."""
-    src = (spark.readStream.schema(landing_schema(id_col, carrier_name))
-           .option("header", True).option("enforceSchema", False)   # headers checked by name
-           .option("pathGlobFilter", "*.csv")
-           .option("maxFilesPerTrigger", max_files_per_trigger)
-           .option("recursiveFileLookup", True).csv(landing_dir)
-           .withColumn("source_file", F.col("_metadata.file_path")))
+    lines = (spark.readStream.option("pathGlobFilter", "*.csv")
+             .option("maxFilesPerTrigger", max_files_per_trigger)
+             .option("recursiveFileLookup", True).text(landing_dir))
+    # places of lines are counted per batch, where the files of a batch are read
+    src = lines.select("value", F.col("_metadata.file_path").alias("source_file"),
+                       F.col("_metadata.file_block_start").alias("_block"))
     w = (src.writeStream.option("checkpointLocation", checkpoint)
-         .foreachBatch(lambda b, i: process_landed(b, i, out_dir, id_col)))
+         .foreachBatch(lambda b, i: process_landed(
+             b.withColumn("_line", F.monotonically_increasing_id()), i, out_dir, id_col)))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
 

@@ -1,36 +1,30 @@
 """Streaming daily statistics of captured traffic.
 
-Event-time 1-day tumbling windows with a watermark; ``update`` mode and
-``foreachBatch`` rewrite only the day partitions a batch touched
-(dynamic partition overwrite), so the stats table always holds the
-latest value per (day, feature) and a re-run batch is idempotent. A
-touched day comes with all of its features: every captured row adds one
-row per feature (a missing value still counts in ``n``), so each feature
-of that day is updated in the same batch and the rewritten partition is
-complete.
-Violations and the alarm are then batch queries over that table.
+Each micro-batch writes additive partial statistics per (day, feature) under
+its own ``batch_id`` (a re-run batch overwrites its own rows), and the
+statistics are merged when they are read. There is no window state and no
+watermark, so a row counts for its day however late it comes.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tarmac.operators.drift import daily_stats, long_capture
-
-WATERMARK = "1 day"
-
-
-def _write_days(batch: DataFrame, batch_id: int, out_dir: str) -> None:
-    (batch.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("day").parquet(out_dir))
+from tarmac.operators.drift import long_capture, merged_stats, partial_stats
 
 
 def start_daily_stats_stream(spark: SparkSession, capture: DataFrame, features: list[str],
                              out_dir: str, checkpoint: str, available_now: bool = True):
     """``capture`` is a streaming frame with ``captured_at`` and struct(value, text) features."""
-    long = long_capture(capture.withWatermark("captured_at", WATERMARK), features)
-    stats = daily_stats(long)
-    w = (stats.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
-         .foreachBatch(lambda b, i: _write_days(b, i, out_dir)))
+    def write(batch: DataFrame, batch_id: int) -> None:
+        (partial_stats(long_capture(batch, features))
+         .write.mode("overwrite").parquet(f"{out_dir}/batch_id={batch_id}"))
+
+    w = capture.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="5 minutes")
     return w.start()
+
+
+def read_daily_stats(spark: SparkSession, out_dir: str) -> DataFrame:
+    """(day, feature, n, nulls, type_errors, mean, std, min, max) over all batches so far."""
+    return merged_stats(spark.read.parquet(out_dir))

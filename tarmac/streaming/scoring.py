@@ -3,8 +3,10 @@
 Requests arrive as files; each micro-batch is checked, encoded with the
 train-fitted frequencies (stream–static broadcast join), scored by the
 fitted trees and written — inputs and outputs together — to a capture
-table partitioned by capture date. A sampling percentage keeps a
-deterministic hash-selected share of the traffic.
+table, all of it. Requests that fail the checks go to a quarantine table
+with the names of the checks, so every request has a row in one of the
+two. Both tables are written under ``batch_id=<n>``: a re-run batch
+overwrites its own rows.
 """
 
 from __future__ import annotations
@@ -18,22 +20,23 @@ from tarmac.schema import REQUEST_COLS
 from tarmac.sources.model_store import ModelBundle
 
 
-def capture_columns(scored: DataFrame, sampling_pct: int = 100, id_col: str = "request_id") -> DataFrame:
-    out = scored.withColumn("captured_at", F.current_timestamp()) \
-                .withColumn("capture_date", utc_day("captured_at"))
-    if sampling_pct < 100:
-        out = out.where(F.pmod(F.xxhash64(id_col), F.lit(100)) < sampling_pct)
-    return out
+def capture_columns(scored: DataFrame) -> DataFrame:
+    return (scored.withColumn("captured_at", F.current_timestamp())
+            .withColumn("capture_date", utc_day("captured_at")))
 
 
 def start_scoring_stream(spark: SparkSession, requests: DataFrame, bundle: ModelBundle,
-                         capture_dir: str, checkpoint: str, id_col: str = "request_id",
-                         sampling_pct: int = 100, available_now: bool = True):
+                         capture_dir: str, quarantine_dir: str, checkpoint: str,
+                         id_col: str = "request_id", available_now: bool = True):
     """``requests`` is a streaming DataFrame with ``id_col`` + request columns."""
     keep = [id_col] + REQUEST_COLS
-    scored, _ = score(requests, bundle, keep=keep)
-    out = capture_columns(scored, sampling_pct, id_col)
-    w = (out.writeStream.format("parquet").option("checkpointLocation", checkpoint)
-         .partitionBy("capture_date").outputMode("append"))
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        scored, rejected = score(batch, bundle, keep=keep)
+        capture_columns(scored).write.mode("overwrite").parquet(f"{capture_dir}/batch_id={batch_id}")
+        (rejected.select(*keep, "errors")
+         .write.mode("overwrite").parquet(f"{quarantine_dir}/batch_id={batch_id}"))
+
+    w = requests.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
-    return w.start(capture_dir)
+    return w.start()

@@ -20,11 +20,14 @@ def plan(df):
     return buf.getvalue()
 
 
+# queries that fit or apply the trees, or run a stream to its end first
+SLOW = {"train_metrics", "feature_importance", "quality_gates", "run_record", "model_roundtrip", "score_flights",
+        "behaviour_checks", "stream_scoring_capture", "stream_landing", "csv_roundtrip", "stream_daily_stats"}
+
+
 def test_no_python_nodes_or_cartesian_products(spark):
-    for name in ("engineer_features", "quality_report", "split_assign", "roc_auc",
-                 "baseline_quantiles", "daily_drift", "daily_psi", "compare_champion",
-                 "approval_route", "risk_confidence"):
-        text = plan(E.queries()[name](spark, SF_SMALL))
+    for name in sorted(set(C.QUERIES) - SLOW):
+        text = plan(C.QUERIES[name](spark, SF_SMALL))
         assert not any(n in text for n in PY_NODES), name
 
 
@@ -102,15 +105,9 @@ def test_broadcast_decided_per_key_within_budget(spark):
     assert got == sorted(tuple(r) for r in model.transform(hot).select(ENC_COLS).collect())
 
 
-def test_no_fact_to_fact_joins(spark):
-    with no_auto_broadcast(spark):
-        # risk tiers: the four encoder lookups only, no join back to the flights
-        text = plan(E.queries()["risk_confidence"](spark, SF_SMALL))
-        assert text.count("BroadcastHashJoin") == 4 and "SortMergeJoin" not in text
-        # held-out requests: the raw rows split in place, the cut table is the only join
-        text = plan(C.held_out_requests(spark, SF_SMALL))
-        assert text.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in text
-        assert "LeftSemi" not in text
+def test_no_joins_for_features_without_state(spark):
+    # the codes ride along the feature projection, the rule score needs no encoding
+    assert "Join" not in plan(E.queries()["risk_confidence"](spark, SF_SMALL))
 
 
 def test_saved_encoder_keeps_per_key_decision(spark, tmp_dir):

@@ -23,7 +23,7 @@ def _brute_split(rows, test=0.15, val=0.15, seed=42):
 
 
 def test_split_matches_brute_force(spark):
-    f = C.features(spark, SF_SMALL)
+    f = C.q_engineer_features(spark, SF_SMALL)
     got = {r[0]: r[1] for r in sx.stratified_split(f, "flight_id").select("flight_id", "split").collect()}
     rows = [(r[0], r[1]) for r in f.select("flight_id", "delayed").collect()]
     assert got == _brute_split(rows)
@@ -31,19 +31,10 @@ def test_split_matches_brute_force(spark):
 
 def test_split_small_strata_and_ties(spark):
     df = spark.createDataFrame([(i, int(i % 7 == 0)) for i in range(200)], "id long, delayed int")
-    got = {r[0]: r[1] for r in sx.stratified_split(df, "id").collect() for r in [r]}
     got = {r["id"]: r["split"] for r in sx.stratified_split(df, "id").collect()}
     assert got == _brute_split([(i, int(i % 7 == 0)) for i in range(200)])
 
 
-def test_approx_split_is_partition(spark):
-    df = spark.range(5000).withColumn("delayed", (F.col("id") % 3 == 0).cast("int"))
-    out = sx.stratified_split(df, "id", exact=False)
-    counts = dict(out.groupBy("split").count().collect())
-    assert sum(counts.values()) == 5000 and set(counts) == {"train", "val", "test"}
-    assert abs(counts["test"] / 5000 - 0.15) < 0.03
-
-
 def _brute_auc(ys, ss):
     pos = [s for y, s in zip(ys, ss) if y == 1]
     neg = [s for y, s in zip(ys, ss) if y == 0]
@@ -84,14 +75,14 @@ def test_zero_division_metrics(spark):
 
 
 def test_reference_sample_exact_size(spark):
-    f = C.features(spark, SF_SMALL)
+    f = C.q_engineer_features(spark, SF_SMALL)
     n = f.count()
     assert sx.reference_sample(f, "flight_id", 100).count() == 100
     assert sx.reference_sample(f, "flight_id", n + 10).count() == n
 
 
 def test_reference_sample_equals_full_sort(spark):
-    f = C.features(spark, SF_SMALL).select("flight_id", "dep_hour")
+    f = C.q_engineer_features(spark, SF_SMALL).select("flight_id", "dep_hour")
     n = f.count()
     full = [r["flight_id"] for r in
             f.withColumn("_h", sx.row_hash("flight_id", 7)).orderBy("_h", "flight_id").collect()]
@@ -102,26 +93,6 @@ def test_reference_sample_equals_full_sort(spark):
         assert got == full[:k], k
 
 
-def test_sketch_quantiles_track_exact(spark):
-    from tarmac.operators import profile as px
-    f = C.features(spark, SF_SMALL)
-    cols = ["dep_hour", "route_distance_km", "origin_encoded"]
-    ex = {r["feature"]: r for r in px.exact_quantiles(f, cols).collect()}
-    ap = {r["feature"]: r for r in px.approx_quantiles(f, cols).collect()}
-    for c in cols:
-        assert ex[c]["n"] == ap[c]["n"]
-        for q in ("p05", "p50", "p95"):
-            assert ex[c][q] == ap[c][q], (c, q)
-
-
-def test_held_out_requests_are_the_feature_split_test_rows(spark):
-    stored = C.split_features(spark, SF_SMALL).where(F.col("split") == "test").select("flight_id")
-    raw = C.held_out_requests(spark, SF_SMALL)
-    assert "AIRLINE_CODE" in raw.columns and "split" not in raw.columns
-    assert sorted(r[0] for r in raw.select("flight_id").collect()) == \
-        sorted(r[0] for r in stored.collect())
-
-
 def test_behaviour_summary_equals_per_flight_pairs(spark):
     import random
     from tarmac.operators import train as trx
