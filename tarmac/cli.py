@@ -1,4 +1,4 @@
-"""Command line for the batch jobs (``spark-submit -m tarmac …`` or ``python -m tarmac …``).
+"""Command line for the jobs (``spark-submit launch.py …`` or ``python -m tarmac …``).
 
 Hyper-parameters default to the environment (N_ESTIMATORS, MAX_DEPTH,
 LEARNING_RATE, MIN_SAMPLES, RANDOM_STATE) and then to the fixed defaults.
@@ -54,6 +54,34 @@ def parser() -> argparse.ArgumentParser:
     bl = sub.add_parser("baseline", help="profile the reference sample once")
     bl.add_argument("--reference", required=True)
     bl.add_argument("--output", required=True)
+
+    sc = sub.add_parser("score", help="score a table of requests")
+    sc.add_argument("--requests", required=True, help="folder of parquet files")
+    sc.add_argument("--model-dir", required=True)
+    sc.add_argument("--output", required=True, help="gets scored/ and quarantine/")
+    sc.add_argument("--id-col", default="request_id")
+
+    mo = sub.add_parser("monitor", help="captured requests against the stored baseline")
+    mo.add_argument("--capture", required=True)
+    mo.add_argument("--model-dir", required=True)
+    mo.add_argument("--baseline", required=True)
+    mo.add_argument("--output", required=True)
+
+    ls = sub.add_parser("land-stream", help="stream a landing folder into labelled rows")
+    ls.add_argument("--landing", required=True)
+    ls.add_argument("--output", required=True)
+    ls.add_argument("--checkpoint", required=True)
+    ls.add_argument("--id-col", default=None)
+    ls.add_argument("--continuous", action="store_true", help="go on after the files that are there now")
+
+    ss = sub.add_parser("score-stream", help="stream requests into a capture table")
+    ss.add_argument("--requests", required=True)
+    ss.add_argument("--model-dir", required=True)
+    ss.add_argument("--capture", required=True)
+    ss.add_argument("--quarantine", required=True)
+    ss.add_argument("--checkpoint", required=True)
+    ss.add_argument("--id-col", default="request_id")
+    ss.add_argument("--continuous", action="store_true")
     return p
 
 
@@ -65,7 +93,7 @@ def main(argv: list[str] | None = None) -> dict:
 
     spark = build_session(app=f"tarmac-{args.cmd}")
     if args.cmd == "preprocess":
-        raw = read_raw_csv(spark, args.input, keep_file=False)
+        raw = read_raw_csv(spark, args.input, keep_file=False, id_col=args.id_col)
         out = jobs.preprocess(raw, args.output, id_col=args.id_col, val_size=args.val_size,
                               test_size=args.test_size, seed=args.random_state, fit_on=args.fit_on)
     elif args.cmd == "train":
@@ -78,7 +106,36 @@ def main(argv: list[str] | None = None) -> dict:
         d = read_decision(jobs.evaluate(spark, args.prep, args.model_dir, args.registry,
                                         args.output, args.group)).first()
         out = d.asDict() if d else {}
-    else:
+    elif args.cmd == "baseline":
         out = {"written": jobs.baseline_job(spark, args.reference, args.output)}
+    elif args.cmd == "score":
+        from tarmac.operators.scoring import score
+        from tarmac.sources.model_store import ModelBundle
+        scored, rejected = score(spark.read.parquet(args.requests), ModelBundle.load(spark, args.model_dir),
+                                 keep=[args.id_col])
+        scored.write.mode("overwrite").parquet(f"{args.output}/scored")
+        rejected.write.mode("overwrite").parquet(f"{args.output}/quarantine")
+        out = {k: spark.read.parquet(f"{args.output}/{k}").count() for k in ("scored", "quarantine")}
+    elif args.cmd == "monitor":
+        from tarmac.sources.model_store import ModelBundle
+        encoder = ModelBundle.load(spark, args.model_dir).encoder
+        long = jobs.capture_features(spark.read.parquet(args.capture), encoder)
+        alarm = jobs.monitor_job(spark, long, args.baseline, args.output)
+        out = {"days": alarm.count(), "alarms": alarm.where("alarm").count()}
+    elif args.cmd == "land-stream":
+        from tarmac.streaming.landing import start_landing_stream
+        q = start_landing_stream(spark, args.landing, args.output, args.checkpoint, id_col=args.id_col,
+                                 available_now=not args.continuous)
+        q.awaitTermination()
+        out = {"done": True}
+    else:
+        from tarmac.sources.model_store import ModelBundle
+        from tarmac.streaming.scoring import start_scoring_stream
+        schema = spark.read.parquet(args.requests).schema
+        q = start_scoring_stream(spark, spark.readStream.schema(schema).parquet(args.requests),
+                                 ModelBundle.load(spark, args.model_dir), args.capture, args.quarantine,
+                                 args.checkpoint, id_col=args.id_col, available_now=not args.continuous)
+        q.awaitTermination()
+        out = {"done": True}
     print(json.dumps(out, default=str))
     return out
