@@ -52,7 +52,7 @@ def test_count_tree_finds_every_pair_the_bound_allows():
     order = np.argsort(n)
     points, n = points[order], n[order]
     ids = np.arange(300)
-    got = {(int(r[0]), int(r[1])) for p in ngram_jaccard.block_pairs(ids, n, ids, points) for r in p}
+    got = {(int(r[0]), int(r[1])) for p in ngram_jaccard.block_pairs(ids, n, ids, ids, points) for r in p}
     both = np.minimum(points[:, None], points[None]).sum(axis=2)
     want = {(i, j) for i in range(300) for j in range(i + 1, 300) if 175 * both[i, j] >= 75 * (n[i] + n[j])}
     assert got == want and want
