@@ -30,7 +30,7 @@ def tables(spark, tmp_path_factory):
 
     def in_lines(text):
         words = text.split(" ")
-        return "\n".join(" ".join(words[k: k + 12]) for k in range(0, len(words), 12))
+        return "\n".join(" ".join(words[k: k + 12]).capitalize() + "." for k in range(0, len(words), 12))
 
     passage = lines(14)
     texts += [good, edited(rng, good, 0.01), None, "", "one"]
