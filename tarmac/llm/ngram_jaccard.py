@@ -14,18 +14,19 @@ How the work is dealt out:
    shingles (found in one pass over everything) come last in the order, the rest by
    hash. Each such leading shingle is one row. Shingles that only one class leads with
    go at once, and so do classes that share too few with all others together.
-3. Seeds: of the classes that lead with a shingle, the one that shares most is the
-   center; each class is compared with the center it shares most shingles with. That
-   joins copy groups without their pairs.
-4. Groups that still hold two components are joined by a count-vector R-tree:
-   shingles are hashed into ``GROUPS`` groups, a set is the point of its group
-   counts, and ``sum_g min(a_g, b_g)`` bounds the overlap of two points or of two
-   boxes (a box by its largest counts and smallest size). A group of at most ``LEAF``
-   classes is one leaf, whose pairs go on at once. Pairs in one component are skipped,
-   as they can't change the result.
-5. Pairs that share ``k`` leading shingles meet the same bound over finer points, of as
-   many groups as the set has shingles (halving the groups of a point adds neighbours, so points of two
-   resolutions compare). The sets of the survivors are computed anew and intersected.
+3. Families: of the classes that lead with a shingle, the one that shares most is the
+   center; each class joins the family of the center it shares most leading shingles with.
+   A family is compared whole in a task (a large one in pairs of chunks) by a count-vector
+   R-tree: shingles are hashed into ``GROUPS`` groups, a set is the point of its group
+   counts, and ``sum_g min(a_g, b_g)`` bounds the overlap of two points or of two boxes (a
+   box by its largest counts and smallest size). Surviving pairs are verified on the sets
+   unless links found so far connect them, so a group of copies costs few verifications
+   and gives no more links than it has members.
+4. Pairs of different families: shingle groups that still hold two components are joined
+   by the same R-tree (a group of at most ``LEAF`` classes is one leaf), leaving out pairs
+   of one component or family. Those that share ``k`` leading shingles meet the bound over
+   finer points, of as many groups as the set has shingles (halving the groups of a point
+   adds neighbours, so points of two resolutions compare), and then their sets.
 
 Defined cases: null text counts as empty. Rows with a null doc_id get their shingle
 count, but no links (component_id is null). Repeated doc_ids are separate rows; the
@@ -49,9 +50,11 @@ GROUPS = 64                   # coordinates of a count vector in the tree
 FINEST = 1 << 16              # most coordinates of a fine count vector
 LEAF, FANOUT = 8, 16          # points of an R-tree leaf, children of a node
 SEGMENT = 2048                # points of one tree; a larger block is a row of trees by size
+ROWS_OUT = 1000               # documents in one Arrow batch of a task's output
+CHUNK = 400                   # members of a family compared in one group of rows
 MAX_FREQUENT = 1 << 18        # frequent shingles kept for the order (2 MB to each task)
 MORE = 32                     # a set of n leads with n // MORE shingles more than one common one needs
-FLUSH, FLUSH_LEAST, FREQUENT_LEAST = 1 << 22, 4, 64
+FLUSH, FLUSH_LEAST, FREQUENT_LEAST = 1 << 21, 4, 64
 STEP = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -114,6 +117,12 @@ def unpack_point(point: bytes, n: int) -> np.ndarray:
     return np.frombuffer(point, "u1" if len(point) == resolution(n) else "<i4").astype(np.int32)
 
 
+def coarse_point(point: bytes, n: int) -> bytes:
+    """The same counts in ``GROUPS`` coordinates."""
+    count = folded(unpack_point(point, n), GROUPS)
+    return count.astype("u1" if count.max() < 256 else "<i4").tobytes()
+
+
 def folded(point: np.ndarray, groups: int) -> np.ndarray:
     return point.reshape(groups, -1).sum(axis=1, dtype=np.int32)
 
@@ -159,39 +168,36 @@ def frequent_shingles(docs: DataFrame) -> np.ndarray:
 def signatures(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
     """Per document: class, set size and, for the first of a class in a task, point and prefix."""
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
-    schema = pa.schema([("doc_id", pa.int64()), ("cls", pa.int64()), ("n", pa.int64()),
-                        ("point", pa.binary()), ("prefix", pa.list_(pa.int64()))])
+    schema = pa.schema([("doc_id", pa.int64()), ("cls", pa.int64()), ("n", pa.int64()), ("point", pa.binary()),
+                        ("coarse", pa.binary()), ("prefix", pa.list_(pa.int64()))])
 
     def sign(batches):
         often = shared.value
         seen: set[int] = set()
         for batch in batches:
-            cls, size, point, prefix = [], [], [], []
-            ids = batch.column(0)
-            for k, tokens in enumerate(shingle_sets(batch.column(1))):
-                c = class_id(tokens)
-                cls.append(c)
-                size.append(len(tokens))
-                if not len(tokens) or not ids[k].is_valid or c in seen:
-                    point.append(None)
-                    prefix.append(None)
-                    continue
-                seen.add(c)
-                if len(often):
-                    at = np.minimum(np.searchsorted(often, tokens), len(often) - 1)
-                    last = often[at] == tokens
-                    tokens_in_order = np.concatenate((tokens[~last], tokens[last]))
-                else:
-                    tokens_in_order = tokens
-                point.append(fine_point(tokens))
-                prefix.append(tokens_in_order[: len(tokens) // 4 + 1 + len(tokens) // MORE].view(np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [ids, pa.array(cls, pa.int64()), pa.array(size, pa.int64()),
-                 pa.array(point, pa.binary()), pa.array(prefix, pa.list_(pa.int64()))],
-                schema=schema)
+            for at in range(0, batch.num_rows, ROWS_OUT):
+                part = batch.slice(at, ROWS_OUT)
+                ids = part.column(0)
+                rows = []
+                for doc_id, tokens in zip(ids.is_valid().to_pylist(), shingle_sets(part.column(1))):
+                    c, n = class_id(tokens), len(tokens)
+                    if not n or not doc_id or c in seen:
+                        rows.append((c, n, None, None, None))
+                        continue
+                    seen.add(c)
+                    in_order = tokens
+                    if len(often):
+                        k = np.minimum(np.searchsorted(often, tokens), len(often) - 1)
+                        last = often[k] == tokens
+                        in_order = np.concatenate((tokens[~last], tokens[last]))
+                    point = fine_point(tokens)
+                    rows.append((c, n, point, coarse_point(point, n),
+                                 in_order[: n // 4 + 1 + n // MORE].view(np.int64)))
+                yield pa.RecordBatch.from_arrays(
+                    [ids, *(pa.array(c, f.type) for c, f in zip(zip(*rows), list(schema)[1:]))], schema=schema)
 
     return docs.select("doc_id", "text").mapInArrow(
-        sign, "doc_id long, cls long, n long, point binary, prefix array<long>")
+        sign, "doc_id long, cls long, n long, point binary, coarse binary, prefix array<long>")
 
 
 # ── shared leading shingles ───────────────────────────────────────────
@@ -308,9 +314,9 @@ def _descend(pairs: np.ndarray, side: int, step: int, n: int) -> np.ndarray:
     return out
 
 
-def block_pairs(cls, n, comp, points) -> Iterator[np.ndarray]:
-    """Pairs of one block, sorted by size, in different components: rows (a, b, n_a, n_b), the
-    smaller class first."""
+def block_pairs(cls, n, comp, family, points) -> Iterator[np.ndarray]:
+    """Pairs of one block, sorted by size, in different components and families: rows
+    (a, b, n_a, n_b), the smaller class first."""
     trees: list[tuple[CountTree, int]] = []                         # and the first row of each
     for k in range(0, len(n), SEGMENT):
         tree = CountTree(points[k: k + SEGMENT], n[k: k + SEGMENT])
@@ -320,14 +326,15 @@ def block_pairs(cls, n, comp, points) -> Iterator[np.ndarray]:
             for i, j in t.join(tree):
                 i, j = i + first, j + k
                 ok = (comp[i] != comp[j]) & (cls[i] < cls[j] if t is tree else cls[i] != cls[j])
+                ok &= (family[i] != family[j]) & (family[i] != cls[j]) & (cls[i] != family[j])
                 i, j = i[ok], j[ok]
                 i, j = np.where(cls[i] < cls[j], i, j), np.where(cls[i] < cls[j], j, i)
                 yield np.stack((cls[i], cls[j], n[i], n[j]), axis=1)
 
 
 def tree_pairs(rows: DataFrame) -> DataFrame:
-    """Candidate pairs ``(a, b, n_a, n_b, c)`` of rows ``(token, n, cls, comp, point)``, by block of
-    a token; c counts common shingles, in parts."""
+    """Candidate pairs ``(a, b, n_a, n_b, c)`` of rows ``(token, n, cls, comp, family,
+    coarse)``, by block of a token; c counts common shingles, in parts."""
     def join(batches):
         held: list[pa.RecordBatch] = []
 
@@ -337,11 +344,12 @@ def tree_pairs(rows: DataFrame) -> DataFrame:
             at = sliding_runs(token)
             ends = np.append(at[1:], len(token))
             done = len(at) if last else len(at) - 1
-            n, cls, comp = (t.column(k).to_numpy() for k in (1, 2, 3))
-            points = np.stack([folded(unpack_point(p, m), GROUPS)
-                               for p, m in zip(t.column(4).to_pylist(), n.tolist())])
+            n, cls, comp, family = (t.column(k).to_numpy() for k in (1, 2, 3, 4))
+            points = np.stack([np.frombuffer(p, "u1" if len(p) == GROUPS else "<i4").astype(np.int32)
+                               for p in t.column(5).to_pylist()])
             out = [p for a, b in zip(at[:done], ends[:done])
-                   for p in block_pairs(cls[a:b], n[a:b].astype(np.int64), comp[a:b], points[a:b])]
+                   for p in block_pairs(cls[a:b], n[a:b].astype(np.int64), comp[a:b], family[a:b],
+                                          points[a:b])]
             held.clear()
             if not last:
                 held.extend(t.slice(int(at[-1])).to_batches())
@@ -363,17 +371,19 @@ def tree_pairs(rows: DataFrame) -> DataFrame:
         if held:
             yield from blocks(True)
 
-    return (rows.select("token", "n", "cls", "comp", "point")
+    return (rows.select("token", "n", "cls", "comp", "family", "coarse")
             .repartition("token").sortWithinPartitions("token", "n", "cls")
             .mapInArrow(join, "a long, b long, n_a long, n_b long, c long"))
 
 
 def leaf_pairs(rows: DataFrame) -> DataFrame:
-    """All pairs ``(a, b)`` of groups of at most ``LEAF`` classes that could link by size and
-    aren't connected yet."""
-    a = rows.select("token", *(F.col(c).alias(f"{c}_a") for c in ("cls", "n", "comp")))
-    b = rows.select("token", *(F.col(c).alias(f"{c}_b") for c in ("cls", "n", "comp")))
-    return (a.join(b, "token").where("cls_a < cls_b and comp_a <> comp_b and "
+    """The pairs of groups of at most ``LEAF`` classes that could link by size, are not
+    connected yet and of different families."""
+    names = ("cls", "n", "comp", "family")
+    a = rows.select("token", *(F.col(c).alias(f"{c}_a") for c in names))
+    b = rows.select("token", *(F.col(c).alias(f"{c}_b") for c in names))
+    return (a.join(b, "token").where("cls_a < cls_b and comp_a <> comp_b and family_a <> family_b and "
+                                     "family_a <> cls_b and cls_a <> family_b and "
                                      "4L * least(n_a, n_b) >= 3L * greatest(n_a, n_b)")
             .select(F.col("cls_a").alias("a"), F.col("cls_b").alias("b"),
                     F.col("n_a").cast("long").alias("n_a"), F.col("n_b").cast("long").alias("n_b"),
@@ -403,6 +413,100 @@ def bounded(pairs: DataFrame, points: DataFrame) -> DataFrame:
             .mapInArrow(keep, "a long, b long"))
 
 
+# ── families ──────────────────────────────────────────────────────────
+
+
+def family_links(cls, n, sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> list[tuple[int, int]]:
+    """Links between the members ``left`` and ``right`` (indices; equal arrays: among them) that
+    connect all members which any links connect."""
+    points = np.stack([folded(unpack_point(fine_point(t), len(t)), GROUPS) for t in sets])
+    trees = [CountTree(points[x], n[x]) for x in (left, right)]
+    root = list(range(len(cls)))
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    out = []
+    for i, j in trees[0].join(trees[1]):
+        i, j = left[i], right[j]
+        ok = cls[i] != cls[j]
+        if left is right:
+            ok &= i < j
+        i, j = i[ok], j[ok]
+        order = np.argsort(np.abs(n[i] - n[j]) + np.minimum(i, j), kind="stable")   # likely links first
+        for a, b in zip(i[order].tolist(), j[order].tolist()):
+            x, y = find(a), find(b)
+            if x == y:
+                continue
+            s, t = sets[a], sets[b]
+            if len(s) > len(t):
+                s, t = t, s
+            both = int((t[np.minimum(np.searchsorted(t, s), len(t) - 1)] == s).sum())
+            if links(len(s), len(t), both):
+                root[max(x, y)] = min(x, y)
+                out.append((int(cls[a]), int(cls[b])))
+    return out
+
+
+def linked_families(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b): links inside the families ``members(family, cls)``."""
+    size = members.groupBy("family").agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("chunks"))
+    rows = members.join(size, "family").withColumn(
+        "chunk", F.pmod(F.xxhash64("cls", F.lit(5)), F.col("chunks")).cast("int"))
+    # chunk k takes part in the pairs (k, k), (k, other); a family of one chunk in (0, 0)
+    other = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
+    rows = (rows.select("family", "cls", "chunk", other.alias("other"))
+            .select("family", "cls", "chunk", F.least("chunk", "other").alias("i"),
+                    F.greatest("chunk", "other").alias("j")))
+    rows = (rows.join(sets, "cls").repartition("family", "i", "j")
+            .sortWithinPartitions("family", "i", "j", "chunk", "n", "cls")
+            .select("family", "i", "j", "chunk", "cls", "n", "tokens"))
+
+    def join(batches):
+        def compare(t: pa.Table):
+            chunk, cls, n = (t.column(k).to_numpy() for k in (3, 4, 5))
+            lists = t.column(6).combine_chunks()
+            if isinstance(lists, pa.ChunkedArray):
+                lists = pa.concat_arrays(lists.chunks)
+            values, at = lists.values.to_numpy().view(np.uint64), lists.offsets.to_numpy()
+            tokens = [values[a:b] for a, b in zip(at[:-1], at[1:])]
+            i, j = t.column(1)[0].as_py(), t.column(2)[0].as_py()
+            left = np.flatnonzero(chunk == i)
+            right = left if i == j else np.flatnonzero(chunk == j)
+            if len(left) and len(right):
+                found = family_links(cls, n.astype(np.int64), tokens, left, right)
+                if found:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(c, pa.int64()) for c in zip(*found)], ["a", "b"])
+
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            key = np.stack([batch.column(k).to_numpy().astype(np.int64) for k in range(3)], axis=1)
+            new = np.ones(len(key), bool)
+            new[1:] = (key[1:] != key[:-1]).any(axis=1)
+            if held:
+                last = held[-1]
+                new[0] = any(last.column(k)[-1].as_py() != int(key[0, k]) for k in range(3))
+            begin = 0
+            for at in np.flatnonzero(new).tolist():
+                if at > begin:
+                    held.append(batch.slice(begin, at - begin))
+                if held:
+                    yield from compare(pa.Table.from_batches(held))
+                    held = []
+                begin = at
+            held.append(batch.slice(begin))
+        if held:
+            yield from compare(pa.Table.from_batches(held))
+
+    return rows.mapInArrow(join, "a long, b long")
+
+
 # ── verification ──────────────────────────────────────────────────────
 
 
@@ -414,14 +518,11 @@ def class_sets(docs: DataFrame, signed: DataFrame, classes: DataFrame) -> DataFr
 
     def sets(batches):
         for batch in batches:
-            cls, n, out = [], [], []
-            for tokens in shingle_sets(batch.column(0)):
-                cls.append(class_id(tokens))
-                n.append(len(tokens))
-                out.append(tokens.view(np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(cls, pa.int64()), pa.array(n, pa.int32()),
-                 pa.array(out, pa.list_(pa.int64()))], schema=schema)
+            for at in range(0, batch.num_rows, ROWS_OUT):
+                rows = [(class_id(t), len(t), t.view(np.int64))
+                        for t in shingle_sets(batch.column(0).slice(at, ROWS_OUT))]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
     found = (rows_with_ids(docs.select("doc_id", "text"), ids, "doc_id").select("text")
              .mapInArrow(sets, "cls long, n int, tokens array<long>"))
@@ -440,32 +541,50 @@ def verified(pairs: DataFrame, docs: DataFrame, signed: DataFrame, points: DataF
                   .where("100L * both >= 75L * (n_a + n_b - both)").select("a", "b"), "jaccard-links")
 
 
+def families(led: DataFrame) -> DataFrame:
+    """(cls, n, family, family_n): the center that each class shares most leading shingles with,
+    and enough to link; classes without one are left out."""
+    near = led.where("cls <> center and 4L * least(n, center_n) >= 3L * greatest(n, center_n)")
+    return (near.groupBy("cls", "n", "center", "center_n").agg(F.count(F.lit(1)).alias("c"))
+            .where(f"c >= 1 + least(n, center_n) div {MORE}")
+            .groupBy("cls", "n").agg(F.max_by(F.struct("center", "center_n"), F.struct("c", "center")).alias("f"))
+            .select("cls", "n", F.col("f.center").alias("family"), F.col("f.center_n").alias("family_n")))
+
+
 def link_components(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of ``docs(doc_id, text)``."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     signed = stored(signatures(docs, frequent_shingles(docs)), "jaccard-signed")
     points = signed.where("point is not null").select("cls", "n", "point").dropDuplicates(["cls"])
+    coarse = signed.where("point is not null").select("cls", "coarse").dropDuplicates(["cls"])
     led = stored(shared_prefixes(signed), "jaccard-groups")
 
-    near = led.where("cls <> center and 4L * least(n, center_n) >= 3L * greatest(n, center_n)")
-    seeds = (near.groupBy("cls", "n", "center", "center_n").agg(F.count(F.lit(1)).alias("c"))
-             .where(f"c >= 1 + least(n, center_n) div {MORE}")
-             .groupBy("cls").agg(F.max_by("center", F.struct("c", "center")).alias("center"))
-             .select(F.col("center").alias("a"), F.col("cls").alias("b")))
-    seeded = verified(seeds, docs, signed, points)
-    comp = components(seeded, "jaccard-cc")
+    own = stored(families(led), "jaccard-families")
+    size = own.groupBy("family").agg(F.count(F.lit(1)).alias("others"))
+    sized = own.join(size, "family")
+    pairs = bounded(sized.where("others = 1").select(F.col("family").alias("a"), F.col("cls").alias("b")), points)
+    pairs = pairs.select(F.col("a").alias("family"), F.col("b").alias("cls"))
+    rest = sized.where("others > 1").select("family", "cls")
+    members = pairs.unionByName(rest)
+    members = stored(members.unionByName(members.select("family", F.col("family").alias("cls"))).distinct(),
+                     "jaccard-members")
+    sets = stored(class_sets(docs, signed, members.select("cls").distinct()), "jaccard-sets")
+    inside = stored(linked_families(members, sets), "jaccard-inside")
+    comp = components(inside, "jaccard-cc")
 
     rows = led.select("token", "cls", "n").join(
-        comp.select(F.col("id").alias("cls"), F.col("component").alias("comp")), "cls", "left")
-    rows = rows.withColumn("comp", F.coalesce("comp", "cls"))
+        comp.select(F.col("id").alias("cls"), F.col("component").alias("comp")), "cls", "left").join(
+        own.select("cls", "family"), "cls", "left")
+    rows = rows.withColumns({"comp": F.coalesce("comp", "cls"), "family": F.coalesce("family", "cls")})
     mixed = (rows.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"),
+                                       F.min("family").alias("f_lo"), F.max("family").alias("f_hi"),
                                        F.count(F.lit(1)).alias("size"))
-             .where("lo <> hi").select("token", "size"))
+             .where("lo <> hi and f_lo <> f_hi").select("token", "size"))
     rows = stored(rows.join(mixed, "token"), "jaccard-mixed")
-    large = rows.where(F.col("size") > LEAF).join(points.drop("n"), "cls")
+    large = rows.where(F.col("size") > LEAF).join(coarse, "cls")
     pairs = leaf_pairs(rows.where(F.col("size") <= LEAF)).unionByName(tree_pairs(large))
     more = verified(enough(pairs), docs, signed, points)
-    comp = components(seeded.unionByName(more), "jaccard-cc")
+    comp = components(inside.unionByName(more), "jaccard-cc")
 
     known = signed.select("doc_id", "cls", "n").join(
         comp.select(F.col("id").alias("cls"), "component"), "cls", "left")
