@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tarmac.session import scratch_path
 
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 20
 MIX_A, MIX_B = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 BASE = 0x9E3779B97F4A7C15            # odd, so it has an inverse modulo 2^64
 _S33 = np.uint64(33)
@@ -145,39 +145,66 @@ def sliding_runs(values: np.ndarray) -> np.ndarray:
 # ── components ────────────────────────────────────────────────────────
 
 
+def _stars(edges: DataFrame, large: bool) -> DataFrame:
+    """One star step on ``edges(a, b)``: rows are read sorted by node and neighbour, so a node's
+    least neighbour comes first and nothing is held. Large: from every node its greater
+    neighbours are tied to the least node it knows. Small: so are its smaller neighbours and
+    itself (``edges`` with a > b)."""
+    if large:
+        edges = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+
+    def tie(batches):
+        last = None                  # (node, neighbour, least) of the row before
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            a, b = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            new = np.ones(len(a), bool)
+            new[1:] = a[1:] != a[:-1]
+            fresh = new.copy()
+            fresh[1:] |= b[1:] != b[:-1]
+            goes_on = last is not None and last[0] == a[0]
+            if goes_on:
+                new[0] = False
+                fresh[0] = last[1] != b[0]
+            at = np.flatnonzero(new)
+            low = np.minimum(a[at], b[at])
+            which = np.cumsum(new) - 1
+            if goes_on:
+                low, which = np.concatenate(([last[2]], low)), which + 1
+            least = low[which]
+            last = (a[-1], b[-1], least[-1])
+            if large:
+                ok = fresh & (b > a)
+                x = b
+            else:
+                ok = fresh
+                x = np.where(new, a, b)
+            yield pa.RecordBatch.from_arrays([pa.array(x[ok]), pa.array(least[ok])], ["a", "b"])
+
+    return (edges.repartition("a").sortWithinPartitions("a", "b").select("a", "b")
+            .mapInArrow(tie, "a long, b long"))
+
+
 def components(edges: DataFrame, name: str = "cc", max_rounds: int = 60) -> DataFrame:
     """Connected components of undirected ``edges(a, b)`` (long): rows ``(id, component)``.
 
-    ``component`` is the smallest id reachable. Alternating large-star and
-    small-star rounds: each is a grouped minimum (combined map-side) and an
-    equi-join, and ends in a written table; only three sums per round reach the
-    driver. Ids without an edge are not in the result.
+    ``component`` is the smallest id reachable. Alternating large-star and small-star steps,
+    one exchange each; a round of two of both ends in a written table, and only three sums
+    of it reach the driver. Ids without an edge are not in the result.
     """
-    def star(e: DataFrame) -> DataFrame:
-        both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-        big = (both.join(low, "a").where("b > a")
-               .select(F.col("b").alias("a"), F.col("m").alias("b")))
-        big = big.where("a > b").distinct()
-        low = big.groupBy("a").agg(F.min("b").alias("m"))
-        small = big.join(low, "a")
-        out = (small.select(F.col("b").alias("a"), F.col("m").alias("b"))
-               .unionByName(low.select("a", F.col("m").alias("b"))))
-        return out.where("a > b").distinct()
-
     def state(e: DataFrame):
         return e.agg(F.count(F.lit(1)), F.expr("bit_xor(xxhash64(a, b))"),
                      F.expr("bit_xor(xxhash64(b, a, 7))")).first()
 
-    e = stored(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-               .where("a > b").distinct(), name)
-    was = state(e)
+    e = (edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a > b"))
+    was = None
     for _ in range(max_rounds):
-        if not was[0]:
-            break
-        e = stored(star(e), name)
+        for _ in range(2):
+            e = _stars(_stars(e, large=True), large=False)
+        e = stored(e, name)
         now = state(e)
-        if now == was:
+        if now == was or not now[0]:
             break
         was = now
     else:
