@@ -99,8 +99,10 @@ def chunk_anchors(buf: np.ndarray, offs: np.ndarray, codes: np.ndarray):
 
 
 def anchors(docs: DataFrame) -> DataFrame:
-    """(span, context, tid, place); place packs start, left and right. A text that a task
-    meets again is left out."""
+    """(span, context, tid, place, twice); place packs start, left and right. A text that a task
+    meets again is left out. Of equal contexts in one text (words or lines said again and
+    again) one row stands for all, with ``twice`` set, as the others need no comparison:
+    they are rows under keys of their own."""
     def find(batches):
         codes = byte_codes(fold_case=False)
         seen: set[int] = set()
@@ -118,19 +120,30 @@ def anchors(docs: DataFrame) -> DataFrame:
                     seen.add(t)
                 ok = new[owner]
                 place = (start << 16) | (left << 8) | right
+                order = np.lexsort((place, context, span, owner))
+                same = np.zeros(len(order), bool)
+                same[1:] = ((owner[order][1:] == owner[order][:-1]) & (span[order][1:] == span[order][:-1])
+                            & (context[order][1:] == context[order][:-1]))
+                later = np.zeros(len(order), bool)
+                later[order] = same
+                twice = later.copy()
+                twice[order[:-1]] |= same[1:]
+                own = mix64(tid[owner].view(np.uint64) ^ place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+                span = np.where(later, own, span)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(x[ok]) for x in (span.view(np.int64), context.view(np.int64),
-                                               tid[owner], place)],
-                    ["span", "context", "tid", "place"])
+                                               tid[owner], place, twice)],
+                    ["span", "context", "tid", "place", "twice"])
 
-    return docs.select("text").mapInArrow(find, "span long, context long, tid long, place long")
+    return docs.select("text").mapInArrow(
+        find, "span long, context long, tid long, place long, twice boolean")
 
 
 def marked(rows: DataFrame) -> DataFrame:
     """(need, span, tid, place). ``need`` false: the whole context repeats. True: one row for
     each context of a span that has two or more. Reads a sorted stream, one row ahead."""
     rows = (rows.repartition("span").sortWithinPartitions("span", "context", "tid", "place")
-            .select("span", "context", "tid", "place"))
+            .select("span", "context", "tid", "place", "twice"))
 
     def mark(batches):
         before = None                # (span, context) ahead of the rows at hand
@@ -139,7 +152,7 @@ def marked(rows: DataFrame) -> DataFrame:
 
         def told(cols, last: bool):
             nonlocal before, held, first
-            span, context, tid, place = cols
+            span, context, tid, place, twice = cols
             n = len(span)
             if not n:
                 return None
@@ -149,7 +162,7 @@ def marked(rows: DataFrame) -> DataFrame:
             old[1:] = old_span[1:] & (context[1:] == context[:-1])
             old_span[0] = before is not None and before[0] == span[0]
             old[0] = old_span[0] and before[1] == context[0]
-            again = old.copy()
+            again = old | twice
             again[:-1] |= old[1:]
             m = n if last else n - 1
             held = None if last else tuple(c[m:] for c in cols)
@@ -177,7 +190,7 @@ def marked(rows: DataFrame) -> DataFrame:
 
         for batch in batches:
             if batch.num_rows:
-                cols = tuple(batch.column(k).to_numpy() for k in range(4))
+                cols = tuple(batch.column(k).to_numpy(zero_copy_only=False) for k in range(5))
                 if held is not None:
                     cols = tuple(np.concatenate((h, c)) for h, c in zip(held, cols))
                 out = told(cols, last=False)
