@@ -597,7 +597,7 @@ SELECT day, CAST(sum(CAST("check" = 'baseline_drift' AND failed AS INT)) AS BIGI
 
 # ── model queries: what must hold of the trees' output ───────────────
 ORACLE["train_metrics"] = sql2("""
-SELECT count(*) AS n, CAST(sum(delayed) AS DOUBLE) AS positives, true AS cells_add_up, true AS ratios_follow,
+SELECT count(*) AS n, CAST(sum(delayed) AS BIGINT) AS positives, true AS cells_add_up, true AS ratios_follow,
   true AS auc_in_range FROM split WHERE split = 'val'""")
 ORACLE["feature_importance"] = (
     "SELECT unnest([" + ", ".join(f"'{c}'" for c in FEATURE_NAMES) + "]) AS feature, "
