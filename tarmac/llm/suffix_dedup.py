@@ -98,11 +98,32 @@ def chunk_anchors(buf: np.ndarray, offs: np.ndarray, codes: np.ndarray):
     return owner, span[at], context, at - offs[owner], left, right
 
 
+def needed_covers(owner, start, left, right, twice) -> np.ndarray:
+    """A mask of rows whose contexts cover, text by text, all that the ``twice`` contexts cover:
+    a text that says one thing over and over has an anchor every few bytes."""
+    keep = np.zeros(len(owner), bool)
+    rows = np.flatnonzero(twice & (left + SPAN + right >= WINDOW))
+    at = sliding_runs(owner[rows])
+    for a, b in zip(at, np.append(at[1:], len(rows))):
+        lo = start[rows[a:b]] - left[rows[a:b]]                      # both rise with the place
+        hi = start[rows[a:b]] + SPAN + right[rows[a:b]]
+        i, end = 0, -1
+        while i < len(lo):
+            j = max(int(np.searchsorted(lo, end, "right")) - 1, i)
+            if lo[i] > end:
+                j = i
+            if hi[j] > end:
+                keep[rows[a + j]] = True
+                end = hi[j]
+            i = j + 1
+    return keep
+
+
 def anchors(docs: DataFrame) -> DataFrame:
     """(span, context, tid, place, twice); place packs start, left and right. A text that a task
     meets again is left out. Of equal contexts in one text (words or lines said again and
-    again) one row stands for all, with ``twice`` set, as the others need no comparison:
-    they are rows under keys of their own."""
+    again) one row stands for all, with ``twice`` set, as the others need no comparison: of
+    these, rows under keys of their own, only as many are left as cover what all cover."""
     def find(batches):
         codes = byte_codes(fold_case=False)
         seen: set[int] = set()
@@ -128,6 +149,7 @@ def anchors(docs: DataFrame) -> DataFrame:
                 later[order] = same
                 twice = later.copy()
                 twice[order[:-1]] |= same[1:]
+                ok &= ~later | needed_covers(owner, start, left, right, twice)
                 own = mix64(tid[owner].view(np.uint64) ^ place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
                 span = np.where(later, own, span)
                 yield pa.RecordBatch.from_arrays(
