@@ -431,8 +431,23 @@ def cut_texts(docs: DataFrame) -> DataFrame:
     what remains as bytes, and as a string without the bytes of broken characters."""
     base = docs.select(F.coalesce("text", F.lit("")).alias("text"))
     marks = stored(marked(anchors(base)), "suffix-marks")
+    lengths = stored(base.where(F.octet_length("text") >= WINDOW)
+                     .groupBy(F.xxhash64("text").alias("tid"))
+                     .agg(F.count(F.lit(1)).alias("n"), F.max(F.octet_length("text")).cast("long").alias("n_bytes")),
+                     "suffix-lengths")
+    whole = marks.where("not need").select(
+        "tid", F.expr("shiftright(place, 16) - (shiftright(place, 8) & 255)").alias("start"),
+        F.expr(f"shiftright(place, 16) + {SPAN} + (place & 255)").alias("end"))
+    copies = lengths.where("n > 1").select("tid", F.lit(0).cast("long").alias("start"), F.col("n_bytes").alias("end"))
+    known = whole.where(f"end - start >= {WINDOW}").unionByName(copies)
+    # texts that lose bytes without a comparison, but not all their bytes: how far the cover reaches from 0
+    reach = F.aggregate(F.array_sort("known"), F.lit(0).cast("long"), lambda r, x: F.when(
+        x["start"] <= r, F.greatest(r, x["end"])).otherwise(r))
+    partial = (known.groupBy("tid").agg(F.collect_set(F.struct("start", "end")).alias("known"))
+               .join(lengths, "tid").where(reach < F.col("n_bytes")).select("tid"))
     need = (marks.where("need").groupBy("tid")
-            .agg(F.collect_set(F.struct("span", "place")).alias("at")))
+            .agg(F.collect_set(F.struct("span", "place")).alias("at"))
+            .join(partial, "tid", "full"))
     texts = (base.withColumn("tid", F.xxhash64("text")).where(F.octet_length("text") >= WINDOW)
              .join(need, "tid").select("tid", "text", "at"))
 
@@ -447,7 +462,7 @@ def cut_texts(docs: DataFrame) -> DataFrame:
                 seen.add(tid)
                 raw = text.encode()
                 cols: tuple[list, ...] = ([], [], [], [], [], [])
-                for x in at:
+                for x in at or ():
                     start, left, right = x["place"] >> 16, (x["place"] >> 8) & 255, x["place"] & 255
                     behind = start + SPAN
                     row = (x["span"], tid, start, raw[start - left: start], raw[behind: behind + right],
@@ -461,17 +476,10 @@ def cut_texts(docs: DataFrame) -> DataFrame:
 
     got = stored(texts.mapInArrow(contexts, "span long, tid long, start long, before binary, "
                                             "behind binary, text string"), "suffix-contexts")
-    whole = marks.where("not need").select(
-        "tid", F.expr("shiftright(place, 16) - (shiftright(place, 8) & 255)").alias("start"),
-        F.expr(f"shiftright(place, 16) + {SPAN} + (place & 255)").alias("end"))
-    copies = (base.where(F.octet_length("text") >= WINDOW)
-              .groupBy(F.xxhash64("text").alias("tid"))
-              .agg(F.count(F.lit(1)).alias("n"), F.max(F.octet_length("text")).cast("long").alias("end"))
-              .where("n > 1").select("tid", F.lit(0).cast("long").alias("start"), "end"))
-    cover = (swept(got.where("span is not null")).unionByName(whole.where(f"end - start >= {WINDOW}"))
-             .unionByName(copies).distinct()
+    cover = (swept(got.where("span is not null")).unionByName(known).distinct()
              .groupBy("tid").agg(F.collect_list(F.struct("start", "end")).alias("cover")))
-    pieces = cover.join(got.where("span is null").select("tid", "text"), "tid", "left")
+    pieces = (cover.join(lengths.select("tid", "n_bytes"), "tid")
+              .join(got.where("span is null").select("tid", "text"), "tid", "left"))
 
     def cut(batches):
         schema = pa.schema([("tid", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()),
@@ -479,10 +487,10 @@ def cut_texts(docs: DataFrame) -> DataFrame:
                             ("kept_text", pa.string())])
         for batch in batches:
             out: tuple[list, ...] = ([], [], [], [], [], [])
-            for tid, cover, text in zip(*(batch.column(k).to_pylist() for k in range(3))):
+            for tid, cover, n_bytes, text in zip(*(batch.column(k).to_pylist() for k in range(4))):
                 spans = united([(x["start"], x["end"]) for x in cover])
-                if text is None:             # only a text that goes entirely has no context to fetch
-                    if len(spans) != 1 or spans[0][0]:
+                if text is None:             # only a text that goes entirely is not fetched
+                    if spans != [(0, n_bytes)]:
                         raise ValueError(f"no text for {tid}")
                     kept = b""
                 else:
@@ -499,7 +507,7 @@ def cut_texts(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, f.type) for c, f in zip(out, schema)], schema=schema)
 
-    return (pieces.select("tid", "cover", "text")
+    return (pieces.select("tid", "cover", "n_bytes", "text")
             .mapInArrow(cut, "tid long, n_removed long, n_spans long, kept_sha256 string, "
                              "kept binary, kept_text string")
             .dropDuplicates(["tid"]))

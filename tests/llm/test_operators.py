@@ -3,6 +3,7 @@
 import random
 import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -87,6 +88,37 @@ def test_repeats_equal_brute_force(spark):
         i: None if docs[i] is None else w[4].decode("utf-8", "ignore") for i, w in want.items()}
 
 
+def beginning_without_contexts(rng):
+    """Two texts with one beginning of which every anchor's context is shared, up to its very end."""
+    codes = common.byte_codes(fold_case=False)
+    while True:
+        stem = prose(rng, 400)
+        buf = np.frombuffer(stem.encode(), np.uint8)
+        starts = suffix_dedup.chunk_anchors(buf, np.array([0, len(buf)]), codes)[3]
+        for at in starts.tolist():
+            shared, docs = stem[: at + 400], []
+            for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789":
+                text = shared + c + prose(rng, 150)
+                raw = np.frombuffer(text.encode(), np.uint8)
+                found = suffix_dedup.chunk_anchors(raw, np.array([0, len(raw)]), codes)[3]
+                if found[found <= at + 200].max() == at:
+                    docs.append(text)
+            if docs:
+                return len(shared), docs[0], shared + "~" + prose(rng, 150)
+
+
+def test_rest_behind_a_shared_beginning_stays(spark):
+    size, one, other = beginning_without_contexts(random.Random(21))
+    docs = {1: one, 2: other, 3: one[:size][::-1] + "x", 4: "y" + one[:size][::-1]}
+    want = cut_repeats(docs)
+    assert want[1][:3] == (len(one), size, 1) and want[2][:3] == (len(other), size, 1)
+    df = docs_frame(spark, list(docs.items()))
+    got = {r.doc_id: tuple(r)[1:] for r in suffix_dedup.removal_report(df).collect()}
+    assert got == {i: w[:4] for i, w in want.items()}
+    assert {r.doc_id: r.text for r in suffix_dedup.without_repeats(df).collect()} == {
+        i: w[4].decode() for i, w in want.items()}
+
+
 def test_repeats_without_documents(spark):
     assert suffix_dedup.removal_report(docs_frame(spark, [])).collect() == []
 
