@@ -18,9 +18,11 @@ the first three); a logistic regression turns them into the score.
 
 Training: at most ``TRAIN_DOCS`` labelled documents of each class, those with the least
 hash of doc_id, none of them held out (crc32 of doc_id mod ``FOLDS`` = ``HELD_OUT_FOLD``);
-three quarters for the counts, the rest for the regression. Grams are packed integers; the
-longest order whose table has at most ``MAX_GRAMS`` rows is used (order 3 always has), so
-the broadcast model is bounded whatever the corpus holds.
+three quarters for the counts, the rest for the regression. Grams are packed integers of
+``ORDER`` symbols. Up to ``MAX_GRAMS`` of them are broadcast. Beyond, their evidence stays a
+written table: it is joined with the grams of the distinct words of the corpus, and the
+words with the documents; the ``KNOWN_WORDS`` most common words are broadcast, so that only
+the others of a text are shuffled. Scores are the same either way.
 
 Defined cases: null and empty texts and texts without letters score by the regression's
 constant; null doc_ids are scored, not held out and never train; a doc_id that repeats in
@@ -150,6 +152,9 @@ def gram_counts(docs: DataFrame) -> DataFrame:
                 if size > 1 << 22:
                     held = [merged()]
                     size = len(held[0][0])
+                    if size > 1 << 21:
+                        yield pa.RecordBatch.from_arrays([pa.array(c) for c in held[0]], ["g", "toxic", "ordinary"])
+                        held, size = [], 0
         if held:
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in merged()], ["g", "toxic", "ordinary"])
 
@@ -179,6 +184,15 @@ class Model:
         return np.bincount(word, out, len(start))
 
 
+@dataclass
+class Tables:
+    """The same evidence as written tables: (g, e) of grams, (h, e) of contexts."""
+    grams: DataFrame
+    contexts: DataFrame
+    features: DataFrame | None = None
+    weights: np.ndarray | None = None
+
+
 def _look_up(keys: np.ndarray, values: np.ndarray, x: np.ndarray) -> np.ndarray:
     if not len(keys):
         return np.full(len(x), np.nan)
@@ -215,13 +229,9 @@ def shared_backoff(table: DataFrame, order: int) -> DataFrame:
     return p.select(F.col("g").alias("s"), "p")
 
 
-def fit_counts(docs: DataFrame) -> Model:
+def fit_counts(docs: DataFrame) -> Model | Tables:
     """The two models from ``docs(text, label)``, as evidence per gram."""
     table, order = stored(gram_counts(docs), "kn-grams"), ORDER
-    while order > 3 and table.count() > MAX_GRAMS:
-        order -= 1
-        table = stored(table.groupBy((F.col("g").bitwiseAND((1 << (BITS * order)) - 1)).alias("g"))
-                       .agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary")), "kn-grams")
     if not table.take(1):
         none = np.zeros(0)
         return Model(order, none.astype(np.int64), none, none.astype(np.int64), none)
@@ -235,10 +245,12 @@ def fit_counts(docs: DataFrame) -> Model:
     low = shared_backoff(table, order)
     found = (rows.join(after, "h")
              .join(low, F.col("g").bitwiseAND((1 << (BITS * (order - 1))) - 1) == F.col("s"))
-             .select("g", (F.log(p["toxic"]) - F.log(p["ordinary"])).alias("e"))
-             .toPandas().sort_values("g"))                       # at most MAX_GRAMS rows
-    unseen = (after.select("h", (F.log(rest["toxic"]) - F.log(rest["ordinary"])).alias("e"))
-              .toPandas().sort_values("h"))
+             .select("g", (F.log(p["toxic"]) - F.log(p["ordinary"])).alias("e")))
+    unseen = after.select("h", (F.log(rest["toxic"]) - F.log(rest["ordinary"])).alias("e"))
+    if table.count() > MAX_GRAMS:
+        return Tables(stored(found, "kn-evidence"), stored(unseen, "kn-contexts"))
+    found = found.toPandas().sort_values("g")                   # at most MAX_GRAMS rows
+    unseen = unseen.toPandas().sort_values("h")
     return Model(order, found["g"].to_numpy(), found["e"].to_numpy(), unseen["h"].to_numpy(), unseen["e"].to_numpy())
 
 
@@ -284,6 +296,117 @@ def document_features(model: Model, texts: list[str], known: KnownWords) -> np.n
     return out
 
 
+def vocabulary(docs: DataFrame) -> DataFrame:
+    """(w, spelling, times) of the distinct words of ``docs(tid, text)``."""
+    def find(batches):
+        held: dict[int, list] = {}
+
+        def told():
+            w = pa.array(list(held), pa.int64())
+            spelling, times = zip(*held.values())
+            held.clear()
+            return pa.RecordBatch.from_arrays([w, pa.array(spelling, pa.binary()), pa.array(times, pa.int64())],
+                                              ["w", "spelling", "times"])
+
+        for batch in batches:
+            texts = batch.column(1).to_pylist()
+            for a, b in chunks(texts):
+                sym, offs = symbols(texts[a:b])
+                h, start, size, which, _ = words(sym, offs)
+                many = np.bincount(which, minlength=len(h)).tolist()
+                for w, at, n, k in zip(h.view(np.int64).tolist(), start.tolist(), size.tolist(), many):
+                    if w in held:
+                        held[w][1] += k
+                    else:
+                        held[w] = [sym[at: at + n].tobytes(), k]
+                if len(held) > KNOWN_WORDS:
+                    yield told()
+        if held:
+            yield told()
+
+    return (docs.select("tid", "text").mapInArrow(find, "w long, spelling binary, times long")
+            .groupBy("w").agg(F.min("spelling").alias("spelling"), F.sum("times").alias("times")))
+
+
+def word_evidence(docs: DataFrame, tables: Tables) -> DataFrame:
+    """(w, e, times): evidence of the distinct words, summed in the order of their symbols."""
+    def spelled(batches):
+        for batch in batches:
+            parts = batch.column(1).to_pylist()
+            size = np.array([len(x) for x in parts], np.int64)
+            sym = np.frombuffer(b"".join(parts), np.uint8)
+            g, word = grams(sym, np.cumsum(size) - size, size, ORDER)
+            at = np.arange(len(g)) - (np.cumsum(size + 1) - size - 1)[word]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(x) for x in (batch.column(0).to_numpy()[word], at, g)], ["w", "at", "g"])
+
+    known = stored(vocabulary(docs), "kn-vocabulary")
+    found, unseen = tables.grams.withColumnRenamed("e", "e_gram"), tables.contexts.withColumnRenamed("e", "e_context")
+    rows = (known.select("w", "spelling").mapInArrow(spelled, "w long, at long, g long")
+            .join(found, "g", "left").withColumn("h", F.shiftright("g", BITS)).join(unseen, "h", "left")
+            .select("w", F.struct("at", F.coalesce("e_gram", "e_context", F.lit(0.0)).alias("e")).alias("x")))
+    total = F.aggregate(F.array_sort(F.collect_list("x")), F.lit(0.0), lambda s, x: s + x["e"])
+    return rows.groupBy("w").agg(total.alias("e")).join(known.select("w", "times"), "w")
+
+
+def joined_features(docs: DataFrame, tables: Tables) -> DataFrame:
+    """(tid, a, b, c): ``document_features`` of the distinct texts that have words."""
+    evidence = stored(word_evidence(docs, tables), "kn-words")
+    hot = (evidence.orderBy(F.desc("times"), "w").limit(KNOWN_WORDS).select("w", "e")
+           .toPandas().sort_values("w"))                        # at most KNOWN_WORDS rows
+    shared = docs.sparkSession.sparkContext.broadcast((hot["w"].to_numpy(), hot["e"].to_numpy()))
+
+    def look(batches):
+        # a row of each text (w: the tid) with its common words, and one of each other word
+        schema = pa.schema([("tid", pa.int64()), ("w", pa.int64()), ("times", pa.int64()),
+                            ("total", pa.float64()), ("n", pa.int64()), ("top", pa.list_(pa.float64()))])
+        for batch in batches:
+            tids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            for a, b in chunks(texts):
+                sym, offs = symbols(texts[a:b])
+                h, _, size, which, first = words(sym, offs)
+                h = h.view(np.int64)
+                e = _look_up(*shared.value, h)
+                out: tuple[list, ...] = ([], [], [], [], [], [])
+                for d in range(b - a):
+                    x = which[first[d]: first[d + 1]]
+                    if not len(x):
+                        continue
+                    v = e[x]
+                    met = v[~np.isnan(v)]
+                    other, times = np.unique(x[np.isnan(v)], return_counts=True)
+                    k = len(other)
+                    for c, one, more in zip(
+                            out, (tids[a + d], tids[a + d], 1, met.sum(), (size + 1)[x].sum(), np.sort(met)[-3:]),
+                            ([tids[a + d]] * k, h[other].tolist(), times.tolist(), [None] * k, [None] * k, [None] * k)):
+                        c.append(one)
+                        c.extend(more)
+                if out[0]:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(c, f.type) for c, f in zip(out, schema)], schema=schema)
+
+    rows = (docs.select("tid", "text")
+            .mapInArrow(look, "tid long, w long, times long, total double, n long, top array<double>")
+            .dropDuplicates(["tid", "w"])                       # copies of a text
+            .join(evidence.select("w", "e"), "w", "left"))
+    few = F.expr("array_repeat(e, cast(least(times, 3) as int))")
+    rows = rows.groupBy("tid").agg(
+        F.sum(F.coalesce("total", F.col("e") * F.col("times"))).alias("total"), F.sum("n").alias("n"),
+        F.slice(F.sort_array(F.flatten(F.collect_list(F.coalesce("top", few))), False), 1, 3).alias("top"))
+    best = F.aggregate("top", F.lit(0.0), lambda s, x: s + F.greatest(x, F.lit(0.0)))
+
+    def clipped(x):
+        return F.least(F.greatest(x, F.lit(0.0)), F.lit(20.0))
+
+    return rows.select("tid", (F.col("total") / F.col("n")).alias("a"),
+                       clipped(F.col("top")[0]).alias("b"), clipped(best / 3).alias("c"))
+
+
+def with_text_id(docs: DataFrame) -> DataFrame:
+    text = F.coalesce("text", F.lit(""))
+    return docs.withColumns({"tid": F.xxhash64(text), "text": text})
+
+
 def training_ids(labels: DataFrame, limit: int = TRAIN_DOCS) -> DataFrame:
     """(doc_id, label, counted): at most ``limit`` rows of each class."""
     rows = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").alias("label"))
@@ -312,7 +435,7 @@ def fit_scores(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
     return w
 
 
-def train(docs: DataFrame, labels: DataFrame) -> Model | None:
+def train(docs: DataFrame, labels: DataFrame) -> Model | Tables | None:
     ids = stored(training_ids(labels), "toxic-ids")                 # at most 2 * TRAIN_DOCS rows
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sample = ids.groupBy("label").count().collect()
@@ -320,6 +443,12 @@ def train(docs: DataFrame, labels: DataFrame) -> Model | None:
         return None
     marked = docs.join(F.broadcast(ids.where("counted").drop("counted")), "doc_id", "left")
     model = fit_counts(marked)
+    rest = docs.join(F.broadcast(ids.where("not counted")), "doc_id")
+    if isinstance(model, Tables):
+        model.features = stored(joined_features(with_text_id(docs), model), "kn-features")
+        rest = (with_text_id(rest).join(model.features, "tid", "left")
+                .select(F.col("label").cast("long").alias("label"), "a", "b", "c").fillna(0.0, ["a", "b", "c"]))
+        return fitted(model, rest)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def features(batches):
@@ -329,10 +458,13 @@ def train(docs: DataFrame, labels: DataFrame) -> Model | None:
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *(pa.array(x[:, k].copy()) for k in range(3))], ["label", "a", "b", "c"])
 
-    rest = (docs.join(F.broadcast(ids.where("not counted")), "doc_id")
-            .select(F.col("label").cast("long").alias("label"), "text")
-            .mapInArrow(features, "label long, a double, b double, c double").toPandas()
-            .sort_values(["label", "a", "b", "c"]))
+    return fitted(model, rest.select(F.col("label").cast("long").alias("label"), "text")
+                  .mapInArrow(features, "label long, a double, b double, c double"))
+
+
+def fitted(model: Model | Tables, rows: DataFrame) -> Model | Tables | None:
+    """The model with its regression, from ``rows(label, a, b, c)``: at most 2 * TRAIN_DOCS."""
+    rest = rows.toPandas().sort_values(["label", "a", "b", "c"])
     if rest["label"].nunique() < 2:
         return None
     y = rest["label"].to_numpy()
@@ -344,6 +476,13 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, held_out, score, predicted) for every row of ``docs``."""
     docs = docs.select("doc_id", "text")
     model = train(docs, labels)
+    if isinstance(model, Tables):
+        known = with_text_id(docs).drop("text").join(model.features, "tid", "left").fillna(0.0, ["a", "b", "c"])
+        x = F.lit(float(model.weights[0]))
+        for k, column in enumerate("abc", 1):
+            x = x + float(model.weights[k]) * F.col(column)
+        x = F.least(F.greatest(x, F.lit(-700.0)), F.lit(700.0))
+        return scored(known.select(F.col("doc_id").cast("long").alias("doc_id"), (1 / (1 + F.exp(-x))).alias("score")))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def score(batches):
@@ -357,5 +496,9 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     rows = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
             .mapInArrow(score, "doc_id long, score double"))
+    return scored(rows)
+
+
+def scored(rows: DataFrame) -> DataFrame:
     return rows.select("doc_id", held_out(F.col("doc_id"), FOLDS, HELD_OUT_FOLD).alias("held_out"), "score",
                        (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))

@@ -256,6 +256,28 @@ def test_toxicity_finds_stems_with_unseen_endings(spark):
     assert sum(r.predicted == t for r, t in held) / len(held) > 0.95
 
 
+def test_toxicity_is_the_same_beyond_the_broadcast(spark, monkeypatch):
+    rng = random.Random(22)
+    docs, labels = [(900, None), (901, ""), (902, "123 !?"), (None, "x"), (903, "zyxwab " * 5)], [(0, 1, 1), (1, 1, 0)]
+    for i in range(300):
+        found = rng.random() < 0.4
+        docs.append((i, " ".join([prose(rng, 30)] + found * [rng.choice(("zyxw", "qqut")) + prose(rng, 1)])))
+        labels.append((i, 1, int(found)))
+    docs += docs[-9:]
+    marks = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+
+    def scores():
+        rows = kneser_ney.toxicity(docs_frame(spark, docs).repartition(3), marks).collect()
+        return sorted((-1 if r.doc_id is None else r.doc_id, r.held_out, r.predicted, r.score) for r in rows)
+
+    want = scores()
+    monkeypatch.setattr(kneser_ney, "MAX_GRAMS", 500)
+    monkeypatch.setattr(kneser_ney, "KNOWN_WORDS", 200)
+    got = scores()
+    assert [r[:3] for r in got] == [r[:3] for r in want]
+    assert [r[3] for r in got] == pytest.approx([r[3] for r in want], abs=1e-9)
+
+
 def test_shared_backoff_is_a_distribution(spark):
     docs = spark.createDataFrame([("abra cadabra abba", 1), ("brab arc", 0), ("dab", None)], "text string, label int")
     table = common.stored(kneser_ney.gram_counts(docs), "t")
