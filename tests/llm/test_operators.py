@@ -303,6 +303,12 @@ def test_tokens_of_documents(spark):
     assert piece_viterbi.encoded_and_checked(docs_frame(spark, [])).collect() == []
 
 
+def test_a_text_that_does_not_come_back_is_told(spark):
+    rows = [(1, "x▁y"), (2, "x y"), (3, "▁"), (4, None)]
+    got = piece_viterbi.encoded_and_checked(docs_frame(spark, rows)).collect()
+    assert {r.doc_id: r.round_trip for r in got} == {1: False, 2: True, 3: False, 4: True}
+
+
 def test_captures_round_trip_through_archives(spark, monkeypatch):
     monkeypatch.setattr(warc, "CAPTURES_PER_FILE", 3)
     big = "<p>\r\n\r\nWARC/1.1\r\nWARC-Type: response\r\nContent-Length: 5\r\n\r\né" + "z" * 1200
