@@ -4,7 +4,7 @@ Every stage takes ``(spark, docs, sf_dir)`` and works on all rows that its prede
 
 * ``quality`` drops the documents that the line model rejects;
 * ``near_duplicates`` keeps of each group of linked documents the one with the smallest
-  doc_id (of rows that share this id, one), and every document without words or id;
+  doc_id (of rows of the group with this id, one), and every document without words or id;
 * ``repeats`` cuts 400-byte strings that occur twice out of the texts;
 * ``decontaminate`` drops the documents that hold a passage of the benchmark;
 * ``tokens`` turns the texts into ids: ``(doc_id, ids, n_tokens, round_trip)``.

@@ -166,10 +166,10 @@ def frequent_shingles(docs: DataFrame) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """Per document: class, set size and, for the first of a class in a task, point and prefix."""
+    """Per document: hash of the text, class, set size and, for the first of a class in a task, point and prefix."""
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
-    schema = pa.schema([("doc_id", pa.int64()), ("cls", pa.int64()), ("n", pa.int64()), ("point", pa.binary()),
-                        ("coarse", pa.binary()), ("prefix", pa.list_(pa.int64()))])
+    schema = pa.schema([("doc_id", pa.int64()), ("tid", pa.int64()), ("cls", pa.int64()), ("n", pa.int64()),
+                        ("point", pa.binary()), ("coarse", pa.binary()), ("prefix", pa.list_(pa.int64()))])
 
     def sign(batches):
         often = shared.value
@@ -194,10 +194,11 @@ def signatures(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
                     rows.append((c, n, point, coarse_point(point, n),
                                  in_order[: n // 4 + 1 + n // MORE].view(np.int64)))
                 yield pa.RecordBatch.from_arrays(
-                    [ids, *(pa.array(c, f.type) for c, f in zip(zip(*rows), list(schema)[1:]))], schema=schema)
+                    [ids, part.column(2), *(pa.array(c, f.type) for c, f in zip(zip(*rows), list(schema)[2:]))],
+                    schema=schema)
 
-    return docs.select("doc_id", "text").mapInArrow(
-        sign, "doc_id long, cls long, n long, point binary, coarse binary, prefix array<long>")
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("tid")).mapInArrow(
+        sign, "doc_id long, tid long, cls long, n long, point binary, coarse binary, prefix array<long>")
 
 
 # ── shared leading shingles ───────────────────────────────────────────
@@ -553,6 +554,11 @@ def families(led: DataFrame) -> DataFrame:
 
 def link_components(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of ``docs(doc_id, text)``."""
+    return components_of_rows(docs).select("doc_id", "n_shingles", "component_id")
+
+
+def components_of_rows(docs: DataFrame) -> DataFrame:
+    """As ``link_components``, with the hash of the text and the number of the group."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     signed = stored(signatures(docs, frequent_shingles(docs)), "jaccard-signed")
     points = signed.where("point is not null").select("cls", "n", "point").dropDuplicates(["cls"])
@@ -586,13 +592,13 @@ def link_components(docs: DataFrame) -> DataFrame:
     more = verified(enough(pairs), docs, signed, points)
     comp = components(inside.unionByName(more), "jaccard-cc")
 
-    known = signed.select("doc_id", "cls", "n").join(
+    known = signed.select("doc_id", "tid", "cls", "n").join(
         comp.select(F.col("id").alias("cls"), "component"), "cls", "left")
     known = known.withColumn("component", F.coalesce("component", "cls"))
     lowest = (known.where("n > 0").groupBy("component").agg(F.min("doc_id").alias("component_id")))
     out = known.join(lowest, "component", "left")
     return out.select(
-        "doc_id", F.col("n").alias("n_shingles"),
+        "doc_id", "tid", "component", F.col("n").alias("n_shingles"),
         F.when(F.col("doc_id").isNotNull(),
                F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")))
         .alias("component_id"))
@@ -600,11 +606,16 @@ def link_components(docs: DataFrame) -> DataFrame:
 
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` without near duplicates: of each group of linked documents the one
-    whose doc_id is smallest (of rows with this id, one). Documents without words link with
-    nothing and stay, as do rows without an id."""
-    found = link_components(docs.select("doc_id", "text"))
-    keep = found.where("doc_id = component_id").select("doc_id").distinct()
-    ids = docs.where("doc_id is not null").dropDuplicates(["doc_id"])
-    kept = ids.join(keep.withColumnRenamed("doc_id", "_kept"),
-                    ids["doc_id"].cast("long") == F.col("_kept"), "left_semi")
+    whose doc_id is smallest (of rows of the group with this id, the one whose text and row
+    have the least hash). Documents without words link with nothing and stay (of equal texts
+    with one id, one), as do rows without an id."""
+    found = components_of_rows(docs.select("doc_id", "text"))
+    group = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("tid"))
+    keep = (found.where("doc_id = component_id").groupBy("doc_id", group.alias("group"), F.col("n_shingles") > 0)
+            .agg(F.min("tid").alias("_tid")).select(F.col("doc_id").alias("_kept"), "_tid").distinct())
+    rows = docs.where("doc_id is not null").select(F.struct(*docs.columns).alias("_row"))
+    rows = rows.select("_row", F.col("_row.doc_id").cast("long").alias("_kept"),
+                       F.xxhash64("_row.text").alias("_tid"))
+    kept = (rows.join(keep, ["_kept", "_tid"], "left_semi").groupBy("_kept", "_tid")
+            .agg(F.min_by("_row", F.xxhash64("_row")).alias("_row")).select("_row.*"))
     return kept.unionByName(docs.where("doc_id is null"))

@@ -63,6 +63,17 @@ def test_jaccard_keeps_one_of_each_group_and_all_columns(spark, family_docs):
     assert sorted(i for i in ids if i is not None) == sorted(want) and ids.count(None) == 1
 
 
+def test_jaccard_keeps_unlinked_texts_of_one_id(spark):
+    rng = random.Random(23)
+    one, two, three = (prose(rng, 60) for _ in range(3))
+    rows = [(1, one), (1, two), (1, one.upper()), (2, two), (3, three), (3, one), (4, None), (4, ""), (4, " "), (4, "")]
+    df = docs_frame(spark, rows)
+    want = [(1, one), (1, two), (3, three), (4, ""), (4, " "), (4, None)]
+    got = [[(r.doc_id, r.text and r.text.lower()) for r in ngram_jaccard.one_of_each(df.repartition(k)).collect()]
+           for k in (1, 4)]
+    assert [sorted(g, key=str) for g in got] == [sorted(want, key=str)] * 2
+
+
 def test_jaccard_without_documents(spark):
     empty = docs_frame(spark, [])
     assert ngram_jaccard.link_components(empty).collect() == []
