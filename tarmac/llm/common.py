@@ -30,16 +30,28 @@ def table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage ends here."""
+    return stored_at(df, name)[0]
+
+
+def stored_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """As ``stored``, and the path, for ``without_table``."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def without_table(spark: SparkSession, path: str) -> None:
+    """Delete a written table that no later step reads."""
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
 BROADCAST_ROWS = 1_000_000
 
 
-def rows_with_ids(df: DataFrame, ids: DataFrame, key: str, how: str = "inner") -> DataFrame:
+def rows_with_ids(df: DataFrame, ids: DataFrame, key: str | list[str], how: str = "inner") -> DataFrame:
     """``df`` joined with ``ids`` (distinct ``key``, maybe with small columns). The ids are
     written and counted first: up to ``BROADCAST_ROWS`` they go to the rows, beyond that
     both sides are shuffled."""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tarmac.llm import license_scan
+from tarmac.llm import importance, license_scan, vector_codes
 
 ORACLE: dict[str, str] = {}
 
@@ -121,3 +121,89 @@ SELECT conv_id, count(*) AS n_turns,
        CAST(sum(length(esc) + CASE WHEN before = role THEN 8 ELSE 4 + shown + 2 + 9 END) AS BIGINT) AS formatted_chars
 FROM m GROUP BY conv_id
 """
+
+
+def _codes_sql() -> str:
+    parts, entries, rounds = vector_codes.PARTS, vector_codes.ENTRIES, vector_codes.ROUNDS
+    steps = []
+    for k in range(rounds + 1):              # a: nearest entries, b: codebooks moved to the means
+        steps.append(f"""
+a{k} AS MATERIALIZED (
+  SELECT r, p.part, min({entries} * list_sum(list_transform(range(1, len(x) + 1),
+                                lambda i: (x[i] - c[i]) * (x[i] - c[i]))) + entry) AS best
+  FROM p JOIN b{k} USING (part) GROUP BY r, p.part)""")
+        if k < rounds:
+            steps.append(f"""
+m{k} AS (
+  SELECT part, entry, i, CAST(floor(sum(x[i]) / count(*)) AS BIGINT) AS c
+  FROM (SELECT a.part, CAST(best % {entries} AS BIGINT) AS entry, x, unnest(range(1, len(x) + 1)) AS i
+        FROM a{k} a JOIN p USING (r, part)) GROUP BY part, entry, i),
+b{k + 1} AS MATERIALIZED (
+  SELECT b.part, b.entry, coalesce(m.c, b.c) AS c
+  FROM b{k} b LEFT JOIN (SELECT part, entry, list(c ORDER BY i) AS c FROM m{k} GROUP BY part, entry) m
+       USING (part, entry))""")
+    return f"""
+WITH k AS MATERIALIZED (
+  SELECT vec_id, label, row_number() OVER (ORDER BY vec_id NULLS LAST) AS r, len(embedding) // {parts} AS w,
+         list_transform(embedding, lambda x: CAST(floor({vector_codes.SCALE} * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS MATERIALIZED (
+  SELECT r, part, list_slice(v, part * w + 1, part * w + w) AS x FROM k, range({parts}) AS t(part)),
+b0 AS MATERIALIZED (SELECT part, r - 1 AS entry, x AS c FROM p WHERE r <= {entries}),{','.join(steps)},
+f AS (
+  SELECT r, string_agg(printf('%02x', CAST(best % {entries} AS BIGINT)), '' ORDER BY part) AS code,
+         CAST(sum(best // {entries}) AS BIGINT) AS error
+  FROM a{rounds} GROUP BY r),
+s AS (
+  SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM b{rounds})
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM k JOIN f USING (r), s
+"""
+
+
+ORACLE["op11_vector_codes"] = _codes_sql()
+
+ORACLE["op12_importance_draw"] = rf"""
+WITH tab AS MATERIALIZED (
+  SELECT list(c ORDER BY i) AS t
+  FROM (SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, k:
+               CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c FROM range(256) AS r(i))),
+w AS MATERIALIZED (
+  SELECT 0 AS side, row_number() OVER () AS d, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents
+  UNION ALL
+  SELECT 1, row_number() OVER (), NULL,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') FROM benchmark),
+f AS MATERIALIZED (SELECT side, d, unnest(ws) AS word FROM w),
+h AS MATERIALIZED (
+  SELECT word, hex(encode(word)) AS x FROM (SELECT DISTINCT word FROM f)),
+c AS MATERIALIZED (
+  SELECT word, CAST(xor(list_reduce(list_prepend(4294967295, list_transform(range(1, len(x) // 2 + 1),
+           lambda i: CAST('0x' || substr(x, CAST(2 * i - 1 AS INT), 2) AS BIGINT))),
+         lambda r, b: xor(r >> 8, t[CAST(xor(r, b) % 256 + 1 AS INT)])), 4294967295) % {importance.BUCKETS} AS INT) AS bucket
+  FROM h, tab),
+n AS (SELECT bucket, count(*) FILTER (side = 0) AS s, count(*) FILTER (side = 1) AS t
+      FROM f JOIN c USING (word) GROUP BY bucket),
+total AS (SELECT coalesce(sum(s), 0) AS big, coalesce(sum(t), 0) AS want FROM n),
+g AS MATERIALIZED (
+  SELECT bucket, CAST(floor(1000 * ln(CAST((t + 1) * (big + {importance.BUCKETS}) AS DOUBLE)
+                                      / CAST((s + 1) * (want + {importance.BUCKETS}) AS DOUBLE))) AS BIGINT) AS gain
+  FROM n, total),
+a AS (
+  SELECT d, CAST(count(*) AS BIGINT) AS n_features, CAST(floor(CAST(sum(gain) AS DOUBLE) / count(*)) AS BIGINT) AS weight
+  FROM f JOIN c USING (word) JOIN g USING (bucket) WHERE side = 0 GROUP BY d),
+r AS (
+  SELECT d, doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256(
+           '{importance.SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) + 0.5::DOUBLE)
+           / 4294967296::DOUBLE))) AS BIGINT) AS score
+  FROM w LEFT JOIN a USING (d) WHERE side = 0),
+k AS (
+  SELECT d, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST) AS rank,
+         {importance.PERCENT} * count(*) OVER () // 100 AS many
+  FROM r WHERE n_features >= {importance.LEAST_WORDS})
+SELECT doc_id, n_features, weight, score, CASE WHEN rank <= many THEN rank END AS rank FROM r LEFT JOIN k USING (d)
+"""

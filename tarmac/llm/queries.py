@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm import (chat_format, decontaminate, ego_join, kneser_ney, license_scan, line_crf,
-                        ngram_jaccard, piece_viterbi, suffix_dedup, warc)
+from tarmac.llm import (chat_format, decontaminate, ego_join, importance, kneser_ney, license_scan, line_crf,
+                        ngram_jaccard, piece_viterbi, sketch, suffix_dedup, vector_codes, warc)
 from tarmac.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -90,3 +90,22 @@ def op10_chat_format(spark, sf_dir):
         F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
         F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(HOSTILE).alias("text"))
     return chat_format.digests(rows.unionByName(more))
+
+
+@query("op11_vector_codes")
+def op11_vector_codes(spark, sf_dir):
+    """Codes and errors of all embeddings by ball k-means codebooks."""
+    return vector_codes.code_report(table(spark, sf_dir, "embeddings", "vec_id", "label", "embedding"))
+
+
+@query("op12_importance_draw")
+def op12_importance_draw(spark, sf_dir):
+    """Weight, score and rank of every document drawn towards the benchmark's words."""
+    return importance.resample(table(spark, sf_dir, "documents", "doc_id", "text"),
+                               table(spark, sf_dir, "benchmark", "text"))
+
+
+@query("op13_scaled_sketch")
+def op13_scaled_sketch(spark, sf_dir):
+    """Fingerprints of every document and of its edited text, and their likeness."""
+    return sketch.edited_report(table(spark, sf_dir, "documents", "doc_id", "text"))

@@ -91,7 +91,7 @@ def test_run_is_the_chain_of_stages(spark, tables):
 
 def test_each_operator_has_one_query():
     names = [n for n in E.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in E.queries()
 
 
@@ -102,10 +102,10 @@ def _plain(v):
 
 
 @pytest.mark.parametrize("name", ["op1_warc_captures", "op3_ego_join", "op4_ngram_jaccard", "op6_license_scan",
-                                  "op10_chat_format"])
+                                  "op10_chat_format", "op11_vector_codes", "op12_importance_draw"])
 def test_queries_equal_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "pages", "conversations"):
+    for t in ("documents", "embeddings", "pages", "conversations", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
     df = E.queries()[name](spark, SF_SMALL)
     cur = con.execute(E.oracle_sql()[name])
