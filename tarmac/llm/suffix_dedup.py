@@ -25,7 +25,10 @@ Instead a sparse set of suffixes is sorted, from which all 400-byte strings foll
 4. The covered intervals of a text are united and cut out.
 
 Whole copies of a text count as one text in all this; a text of 400 bytes or more that
-two rows have goes entirely. Text ids are 64-bit hashes of the whole text.
+two rows have goes entirely. Text ids are 64-bit hashes of the whole text; where different
+texts share one (their lengths or a second, independent hash differ) the second is theirs.
+
+The window is a parameter of up to 510 bytes; spans are half as long.
 
 Defined cases: null and empty texts have n_bytes 0 and the hash of the empty string;
 null or repeated doc_ids are rows of their own; other columns are kept or ignored.
@@ -39,10 +42,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tarmac.llm.common import SpanHash, byte_codes, mix64, sliding_runs, stored, utf8_chunks
+from tarmac.llm.common import SpanHash, byte_codes, mix64, rows_with_ids, sliding_runs, stored, utf8_chunks
 
 WINDOW, SPAN = 400, 200
 SIDE = WINDOW - SPAN          # bytes of context on either side of a span
@@ -58,6 +61,31 @@ def text_id(text: bytes) -> int:
     return h - (1 << 64) if h >> 63 else h
 
 
+def first_hash(text: Column) -> Column:
+    return F.xxhash64(text)
+
+
+def identified(docs: DataFrame, window: int) -> tuple[DataFrame, DataFrame]:
+    """``docs`` with ``tid``, and (tid, n, n_bytes) of all texts of at least ``window`` bytes.
+    ``docs`` has ``text`` (no null) and none of the columns named here."""
+    second = F.xxhash64(F.lit("second"), F.col("text"))
+    keyed = docs.withColumn("tid", first_hash(F.col("text")))
+    lengths = stored(keyed.where(F.octet_length("text") >= window).withColumn("second", second)
+                     .groupBy("tid").agg(F.count(F.lit(1)).alias("n"), F.max(F.octet_length("text")).cast("long").alias("n_bytes"),
+                                         F.min(F.octet_length("text")).cast("long").alias("least"),
+                                         F.min("second").alias("low"), F.max("second").alias("high")), "suffix-lengths")
+    differ = (F.col("low") != F.col("high")) | (F.col("least") != F.col("n_bytes"))
+    shared = lengths.where(differ).select("tid", F.lit(True).alias("shared"))
+    if shared.isEmpty():
+        return keyed, lengths.select("tid", "n", "n_bytes")
+    keyed = (rows_with_ids(keyed, shared, "tid", "left")
+             .withColumn("tid", F.when(F.col("shared") & (F.octet_length("text") >= window), second)
+                         .otherwise(F.col("tid"))).drop("shared"))
+    lengths = stored(keyed.where(F.octet_length("text") >= window).groupBy("tid").agg(
+        F.count(F.lit(1)).alias("n"), F.max(F.octet_length("text")).cast("long").alias("n_bytes")), "suffix-lengths")
+    return keyed, lengths
+
+
 # ── anchors ───────────────────────────────────────────────────────────
 
 
@@ -74,39 +102,48 @@ def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(back[:m], ahead[width - 1: width - 1 + m])
 
 
-def chunk_anchors(buf: np.ndarray, offs: np.ndarray, codes: np.ndarray):
+def halves(window: int) -> tuple[int, int]:
+    """Lengths of a window's spans and of the context on either side of them."""
+    if not 2 <= window <= 510:
+        raise ValueError("a window has 2 to 510 bytes")
+    return window // 2, window - window // 2
+
+
+def chunk_anchors(buf: np.ndarray, offs: np.ndarray, codes: np.ndarray, window: int = WINDOW):
     """(document, span hash, context hash, start, left, right) of all anchors of a chunk."""
+    span_size, side = halves(window)
     n = len(buf)
-    docs = np.flatnonzero(np.diff(offs) >= WINDOW)
+    docs = np.flatnonzero(np.diff(offs) >= window)
     if not len(docs):
         return None
     h = SpanHash(buf, codes)
-    m = n - SPAN + 1
-    span = mix64((h.total[SPAN:] - h.total[:-SPAN]) * h.down[:m])
-    least = sliding_min((span & HIGH) | np.arange(m, dtype=np.uint64), SIDE + 1)
+    m = n - span_size + 1
+    span = mix64((h.total[span_size:] - h.total[:-span_size]) * h.down[:m])
+    least = sliding_min((span & HIGH) | np.arange(m, dtype=np.uint64), side + 1)
     at, owner = [], []
     for d in docs:
-        a = (least[offs[d]: offs[d + 1] - WINDOW + 1] & LOW).astype(np.int64)
+        a = (least[offs[d]: offs[d + 1] - window + 1] & LOW).astype(np.int64)
         a = a[sliding_runs(a)]
         at.append(a)
         owner.append(np.full(len(a), d))
     at, owner = np.concatenate(at), np.concatenate(owner)
-    left = np.minimum(SIDE, at - offs[owner])
-    right = np.minimum(SIDE, offs[owner + 1] - at - SPAN)
-    shape = (left * (SIDE + 1) + right).astype(np.uint64)
-    context = mix64(h(at - left, at + SPAN + right) + mix64(shape + np.uint64(1)))
+    left = np.minimum(side, at - offs[owner])
+    right = np.minimum(side, offs[owner + 1] - at - span_size)
+    shape = (left * (side + 1) + right).astype(np.uint64)
+    context = mix64(h(at - left, at + span_size + right) + mix64(shape + np.uint64(1)))
     return owner, span[at], context, at - offs[owner], left, right
 
 
-def needed_covers(owner, start, left, right, twice) -> np.ndarray:
+def needed_covers(owner, start, left, right, twice, window: int = WINDOW) -> np.ndarray:
     """A mask of rows whose contexts cover, text by text, all that the ``twice`` contexts cover:
     a text that says one thing over and over has an anchor every few bytes."""
+    span_size = halves(window)[0]
     keep = np.zeros(len(owner), bool)
-    rows = np.flatnonzero(twice & (left + SPAN + right >= WINDOW))
+    rows = np.flatnonzero(twice & (left + span_size + right >= window))
     at = sliding_runs(owner[rows])
     for a, b in zip(at, np.append(at[1:], len(rows))):
         lo = start[rows[a:b]] - left[rows[a:b]]                      # both rise with the place
-        hi = start[rows[a:b]] + SPAN + right[rows[a:b]]
+        hi = start[rows[a:b]] + span_size + right[rows[a:b]]
         i, end = 0, -1
         while i < len(lo):
             j = max(int(np.searchsorted(lo, end, "right")) - 1, i)
@@ -119,8 +156,8 @@ def needed_covers(owner, start, left, right, twice) -> np.ndarray:
     return keep
 
 
-def anchors(docs: DataFrame) -> DataFrame:
-    """(span, context, tid, place, twice); place packs start, left and right. A text that a task
+def anchors(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+    """(span, context, tid, place, twice) of ``docs(text, tid)``; place packs start, left and right. A text that a task
     meets again is left out. Of equal contexts in one text (words or lines said again and
     again) one row stands for all, with ``twice`` set, as the others need no comparison: of
     these, rows under keys of their own, only as many are left as cover what all cover."""
@@ -129,15 +166,15 @@ def anchors(docs: DataFrame) -> DataFrame:
         seen: set[int] = set()
         for batch in batches:
             for i, j, buf, offs in utf8_chunks(batch.column(0)):
-                found = chunk_anchors(buf, offs, codes)
+                found = chunk_anchors(buf, offs, codes, window)
                 if found is None:
                     continue
                 owner, span, context, start, left, right = found
-                tid = np.zeros(j - i, np.int64)
+                tid = batch.column(1)[i:j].to_numpy()
                 new = np.zeros(j - i, bool)
                 for d in np.unique(owner):
-                    t = text_id(buf[offs[d]: offs[d + 1]].tobytes())
-                    tid[d], new[d] = t, t not in seen
+                    t = int(tid[d])
+                    new[d] = t not in seen
                     seen.add(t)
                 ok = new[owner]
                 place = (start << 16) | (left << 8) | right
@@ -149,7 +186,7 @@ def anchors(docs: DataFrame) -> DataFrame:
                 later[order] = same
                 twice = later.copy()
                 twice[order[:-1]] |= same[1:]
-                ok &= ~later | needed_covers(owner, start, left, right, twice)
+                ok &= ~later | needed_covers(owner, start, left, right, twice, window)
                 own = mix64(tid[owner].view(np.uint64) ^ place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
                 span = np.where(later, own, span)
                 yield pa.RecordBatch.from_arrays(
@@ -157,7 +194,7 @@ def anchors(docs: DataFrame) -> DataFrame:
                                                tid[owner], place, twice)],
                     ["span", "context", "tid", "place", "twice"])
 
-    return docs.select("text").mapInArrow(
+    return docs.select("text", "tid").mapInArrow(
         find, "span long, context long, tid long, place long, twice boolean")
 
 
@@ -327,17 +364,17 @@ def deep_shallow(group: np.ndarray, text: np.ndarray, size: np.ndarray):
     return order, common
 
 
-def repeated_offsets(group: np.ndarray, before, before_size, behind, behind_size):
-    """(lowest, highest) offset ``a`` at which the 400 bytes that start ``a`` bytes before the
+def repeated_offsets(group: np.ndarray, before, before_size, behind, behind_size, window: int = WINDOW):
+    """(lowest, highest) offset ``a`` at which the ``window`` bytes that start ``a`` bytes before the
     span also occur in another member of the group; highest is -1 if there is none."""
-    n = len(group)
+    n, side = len(group), halves(window)[1]
     l_order, l_common = deep_shallow(group, before, before_size)
     r_order, r_common = deep_shallow(group, behind, behind_size)
-    low, high = np.full(n, SIDE + 1), np.full(n, -1)
+    low, high = np.full(n, side + 1), np.full(n, -1)
     left, right = np.empty(n, np.int64), np.empty(n, np.int64)
-    for a in range(SIDE + 1):
+    for a in range(side + 1):
         left[l_order] = np.cumsum(l_common < a)
-        right[r_order] = np.cumsum(r_common < SIDE - a)
+        right[r_order] = np.cumsum(r_common < side - a)
         both = left * (n + 1) + right
         order = np.argsort(both, kind="stable")
         same = both[order][1:] == both[order][:-1]
@@ -349,17 +386,19 @@ def repeated_offsets(group: np.ndarray, before, before_size, behind, behind_size
     return low, high
 
 
-def _padded(col: pa.Array, backward: bool) -> tuple[np.ndarray, np.ndarray]:
+def _padded(col: pa.Array, backward: bool, side: int) -> tuple[np.ndarray, np.ndarray]:
+    """Strings of up to ``side`` bytes as rows of a matrix of whole 8-byte words."""
+    side = -(-max(side, SHALLOW) // 8) * 8
     parts = col.to_pylist()
     size = np.array([len(p) for p in parts], np.int64)
-    grid = np.zeros((len(parts), SIDE), np.uint8)
-    place = np.arange(SIDE)[None, :]
-    grid[place >= SIDE - size[:, None] if backward else place < size[:, None]] = np.frombuffer(
+    grid = np.zeros((len(parts), side), np.uint8)
+    place = np.arange(side)[None, :]
+    grid[place >= side - size[:, None] if backward else place < size[:, None]] = np.frombuffer(
         b"".join(parts), np.uint8)
     return np.ascontiguousarray(grid[:, ::-1]) if backward else grid, size
 
 
-def swept(contexts: DataFrame) -> DataFrame:
+def swept(contexts: DataFrame, window: int = WINDOW) -> DataFrame:
     """Covered intervals (tid, start, end) from ``contexts(span, tid, start, before, behind)``."""
     rows = (contexts.repartition("span").sortWithinPartitions("span", "tid", "start")
             .select("span", "tid", "start", "before", "behind"))
@@ -371,12 +410,13 @@ def swept(contexts: DataFrame) -> DataFrame:
         t = t.filter(pa.array(new)).combine_chunks()
         span, tid, start = span[new], tid[new], start[new]
         group = np.cumsum(np.concatenate(([0], span[1:] != span[:-1])))
-        before, before_size = _padded(t.column(3), backward=True)
-        behind, behind_size = _padded(t.column(4), backward=False)
-        low, high = repeated_offsets(group, before, before_size, behind, behind_size)
+        side = halves(window)[1]
+        before, before_size = _padded(t.column(3), backward=True, side=side)
+        behind, behind_size = _padded(t.column(4), backward=False, side=side)
+        low, high = repeated_offsets(group, before, before_size, behind, behind_size, window)
         ok = high >= 0
         return pa.RecordBatch.from_arrays(
-            [pa.array(tid[ok]), pa.array(start[ok] - high[ok]), pa.array(start[ok] - low[ok] + WINDOW)],
+            [pa.array(tid[ok]), pa.array(start[ok] - high[ok]), pa.array(start[ok] - low[ok] + window)],
             ["tid", "start", "end"])
 
     def read(batches):
@@ -426,20 +466,17 @@ def united(intervals: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def cut_texts(docs: DataFrame) -> DataFrame:
-    """(tid, n_removed, n_spans, kept_sha256, kept, kept_text) of every text that loses bytes:
-    what remains as bytes, and as a string without the bytes of broken characters."""
-    base = docs.select(F.coalesce("text", F.lit("")).alias("text"))
-    marks = stored(marked(anchors(base)), "suffix-marks")
-    lengths = stored(base.where(F.octet_length("text") >= WINDOW)
-                     .groupBy(F.xxhash64("text").alias("tid"))
-                     .agg(F.count(F.lit(1)).alias("n"), F.max(F.octet_length("text")).cast("long").alias("n_bytes")),
-                     "suffix-lengths")
+def cut_texts(base: DataFrame, lengths: DataFrame, window: int = WINDOW) -> DataFrame:
+    """(tid, n_removed, n_spans, kept_sha256, kept, kept_text) of every text of ``base(text, tid)``
+    that loses bytes: what remains as bytes, and as a string without the bytes of broken
+    characters. ``lengths`` as ``identified`` gives them."""
+    span_size = halves(window)[0]
+    marks = stored(marked(anchors(base, window)), "suffix-marks")
     whole = marks.where("not need").select(
         "tid", F.expr("shiftright(place, 16) - (shiftright(place, 8) & 255)").alias("start"),
-        F.expr(f"shiftright(place, 16) + {SPAN} + (place & 255)").alias("end"))
+        F.expr(f"shiftright(place, 16) + {span_size} + (place & 255)").alias("end"))
     copies = lengths.where("n > 1").select("tid", F.lit(0).cast("long").alias("start"), F.col("n_bytes").alias("end"))
-    known = whole.where(f"end - start >= {WINDOW}").unionByName(copies)
+    known = whole.where(f"end - start >= {window}").unionByName(copies)
     # texts that lose bytes without a comparison, but not all their bytes: how far the cover reaches from 0
     reach = F.aggregate(F.array_sort("known"), F.lit(0).cast("long"), lambda r, x: F.when(
         x["start"] <= r, F.greatest(r, x["end"])).otherwise(r))
@@ -448,7 +485,7 @@ def cut_texts(docs: DataFrame) -> DataFrame:
     need = (marks.where("need").groupBy("tid")
             .agg(F.collect_set(F.struct("span", "place")).alias("at"))
             .join(partial, "tid", "full"))
-    texts = (base.withColumn("tid", F.xxhash64("text")).where(F.octet_length("text") >= WINDOW)
+    texts = (base.where(F.octet_length("text") >= window)
              .join(need, "tid").select("tid", "text", "at"))
 
     def contexts(batches):
@@ -464,7 +501,7 @@ def cut_texts(docs: DataFrame) -> DataFrame:
                 cols: tuple[list, ...] = ([], [], [], [], [], [])
                 for x in at or ():
                     start, left, right = x["place"] >> 16, (x["place"] >> 8) & 255, x["place"] & 255
-                    behind = start + SPAN
+                    behind = start + span_size
                     row = (x["span"], tid, start, raw[start - left: start], raw[behind: behind + right],
                            None)
                     for c, v in zip(cols, row):
@@ -476,7 +513,7 @@ def cut_texts(docs: DataFrame) -> DataFrame:
 
     got = stored(texts.mapInArrow(contexts, "span long, tid long, start long, before binary, "
                                             "behind binary, text string"), "suffix-contexts")
-    cover = (swept(got.where("span is not null")).unionByName(known).distinct()
+    cover = (swept(got.where("span is not null"), window).unionByName(known).distinct()
              .groupBy("tid").agg(F.collect_list(F.struct("start", "end")).alias("cover")))
     pieces = (cover.join(lengths.select("tid", "n_bytes"), "tid")
               .join(got.where("span is null").select("tid", "text"), "tid", "left"))
@@ -513,21 +550,24 @@ def cut_texts(docs: DataFrame) -> DataFrame:
             .dropDuplicates(["tid"]))
 
 
-def removal_report(docs: DataFrame) -> DataFrame:
+def removal_report(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) for every row of ``docs``."""
-    changed = cut_texts(docs).drop("kept", "kept_text")
-    text = F.coalesce("text", F.lit(""))
-    every = docs.select("doc_id", F.octet_length(text).cast("long").alias("n_bytes"),
-                        F.sha2(text.cast("binary"), 256).alias("sha"), F.xxhash64(text).alias("tid"))
+    keyed, lengths = identified(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")), window)
+    changed = cut_texts(keyed.select("text", "tid"), lengths, window).drop("kept", "kept_text")
+    every = keyed.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"),
+                         F.sha2(F.col("text").cast("binary"), 256).alias("sha"), "tid")
     return every.join(changed, "tid", "left").select(
         "doc_id", "n_bytes", F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"),
         F.coalesce("n_spans", F.lit(0).cast("long")).alias("n_spans"),
         F.coalesce("kept_sha256", "sha").alias("kept_sha256"))
 
 
-def without_repeats(docs: DataFrame) -> DataFrame:
+def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """``docs`` with repeated bytes cut out of ``text``; a character that lost a part of its
     bytes goes as a whole. Texts that lose nothing stay as they are (null too)."""
-    changed = cut_texts(docs).select(F.col("tid").alias("_tid"), F.col("kept_text").alias("_text"))
-    joined = docs.withColumn("_tid", F.xxhash64("text")).join(changed, "_tid", "left")
-    return joined.withColumn("text", F.coalesce("_text", "text")).select(*docs.columns)
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.coalesce("text", F.lit("")).alias("text"))
+    keyed, lengths = identified(rows, window)
+    changed = cut_texts(keyed.select("text", "tid"), lengths, window).select("tid", "kept_text")
+    return keyed.join(changed, "tid", "left").select(
+        *(F.coalesce("kept_text", "row.text").alias("text") if c == "text" else F.col(f"row.`{c}`").alias(c)
+          for c in docs.columns))
