@@ -3,8 +3,10 @@
 Texts and items are compared as code points after ``str.lower`` and with every run of
 white space as one blank. A document is contaminated by an item if a passage of
 ``PASSAGE`` code points of the item (the whole item if it is shorter) aligns with a
-part of the document with at most ``EDIT_RATE`` edits per code point. An item of under
-``LEAST_ITEM`` code points is too short to be evidence and is never searched.
+part of the document with at most ``EDIT_RATE`` edits per code point. Items of every length
+are searched: a passage of under 40 code points is allowed as many edits, up to that rate, as
+leave it one whole q-gram (none below 16), and an item of under ``Q`` code points must stand
+in the document as it is, between characters that are neither letters nor digits.
 
 1. A passage of length L with at most e edits keeps ``T = L - q + 1 - q * e`` of its
    q-grams, and the diagonals (document position less item position) on which they lie
@@ -41,7 +43,6 @@ from tarmac.llm.common import mix64, sliding_runs, stored
 Q = 8
 PASSAGE = 100
 EDIT_RATE = 0.1
-LEAST_ITEM = 40
 PART_CODES = 4_000_000        # code points of the benchmark in one broadcast (about 100 MB)
 CHUNK_CODES = 1 << 19
 REGIONS = 4096                # regions aligned at a time
@@ -53,8 +54,18 @@ _BLANK = np.zeros(0x2030, bool)      # white space, by code point
 _BLANK[[9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 0x85, 0xA0, 0x2028, 0x2029]] = True
 
 
+_EDGE = np.ones(0x3040, bool)        # code points that end a word; GAP and others beyond: see edges()
+_EDGE[[c for c in range(0x3040) if chr(c).isalnum()]] = False
+
+
+def edges(codes: np.ndarray) -> np.ndarray:
+    """Which code points are neither letters nor digits (beyond U+303F only the gaps)."""
+    return _EDGE[np.minimum(codes, np.uint32(len(_EDGE) - 1))] & (codes < len(_EDGE)) | (codes == GAP)
+
+
 def budget(length: int) -> int:
-    return int(EDIT_RATE * length)
+    """Edits allowed in a passage: one of its q-grams at least stays whole."""
+    return max(min(int(EDIT_RATE * length), length // Q - 1), 0)
 
 
 def least_shared(length: int) -> int:
@@ -102,7 +113,7 @@ class Index:
         hashes, item, place = [], [], []
         for item_id, text in items:
             codes = code_points(text)
-            if len(codes) < LEAST_ITEM:
+            if not len(codes):
                 continue
             k = len(self.ids)
             self.ids.append(item_id)
@@ -121,6 +132,26 @@ class Index:
         self.filter = np.zeros(1 << self.FILTER_BITS, bool)
         self.filter[(self.hashes >> np.uint64(64 - self.FILTER_BITS)).astype(np.int64)] = True
         self.length = np.array([len(c) for c in self.codes], np.int64)
+        self.short: dict[int, dict[bytes, list[int]]] = {}       # length → code points → items
+        for k, c in enumerate(self.codes):
+            if len(c) < Q:
+                self.short.setdefault(len(c), {}).setdefault(c.tobytes(), []).append(k)
+
+    def whole_words(self, codes: np.ndarray) -> Iterator[tuple[int, int]]:
+        """(item, position in ``codes``) of items of under ``Q`` code points."""
+        if not self.short:
+            return
+        edge = np.concatenate(([True], edges(codes), [True]))    # edge[i]: the code point before i
+        for size, items in self.short.items():
+            at = np.flatnonzero(edge[: len(codes) - size + 1] & edge[size + 1:])
+            if not len(at):
+                continue
+            grid = codes[at[:, None] + np.arange(size)[None, :]]
+            for text, ks in items.items():
+                same = (grid == np.frombuffer(text, np.uint32)).all(axis=1)
+                for i in at[same].tolist():
+                    for k in ks:
+                        yield k, i
 
     def hits(self, codes: np.ndarray):
         """(position in ``codes``, item, position in the item) of every shared q-gram."""
@@ -198,6 +229,9 @@ def banded_distance(pattern: np.ndarray, text: np.ndarray, limit: int) -> tuple[
 def matches(index: Index, codes: np.ndarray) -> Iterator[tuple[int, int, int, int, int, int]]:
     """(item, passage start, passage length, edits, start, end) of verified regions of a chunk;
     start and end bound the part of ``codes`` within the band."""
+    for k, at in index.whole_words(codes):
+        size = int(index.length[k])
+        yield k, 0, size, 0, at, at + size
     by_length: dict[int, list[tuple[int, int, int]]] = {}
     for k, first, length, low in regions(index, codes):
         by_length.setdefault(length, []).append((k, first, low))
@@ -256,7 +290,7 @@ def search(docs: DataFrame, items: list[tuple[int, str]]) -> DataFrame:
                 parts, owner, size, begin = [], [], 0, [0]
                 while k < len(texts) and (size < CHUNK_CODES or not parts):
                     c = code_points(texts[k].as_py())
-                    if len(c) >= Q:
+                    if len(c):
                         parts += [c, GAPS]
                         owner.append(k)
                         size += len(c) + len(GAPS)
@@ -309,5 +343,6 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that no benchmark item contaminates. The decision is made row by
     row (rows that share an id, or have none, are judged by their ids' worst text)."""
     found = stored(contamination(docs, benchmark).select("doc_id").distinct(), "leaky")
-    return docs.join(found.withColumnRenamed("doc_id", "_leaky"),
-                     docs["doc_id"].cast("long").eqNullSafe(F.col("_leaky")), "left_anti")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("id"))
+    kept = rows.join(found, F.col("id").eqNullSafe(F.col("doc_id")), "left_anti")
+    return kept.select(*(F.col(f"row.`{c}`").alias(c) for c in docs.columns))

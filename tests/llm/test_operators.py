@@ -151,15 +151,76 @@ def test_decontamination_report_and_filter(spark, monkeypatch):
     bench = spark.createDataFrame(items, "item_id long, text string")
     got = {r.doc_id: (r.contaminated, r.n_items, r.item_ids) for r in decontaminate.report(df, bench).collect()}
     clean = (False, 0, [])
-    assert got == {0: clean, 1: clean, 2: clean, 6: clean, 3: (True, 1, [0]), 4: (True, 1, [1]), 5: (True, 1, [2]),
-                   None: (True, 1, [3]), 7: (True, 2, [0, 9])}
+    assert got == {0: clean, 1: clean, 2: clean, 6: (True, 1, [6]), 3: (True, 1, [0]), 4: (True, 1, [1]),
+                   5: (True, 1, [2]), None: (True, 1, [3]), 7: (True, 2, [0, 9])}
     kept = decontaminate.clean_documents(df, bench)
-    assert kept.columns == df.columns and {r.doc_id for r in kept.collect()} == {0, 1, 2, 6}
+    assert kept.columns == df.columns and {r.doc_id for r in kept.collect()} == {0, 1, 2}
     monkeypatch.setattr(decontaminate, "PART_CODES", 300)           # the benchmark in several parts
     again = {r.doc_id: (r.contaminated, r.n_items, r.item_ids) for r in decontaminate.report(df, bench).collect()}
     assert again == got
 
 
+def test_short_items_are_found(spark):
+    rng = random.Random(17)
+    items = [(n, prose(rng, 12)[:n].strip("\x20").ljust(n, "x")) for n in range(8, 40)]
+    items += [(100, "Yes"), (101, "4²"), (102, "What is the capital of France?"), (103, "été")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+
+    def around(text):
+        return "0000 1111 2222 3333 " + text + " 4444 5555 6666 7777"
+    rows = [(n, around(t.upper())) for n, t in items if n < 100]
+    # one changed code point: within the budget from 16 code points on
+    rows += [(1000 + n, around(t[:3] + "#" + t[4:])) for n, t in items if n < 100]
+    rows += [(200, "yes"), (201, "(YES)"), (202, "yesterday, eyes"), (203, "x4²"), (204, "is 4²."), (205, "étés"),
+             (206, "l'été"), (207, around("What is the  capital of\nFrance?"))]
+    got = {r.doc_id: r.item_ids for r in decontaminate.report(docs_frame(spark, rows), bench).collect()}
+    want = {n: [n] for n, _ in items if n < 100}
+    want |= {1000 + n: [n] if n >= 16 else [] for n, _ in items if n < 100}
+    want |= {200: [100], 201: [100], 202: [], 203: [], 204: [101], 205: [], 206: [103], 207: [102]}
+    assert got == want
+
+
+@pytest.mark.parametrize("names", [["_tid", "_text", "_leaky"], ["tid", "row", "kept_text"], ["id", "n_bytes", "shared"]])
+def test_filtering_stages_keep_further_columns(spark, names):
+    rng = random.Random(19)
+    passage, item = prose(rng, 120), prose(rng, 40)
+    texts = [prose(rng, 30) + " " + passage, passage + " " + prose(rng, 30), item, None, prose(rng, 9)]
+    df = spark.createDataFrame([(i, t, 5 + i, "mine", 0.5) for i, t in enumerate(texts)],
+                               f"doc_id long, text string, {names[0]} int, {names[1]} string, {names[2]} double")
+    cut = suffix_dedup.without_repeats(df)
+    assert cut.columns == df.columns
+    assert {tuple(r)[0]: tuple(r)[2:] for r in cut.collect()} == {i: (5 + i, "mine", 0.5) for i in range(5)}
+    clean = decontaminate.clean_documents(df, spark.createDataFrame([(1, item)], "item_id long, text string"))
+    assert clean.columns == df.columns and sorted(tuple(r)[:1] + tuple(r)[2:] for r in clean.collect()) == [
+        (i, 5 + i, "mine", 0.5) for i in (0, 1, 3, 4)]
+
+
+@pytest.mark.parametrize("window", [101, 240])
+def test_shorter_windows_equal_brute_force(spark, window):
+    rng = random.Random(window)
+    texts = [prose(rng, rng.randint(1, 120)) for _ in range(20)]
+    for words in (51, 55, 60):                                   # passages of 51 to 60 words
+        passage = prose(rng, words)
+        texts += [prose(rng, 30) + " " + passage + " " + prose(rng, 20) for _ in range(3)]
+    texts += [texts[0] * 4, "ab" * 300, "é" * 200, None, texts[3], texts[3]]
+    docs = dict(enumerate(texts))
+    want = cut_repeats(docs, window)
+    df = docs_frame(spark, docs.items()).repartition(3)
+    got = {r.doc_id: tuple(r)[1:] for r in suffix_dedup.removal_report(df, window).collect()}
+    assert got == {i: w[:4] for i, w in want.items()}
+
+
+def test_texts_that_share_a_hash_stay_apart(spark, monkeypatch):
+    rng = random.Random(29)
+    passage = prose(rng, 130)
+    texts = [prose(rng, 150) for _ in range(6)] + [prose(rng, 40) + " " + passage for _ in range(3)]
+    docs = dict(enumerate(texts + texts[:2] + ["", None, "short"]))
+    monkeypatch.setattr(suffix_dedup, "first_hash", lambda text: F.lit(7).cast("long"))
+    want = cut_repeats(docs)
+    got = {r.doc_id: tuple(r)[1:] for r in suffix_dedup.removal_report(docs_frame(spark, docs.items())).collect()}
+    assert got == {i: w[:4] for i, w in want.items()}
+
+
 def test_decontamination_without_rows(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.report(docs_frame(spark, []), none).collect() == []

@@ -59,7 +59,7 @@ def test_stages_equal_plain_versions(spark, tables):
     assert set(quality) < set(start) and all(quality[i] == start[i] for i in quality)
     assert set(distinct) == {i for i, (_, c) in jaccard_report(quality).items() if i == c}
     assert len(distinct) < len(quality)
-    plain = cut_repeats(distinct)
+    plain = cut_repeats(distinct, corpus_pipeline.PASSAGE_BYTES)
     assert cut == {i: None if distinct[i] is None else plain[i][4].decode("utf-8", "ignore") for i in distinct}
     assert any(cut[i] != distinct[i] for i in cut)
 
