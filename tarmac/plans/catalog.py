@@ -499,12 +499,35 @@ def q_stream_daily_stats(spark, sf_dir):
                       F.bround("mean", 4).alias("mean"), F.bround("std", 4).alias("std"))
 
 
+# A cell with everything that ends a cell or a line elsewhere.
+NOTE = 'gate "B7",\nlate crew\n\n"ok"'
+
+
+def write_csv_layouts(rows: DataFrame, base: str) -> None:
+    """All rows as CSV files under ``base``, a sixth in each layout: plain; reversed with a further
+    column; whole numbers with a fraction and missing values spelled out; a cell with line
+    breaks, quotes and commas in every row; a blank line behind every row; such cells with
+    CRLF line ends."""
+    numbers = ("CRS_DEP_TIME", "CRS_ARR_TIME", "CRS_ELAPSED_TIME", "DISTANCE", "DEP_DELAY", "ARR_DELAY")
+    layouts = [
+        (lambda df: df, {}),
+        (lambda df: df.select(*reversed(df.columns), F.lit("x").alias("NOTE")), {}),
+        (lambda df: df.withColumns({c: F.coalesce(F.col(c).cast("double").cast("string"), F.lit("NA"))
+                                    for c in numbers}), {}),
+        (lambda df: df.select(F.lit(NOTE).alias("NOTE"), "*"), {"escape": '"'}),
+        (lambda df: df, {"lineSep": "\n\n"}),
+        (lambda df: df.select("*", F.concat("flight_id", F.lit(NOTE)).alias("NOTE")), {"escape": '"', "lineSep": "\r\n"}),
+    ]
+    for k, (shape, options) in enumerate(layouts):
+        part = rows.where(F.pmod("flight_id", F.lit(len(layouts))) == k)
+        shape(part).write.option("header", True).options(**options).csv(f"{base}/{k}")
+
+
 @query("stream_landing")
 def q_stream_landing(spark, sf_dir):
-    """flights written as CSV files into a landing folder → file stream → labelled rows."""
+    """flights written as CSV files of all layouts into a landing folder → file stream → labelled rows."""
     base = scratch_path(spark, "landing")
-    (load_flights(spark, sf_dir).repartition(4, "flight_id")
-     .write.option("header", True).csv(f"{base}/in/data/raw"))
+    write_csv_layouts(load_flights(spark, sf_dir), f"{base}/in/data/raw")
     q = lx.start_landing_stream(spark, f"{base}/in", f"{base}/out", f"{base}/_checkpoint")
     q.awaitTermination()
     out = spark.read.parquet(f"{base}/out/labelled")
@@ -513,18 +536,9 @@ def q_stream_landing(spark, sf_dir):
 
 @query("csv_roundtrip")
 def q_csv_roundtrip(spark, sf_dir):
-    """All flights written as CSV in three header layouts (original, reversed with a further
-    column, whole numbers with a fraction and missing values spelled out) and read back."""
+    """All flights written as CSV in every layout and read back."""
     base = scratch_path(spark, "csv")
-    rows = load_flights(spark, sf_dir)
-    part = F.col("flight_id") % 3
-    rows.where(part == 0).write.option("header", True).csv(f"{base}/a")
-    (rows.where(part == 1).select(*reversed(rows.columns), F.lit("x").alias("NOTE"))
-     .write.option("header", True).csv(f"{base}/b"))
-    spelled = rows.where(part == 2).withColumns({
-        c: F.coalesce(F.col(c).cast("double").cast("string"), F.lit("NA"))
-        for c in ("CRS_DEP_TIME", "CRS_ARR_TIME", "CRS_ELAPSED_TIME", "DISTANCE", "DEP_DELAY", "ARR_DELAY")})
-    spelled.write.option("header", True).csv(f"{base}/c")
+    write_csv_layouts(load_flights(spark, sf_dir), base)
     back = read_raw_csv(spark, base, keep_file=False, id_col="flight_id")
     return back.withColumn("flight_id", F.col("flight_id").cast("long")).withColumn(
         "type_errors", F.size("_type_errors").cast("long")).drop("_type_errors")

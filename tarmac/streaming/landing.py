@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 from tarmac.operators import quality as qx
 from tarmac.operators.featurize import create_target
 from tarmac.operators.routing import LANDING_PREFIX
-from tarmac.sources.csv_landing import rows_by_header, type_rows, with_file_columns
+from tarmac.session import scratch_path
+from tarmac.sources.csv_landing import rows_by_header, type_rows
 
 
 def process_landed(lines: DataFrame, batch_id: int, out_dir: str,
@@ -35,6 +36,10 @@ def process_landed(lines: DataFrame, batch_id: int, out_dir: str,
     typed = type_rows(rows, ([id_col] if id_col else []) + ["source_file"])
     if id_col:
         typed = typed.withColumn(id_col, F.col(id_col).try_cast("long"))
+    # three outputs read the typed rows: parsed once, written to the shared folder
+    path = scratch_path(lines.sparkSession, "landed")
+    typed.write.parquet(path)
+    typed = lines.sparkSession.read.schema(typed.schema).parquet(path)
     write(qx.quality_report(typed, include_duplicates=False), "reports")
     usable, unusable = qx.split_unusable(typed)
     write(unusable, "quarantine")
