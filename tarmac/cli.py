@@ -119,9 +119,8 @@ def main(argv: list[str] | None = None) -> dict:
     elif args.cmd == "monitor":
         from tarmac.sources.model_store import ModelBundle
         encoder = ModelBundle.load(spark, args.model_dir).encoder
-        long = jobs.capture_features(spark.read.parquet(args.capture), encoder)
-        alarm = jobs.monitor_job(spark, long, args.baseline, args.output)
-        out = {"days": alarm.count(), "alarms": alarm.where("alarm").count()}
+        alarm = jobs.monitor_new(spark, args.capture, encoder, args.baseline, args.output)
+        out = {"days": alarm.count() if alarm else 0, "alarms": alarm.where("alarm").count() if alarm else 0}
     elif args.cmd == "land-stream":
         from tarmac.streaming.landing import start_landing_stream
         q = start_landing_stream(spark, args.landing, args.output, args.checkpoint, id_col=args.id_col,

@@ -6,7 +6,12 @@ so a hot day costs one combine per partition. The baseline holds one
 row per feature and is broadcast. The drift rule is the standardised
 mean shift ``|μ_day − μ_0| / σ_0``; missing-value and data-type checks
 compare null fractions and unparsable counts; the baseline's constraints
-(completeness, sign, range) are checked as well.
+(completeness, sign, range, whole numbers) are checked as well, and its
+equi-depth bins: each value is placed among a feature's edges by halving,
+and the population stability index follows from the bins' counts.
+
+Statistics and bin counts are kept as additive parts per (day, feature)
+(``partial_stats``), so days are made of any number of batches.
 """
 
 from __future__ import annotations
@@ -76,21 +81,60 @@ def daily_stats(long: DataFrame) -> DataFrame:
     return g.select(utc_day(F.col("w.start")).alias("day"), *STAT_COLS[1:])
 
 
-def partial_stats(long: DataFrame) -> DataFrame:
-    """Per (day, feature) additive parts: n, nulls, type_errors, k values with their mean and
-    centred square sum, least and greatest."""
+def bin_of(value: Column, edges: Column, n_edges: int) -> Column:
+    """How many of up to ``n_edges`` ascending edges lie below the value, by halving."""
+    steps = [1 << k for k in reversed(range(n_edges.bit_length()))]
+    found = F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), lambda at, step: F.when(
+        F.get(edges, at + step - 1) < value, at + step).otherwise(at))
+    return F.when(value.isNotNull(), found)
+
+
+def bin_counts(n_edges: int, bin_col: str = "bin") -> Column:
+    """Array of the rows in each bin (an aggregate)."""
+    return F.array(*[F.count_if(F.col(bin_col) == k) for k in range(n_edges + 1)])
+
+
+def placed(long: DataFrame, edges: DataFrame, n_edges: int) -> DataFrame:
+    """``long`` with the ``bin`` of each value. ``edges`` has a row per feature."""
+    rows = long.join(F.broadcast(edges.select("feature", "edges")), "feature", "left")
+    return rows.withColumn("bin", bin_of(F.col("value"), F.col("edges"), n_edges)).drop("edges")
+
+
+def psi_of(counts: Column, expected: Column, floor: float) -> Column:
+    """Population stability index of two arrays of bin counts; null without rows."""
+    def shares(c: Column) -> Column:
+        total = F.aggregate(c, F.lit(0).cast("long"), lambda t, x: t + x)
+        return F.transform(c, lambda x: F.greatest(F.try_divide(x.cast("double"), total), F.lit(floor)))
+    terms = F.zip_with(shares(counts), shares(expected), lambda a, e: (a - e) * F.log(a / e))
+    some = F.exists(counts, lambda x: x > 0) & F.exists(expected, lambda x: x > 0)
+    return F.when(some, F.aggregate(terms, F.lit(0.0), lambda t, x: t + x))
+
+
+def partial_stats(long: DataFrame, bins: DataFrame | None = None, n_edges: int | None = None) -> DataFrame:
+    """Per (day, feature) additive parts: n, nulls, type_errors, fractions (values that are no whole
+    numbers), k values with their mean and centred square sum, least and greatest; with
+    ``bins`` (feature, edges) also the rows in each bin."""
     v, t = F.col("value"), F.col("text")
+    more = []
+    if bins is not None:
+        long, more = placed(long, bins, n_edges), [bin_counts(n_edges).alias("bins")]
     g = long.groupBy(F.window("captured_at", "1 day").alias("w"), "feature").agg(
         F.count(F.lit(1)).alias("n"), F.sum(v.isNull().cast("long")).alias("nulls"),
         F.sum((t.isNotNull() & v.isNull()).cast("long")).alias("type_errors"),
+        F.count_if(v != F.floor(v)).alias("fractions"),
         F.count(v).alias("k"), F.avg(v).alias("m"), (F.var_pop(v) * F.count(v)).alias("q"),
-        F.min(v).alias("min"), F.max(v).alias("max"))
-    return g.select(utc_day(F.col("w.start")).alias("day"), "feature", "n", "nulls", "type_errors",
-                    "k", "m", "q", "min", "max")
+        F.min(v).alias("min"), F.max(v).alias("max"), *more)
+    return g.select(utc_day(F.col("w.start")).alias("day"), "feature", "n", "nulls", "type_errors", "fractions",
+                    "k", "m", "q", "min", "max", *(["bins"] if more else []))
 
 
 def merged_stats(parts: DataFrame) -> DataFrame:
-    """The statistics of ``daily_stats`` from any number of partial rows per (day, feature)."""
+    """The statistics of ``daily_stats``, ``fractions`` and the bin counts, where the parts have them,
+    from any number of partial rows per (day, feature)."""
+    more = [F.sum("fractions").alias("fractions")]
+    if "bins" in parts.columns:
+        size = parts.select(F.max(F.size("bins"))).first()[0] or 0
+        more.append(F.array(*[F.sum(F.col("bins")[k]) for k in range(size)]).cast("array<bigint>").alias("bins"))
     w = Window.partitionBy("day", "feature")
     mean = F.try_divide(F.sum(F.col("k") * F.col("m")).over(w), F.sum("k").over(w))
     p = parts.withColumn("_mean", mean)
@@ -98,8 +142,9 @@ def merged_stats(parts: DataFrame) -> DataFrame:
     g = p.groupBy("day", "feature").agg(
         F.sum("n").alias("n"), F.sum("nulls").alias("nulls"), F.sum("type_errors").alias("type_errors"),
         F.max("_mean").alias("mean"), F.sum("k").alias("_k"),
-        F.sum(F.col("q") + F.col("k") * d * d).alias("_q"), F.min("min").alias("min"), F.max("max").alias("max"))
-    return g.withColumn("std", F.when(F.col("_k") > 1, F.sqrt(F.col("_q") / (F.col("_k") - 1)))).select(*STAT_COLS)
+        F.sum(F.col("q") + F.col("k") * d * d).alias("_q"), F.min("min").alias("min"), F.max("max").alias("max"), *more)
+    return (g.withColumn("std", F.when(F.col("_k") > 1, F.sqrt(F.col("_q") / (F.col("_k") - 1))))
+            .select(*STAT_COLS, "fractions", *(["bins"] if len(more) > 1 else [])))
 
 
 def baseline_stats(long: DataFrame) -> DataFrame:
@@ -121,20 +166,26 @@ def _check(name: str, bad: Column, observed: Column, baseline: Column) -> Column
 
 
 def checks(stats: DataFrame, baseline: DataFrame, constraints: DataFrame | None = None,
-           drift_z: float = DRIFT_Z, missing_tol: float = MISSING_TOLERANCE) -> DataFrame:
+           drift_z: float = DRIFT_Z, missing_tol: float = MISSING_TOLERANCE,
+           bins: DataFrame | None = None) -> DataFrame:
     """(day, feature, check, failed, observed, baseline): every check of every monitored day.
 
     A feature that never varied in the baseline (σ0 zero or unknown) drifts as soon as its
     mean moves. A baseline feature without rows on a monitored day fails ``missing_feature``,
     one that the baseline doesn't know ``unexpected_feature``. ``constraints`` (feature,
-    completeness, non_negative, min, max) add their own checks. All sides but ``stats`` hold
-    one row per feature.
+    completeness, non_negative, min, max; integral, where it has it) add their own checks, and
+    ``bins`` (feature, counts of the baseline's rows) the stability index of ``stats`` with
+    ``bins``. All sides but ``stats`` hold one row per feature.
     """
     side = baseline
+    typed = constraints is not None and "integral" in constraints.columns and "fractions" in stats.columns
+    shaped = bins is not None and "bins" in stats.columns
     if constraints is not None:
-        side = side.join(constraints.select("feature", "completeness", "non_negative",
-                                            F.col("min").alias("min0"), F.col("max").alias("max0")),
+        side = side.join(constraints.select("feature", "completeness", "non_negative", F.col("min").alias("min0"),
+                                            F.col("max").alias("max0"), *(["integral"] if typed else [])),
                          "feature", "full_outer")
+    if shaped:
+        side = side.join(bins.select("feature", F.col("counts").alias("counts0")), "feature", "left")
     j = stats.join(F.broadcast(side.withColumn("_known", F.lit(True))), "feature", "left")   # a row a feature
     null_frac = F.try_divide("nulls", "n")
     shift = F.abs(F.col("mean") - F.col("mean0"))
@@ -155,6 +206,11 @@ def checks(stats: DataFrame, baseline: DataFrame, constraints: DataFrame | None
             _check("range_min", F.col("min") < F.col("min0"), round4("min"), round4("min0")),
             _check("range_max", F.col("max") > F.col("max0"), round4("max"), round4("max0")),
         ]
+    if typed:
+        all_checks.append(_check("data_type", F.col("integral") & (F.col("fractions") > 0), F.col("fractions"), F.lit(0.0)))
+    if shaped:
+        psi = round4(psi_of(F.col("bins"), F.col("counts0"), PSI_FLOOR))
+        all_checks.append(_check("psi", psi > PSI_THRESHOLD, psi, F.lit(PSI_THRESHOLD)))
     seen = j.select("day", "feature", F.inline(F.array(*all_checks)))
     names = F.array(*[F.lit(r["feature"]) for r in side.select("feature").collect()]).cast("array<string>")
     gone = (stats.groupBy("day").agg(F.collect_set("feature").alias("_f"))
@@ -171,9 +227,10 @@ def violations(stats: DataFrame, baseline: DataFrame, constraints: DataFrame | N
 
 
 def alarm_of_checks(all_checks: DataFrame) -> DataFrame:
-    """Per monitored day: drift violation count, alarm when ≥ 1."""
-    bad = (F.col("check") == "baseline_drift") & F.col("failed")
-    return (all_checks.groupBy("day").agg(F.count_if(bad).alias("drift_count"))
+    """Per monitored day: features whose mean or shape moved, counted once for each; alarm when ≥ 1."""
+    bad = F.col("check").isin("baseline_drift", "psi") & F.col("failed")
+    moved = F.size(F.collect_set(F.when(bad, F.col("feature")))).cast("long")         # as many as features at most
+    return (all_checks.groupBy("day").agg(moved.alias("drift_count"))
             .withColumn("alarm", F.col("drift_count") >= 1))
 
 

@@ -68,6 +68,15 @@ def null_counts(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     return one.select(F.inline(F.array(*rows)))
 
 
+def type_rules(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
+    """(feature, integral): are all values of a column whole numbers (false without values)."""
+    cols = [c for c in (cols or FEATURE_COLS) if c in df.columns]
+    x = {c: F.col(c).cast("double") for c in cols}
+    one = df.agg(*[F.every(x[c] == F.floor(x[c])).alias(c) for c in cols])
+    return one.select(F.inline(F.array(*[F.struct(F.lit(c).alias("feature"), F.coalesce(c, F.lit(False)).alias("integral"))
+                                         for c in cols])))
+
+
 def baseline_constraints(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """(feature, completeness, non_negative, min, max): the rules a baseline suggests."""
     cols = [c for c in (cols or FEATURE_COLS) if c in df.columns]

@@ -7,6 +7,7 @@ hand-over between jobs is a written dataset rather than driver memory.
 
 from __future__ import annotations
 
+import hashlib
 import json
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +25,8 @@ from tarmac.operators.featurize import base_features, create_target
 from tarmac.operators.scoring import predict
 from tarmac.schema import (FEATURE_COLS, GBT_PARAMS, MODEL_GROUP, RANDOM_STATE,
                            REFERENCE_SAMPLE_ROWS, TARGET_COL, TEST_SIZE, VAL_SIZE)
+from tarmac.session import scratch_path
+from tarmac.sources import committed as cm
 from tarmac.sources.csv_landing import normalize_columns
 from tarmac.sources.model_store import ModelBundle
 
@@ -181,10 +184,12 @@ def evaluate(spark: SparkSession, prep_dir: str, model_dir: str, registry_path:
 
 def baseline_job(spark: SparkSession, reference_path: str, out_dir: str,
                  cols: list[str] | None = None) -> bool:
-    """Profile + exact quantiles + suggested constraints of the reference rows.
+    """Profile + exact quantiles, suggested constraints (with the rule of whole numbers) and
+    equi-depth bins (feature, edges, counts) of the reference rows.
 
     Written once: when ``{out_dir}/statistics`` already exists the job is skipped
-    (returns False), matching "baseline already exists" behaviour.
+    (returns False), matching "baseline already exists" behaviour. The statistics are written
+    last, so a job that died before is run again as a whole.
     """
     from pyspark.errors import AnalysisException
 
@@ -195,12 +200,35 @@ def baseline_job(spark: SparkSession, reference_path: str, out_dir: str,
         pass
     ref = spark.read.parquet(reference_path)
     cols = cols or [c for c in FEATURE_COLS if c in ref.columns]
+    (px.baseline_constraints(ref, cols).join(px.type_rules(ref, cols), "feature")
+     .write.mode("overwrite").parquet(f"{out_dir}/constraints"))
+    long = px._long_values(ref, cols)
+    edges = _kept(dx.baseline_edges(long), f"{out_dir}/edges")
+    counts = (dx.placed(long, edges, len(dx.PSI_PROBS)).groupBy("feature")
+              .agg(dx.bin_counts(len(dx.PSI_PROBS)).alias("counts")))
+    edges.join(counts, "feature").write.mode("overwrite").parquet(f"{out_dir}/bins")
     stats = px.feature_profile(ref, cols).join(px.exact_quantiles(ref, cols), "feature", "left")
-    stats.write.mode("ignore").parquet(f"{out_dir}/statistics")
-    px.baseline_constraints(ref, cols).write.mode("ignore").parquet(f"{out_dir}/constraints")
+    stats.write.mode("overwrite").parquet(f"{out_dir}/statistics")
     return True
 
 
+def _kept(df: DataFrame, path: str) -> DataFrame:
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def read_bins(spark: SparkSession, baseline_dir: str) -> DataFrame | None:
+    """(feature, edges, counts) of a baseline; None for one written before there were bins."""
+    from pyspark.errors import AnalysisException
+
+    try:
+        return spark.read.parquet(f"{baseline_dir}/bins")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def capture_features(capture: DataFrame, encoder, at: str = "captured_at") -> DataFrame:
     """Captured requests → the model's features in long form (captured_at, feature, value, text),
     by the same expressions and training counts as scoring."""
@@ -211,23 +239,76 @@ def capture_features(capture: DataFrame, encoder, at: str = "captured_at") -> Da
     return dx.long_capture(wide, FEATURE_COLS)
 
 
-def monitor_job(spark: SparkSession, long: DataFrame, baseline_dir: str, out_dir: str) -> DataFrame:
-    """Daily statistics of captured values against the stored baseline; writes checks and alarm.
-
-    ``baseline_dir`` holds the ``statistics`` and ``constraints`` of ``baseline_job``. Every check
-    of every monitored day is written with a ``failed`` flag, so a day that is run again
-    replaces all of its rows, and a day without violations is a day with rows."""
+def _checked_days(spark: SparkSession, stats: DataFrame, baseline_dir: str, out_dir: str,
+                  bins: DataFrame | None) -> DataFrame:
+    """Write the checks and the alarm of the days of ``stats``; the alarm of all days so far."""
     def by_day(df: DataFrame, name: str) -> DataFrame:
         (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("day").parquet(f"{out_dir}/{name}"))
         return spark.read.schema(df.schema).parquet(f"{out_dir}/{name}")
 
-    fresh = dx.daily_stats(long)
-    by_day(fresh, "daily_stats")
-    days = fresh.select("day").distinct()
-    stats = spark.read.schema(fresh.schema).parquet(f"{out_dir}/daily_stats").join(days, "day", "left_semi")
     checked = dx.checks(stats, dx.baseline_of_profile(spark.read.parquet(f"{baseline_dir}/statistics")),
-                        spark.read.parquet(f"{baseline_dir}/constraints"))
-    alarm = dx.alarm_of_checks(by_day(checked, "checks"))
-    alarm.write.mode("overwrite").parquet(f"{out_dir}/alarm")
-    return spark.read.parquet(f"{out_dir}/alarm")
+                        spark.read.parquet(f"{baseline_dir}/constraints"), bins=bins)
+    days = [r["day"] for r in stats.select("day").distinct().collect()]        # as many as monitored days
+    return by_day(dx.alarm_of_checks(by_day(checked, "checks").where(F.col("day").isin(days))), "alarm")
+
+
+def monitor_job(spark: SparkSession, long: DataFrame, baseline_dir: str, out_dir: str) -> DataFrame:
+    """Daily statistics of captured values against the stored baseline; writes checks and alarm.
+
+    For days at hand as a whole (a backfill); ``monitor_new`` goes on from day to day.
+    ``baseline_dir`` holds what ``baseline_job`` wrote. Every check of every monitored day is
+    written with a ``failed`` flag, so a day that is run again replaces all of its rows, and
+    a day without violations is a day with rows."""
+    bins = read_bins(spark, baseline_dir)
+    parts = dx.partial_stats(long, bins, len(dx.PSI_PROBS))
+    fresh = dx.merged_stats(_kept(parts, scratch_path(spark, "monitor-parts")))
+    days = _kept(fresh, scratch_path(spark, "monitor-stats"))
+    (days.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("day").parquet(f"{out_dir}/daily_stats"))
+    return _checked_days(spark, days, baseline_dir, out_dir, bins)
+
+
+def monitor_new(spark: SparkSession, capture_dir: str, encoder, baseline_dir: str, out_dir: str,
+                day: str = "capture_date", at: str = "captured_at") -> DataFrame | None:
+    """Check what was captured since the last run; returns the alarm of all days so far.
+
+    A run reads the published batches that no earlier run has read, only in the day
+    partitions they wrote to, and publishes their additive statistics and bin counts per
+    (day, feature) together with the names of the batches. Days with new parts are merged
+    from all their parts and checked again, so rows that come late count for their day. A
+    run that died before its parts were published leaves nothing, the next one reads the
+    same batches."""
+    states = f"{out_dir}/states"
+    read = cm.commits(spark, states).select(F.explode("sources").alias("attempt")).distinct()
+    fresh = cm.commits(spark, capture_dir).where("rows > 0").join(read, "attempt", "left_anti").collect()
+    bins = read_bins(spark, baseline_dir)
+    if fresh:                                # a row for each new batch and day
+        attempts, days = sorted({r["attempt"] for r in fresh}), sorted({r["day"] for r in fresh})
+        rows = cm.read_committed(spark, capture_dir, day, days, attempts)
+        run = hashlib.sha256(",".join(attempts).encode()).hexdigest()[:24]
+        if rows is not None:
+            long = capture_features(rows, encoder, at)
+            cm.publish(dx.partial_stats(long, bins, len(dx.PSI_PROBS)), states, "day", run, attempts)
+    # days whose parts were published but not checked, by this run or one that died since
+    done = _checked_parts(spark, out_dir)
+    todo = cm.commits(spark, states).where("rows > 0").join(done, ["batch", "day"], "left_anti").select("batch", "day").collect()
+    if todo:
+        days = sorted({r["day"] for r in todo})
+        stats = dx.merged_stats(cm.read_committed(spark, states, "day", days))
+        _checked_days(spark, _kept(stats, scratch_path(spark, "monitor-stats")), baseline_dir, out_dir, bins)
+        (spark.createDataFrame([(r["batch"], r["day"]) for r in todo], "batch string, day date")
+         .coalesce(1).write.mode("append").parquet(f"{out_dir}/checked"))
+    return spark.read.parquet(f"{out_dir}/alarm") if fresh or todo or not done.isEmpty() else None
+
+
+def _checked_parts(spark: SparkSession, out_dir: str) -> DataFrame:
+    """(batch, day) of published parts that have been checked."""
+    from pyspark.errors import AnalysisException
+
+    try:
+        return spark.read.schema("batch string, day date").parquet(f"{out_dir}/checked")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "batch string, day date")

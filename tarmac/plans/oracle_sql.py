@@ -565,12 +565,32 @@ prof AS (
  SELECT feature, round_even(avg(value), 4) AS mean0, round_even(stddev_samp(value), 4) AS std0,
    round_even(avg(CAST(value IS NULL AS DOUBLE)), 4) AS null0,
    round_even(count(value) / CAST(count(*) AS DOUBLE), 4) AS completeness,
-   coalesce(min(value) >= 0, true) AS non_negative, min(value) AS min0, max(value) AS max0
+   coalesce(min(value) >= 0, true) AS non_negative, min(value) AS min0, max(value) AS max0,
+   coalesce(bool_and(value = floor(value)), false) AS integral
  FROM lt GROUP BY feature
 ), st AS (
  SELECT CAST(DATE '2024-01-01' + CAST(flight_id % 14 AS INT) AS DATE) AS day, feature, count(*) AS n,
-   count(*) - count(value) AS nulls, avg(value) AS mean, min(value) AS lo, max(value) AS hi
+   count(*) - count(value) AS nulls, avg(value) AS mean, min(value) AS lo, max(value) AS hi,
+   count(*) FILTER (value <> floor(value)) AS fractions
  FROM la GROUP BY 1, 2
+), bh AS (SELECT feature, value, count(*) AS cnt FROM lt WHERE value IS NOT NULL GROUP BY 1, 2),
+bc AS (
+ SELECT *, sum(cnt) OVER (PARTITION BY feature ORDER BY value ROWS UNBOUNDED PRECEDING) AS cum,
+        sum(cnt) OVER (PARTITION BY feature) AS n FROM bh
+), edges AS (SELECT feature, {_EDGE_COLS} FROM bc GROUP BY feature),
+b0 AS (SELECT feature, {_BIN} AS bin, count(*) AS c FROM lt l JOIN edges e USING (feature)
+       WHERE value IS NOT NULL GROUP BY 1, 2),
+grid0 AS (SELECT e.feature, g.bin, coalesce(b0.c, 0) AS c0 FROM (SELECT feature FROM edges) e, range(0, 10) g(bin)
+          LEFT JOIN b0 ON b0.feature = e.feature AND b0.bin = g.bin),
+b1 AS (SELECT CAST(DATE '2024-01-01' + CAST(flight_id % 14 AS INT) AS DATE) AS day, feature, {_BIN} AS bin, count(*) AS c
+       FROM la l JOIN edges e USING (feature) WHERE value IS NOT NULL GROUP BY 1, 2, 3),
+tot AS (SELECT day, feature, sum(c) AS n1 FROM b1 GROUP BY 1, 2),
+share AS (
+ SELECT tot.day, tot.feature, greatest(coalesce(b1.c, 0) / CAST(n1 AS DOUBLE), 1e-4) AS a,
+   greatest(c0 / CAST(sum(c0) OVER (PARTITION BY tot.day, tot.feature) AS DOUBLE), 1e-4) AS e
+ FROM tot JOIN grid0 ON grid0.feature = tot.feature
+ LEFT JOIN b1 ON b1.day = tot.day AND b1.feature = tot.feature AND b1.bin = grid0.bin
+), psi AS (SELECT day, feature, round_even(sum((a - e) * ln(a / e)), 4) AS psi FROM share GROUP BY 1, 2
 ), j AS (
  SELECT *, abs(mean - mean0) AS shift, nulls / CAST(n AS DOUBLE) AS nf FROM st JOIN prof USING (feature)
 ), checked AS (
@@ -585,15 +605,23 @@ prof AS (
  UNION ALL SELECT day, feature, 'non_negative', coalesce(non_negative AND lo < 0, false), lo, CAST(0 AS DOUBLE) FROM j
  UNION ALL SELECT day, feature, 'range_min', coalesce(lo < min0, false), round_even(lo, 4), round_even(min0, 4) FROM j
  UNION ALL SELECT day, feature, 'range_max', coalesce(hi > max0, false), round_even(hi, 4), round_even(max0, 4) FROM j
+ UNION ALL SELECT day, feature, 'data_type', coalesce(integral AND fractions > 0, false), CAST(fractions AS DOUBLE),
+   CAST(0 AS DOUBLE) FROM j
+ UNION ALL SELECT day, feature, 'psi', coalesce(psi > 0.2, false), psi, CAST(0.2 AS DOUBLE)
+   FROM j LEFT JOIN psi USING (day, feature)
 )"""
 
 ORACLE["flight_drift"] = CHECKS + """
 SELECT * FROM checked WHERE "check" IN ('baseline_drift', 'missing_values', 'data_type_errors')"""
 ORACLE["flight_constraints"] = CHECKS + """
-SELECT * FROM checked WHERE "check" IN ('completeness', 'non_negative', 'range_min', 'range_max')"""
+SELECT * FROM checked WHERE "check" IN ('completeness', 'non_negative', 'range_min', 'range_max', 'data_type')"""
+ORACLE["flight_psi"] = CHECKS + """
+SELECT * FROM checked WHERE "check" = 'psi'"""
+ORACLE["flight_bins"] = CHECKS + """
+SELECT feature, bin, CAST(c0 AS BIGINT) AS rows FROM grid0"""
 ORACLE["flight_alarm"] = CHECKS + """
-SELECT day, CAST(sum(CAST("check" = 'baseline_drift' AND failed AS INT)) AS BIGINT) AS drift_count,
-  coalesce(bool_or("check" = 'baseline_drift' AND failed), false) AS alarm FROM checked GROUP BY day"""
+SELECT day, count(DISTINCT feature) FILTER ("check" IN ('baseline_drift', 'psi') AND failed) AS drift_count,
+  coalesce(bool_or("check" IN ('baseline_drift', 'psi') AND failed), false) AS alarm FROM checked GROUP BY day"""
 
 # ── model queries: what must hold of the trees' output ───────────────
 ORACLE["train_metrics"] = sql2("""
