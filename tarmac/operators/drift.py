@@ -121,7 +121,7 @@ def partial_stats(long: DataFrame, bins: DataFrame | None = None, n_edges: int |
     g = long.groupBy(F.window("captured_at", "1 day").alias("w"), "feature").agg(
         F.count(F.lit(1)).alias("n"), F.sum(v.isNull().cast("long")).alias("nulls"),
         F.sum((t.isNotNull() & v.isNull()).cast("long")).alias("type_errors"),
-        F.count_if(v != F.floor(v)).alias("fractions"),
+        F.coalesce(F.sum((v != F.floor(v)).cast("long")), F.lit(0).cast("long")).alias("fractions"),
         F.count(v).alias("k"), F.avg(v).alias("m"), (F.var_pop(v) * F.count(v)).alias("q"),
         F.min(v).alias("min"), F.max(v).alias("max"), *more)
     return g.select(utc_day(F.col("w.start")).alias("day"), "feature", "n", "nulls", "type_errors", "fractions",
