@@ -4,7 +4,7 @@
 zero-division → 0, optionally per segment.
 ``roc_auc``: exact Mann–Whitney AUC with half credit for ties. Scores
 are aggregated to (score → positives, negatives); negatives below each
-score come from ``running_total`` (bounded windows over sketch-cut score
+score come from ``running_total`` (bounded windows over score
 ranges), so no task holds all distinct scores of a segment. All sums
 are integers (DECIMAL, as twice positives times negatives passes 2^63 at a few
 billion rows); the single division happens last.

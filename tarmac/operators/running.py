@@ -1,79 +1,54 @@
-"""Exact running totals over sorted distinct values, in bounded windows.
+"""Exact running totals over sorted distinct values, dealt by ranges of (group, value).
 
-A running sum over a sorted column is a window with ``orderBy`` — but a
-window partitioned only by a feature or segment puts every distinct
-value of that group into one task. Here each group's distinct values are
-first cut into ``buckets`` ranges by approximate quantiles (a sketch, one
-pass; more ranges for more distinct values), then:
+A running sum over a sorted column is a window with ``orderBy`` — but a window partitioned
+only by a feature or segment puts every distinct value of that group into one task. Here
+Spark deals the rows by ranges of (group, value), whatever the number and sizes of the
+groups: a large group lies in several ranges, a range holds many small groups. Then
 
-* bucket totals → running offset per bucket (a window over ≤ ``buckets`` rows);
-* inside each bucket → running sum ordered by value (a window over about
-  1/``buckets`` of the group's distinct values).
+* the totals of each (range, group) → the sum of a group's earlier ranges (a window over
+  one row per range that the group lies in);
+* inside each (range, group) → running sum ordered by value.
 
-The result is exact: the sketch only decides where buckets are cut, and a
-value lands in the bucket given by how many cut points lie below it, so
-every value of bucket k is below every value of bucket k + 1.
+No sketch of a group and nothing that grows with the groups leaves the executors.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tarmac.session import ensure_checkpoint_dir
 
-LEAST_BUCKETS, MOST_BUCKETS = 256, 4096
-VALUES_PER_BUCKET = 500_000      # distinct values that one window task should sort
-SKETCH_ACCURACY = 10000
-BROADCAST_GROUPS = 10_000        # groups whose cut points (one row each) go to every task
-STRIDE = 64                      # cut points are searched in two steps
+VALUES_PER_RANGE = 200_000       # distinct values that one window task should sort
 
 
 def running_total(df: DataFrame, by: list[str], order: str, weights: list[str],
                   buckets: int | None = None) -> DataFrame:
     """For one row per (by…, order) value, add ``cum_<w>`` (inclusive running sum of
-    each weight along ``order``) and ``total_<w>`` (group total)."""
-    v = F.col(order)
-
-    def below(cuts):
-        return F.size(F.filter(cuts, lambda e: v > e))
-
-    def bucket_of(cuts):
-        """How many cut points lie below the value: first among every ``STRIDE``-th."""
-        coarse = F.filter(cuts, lambda e, i: i % STRIDE == STRIDE - 1)
-        whole = below(coarse)
-        return whole * STRIDE + below(F.slice(cuts, whole * STRIDE + 1, STRIDE))
-
-    # the input is an aggregate (one row per distinct value): materialise it once in the
-    # shared checkpoint folder so the sketch, the bucket totals and the in-bucket windows
-    # all read it instead of re-running everything upstream
+    each weight along ``order``) and ``total_<w>`` (group total). Null groups are groups.
+    ``buckets`` is the number of ranges."""
+    # the input is an aggregate (one row per distinct value): written once to the shared
+    # checkpoint folder, as the sampling of the ranges and their dealing both read it. The
+    # dealt rows are written too: the totals and the windows must see the same ranges.
     ensure_checkpoint_dir(df.sparkSession)
-    df = df.checkpoint(eager=True)
-    if buckets is None:
-        buckets = min(max(-(-df.count() // VALUES_PER_BUCKET), LEAST_BUCKETS), MOST_BUCKETS)
-    probs = [i / buckets for i in range(1, buckets)]
-    sketch = F.percentile_approx(v, probs, SKETCH_ACCURACY)
-    if by:
-        cuts = df.groupBy(*by).agg(sketch.alias("_cuts")).checkpoint(eager=True)     # one row per group
-        # joined by a shuffle, all distinct values of a group would meet in one task
-        if cuts.count() <= BROADCAST_GROUPS:
-            cuts = F.broadcast(cuts)
-        x = df.join(cuts, by, "inner").withColumn("_rb", bucket_of(F.col("_cuts"))).drop("_cuts")
-    else:
-        # one group: its ``buckets − 1`` cut points are a bounded summary, inlined as a literal
-        points = df.select(sketch).first()[0] or []
-        x = df.withColumn("_rb", bucket_of(F.array(*[F.lit(float(c)) for c in points])
-                                           if points else F.array().cast("array<double>")))
     cols = df.columns
-    tot = x.groupBy(*by, "_rb").agg(*[F.sum(w).alias(f"_bt_{w}") for w in weights])
-    wb = Window.partitionBy(*by).orderBy("_rb")               # ≤ ``buckets`` rows per group
-    tot = tot.select(*by, "_rb", *[
-        F.coalesce(F.sum(f"_bt_{w}").over(wb.rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0)).alias(f"_off_{w}") for w in weights], *[
-        F.sum(f"_bt_{w}").over(Window.partitionBy(*by)).alias(f"total_{w}") for w in weights])
-    wi = Window.partitionBy(*by, "_rb").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    x = x.withColumns({f"_in_{w}": F.sum(w).over(wi) for w in weights})
-    out = x.join(tot, [*by, "_rb"], "inner")
-    return out.select(*cols,
-                      *[(F.col(f"_off_{w}") + F.col(f"_in_{w}")).alias(f"cum_{w}") for w in weights],
-                      *[F.col(f"total_{w}") for w in weights])
+    df = df.checkpoint(eager=True)
+    n = buckets or max(-(-df.count() // VALUES_PER_RANGE), 1)
+    x = (df.repartitionByRange(n, *by, order).withColumn("_part", F.spark_partition_id())
+         .checkpoint(eager=True))
+    tot = x.groupBy("_part", *by).agg(*[F.sum(w).alias(f"_bt_{w}") for w in weights])
+    group = Window.partitionBy(*by)
+    before = group.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    tot = tot.select(
+        F.col("_part").alias("_p"), *[F.col(c).alias(f"_by_{c}") for c in by],
+        *[F.coalesce(F.sum(f"_bt_{w}").over(before), F.lit(0)).alias(f"_off_{w}") for w in weights],
+        *[F.sum(f"_bt_{w}").over(group).alias(f"total_{w}") for w in weights])
+    inside = Window.partitionBy("_part", *by).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    x = x.withColumns({f"_in_{w}": F.sum(w).over(inside) for w in weights})
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_by_{c}")) for c in by],
+                  F.col("_part") == F.col("_p"))
+    return x.join(tot, same).select(
+        *cols, *[(F.col(f"_off_{w}") + F.col(f"_in_{w}")).alias(f"cum_{w}") for w in weights],
+        *[F.col(f"total_{w}") for w in weights])
