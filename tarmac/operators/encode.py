@@ -10,17 +10,19 @@ tables are broadcast is decided from their row counts, known at fit time:
 smallest first, while their running total stays within
 ``max_broadcast_rows`` — so carriers and airports (hundreds of keys) stay
 broadcast even when routes (millions) do not, and all broadcast tables
-together never exceed the budget. A key table beyond it is joined with a
-shuffle join; only that key's join shuffles the fact side, and AQE splits
-a skewed key there.
+together never exceed the budget. All keys beyond it share one shuffle join
+over their distinct combinations, so the fact side is shuffled at most once;
+rows without any of these keys are spread, and AQE splits a skewed combination.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tarmac.functions.features import route_key
 from tarmac.session import ensure_checkpoint_dir
@@ -33,6 +35,7 @@ ENCODED_KEYS = {
     "route_id_encoded": "route",
 }
 
+SPREAD = 1024                 # tasks at most that rows without keys go to
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000   # ≈ 100 MB of (feature, key, n) rows, all keys together
 
 
@@ -75,17 +78,42 @@ class FrequencyModel:
     def transform(self, df: DataFrame) -> DataFrame:
         if "route" in self.keys.values() and "route" not in df.columns:
             df = df.withColumn("route", route_key())
-        out = df
         small = self.broadcast_keys()
-        for name, key in self.keys.items():
-            side = (self.counts.where(F.col("feature") == name)
-                    .select(F.col("key").alias(f"_k_{name}"), F.col("n").alias(f"_n_{name}")))
-            if name in small:
-                side = F.broadcast(side)
-            out = (out.join(side, out[key].cast("string") == side[f"_k_{name}"], "left")
-                      .withColumn(name, F.coalesce(F.col(f"_n_{name}"), F.lit(0)).cast("long"))
-                      .drop(f"_k_{name}", f"_n_{name}"))
-        return out
+        large = [name for name in self.keys if name not in small]
+        out = df
+        for names in ([[n] for n in large] if df.isStreaming else [large] if large else []):
+            out = self._joined_once(out, names)
+        for name in small:
+            side = F.broadcast(self._side(name))
+            out = out.join(side, out[self.keys[name]].cast("string") == side[f"_k_{name}"], "left").drop(f"_k_{name}")
+        counted = {name: F.coalesce(F.col(f"_n_{name}"), F.lit(0)).cast("long") for name in self.keys}
+        return out.withColumns(counted).drop(*[f"_n_{name}" for name in self.keys])
+
+    def _side(self, name: str) -> DataFrame:
+        return (self.counts.where(F.col("feature") == name)
+                .select(F.col("key").alias(f"_k_{name}"), F.col("n").alias(f"_n_{name}")))
+
+    def _joined_once(self, df: DataFrame, names: list[str]) -> DataFrame:
+        """``df`` with the counts of the keys beyond the budget, shuffled once whatever their number:
+        each distinct combination of the keys gets all its counts, then the rows are joined
+        with their combination. Rows without any of the keys match nothing and are spread by
+        their content."""
+        of = {name: F.col(self.keys[name]).cast("string") for name in names}
+        if len(names) == 1:
+            found = self._side(names[0]).withColumnRenamed(f"_k_{names[0]}", f"_c_{names[0]}")
+        else:
+            found = df.select(*[k.alias(f"_c_{n}") for n, k in of.items()]).where(
+                F.coalesce(*[F.col(f"_c_{n}") for n in names]).isNotNull()).distinct()
+            for n in names:
+                side = self._side(n)
+                found = found.join(side, found[f"_c_{n}"] == side[f"_k_{n}"], "left").drop(f"_k_{n}")
+        content = [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+        spread = F.when(F.coalesce(*of.values()).isNull(), 1 + F.pmod(F.xxhash64(*content), F.lit(SPREAD))).otherwise(0)
+        rows = df.withColumns({**{f"_f_{n}": k for n, k in of.items()}, "_spread": spread})
+        same = reduce(lambda a, b: a & b, [F.col(f"_f_{n}").eqNullSafe(F.col(f"_c_{n}")) for n in names],
+                      F.col("_spread") == F.col("_at"))
+        return (rows.join(found.withColumn("_at", F.lit(0).cast("long")), same, "left")
+                .drop("_spread", "_at", *[f"_f_{n}" for n in names], *[f"_c_{n}" for n in names]))
 
     def save(self, path: str) -> None:
         self.counts.write.mode("overwrite").parquet(path)

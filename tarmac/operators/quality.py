@@ -11,6 +11,7 @@ so a frame splits into valid rows and a quarantine without a second scan.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -128,18 +129,32 @@ def _rules(type_errors: Column) -> dict[str, tuple[Column, Callable[[Column], Co
         "elapsed_positive": (F.min("CRS_ELAPSED_TIME"), known(lambda v: v > 0), as_is),
         "carrier_min_length": (F.min(F.length("OP_CARRIER")), known(lambda v: v >= 2), as_is),
         "delay_rate_range": (F.avg(label), known(lambda v: v.between(lo, hi)), round4),
-        "min_carriers": (F.count_distinct("OP_CARRIER"), lambda v: v >= MIN_CARRIERS, as_is),
-        "min_origins": (F.count_distinct("ORIGIN"), lambda v: v >= MIN_ORIGINS, as_is),
-        "min_dates": (F.count_distinct("FL_DATE"), lambda v: v >= MIN_DATES, as_is),
+        # counted apart, see distinct_counts
+        "min_carriers": (None, lambda v: v >= MIN_CARRIERS, as_is),
+        "min_origins": (None, lambda v: v >= MIN_ORIGINS, as_is),
+        "min_dates": (None, lambda v: v >= MIN_DATES, as_is),
         "dep_time_std": (F.stddev_samp(dep), known(lambda v: v > MIN_DEP_TIME_STD), round4),
         "min_rows_strict": (n, lambda v: v >= MIN_ROWS_STRICT, as_is),
     }
 
 
+DISTINCT_RULES = {"min_carriers": "OP_CARRIER", "min_origins": "ORIGIN", "min_dates": "FL_DATE"}
+
+
+def distinct_counts(df: DataFrame, cols: dict[str, str]) -> DataFrame:
+    """One row: for each name, the exact number of distinct non-missing values of its column. Values
+    are combined per (name, value) in the map tasks, so a row is never shuffled and what is
+    shuffled follows the number of distinct values."""
+    pairs = df.select(F.inline(F.array(*[F.struct(F.lit(n).alias("of"), F.col(c).cast("string").alias("value"))
+                                         for n, c in cols.items()])))
+    each = pairs.where("value is not null").distinct()
+    return each.agg(*[F.count_if(F.col("of") == n).alias(n) for n in cols])
+
+
 def quality_report(df: DataFrame, include_duplicates: bool = True,
                    rules: list[str] | None = None) -> DataFrame:
-    """One row per rule: (rule, observed, passed). Runs as one aggregate job over the whole
-    frame; with ``rules`` only the aggregates of those rules are built."""
+    """One row per rule: (rule, observed, passed). Runs as one aggregate over the whole frame and
+    one of its distinct values; with ``rules`` only the aggregates of those rules are built."""
     df = normalize_columns(df)
     missing = [c for c in RAW_REQUIRED_COLS if c not in df.columns]
     if missing:   # V1 needs no job; nothing else can be evaluated
@@ -149,10 +164,16 @@ def quality_report(df: DataFrame, include_duplicates: bool = True,
     errors = (F.col("_type_errors") if "_type_errors" in df.columns
               else F.array().cast("array<string>"))
     wanted = {k: v for k, v in _rules(errors).items() if rules is None or k in rules}
-    a = df.agg(*[agg.alias(name) for name, (agg, _, _) in wanted.items()])
-    rows = [F.struct(F.lit(name).alias("rule"), shown(F.col(name)).cast("double").alias("observed"),
-                     test(F.col(name)).alias("passed")) for name, (_, test, shown) in wanted.items()]
-    report = a.select(F.inline(F.array(*rows)))
+    aggs = [agg.alias(name) for name, (agg, _, _) in wanted.items() if agg is not None]
+    apart = {k: c for k, c in DISTINCT_RULES.items() if k in wanted}
+
+    def told(one: DataFrame) -> DataFrame:
+        return one.select(F.inline(F.array(*[F.struct(
+            F.lit(name).alias("rule"), shown(F.col(name)).cast("double").alias("observed"),
+            test(F.col(name)).alias("passed")) for name, (_, test, shown) in wanted.items() if name in one.columns])))
+
+    parts = ([told(df.agg(*aggs))] if aggs else []) + ([told(distinct_counts(df, apart))] if apart else [])
+    report = reduce(DataFrame.unionByName, parts)
     if include_duplicates:
         cols = [x for x in df.columns if x not in ("_type_errors", "source_file")]
         report = report.unionByName(duplicate_stats(df, cols).select(

@@ -15,7 +15,7 @@ from pyspark import StorageLevel
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -67,6 +67,53 @@ def feature_importance(model) -> DataFrame:
     return spark.createDataFrame(rows, "feature string, importance double, rank int")
 
 
+# ── the fitted trees as a table ───────────────────────────────────────
+
+
+def node_table(spark: SparkSession, pipeline_path: str) -> DataFrame:
+    """(tree, weight, node, feature, threshold, left, right, value, gain, rows) of a saved model:
+    a row per node, leaves with null ``feature``. Its size follows the model, not the data."""
+    saved = f"{pipeline_path}/stages/*_GBTClassifier_*"
+    weights = spark.read.parquet(f"{saved}/treesMetadata").toDF("tree", "_meta", "weight").select("tree", "weight")
+    n, inner = F.col("nodeData"), F.col("nodeData.leftChild") >= 0
+    nodes = spark.read.parquet(f"{saved}/data").select(
+        F.col("treeID").alias("tree"), n["id"].alias("node"),
+        F.when(inner, n["split"]["featureIndex"]).alias("feature"),
+        F.when(inner, n["split"]["leftCategoriesOrThreshold"][0]).alias("threshold"),
+        F.when(inner, n["leftChild"]).alias("left"), F.when(inner, n["rightChild"]).alias("right"),
+        n["prediction"].alias("value"), F.when(inner, n["gain"]).alias("gain"), n["rawCount"].alias("rows"))
+    return nodes.join(F.broadcast(weights), "tree")
+
+
+def tree_walk(rows: DataFrame, nodes: DataFrame, id_col: str, depth: int) -> DataFrame:
+    """(id, p_delayed): every row goes down every tree, a level a join. Nodes are broadcast (their
+    number is bounded by the model); the rows are not shuffled until the trees' values are
+    summed per row, partly before the exchange."""
+    trees = nodes.select("tree").distinct().count()
+    x = F.array(*[F.col(c).cast("double") for c in FEATURE_COLS])
+    at = (model_input(rows).select(id_col, x.alias("_x"), F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"))
+          .withColumn("node", F.lit(0)))
+    step = F.broadcast(nodes.select("tree", "node", "feature", "threshold", "left", "right"))
+    for _ in range(depth):
+        goes_left = F.get("_x", F.col("feature")) <= F.col("threshold")
+        at = at.join(step, ["tree", "node"]).select(id_col, "_x", "tree", F.when(
+            F.col("feature").isNull(), F.col("node")).when(goes_left, F.col("left")).otherwise(F.col("right")).alias("node"))
+    leaves = F.broadcast(nodes.where("feature is null").select("tree", "node", (F.col("weight") * F.col("value")).alias("_v")))
+    margin = at.join(leaves, ["tree", "node"]).groupBy(id_col).agg(F.sum("_v").alias("_m"))
+    return margin.select(id_col, (1 / (1 + F.exp(-2 * F.col("_m")))).alias("p_delayed"))
+
+
+def importance_of_gains(nodes: DataFrame) -> DataFrame:
+    """(feature, importance): each feature's share of all gains, weighted by the rows of the nodes."""
+    names = F.array(*[F.lit(c) for c in FEATURE_COLS])
+    by = (nodes.where("feature is not null").groupBy(F.get(names, F.col("feature")).alias("feature"))
+          .agg(F.sum(F.col("gain") * F.col("rows")).alias("_g")))
+    every = nodes.sparkSession.createDataFrame([(c,) for c in FEATURE_COLS], "feature string")
+    total = F.sum("_g").over(Window.partitionBy())                               # a row a feature
+    return every.join(F.broadcast(by), "feature", "left").select(
+        "feature", F.coalesce(F.try_divide(F.col("_g"), total), F.lit(0.0)).alias("importance"))
+
+
 RUN_SCHEMA = T.StructType([
     T.StructField("run_id", T.StringType()),
     T.StructField("created_at", T.TimestampType()),

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tarmac.functions import tiers as tx
@@ -440,6 +440,55 @@ def q_feature_importance(spark, sf_dir):
         (F.col("rank").between(1, n) & (F.size("ranks") == n)).alias("is_ranked"))
 
 
+@query("tree_walk")
+def q_tree_walk(spark, sf_dir):
+    """Validation rows, and those whose score by a walk over the node table differs from the model's."""
+    bundle, rows, path = trained_bundle(spark, sf_dir)
+    val = rows.where(F.col("split") == "val")
+    walked = trx.tree_walk(val, trx.node_table(spark, f"{path}/pipeline"), "flight_id", GBT_PARAMS["max_depth"])
+    both = (scx.predict(val, bundle).select("flight_id", F.col("p_delayed").alias("p_model"))
+            .join(walked, "flight_id", "left"))
+    same = F.coalesce(F.abs(F.col("p_model") - F.col("p_delayed")) < 1e-9, F.lit(False))
+    return both.agg(F.count(F.lit(1)).alias("rows"), F.count_if(~same).alias("differ"))
+
+
+@query("importance_of_gains")
+def q_importance_of_gains(spark, sf_dir):
+    """Every feature, and whether its importance is its share of the gains in the node table."""
+    bundle, _, path = trained_bundle(spark, sf_dir)
+    own = trx.importance_of_gains(trx.node_table(spark, f"{path}/pipeline")).withColumnRenamed("importance", "own")
+    given = trx.feature_importance(bundle.pipeline)
+    return own.join(F.broadcast(given), "feature").select(
+        "feature", (F.abs(F.col("own") - F.col("importance")) < 1e-9).alias("agrees"))
+
+
+def planted_rule():
+    return (F.col("dep_hour") >= 15) & (F.col("dep_month") <= 6)
+
+
+@query("planted_fit")
+def q_planted_fit(spark, sf_dir):
+    """A fit that must find a rule: labels follow from hour and month, and the first tree must
+    split where they do. Its splits, and the validation rows with their right predictions."""
+    split = base_features(sx.stratified_split(labelled_flights(spark, sf_dir), id_col="flight_id"))
+    enc = fit_frequencies(split.where(F.col("split") == "train"))
+    path = scratch_path(spark, "planted")
+    (enc.transform(split).where("dep_hour is not null and dep_month is not null")
+     .withColumn("delayed", planted_rule().cast("int")).select("flight_id", "split", *FEATURE_COLS, "delayed")
+     .write.parquet(f"{path}/rows"))
+    rows = spark.read.parquet(f"{path}/rows")
+    bundle = ModelBundle(trx.fit_model(rows.where(F.col("split") == "train"), {"n_estimators": 5, "max_depth": 2}), enc)
+    bundle.save(f"{path}/model")
+    nodes = trx.node_table(spark, f"{path}/model/pipeline").where("tree = 0 and feature is not null")
+    names = F.array(*[F.lit(c) for c in FEATURE_COLS])
+    splits = nodes.select((F.row_number().over(Window.orderBy("node")) - 1).cast("long").alias("split"),     # three rows
+                          F.get(names, F.col("feature")).alias("feature"), "threshold")
+    found = scx.predict(rows.where(F.col("split") == "val"), bundle).agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(F.col("prediction") == 1).alias("predicted"),
+        F.count_if(F.col("prediction") == F.col("delayed")).alias("right"))
+    return splits.join(F.broadcast(found), F.lit(True))
+
+
 @query("quality_gates")
 def q_quality_gates(spark, sf_dir):
     """Gates with their thresholds, and whether each flag is value >= threshold."""

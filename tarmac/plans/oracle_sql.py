@@ -630,6 +630,20 @@ SELECT count(*) AS n, CAST(sum(delayed) AS BIGINT) AS positives, true AS cells_a
 ORACLE["feature_importance"] = (
     "SELECT unnest([" + ", ".join(f"'{c}'" for c in FEATURE_NAMES) + "]) AS feature, "
     "true AS is_share, true AS is_ranked")
+ORACLE["tree_walk"] = sql2(
+    "SELECT count(*) AS rows, CAST(0 AS BIGINT) AS differ FROM split WHERE split = 'val'")
+ORACLE["importance_of_gains"] = (
+    "SELECT unnest([" + ", ".join(f"'{c}'" for c in FEATURE_NAMES) + "]) AS feature, true AS agrees")
+ORACLE["planted_fit"] = sql2(f"""
+, b AS (SELECT b.*, s.split FROM ({_base('labelled')}) b JOIN split s ON s.flight_id = b.flight_id
+        WHERE dep_hour0 IS NOT NULL AND mon IS NOT NULL),
+t AS (
+ SELECT (max(dep_hour0) FILTER (dep_hour0 < 15) + min(dep_hour0) FILTER (dep_hour0 >= 15)) / 2.0::DOUBLE AS hour,
+   (max(mon) FILTER (mon <= 6) + min(mon) FILTER (mon > 6)) / 2.0::DOUBLE AS month FROM b WHERE split = 'train'),
+v AS (SELECT count(*) AS rows, count(*) FILTER (dep_hour0 >= 15 AND mon <= 6) AS predicted, count(*) AS "right"
+      FROM b WHERE split = 'val')
+SELECT CAST(0 AS BIGINT) AS split, 'dep_hour' AS feature, hour AS threshold, v.* FROM t, v
+UNION ALL SELECT CAST(1 AS BIGINT), 'dep_month', month, v.* FROM t, v""")
 ORACLE["quality_gates"] = """
 SELECT * FROM (VALUES ('accuracy', CAST(0.7 AS DOUBLE), true), ('f1', CAST(0.55 AS DOUBLE), true),
                       ('auc', CAST(0.7 AS DOUBLE), true)) t(gate, threshold, flag_follows)"""
