@@ -112,7 +112,9 @@ class FrequencyModel:
         rows = df.withColumns({**{f"_f_{n}": k for n, k in of.items()}, "_spread": spread})
         same = reduce(lambda a, b: a & b, [F.col(f"_f_{n}").eqNullSafe(F.col(f"_c_{n}")) for n in names],
                       F.col("_spread") == F.col("_at"))
-        return (rows.join(found.withColumn("_at", F.lit(0).cast("long")), same, "left")
+        # always 0, but no constant to the optimizer: as one it would be no key of the join
+        none = F.length(F.coalesce(*[F.col(f"_c_{n}") for n in names])) * 0
+        return (rows.join(found.withColumn("_at", none.cast("long")), same, "left")
                 .drop("_spread", "_at", *[f"_f_{n}" for n in names], *[f"_c_{n}" for n in names]))
 
     def save(self, path: str) -> None:

@@ -28,7 +28,7 @@ from tarmac.schema import FEATURE_COLS, GBT_PARAMS, RAW_REQUIRED_COLS, REFERENCE
 from tarmac.session import scratch_path
 from tarmac.sources import events as ex
 from tarmac.sources.csv_landing import normalize_columns, read_raw_csv
-from tarmac.sources.model_store import ModelBundle
+from tarmac.sources.model_store import ModelBundle, saved_folder
 from tarmac.sources.tables import load_flights, load_table
 from tarmac.streaming import landing as lx
 from tarmac.streaming import monitor as mnx
@@ -445,7 +445,7 @@ def q_tree_walk(spark, sf_dir):
     """Validation rows, and those whose score by a walk over the node table differs from the model's."""
     bundle, rows, path = trained_bundle(spark, sf_dir)
     val = rows.where(F.col("split") == "val")
-    walked = trx.tree_walk(val, trx.node_table(spark, f"{path}/pipeline"), "flight_id", GBT_PARAMS["max_depth"])
+    walked = trx.tree_walk(val, trx.node_table(spark, f"{saved_folder(spark, path)}/pipeline"), "flight_id", GBT_PARAMS["max_depth"])
     both = (scx.predict(val, bundle).select("flight_id", F.col("p_delayed").alias("p_model"))
             .join(walked, "flight_id", "left"))
     same = F.coalesce(F.abs(F.col("p_model") - F.col("p_delayed")) < 1e-9, F.lit(False))
@@ -456,7 +456,7 @@ def q_tree_walk(spark, sf_dir):
 def q_importance_of_gains(spark, sf_dir):
     """Every feature, and whether its importance is its share of the gains in the node table."""
     bundle, _, path = trained_bundle(spark, sf_dir)
-    own = trx.importance_of_gains(trx.node_table(spark, f"{path}/pipeline")).withColumnRenamed("importance", "own")
+    own = trx.importance_of_gains(trx.node_table(spark, f"{saved_folder(spark, path)}/pipeline")).withColumnRenamed("importance", "own")
     given = trx.feature_importance(bundle.pipeline)
     return own.join(F.broadcast(given), "feature").select(
         "feature", (F.abs(F.col("own") - F.col("importance")) < 1e-9).alias("agrees"))
@@ -478,8 +478,7 @@ def q_planted_fit(spark, sf_dir):
      .write.parquet(f"{path}/rows"))
     rows = spark.read.parquet(f"{path}/rows")
     bundle = ModelBundle(trx.fit_model(rows.where(F.col("split") == "train"), {"n_estimators": 5, "max_depth": 2}), enc)
-    bundle.save(f"{path}/model")
-    nodes = trx.node_table(spark, f"{path}/model/pipeline").where("tree = 0 and feature is not null")
+    nodes = trx.node_table(spark, f"{bundle.save(f'{path}/model')}/pipeline").where("tree = 0 and feature is not null")
     names = F.array(*[F.lit(c) for c in FEATURE_COLS])
     splits = nodes.select((F.row_number().over(Window.orderBy("node")) - 1).cast("long").alias("split"),     # three rows
                           F.get(names, F.col("feature")).alias("feature"), "threshold")

@@ -167,11 +167,15 @@ def evaluate(spark: SparkSession, prep_dir: str, model_dir: str, registry_path:
     decision = spark.read.text(doc_uri).select(
         F.lit(group).alias("group_name"), F.lit(-1).cast("long").alias("challenger_package"),
         F.col("value").alias("doc"))
-    # conditional registration: flag >= 0.5 → append a pending package with a fresh id
-    next_id = (registry.agg(F.max("package_id")).first()[0] or 0) + 1
+    # conditional registration: flag >= 0.5 → append a pending package. Its id is made of the
+    # group, the model and its document, so two evaluations at once take two ids, and one that
+    # is run again takes the one it had; ids of older packages may be plain numbers
     winner = rx.registrations(decision, challenger).select("status").collect()       # at most one row
     if winner:
         text = decision.first()["doc"]
+        next_id = int(hashlib.sha256("\n".join((group, model_dir, doc_uri, text)).encode()).hexdigest()[:15], 16)
+        if not registry.where(F.col("package_id") == next_id).isEmpty():
+            return decision
         now = spark.range(1).select(
             F.lit(next_id).cast("long").alias("package_id"), F.lit(group).alias("group_name"),
             F.lit(winner[0]["status"]).alias("status"),
