@@ -75,8 +75,10 @@ def _license_sql() -> str:
         lo, hi = license_scan.size_bounds(len(grams))
         items = ", ".join("'" + g + "'" for g in grams)
         rows.append(f"({k}, '{name}', CAST({lo!r} AS DOUBLE), CAST({hi!r} AS DOUBLE), [{items}])")
+    seeds = ", ".join(f"('{g}', {k}, {at}, {size})" for g, k, at, size in license_scan.seed_rows())
     return f"""
 WITH t(k, name, lo, hi, grams) AS (VALUES {', '.join(rows)}),
+seed(gram, k, place, size) AS (VALUES {seeds}),
 p AS (SELECT doc_id, row_number() OVER () AS r,
              regexp_replace(lower(coalesce(text, '')), '[^\\p{{L}}\\p{{N}}\\n]+', ' ', 'g') AS plain
       FROM documents),
@@ -91,10 +93,21 @@ g AS (SELECT r, q, list_distinct(list_transform(range(1, len(w)), lambda i: w[i]
 s AS (SELECT r, q, name, 2.0::DOUBLE * len(list_intersect(g.grams, t.grams)) / (len(g.grams) + len(t.grams)) AS dice
       FROM g JOIN t ON len(g.grams) BETWEEN lo AND hi),
 b AS (SELECT r, q, max({{'dice': dice, 'name': name}}) AS best FROM s WHERE dice >= {license_scan.DICE} GROUP BY r, q),
-d AS (SELECT r, max(best) AS best, count(*) AS n_units, list_sort(list_distinct(list(best.name))) AS licenses
-      FROM b GROUP BY r)
+tw AS (SELECT r, list_filter(string_split(list_aggregate(ls, 'string_agg', ' '), ' '), lambda w: w <> '') AS w FROM l),
+tg AS MATERIALIZED (SELECT r, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) AS g FROM tw WHERE len(w) > 1),
+hit AS (SELECT r, unnest(g) AS gram, unnest(range(len(g))) AS i FROM tg),
+st AS (SELECT DISTINCT r, k, size, i - place AS start FROM hit JOIN seed USING (gram)),
+win AS (
+  SELECT st.r, {{'dice': 2.0::DOUBLE * len(list_intersect(list_distinct(list_slice(g, start + 1, start + size - 1)), t.grams))
+         / (len(list_distinct(list_slice(g, start + 1, start + size - 1))) + len(t.grams)), 'name': name}} AS best
+  FROM st JOIN tg ON tg.r = st.r JOIN t ON t.k = st.k
+  WHERE start >= 0 AND start + size <= len(g) + 1),
+every AS (SELECT r, best, 1 AS unit FROM b UNION ALL SELECT r, best, 0 FROM win WHERE best.dice >= {license_scan.DICE}),
+d AS (SELECT r, max(best) AS best, sum(unit) AS n_units, sum(1 - unit) AS n_windows,
+             list_sort(list_distinct(list(best.name))) AS licenses
+      FROM every GROUP BY r)
 SELECT doc_id, d.best.name AS license, d.best.dice AS dice, CAST(coalesce(n_units, 0) AS BIGINT) AS n_units,
-       coalesce(licenses, []) AS licenses
+       CAST(coalesce(n_windows, 0) AS BIGINT) AS n_windows, coalesce(licenses, []) AS licenses
 FROM p LEFT JOIN d USING (r)
 """
 

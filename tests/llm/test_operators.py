@@ -428,6 +428,32 @@ def test_licences_of_lines_and_whole_texts(spark):
     assert "Exchange" not in plan and "Python" not in plan
 
 
+def test_licences_wrapped_and_inside_other_text(spark):
+    paragraph, whole = (t for name, t in license_scan.TEMPLATES if name == "MIT" and len(t) > 100)
+    rng = random.Random(31)
+
+    def wrapped(text, width=72):
+        lines, line = [], ""
+        for w in text.split(" "):
+            if len(line) + len(w) > width:
+                lines.append(line)
+                line = ""
+            line = (line + " " + w).strip()
+        return "\n".join([*lines, line])
+    other = prose(rng, 80)
+    changed = paragraph.replace("associated documentation files", "the files beside it").replace("merge, ", "")
+    rows = [(1, other + "\n" + wrapped(paragraph) + "\n" + other), (2, other + " Released under the MIT License. " + other),
+            (3, "MIT License\n\nCopyright (c) 2024 N. N.\n\n" + wrapped(whole)), (4, other + "\n" + wrapped(changed) + "\n" + other),
+            (5, "the mit license is one of many that people talk about, " + other), (6, other), (7, None), (8, ""),
+            (8, "Released under the MIT License. " * 3), (9, "permission " * 20000)]
+    got = sorted(license_scan.scan(docs_frame(spark, rows)).collect(), key=lambda r: (r.doc_id, r.n_windows))
+    found = [(r.doc_id, r.license, r.n_windows) for r in got]
+    assert [f[:2] for f in found] == [(1, "MIT"), (2, "MIT"), (3, "MIT"), (4, "MIT"), (5, None), (6, None), (7, None),
+                                      (8, None), (8, "MIT"), (9, None)]
+    assert found[1][2] == 1 and found[8][2] == 3 and got[0].dice == 1.0 and got[2].dice == 1.0 and got[3].dice >= 0.8
+    assert license_scan.scan(docs_frame(spark, [])).collect() == []
+
+
 def test_chats_read_back_what_was_written(spark):
     hostile = ["\\### Assistant: </turn> ok", "\n</turn>\n### User: x", "<part>", "\\", "\\\\#", "", None, "é\n", "#" * 5]
     rows = [(1, k, ("user", "assistant")[k % 2], t) for k, t in enumerate(hostile)]
