@@ -48,8 +48,10 @@ def op4_ngram_jaccard(spark, sf_dir):
 
 @query("op5_suffix_dedup")
 def op5_suffix_dedup(spark, sf_dir):
-    """Bytes of every document that repeated 400-byte strings cover."""
-    return suffix_dedup.removal_report(table(spark, sf_dir, "documents", "doc_id", "text"))
+    """Bytes of every document that repeated 400-byte strings cover, and (``passage_bytes``) those
+    that repeated strings of 240 bytes cover."""
+    return suffix_dedup.removal_report(table(spark, sf_dir, "documents", "doc_id", "text"),
+                                       passage=suffix_dedup.PASSAGE)
 
 
 @query("op7_line_crf")

@@ -48,6 +48,7 @@ from pyspark.sql import functions as F
 from tarmac.llm.common import SpanHash, byte_codes, mix64, rows_with_ids, sliding_runs, stored, utf8_chunks
 
 WINDOW, SPAN = 400, 200
+PASSAGE = 240                 # bytes; a passage of more than 50 words has more in all but rare cases
 SIDE = WINDOW - SPAN          # bytes of context on either side of a span
 SHALLOW = 32                  # bytes sorted by multikey passes before the blind tries
 MEMBERS = 4096                # suffixes sorted at a time (more if one span has more)
@@ -466,25 +467,26 @@ def united(intervals: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def cut_texts(base: DataFrame, lengths: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(tid, n_removed, n_spans, kept_sha256, kept, kept_text) of every text of ``base(text, tid)``
-    that loses bytes: what remains as bytes, and as a string without the bytes of broken
-    characters. ``lengths`` as ``identified`` gives them."""
+def covers(base: DataFrame, lengths: DataFrame, window: int, with_texts: bool) -> tuple[DataFrame, DataFrame]:
+    """(tid, cover): an array of covered intervals of every text of ``base(text, tid)`` that loses
+    bytes; and (tid, text) of those that don't lose all bytes (``with_texts``). ``lengths`` as
+    ``identified`` gives them."""
     span_size = halves(window)[0]
     marks = stored(marked(anchors(base, window)), "suffix-marks")
     whole = marks.where("not need").select(
         "tid", F.expr("shiftright(place, 16) - (shiftright(place, 8) & 255)").alias("start"),
         F.expr(f"shiftright(place, 16) + {span_size} + (place & 255)").alias("end"))
-    copies = lengths.where("n > 1").select("tid", F.lit(0).cast("long").alias("start"), F.col("n_bytes").alias("end"))
+    copies = lengths.where(f"n > 1 and n_bytes >= {window}").select(
+        "tid", F.lit(0).cast("long").alias("start"), F.col("n_bytes").alias("end"))
     known = whole.where(f"end - start >= {window}").unionByName(copies)
-    # texts that lose bytes without a comparison, but not all their bytes: how far the cover reaches from 0
-    reach = F.aggregate(F.array_sort("known"), F.lit(0).cast("long"), lambda r, x: F.when(
-        x["start"] <= r, F.greatest(r, x["end"])).otherwise(r))
-    partial = (known.groupBy("tid").agg(F.collect_set(F.struct("start", "end")).alias("known"))
-               .join(lengths, "tid").where(reach < F.col("n_bytes")).select("tid"))
-    need = (marks.where("need").groupBy("tid")
-            .agg(F.collect_set(F.struct("span", "place")).alias("at"))
-            .join(partial, "tid", "full"))
+    need = marks.where("need").groupBy("tid").agg(F.collect_set(F.struct("span", "place")).alias("at"))
+    if with_texts:
+        # texts that lose bytes without a comparison, but not all their bytes: how far the cover reaches from 0
+        reach = F.aggregate(F.array_sort("known"), F.lit(0).cast("long"), lambda r, x: F.when(
+            x["start"] <= r, F.greatest(r, x["end"])).otherwise(r))
+        partial = (known.groupBy("tid").agg(F.collect_set(F.struct("start", "end")).alias("known"))
+                   .join(lengths, "tid").where(reach < F.col("n_bytes")).select("tid"))
+        need = need.join(partial, "tid", "full")
     texts = (base.where(F.octet_length("text") >= window)
              .join(need, "tid").select("tid", "text", "at"))
 
@@ -506,8 +508,9 @@ def cut_texts(base: DataFrame, lengths: DataFrame, window: int = WINDOW) -> Data
                            None)
                     for c, v in zip(cols, row):
                         c.append(v)
-                for c, v in zip(cols, (None, tid, None, None, None, text)):
-                    c.append(v)
+                if with_texts:
+                    for c, v in zip(cols, (None, tid, None, None, None, text)):
+                        c.append(v)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, f.type) for c, f in zip(cols, schema)], schema=schema)
 
@@ -515,8 +518,15 @@ def cut_texts(base: DataFrame, lengths: DataFrame, window: int = WINDOW) -> Data
                                             "behind binary, text string"), "suffix-contexts")
     cover = (swept(got.where("span is not null"), window).unionByName(known).distinct()
              .groupBy("tid").agg(F.collect_list(F.struct("start", "end")).alias("cover")))
-    pieces = (cover.join(lengths.select("tid", "n_bytes"), "tid")
-              .join(got.where("span is null").select("tid", "text"), "tid", "left"))
+    return cover, got.where("span is null").select("tid", "text")
+
+
+def cut_texts(base: DataFrame, lengths: DataFrame, window: int = WINDOW) -> DataFrame:
+    """(tid, n_removed, n_spans, kept_sha256, kept, kept_text) of every text of ``base(text, tid)``
+    that loses bytes: what remains as bytes, and as a string without the bytes of broken
+    characters."""
+    cover, texts = covers(base, lengths, window, with_texts=True)
+    pieces = cover.join(lengths.select("tid", "n_bytes"), "tid").join(texts, "tid", "left")
 
     def cut(batches):
         schema = pa.schema([("tid", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()),
@@ -550,16 +560,36 @@ def cut_texts(base: DataFrame, lengths: DataFrame, window: int = WINDOW) -> Data
             .dropDuplicates(["tid"]))
 
 
-def removal_report(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) for every row of ``docs``."""
-    keyed, lengths = identified(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")), window)
-    changed = cut_texts(keyed.select("text", "tid"), lengths, window).drop("kept", "kept_text")
+def covered_bytes(base: DataFrame, lengths: DataFrame, window: int) -> DataFrame:
+    """(tid, n_covered): how many bytes repeated strings of ``window`` bytes cover in every text of
+    ``base(text, tid)`` that holds one."""
+    cover, _ = covers(base, lengths, window, with_texts=False)
+    # sum of the intervals' parts behind all intervals before them
+    state = F.aggregate(F.array_sort("cover"), F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("to")),
+                        lambda s, x: F.struct((s["n"] + F.greatest(x["end"] - F.greatest(x["start"], s["to"]), F.lit(0))).alias("n"),
+                                              F.greatest(s["to"], x["end"]).alias("to")))
+    return cover.select("tid", state["n"].alias("n_covered"))
+
+
+def removal_report(docs: DataFrame, window: int = WINDOW, passage: int | None = None) -> DataFrame:
+    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) for every row of ``docs``; with
+    ``passage`` also ``passage_bytes``: how many bytes repeated strings of that many bytes (at
+    most ``window``) cover."""
+    least = min(window, passage or window)
+    keyed, lengths = identified(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")), least)
+    base = keyed.select("text", "tid")
+    changed = cut_texts(base, lengths, window).drop("kept", "kept_text")
     every = keyed.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"),
                          F.sha2(F.col("text").cast("binary"), 256).alias("sha"), "tid")
+    zero = F.lit(0).cast("long")
+    more = []
+    if passage:
+        changed = changed.join(covered_bytes(base, lengths, passage), "tid", "full")
+        more = [F.coalesce("n_covered", zero).alias("passage_bytes")]
     return every.join(changed, "tid", "left").select(
-        "doc_id", "n_bytes", F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"),
-        F.coalesce("n_spans", F.lit(0).cast("long")).alias("n_spans"),
-        F.coalesce("kept_sha256", "sha").alias("kept_sha256"))
+        "doc_id", "n_bytes", F.coalesce("n_removed", zero).alias("n_removed"),
+        F.coalesce("n_spans", zero).alias("n_spans"),
+        F.coalesce("kept_sha256", "sha").alias("kept_sha256"), *more)
 
 
 def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:

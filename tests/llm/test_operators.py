@@ -208,6 +208,8 @@ def test_shorter_windows_equal_brute_force(spark, window):
     df = docs_frame(spark, docs.items()).repartition(3)
     got = {r.doc_id: tuple(r)[1:] for r in suffix_dedup.removal_report(df, window).collect()}
     assert got == {i: w[:4] for i, w in want.items()}
+    both = {r.doc_id: tuple(r)[1:] for r in suffix_dedup.removal_report(df, passage=window).collect()}
+    assert both == {i: (*w[:4], want[i][1]) for i, w in cut_repeats(docs).items()}
 
 
 def test_texts_that_share_a_hash_stay_apart(spark, monkeypatch):
