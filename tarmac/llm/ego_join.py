@@ -11,8 +11,10 @@ enlarges a distance.
    label, then by the cells of side epsilon, first direction first. The order is cut into
    intervals of at most ``BLOCK`` vectors and these, ``SPREAD`` in a row, into longer ones.
 3. Pairs of long intervals, then of intervals within them, are kept unless their boxes
-   are provably more than epsilon apart. Each kept pair is one row, with both intervals'
-   vectors; a hot label is many pairs, never one task.
+   are provably more than epsilon apart. Long intervals of a label with more than ``FEW``
+   of them meet only in the cells of the ``LEAD`` first directions that both boxes touch
+   or border on, so a hot label is neither all pairs of its intervals nor one task. Each
+   kept pair is one row, with both intervals' vectors.
 4. In a task the pair is halved recursively, skipping distant halves, down to ``LEAF``
    vectors, whose cosines are a matrix product. Cosines within ``TIE`` of the threshold
    are decided by exactly rounded sums.
@@ -43,7 +45,10 @@ EPSILON = math.sqrt(2 - 2 * COSINE)
 DIMENSIONS = 6
 SAMPLE = 4096                 # vectors the principal directions are fitted on
 BLOCK, SPREAD, LEAF = 256, 32, 64
+FEW, LEAD = 64, 3
+CELL = EPSILON * (1 + 1e-6)   # boxes that may hold a link are at most one cell apart
 TIE = 1e-12
+NEAR = EPSILON ** 2 * (1 + 1e-9)
 
 
 # ── classes ───────────────────────────────────────────────────────────
@@ -185,23 +190,43 @@ def _gap(a: str, b: str):
         for k in range(DIMENSIONS)))
 
 
-def interval_pairs(blocks: DataFrame) -> DataFrame:
-    """(a, b) of intervals with a <= b that may hold a link."""
-    near = EPSILON ** 2 * (1 + 1e-9)
-    box = blocks.select("block", "long", "label", "dim", "lo", "hi")
+def _in_cells(wide: DataFrame, reach: int) -> DataFrame:
+    """A row for each cell of the leading directions that a long interval's box touches, or
+    that lies within ``reach`` of one; ``from_k`` is the first. One row where they are few."""
+    many = F.col("together") > FEW
+    for k in range(LEAD):
+        first = F.floor(F.col("lo")[k] / CELL) - reach
+        last = F.floor(F.col("hi")[k] / CELL) + reach
+        cells = F.when(many, F.sequence(first, last)).otherwise(F.array(F.lit(0).cast("long")))
+        wide = (wide.withColumn(f"from_{k}", F.when(many, first).otherwise(F.lit(0)))
+                .withColumn(f"cell_{k}", F.explode(cells)))
+    return wide
+
+
+def long_pairs(box: DataFrame) -> DataFrame:
+    """(label, dim, long_a, long_b) of long intervals, a <= b, whose boxes are near."""
     wide = box.groupBy("label", "dim", "long").agg(
         F.array(*(F.min(F.col("lo")[k]) for k in range(DIMENSIONS))).alias("lo"),
         F.array(*(F.max(F.col("hi")[k]) for k in range(DIMENSIONS))).alias("hi"))
-    x, y = wide.alias("x"), wide.alias("y")
-    rough = (x.join(y, F.expr("x.label = y.label and x.dim = y.dim and x.long <= y.long"))
-             .where(_gap("x", "y") <= near)
-             .select(F.col("x.label").alias("label"), F.col("x.dim").alias("dim"),
-                     F.col("x.long").alias("long_a"), F.col("y.long").alias("long_b")))
+    wide = wide.join(wide.groupBy("label", "dim").agg(F.count(F.lit(1)).alias("together")), ["label", "dim"])
+    x, y = _in_cells(wide, 1).alias("x"), _in_cells(wide, 0).alias("y")
+    meet = ["x.label = y.label", "x.dim = y.dim", "x.long <= y.long",
+            *(f"x.cell_{k} = y.cell_{k}" for k in range(LEAD))]
+    # a pair counts in the first of the cells that it shares
+    once = [f"x.cell_{k} = greatest(x.from_{k}, y.from_{k})" for k in range(LEAD)]
+    return (x.join(y, F.expr(" and ".join(meet + once))).where(_gap("x", "y") <= NEAR)
+            .select(F.col("x.label").alias("label"), F.col("x.dim").alias("dim"),
+                    F.col("x.long").alias("long_a"), F.col("y.long").alias("long_b")))
+
+
+def interval_pairs(blocks: DataFrame) -> DataFrame:
+    """(a, b) of intervals with a <= b that may hold a link."""
+    box = blocks.select("block", "long", "label", "dim", "lo", "hi")
     a, b = box.alias("a"), box.alias("b")
-    r = rough.alias("r")
+    r = long_pairs(box).alias("r")
     return (r.join(a, F.expr("r.label = a.label and r.dim = a.dim and r.long_a = a.long"))
             .join(b, F.expr("r.label = b.label and r.dim = b.dim and r.long_b = b.long"))
-            .where("a.block <= b.block").where(_gap("a", "b") <= near)
+            .where("a.block <= b.block").where(_gap("a", "b") <= NEAR)
             .select(F.col("a.block").alias("a"), F.col("b.block").alias("b")))
 
 
@@ -214,13 +239,12 @@ def linked(x: np.ndarray, y: np.ndarray, px: np.ndarray, py: np.ndarray) -> np.n
     """Boolean matrix of links between unit vectors, by recursive halving; ``px`` and ``py``
     are their projections."""
     out = np.zeros((len(x), len(y)), bool)
-    near = EPSILON ** 2 * (1 + 1e-9)
     todo = [(0, len(x), 0, len(y))]
     while todo:
         a, b, c, d = todo.pop()
         gap = np.maximum(0, np.maximum(py[c:d].min(axis=0) - px[a:b].max(axis=0),
                                        px[a:b].min(axis=0) - py[c:d].max(axis=0)))
-        if (gap * gap).sum() > near:
+        if (gap * gap).sum() > NEAR:
             continue
         if max(b - a, d - c) > LEAF:
             if b - a >= d - c:
