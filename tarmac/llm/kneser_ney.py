@@ -6,11 +6,14 @@ probability from the ``ORDER - 1`` symbols before it::
 
     P_c(x | h) = max(n_c(h x) - D_c, 0) / n_c(h) + D_c * types_c(h) / n_c(h) * P(x | h')
 
-Their counts come from labelled documents. All shorter contexts are shared by both:
-``P(x | h')`` is interpolated Kneser-Ney over continuation counts (how many symbols stand
-before) of the words of all documents, labelled or not. So an expression that the labels
-hold rarely, or with another ending, is judged by its parts, and what neither class has
-seen is judged alike by both.
+Their counts come from labelled documents. Shorter contexts are shared by both:
+``P(x | h')``, of the last ``SHARED - 2`` symbols, is interpolated Kneser-Ney over
+continuation counts (how many symbols stand before) of the words of all documents, labelled
+or not. So an expression that the labels hold rarely, or with another ending, is judged by
+its parts, and what neither class has seen is judged alike by both. ``ORDER`` is the most
+that packs into 64 bits: up to its ninth letter a word's symbols are judged after all of the
+word before them, so a stem made of common pieces is counted as a beginning of words, apart
+from the same letters inside others.
 
 A word's evidence is the difference of its two log-likelihoods. A document's are the
 evidence per symbol of its whole text and that of its strongest words (first, and mean of
@@ -42,7 +45,7 @@ from pyspark.sql import functions as F
 from tarmac.llm.common import CHUNK_BYTES, SpanHash, byte_codes, sliding_runs, stored
 from tarmac.llm.line_crf import held_out
 
-ORDER = 5
+ORDER, SHARED = 10, 7         # ORDER * BITS < 64
 BITS = 6
 MAX_GRAMS = 4_000_000
 TRAIN_DOCS = 6000
@@ -122,16 +125,16 @@ def chunks(texts: list[str]):
         yield a, k
 
 
-def gram_counts(docs: DataFrame) -> DataFrame:
-    """(g, toxic, ordinary) over ``docs(text, label)``; grams of unlabelled rows count 0."""
+def gram_counts(docs: DataFrame, order: int) -> DataFrame:
+    """(g, toxic, ordinary) of grams of ``order`` symbols over ``docs(text, label)``; grams of unlabelled rows count 0."""
     def count(batches):
         held: list[tuple] = []
         size = 0
 
         def merged():
             g, t, o = (np.concatenate(c) for c in zip(*held))
-            order = np.argsort(g, kind="stable")
-            g, t, o = g[order], t[order], o[order]
+            by = np.argsort(g, kind="stable")
+            g, t, o = g[by], t[by], o[by]
             at = sliding_runs(g)
             return g[at], np.add.reduceat(t, at), np.add.reduceat(o, at)
 
@@ -146,7 +149,7 @@ def gram_counts(docs: DataFrame) -> DataFrame:
                 of = np.repeat(label[a:b], np.diff(first))
                 toxic = np.bincount(which[of == 1], minlength=len(h))
                 ordinary = np.bincount(which[of == 0], minlength=len(h))
-                g, word = grams(sym, start, length, ORDER)
+                g, word = grams(sym, start, length, order)
                 held.append((g, toxic[word], ordinary[word]))
                 size += len(g)
                 if size > 1 << 22:
@@ -231,7 +234,8 @@ def shared_backoff(table: DataFrame, order: int) -> DataFrame:
 
 def fit_counts(docs: DataFrame) -> Model | Tables:
     """The two models from ``docs(text, label)``, as evidence per gram."""
-    table, order = stored(gram_counts(docs), "kn-grams"), ORDER
+    order = ORDER
+    table = stored(gram_counts(docs.where("label is not null"), order), "kn-grams")
     if not table.take(1):
         none = np.zeros(0)
         return Model(order, none.astype(np.int64), none, none.astype(np.int64), none)
@@ -242,9 +246,9 @@ def fit_counts(docs: DataFrame) -> Model | Tables:
     rest = {c: F.when(F.col(f"n_{c}") > 0, d[c] * F.col(f"types_{c}") / F.col(f"n_{c}")).otherwise(1.0) for c in d}
     p = {c: F.when(F.col(f"n_{c}") > 0, F.greatest(F.col(c) - d[c], F.lit(0.0)) / F.col(f"n_{c}")).otherwise(0.0)
          + rest[c] * F.col("p") for c in d}
-    low = shared_backoff(table, order)
+    low = shared_backoff(stored(gram_counts(docs, SHARED).select("g"), "kn-shared"), SHARED)
     found = (rows.join(after, "h")
-             .join(low, F.col("g").bitwiseAND((1 << (BITS * (order - 1))) - 1) == F.col("s"))
+             .join(low, F.col("g").bitwiseAND((1 << (BITS * (SHARED - 1))) - 1) == F.col("s"))
              .select("g", (F.log(p["toxic"]) - F.log(p["ordinary"])).alias("e")))
     unseen = after.select("h", (F.log(rest["toxic"]) - F.log(rest["ordinary"])).alias("e"))
     if table.count() > MAX_GRAMS:

@@ -1,6 +1,7 @@
 """Plain versions of the corpus operators, for small inputs."""
 
 import hashlib
+import math
 import re
 from collections import Counter
 
@@ -71,3 +72,48 @@ def best_segmentation(text, pieces, unknown):
             if score is not None:
                 best[end] = max(best[end], best[start] + score)
     return best[-1]
+
+
+def class_evidence(docs, order, shared_order):
+    """Gram → log P_toxic - log P_ordinary of its last letter, and context → the same of a letter
+    unseen after it, from ``docs`` of (lower-case text, label 1, 0 or None): Kneser-Ney with class
+    counts on top and continuation counts of all documents below. ``^`` begins and ``$`` ends words."""
+    def spelled(text, n):
+        for word in re.findall("[a-z]+", text):
+            x = "^" * (n - 1) + word + "$"
+            yield from (x[k: k + n] for k in range(len(word) + 1))
+
+    top = {c: Counter(g for text, label in docs if label == c for g in spelled(text, order)) for c in (0, 1)}
+    seen = set(top[0]) | set(top[1])
+
+    def discount(counts):
+        one, two = (sum(c == n for c in counts.values()) for n in (1, 2))
+        return min(max(one / (one + 2 * two), 0.1), 0.95) if one else 0.5
+
+    below = {}                                    # length → suffix: symbols that stand before it
+    longer = {g for text, _ in docs for g in spelled(text, shared_order)}
+    for n in range(shared_order - 1, 0, -1):
+        below[n] = Counter(g[1:] for g in longer)
+        longer = set(below[n])
+    cuts = {n: discount(c) for n, c in below.items()}
+
+    def shared(g):
+        counts, d = below[len(g)], cuts[len(g)]
+        like = {x: c for x, c in counts.items() if x[:-1] == g[:-1]}
+        rest = shared(g[1:]) if len(g) > 1 else 1 / 64
+        return (max(counts[g] - d, 0) + d * len(like) * rest) / sum(like.values())
+
+    def parts(label, h):
+        after = [c for g, c in top[label].items() if g[:-1] == h]
+        d = discount(top[label])
+        return sum(after), d, d * len(after) / sum(after) if after else 1.0
+
+    contexts = {h: math.log(parts(1, h)[2]) - math.log(parts(0, h)[2]) for h in {g[:-1] for g in seen}}
+    grams = {}
+    for g in seen:
+        p = []
+        for label in (1, 0):
+            n, d, rest = parts(label, g[:-1])
+            p.append((max(top[label][g] - d, 0) / n if n else 0.0) + rest * shared(g[1 - shared_order:]))
+        grams[g] = math.log(p[0]) - math.log(p[1])
+    return grams, contexts

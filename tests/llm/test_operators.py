@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from brute import cut_repeats, find_components, jaccard_report
+from brute import class_evidence, cut_repeats, find_components, jaccard_report
 from tarmac.llm import (chat_format, common, decontaminate, ego_join, kneser_ney, license_scan, line_crf,
                         ngram_jaccard, piece_viterbi, suffix_dedup, warc)
 
@@ -223,15 +223,44 @@ def test_texts_that_share_a_hash_stay_apart(spark, monkeypatch):
     assert got == {i: w[:4] for i, w in want.items()}
 
 
+@pytest.mark.parametrize("few", [10_000, 20])
+def test_long_intervals_meet_once_in_the_leading_cells(spark, monkeypatch, few):
+    import numpy as np
+    monkeypatch.setattr(ego_join, "FEW", few)
+    rng = np.random.default_rng(41)
+    rows, boxes = [], {}
+    for k in range(150):
+        label = k % 3 if k < 30 else 0                      # a hot label, two with few intervals
+        lo = rng.uniform(-1, 1, ego_join.DIMENSIONS) * rng.choice((0.3, 1))
+        hi = np.minimum(lo + rng.choice((0.0, 0.05, 0.9), ego_join.DIMENSIONS), 1)
+        if k % 10 == 0:                                     # borders of cells
+            lo = np.round(lo / ego_join.EPSILON) * ego_join.EPSILON
+            hi = np.maximum(hi, lo)
+        boxes[k] = (label, lo, hi)
+        rows.append((k, k, label, 12, lo.tolist(), hi.tolist()))
+    box = spark.createDataFrame(rows, "block long, long long, label long, dim int, lo array<double>, hi array<double>")
+    got = sorted((r.long_a, r.long_b) for r in ego_join.long_pairs(box.repartition(4)).collect())
+    want = []
+    for a, (la, lo, hi) in boxes.items():
+        for b, (lb, lo_b, hi_b) in boxes.items():
+            gap = np.maximum(0, np.maximum(lo_b - hi, lo - hi_b))
+            if a <= b and la == lb and (gap * gap).sum() <= ego_join.NEAR:
+                want.append((a, b))
+    assert got == want and len(want) > 200
+
+
 def test_decontamination_without_rows(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.report(docs_frame(spark, []), none).collect() == []
     assert decontaminate.clean_documents(docs_frame(spark, [(1, "a")]), none).count() == 1
 
 
-def test_vector_links_equal_brute_force(spark, monkeypatch):
+@pytest.mark.parametrize("few", [64, 0])
+def test_vector_links_equal_brute_force(spark, monkeypatch, few):
     import numpy as np
     monkeypatch.setattr(ego_join, "BLOCK", 16)
+    monkeypatch.setattr(ego_join, "SPREAD", 2)
+    monkeypatch.setattr(ego_join, "FEW", few)               # 0: every label meets in cells
     rng = np.random.default_rng(14)
     rows = []
     for label in (0, 1):
@@ -352,9 +381,51 @@ def test_toxicity_is_the_same_beyond_the_broadcast(spark, monkeypatch):
     assert [r[3] for r in got] == pytest.approx([r[3] for r in want], abs=1e-9)
 
 
+@pytest.mark.parametrize("order, shared", [(3, 3), (kneser_ney.ORDER, kneser_ney.SHARED)])
+def test_evidence_equals_plain_kneser_ney(spark, monkeypatch, order, shared):
+    monkeypatch.setattr(kneser_ney, "ORDER", order)
+    monkeypatch.setattr(kneser_ney, "SHARED", shared)
+    rng = random.Random(31)
+    docs = [("abra cadabra abba abra", 1), ("brab arc abra", 0), ("dab", None), ("", 1), ("achlicher achlichtz", 1),
+            ("wachlich lich", 0)]
+    docs += [(" ".join("".join(rng.choice("abc") for _ in range(rng.randrange(1, 6))) for _ in range(6)), k % 3 - 1)
+             for k in range(9)]
+    docs = [(t, None if c == -1 else c) for t, c in docs]
+    model = kneser_ney.fit_counts(spark.createDataFrame(docs, "text string, label int").repartition(3))
+    sign = {kneser_ney.START: "^", kneser_ney.END: "$"}
+
+    def spelled(g, n):
+        x = [g >> (kneser_ney.BITS * k) & 63 for k in range(n)][::-1]
+        return "".join(sign.get(c) or chr(96 + c) for c in x)
+
+    grams, contexts = class_evidence(docs, order, shared)
+    got = {spelled(int(g), order): e for g, e in zip(model.grams, model.evidence)}
+    assert got == pytest.approx(grams, abs=1e-12)
+    got = {spelled(int(h), order - 1): e for h, e in zip(model.contexts, model.context_evidence)}
+    assert got == pytest.approx(contexts, abs=1e-12)
+
+
+def test_toxicity_tells_stems_from_the_same_letters_inside_words(spark):
+    rng = random.Random(37)
+    pieces = ("ach", "lich", "keit", "ung", "ein", "sch")
+    docs, labels = [], []
+    for i in range(600):
+        toxic = rng.random() < 0.3
+        words = ["".join(rng.choice(pieces) for _ in range(rng.randrange(2, 4))) for _ in range(40)]
+        words = ["x" + w if w.startswith("achlich") else w for w in words]       # never at the beginning
+        for _ in range(3 * toxic):
+            words[rng.randrange(40)] = "achlich" + rng.choice(pieces)
+        docs.append((i, " ".join(words)))
+        labels.append((i, 1, int(any(w.startswith("achlich") for w in words))))
+    got = {r.doc_id: r for r in kneser_ney.toxicity(
+        docs_frame(spark, docs), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()}
+    held = [(got[i].predicted, t) for i, _, t in labels if got[i].held_out]
+    assert sum(p == t for p, t in held) / len(held) > 0.97
+
+
 def test_shared_backoff_is_a_distribution(spark):
     docs = spark.createDataFrame([("abra cadabra abba", 1), ("brab arc", 0), ("dab", None)], "text string, label int")
-    table = common.stored(kneser_ney.gram_counts(docs), "t")
+    table = common.stored(kneser_ney.gram_counts(docs, kneser_ney.ORDER), "t")
     p = kneser_ney.shared_backoff(table, 3).collect()
     by = {}
     for r in p:
