@@ -53,6 +53,15 @@ def with_file_columns(lines: DataFrame) -> DataFrame:
                         F.monotonically_increasing_id().alias("_line"))
 
 
+def is_blank(value: Column) -> Column:
+    """No character but blanks, tabs and carriage returns."""
+    return ~F.rlike(value, F.lit(r"[^ \t\r]"))
+
+
+def without_cr(value: Column) -> Column:
+    return F.when(F.contains(value, F.lit("\r")), F.regexp_replace(value, "\r$", "")).otherwise(value)
+
+
 # ── records ──────────────────────────────────────────────────────────
 # A cell that starts with a quote goes on to the closing quote ("" stands for one); a quote
 # elsewhere in a cell is a character like any other.
@@ -122,7 +131,7 @@ def joined_records(lines: DataFrame) -> DataFrame:
         *block, _state(F.lit(False), F.col("_fixed"), F.col("_odd")).alias("_start"))
     blocks = _written(starts, "csv-blocks")
     lines = placed.join(blocks, block).withColumn("_open", _state(F.col("_start"), F.col("_fixed"), F.col("_odd")))
-    lines = lines.where(F.col("_open") | (F.trim(F.regexp_replace("value", r"[\t\r]", "")) != ""))
+    lines = lines.where(F.col("_open") | ~is_blank(F.col("value")))
     first = F.when(~F.col("_open"), F.col("_line"))
     # lines ahead of a block's first record belong to the last record of the blocks before
     last = lines.groupBy(*block).agg(F.max(first).alias("_last"))
@@ -132,7 +141,7 @@ def joined_records(lines: DataFrame) -> DataFrame:
     keyed = (lines.withColumn("_first", own).join(carry, block)
              .withColumn("_key", F.when(F.col("_first").isNotNull(), F.struct("_block", F.col("_first").alias("_last")))
                          .otherwise(F.col("_from"))))
-    parts = F.array_sort(F.collect_list(F.struct("_block", "_line", F.regexp_replace("value", "\r$", "").alias("text"))))
+    parts = F.array_sort(F.collect_list(F.struct("_block", "_line", without_cr(F.col("value")).alias("text"))))
     return (keyed.groupBy("source_file", "_key").agg(parts.alias("_parts"))
             .select(F.array_join(F.col("_parts.text"), "\n").alias("value"), "source_file"))
 
@@ -147,7 +156,7 @@ def rows_by_header(lines: DataFrame, extra: list[str] | None = None) -> tuple[Da
     blank lines are no rows. Files in which a quoted cell goes on behind the end of a line
     take the way of ``joined_records``, all others one scan.
     """
-    blank = F.trim(F.regexp_replace("value", r"[\t\r]", "")) == ""
+    blank = is_blank(F.col("value"))
     heads = (lines.where(~blank).withColumn("_opens", line_effect(F.col("value"))[0])
              .groupBy("source_file").agg(F.max("_opens").alias("_opens"), F.min(F.when(
                  F.col("_block") == 0, F.struct("_line", "value"))).alias("_first"))
@@ -163,20 +172,23 @@ def rows_by_header(lines: DataFrame, extra: list[str] | None = None) -> tuple[Da
         return F.when(at == 0, F.array_position("_names", spelled[name])).otherwise(at) if name in spelled else at
 
     missing = F.array_compact(F.array(*[F.when(place(c) == 0, F.lit(c)) for c in wanted]))
-    heads = heads.withColumn("_missing", missing).checkpoint(eager=True)       # one row per file
+    at = [place(c) for c in wanted] + [F.array_position("_names", c) for c in extra or []]
+    places = F.array(*[F.when(a > 0, a.cast("int")) for a in at])
+    heads = heads.select("source_file", "_opens", "_header", places.alias("_places"),
+                         missing.alias("_missing")).checkpoint(eager=True)     # one row per file
     n_files = heads.count()
     good = heads.where(F.size("_missing") == 0).drop("_missing")
     n_joined = good.where("_opens").count()
     if n_files <= 10_000:
         good = F.broadcast(good)
     rows = (lines.join(good, "source_file").where(~F.col("_opens") & ~blank & (F.col("value") != F.col("_header")))
-            .withColumn("value", F.regexp_replace("value", "\r$", "")))
+            .withColumn("value", without_cr(F.col("value"))))
     if n_joined:
         cut = [F.col(c) for c in ("value", "source_file", "_block", "_line")]
         joined = joined_records(lines.join(good.where("_opens"), "source_file").select(*cut)).join(good, "source_file")
-        rows = rows.select("value", "source_file", "_opens", "_header", "_names").unionByName(
+        rows = rows.select("value", "source_file", "_opens", "_header", "_places").unionByName(
             joined.where(F.col("value") != F.regexp_replace("_header", "\r$", ""))
-            .select("value", "source_file", "_opens", "_header", "_names"))
+            .select("value", "source_file", "_opens", "_header", "_places"))
     # the CSV parser allocates a buffer per line, so cells are cut by pattern
     plain = F.split("value", ",")
     quoted = F.transform(
@@ -184,22 +196,16 @@ def rows_by_header(lines: DataFrame, extra: list[str] | None = None) -> tuple[Da
         lambda c: F.when(F.startswith(c, F.lit('"')), F.replace(
             F.substr(c, F.lit(2), F.length(c) - 2), F.lit('""'), F.lit('"'))).otherwise(c))
     rows = rows.withColumn("_cells", F.when(F.contains("value", F.lit('"')), quoted).otherwise(plain))
-    cells = F.col("_cells")
-
-    def cell(name: str, at: Column) -> Column:
-        text = F.trim(F.try_element_at(cells, F.when(at > 0, at.cast("int"))))
-        return F.when(~text.isin(MISSING), text).alias(name)
-
-    out = rows.select(*[cell(c, place(c)) for c in wanted],
-                      *[cell(c, F.array_position("_names", c)) for c in (extra or [])], "source_file")
+    # one expression for all columns: written out for each, they make a method too long to be compiled
+    texts = F.transform("_places", lambda at: F.trim(F.try_element_at(F.col("_cells"), at)))
+    rows = rows.withColumn("_texts", F.transform(texts, lambda x: F.when(~x.isin(MISSING), x)))
+    out = rows.select(*[F.get("_texts", F.lit(i)).alias(c) for i, c in enumerate(wanted + (extra or []))], "source_file")
     rejected = heads.where(F.size("_missing") > 0).select("source_file", F.col("_missing").alias("missing"))
     return out, rejected
 
 
-def typed_value(name: str, kind: T.DataType) -> Column:
+def typed_value(text: Column, number: Column, kind: T.DataType) -> Column:
     """Text → number or NULL. Whole numbers may be written with a fraction of zero (``900.0``)."""
-    text = F.col(name)
-    number = text.try_cast("double")
     if isinstance(kind, (T.DoubleType, T.FloatType)):
         return number.cast(kind)
     if isinstance(kind, T.IntegralType):
@@ -208,17 +214,16 @@ def typed_value(name: str, kind: T.DataType) -> Column:
 
 
 def type_rows(df: DataFrame, keep: list[str] | None = None) -> DataFrame:
-    """Raw text columns → typed columns; ``_type_errors`` lists columns whose text didn't parse."""
-    typed, errors = [], []
-    for f in RAW_SCHEMA.fields:
-        if isinstance(f.dataType, T.StringType):
-            typed.append(F.col(f.name))
-            continue
-        v = typed_value(f.name, f.dataType)
-        typed.append(v.alias(f.name))
-        errors.append(F.when(F.col(f.name).isNotNull() & v.isNull(), F.lit(f.name)))
-    return nan_to_null(df.select(*[F.col(c) for c in keep or []], *typed,
-                                 F.array_compact(F.array(*errors)).alias("_type_errors")))
+    """Raw text columns → typed columns; ``_type_errors`` lists columns whose text didn't parse.
+    Parsed, typed and checked in steps, so a text is parsed once."""
+    kinds = {f.name: f.dataType for f in RAW_SCHEMA.fields if not isinstance(f.dataType, T.StringType)}
+    df = df.withColumns({f"_number_{c}": F.col(c).try_cast("double") for c in kinds})
+    df = df.withColumns({f"_typed_{c}": typed_value(F.col(c), F.col(f"_number_{c}"), kind) for c, kind in kinds.items()})
+    errors = [F.when(F.col(c).isNotNull() & F.col(f"_typed_{c}").isNull(), F.lit(c)) for c in kinds]
+    return nan_to_null(df.select(
+        *[F.col(c) for c in keep or []],
+        *[F.col(f"_typed_{f.name}" if f.name in kinds else f.name).alias(f.name) for f in RAW_SCHEMA.fields],
+        F.array_compact(F.array(*errors)).alias("_type_errors")))
 
 
 def read_raw_csv(spark: SparkSession, path: str, keep_file: bool = True, glob: str = "*.csv",
