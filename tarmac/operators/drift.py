@@ -7,8 +7,9 @@ row per feature and is broadcast. The drift rule is the standardised
 mean shift ``|μ_day − μ_0| / σ_0``; missing-value and data-type checks
 compare null fractions and unparsable counts; the baseline's constraints
 (completeness, sign, range, whole numbers) are checked as well, and its
-equi-depth bins: each value is placed among a feature's edges by halving,
-and the population stability index follows from the bins' counts.
+equi-depth bins: each value is compared with its feature's edges, in
+generated code, and the population stability index follows from the
+bins' counts.
 
 Statistics and bin counts are kept as additive parts per (day, feature)
 (``partial_stats``), so days are made of any number of batches.
@@ -16,10 +17,13 @@ Statistics and bin counts are kept as additive parts per (day, feature)
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tarmac.functions.tiers import round4
+from tarmac.operators.profile import cumulative_counts, quantile
 
 # ── fixed values: monitoring thresholds (our choice; parameters) ──────
 DRIFT_Z = 0.1
@@ -59,6 +63,21 @@ def capture_from_events(events: DataFrame) -> DataFrame:
     )
 
 
+def long_features(wide: DataFrame, features: list[str], at: str) -> DataFrame:
+    """(captured_at, day, feature, value, text, wrong) of typed feature columns; ``wrong``: there is
+    a text but no value. The columns are unpivoted side by side, so those that a reader leaves
+    out are not computed: no text is made where only its presence counts."""
+    x = {c: (F.col(c).cast("double"), F.col(c)) for c in features}
+    side = wide.select(F.col(at).alias("captured_at"), utc_day(at).alias("day"),
+                       *[v.alias(f"_v{i}") for i, (v, _) in enumerate(x.values())],
+                       *[c.cast("string").alias(f"_t{i}") for i, (_, c) in enumerate(x.values())],
+                       *[(c.isNotNull() & v.isNull()).alias(f"_w{i}") for i, (v, c) in enumerate(x.values())])
+    names = ", ".join(f"(_v{i}, _t{i}, _w{i}) AS `{c}`" for i, c in enumerate(features))
+    return wide.sparkSession.sql(
+        "SELECT captured_at, day, feature, value, text, wrong FROM {side} "
+        f"UNPIVOT INCLUDE NULLS ((value, text, wrong) FOR feature IN ({names}))", side=side)
+
+
 def long_capture(capture: DataFrame, features: list[str]) -> DataFrame:
     """(captured_at, feature, value, text)."""
     long = capture.select("captured_at", *features).unpivot(["captured_at"], features, "feature", "f")
@@ -82,15 +101,16 @@ def daily_stats(long: DataFrame) -> DataFrame:
 
 
 def bin_of(value: Column, edges: Column, n_edges: int) -> Column:
-    """How many of up to ``n_edges`` ascending edges lie below the value, by halving."""
-    steps = [1 << k for k in reversed(range(n_edges.bit_length()))]
-    found = F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), lambda at, step: F.when(
-        F.get(edges, at + step - 1) < value, at + step).otherwise(at))
-    return F.when(value.isNotNull(), found)
+    """How many of up to ``n_edges`` ascending edges lie below the value."""
+    # plain comparisons compile to code, a lambda over the edges is interpreted for each value
+    below = [F.coalesce(F.get(edges, F.lit(k)) < value, F.lit(False)).cast("int") for k in range(n_edges)]
+    return F.when(value.isNotNull(), reduce(lambda a, b: a + b, below, F.lit(0)))
 
 
-def bin_counts(n_edges: int, bin_col: str = "bin") -> Column:
-    """Array of the rows in each bin (an aggregate)."""
+def bin_counts(n_edges: int, bin_col: str = "bin", weight: str | None = None) -> Column:
+    """Array of the rows in each bin (an aggregate); ``weight`` names the rows that a row stands for."""
+    if weight is not None:
+        return F.array(*[F.sum(F.when(F.col(bin_col) == k, F.col(weight)).otherwise(0)) for k in range(n_edges + 1)])
     return F.array(*[F.count_if(F.col(bin_col) == k) for k in range(n_edges + 1)])
 
 
@@ -113,19 +133,38 @@ def psi_of(counts: Column, expected: Column, floor: float) -> Column:
 def partial_stats(long: DataFrame, bins: DataFrame | None = None, n_edges: int | None = None) -> DataFrame:
     """Per (day, feature) additive parts: n, nulls, type_errors, fractions (values that are no whole
     numbers), k values with their mean and centred square sum, least and greatest; with
-    ``bins`` (feature, edges) also the rows in each bin."""
-    v, t = F.col("value"), F.col("text")
-    more = []
-    if bins is not None:
-        long, more = placed(long, bins, n_edges), [bin_counts(n_edges).alias("bins")]
-    g = long.groupBy(F.window("captured_at", "1 day").alias("w"), "feature").agg(
+    ``bins`` (feature, edges) also the rows in each bin. ``long`` is that of ``long_features``
+    or ``long_capture``; rows captured at no time have no day and don't count."""
+    v, by = F.col("value"), ["day", "feature"]
+    day = F.col("day") if "day" in long.columns else utc_day("captured_at")
+    wrong = F.col("wrong") if "wrong" in long.columns else F.col("text").isNotNull() & v.isNull()
+    rows = long.select(day.alias("day"), "feature", "value", wrong.alias("wrong")).where(F.col("day").isNotNull())
+    # statistics by bin first: with a count for each bin beside them, the aggregate of the many
+    # rows would be a method too long to be compiled
+    parts = (rows if bins is None else placed(rows, bins, n_edges)).groupBy(*by, *([] if bins is None else ["bin"])).agg(
         F.count(F.lit(1)).alias("n"), F.sum(v.isNull().cast("long")).alias("nulls"),
-        F.sum((t.isNotNull() & v.isNull()).cast("long")).alias("type_errors"),
+        F.sum(F.col("wrong").cast("long")).alias("type_errors"),
         F.coalesce(F.sum((v != F.floor(v)).cast("long")), F.lit(0).cast("long")).alias("fractions"),
         F.count(v).alias("k"), F.avg(v).alias("m"), (F.var_pop(v) * F.count(v)).alias("q"),
-        F.min(v).alias("min"), F.max(v).alias("max"), *more)
-    return g.select(utc_day(F.col("w.start")).alias("day"), "feature", "n", "nulls", "type_errors", "fractions",
-                    "k", "m", "q", "min", "max", *(["bins"] if more else []))
+        F.min(v).alias("min"), F.max(v).alias("max"))
+    if bins is None:
+        return parts
+    return _with_mean(parts).groupBy(*by).agg(
+        *[F.sum(c).alias(c) for c in ("n", "nulls", "type_errors", "fractions", "k")], F.max("_mean").alias("m"),
+        _centred().alias("q"), F.min("min").alias("min"), F.max("max").alias("max"),
+        bin_counts(n_edges, weight="k").alias("bins"))
+
+
+def _with_mean(parts: DataFrame) -> DataFrame:
+    """Partial rows with the mean of all values of their (day, feature)."""
+    w = Window.partitionBy("day", "feature")
+    return parts.withColumn("_mean", F.try_divide(F.sum(F.col("k") * F.col("m")).over(w), F.sum("k").over(w)))
+
+
+def _centred() -> Column:
+    """Square sum around ``_mean`` of all partial rows (an aggregate)."""
+    d = F.col("m") - F.col("_mean")
+    return F.sum(F.col("q") + F.col("k") * d * d)
 
 
 def merged_stats(parts: DataFrame) -> DataFrame:
@@ -135,14 +174,10 @@ def merged_stats(parts: DataFrame) -> DataFrame:
     if "bins" in parts.columns:
         size = parts.select(F.max(F.size("bins"))).first()[0] or 0
         more.append(F.array(*[F.sum(F.col("bins")[k]) for k in range(size)]).cast("array<bigint>").alias("bins"))
-    w = Window.partitionBy("day", "feature")
-    mean = F.try_divide(F.sum(F.col("k") * F.col("m")).over(w), F.sum("k").over(w))
-    p = parts.withColumn("_mean", mean)
-    d = F.col("m") - F.col("_mean")
-    g = p.groupBy("day", "feature").agg(
+    g = _with_mean(parts).groupBy("day", "feature").agg(
         F.sum("n").alias("n"), F.sum("nulls").alias("nulls"), F.sum("type_errors").alias("type_errors"),
         F.max("_mean").alias("mean"), F.sum("k").alias("_k"),
-        F.sum(F.col("q") + F.col("k") * d * d).alias("_q"), F.min("min").alias("min"), F.max("max").alias("max"), *more)
+        _centred().alias("_q"), F.min("min").alias("min"), F.max("max").alias("max"), *more)
     return (g.withColumn("std", F.when(F.col("_k") > 1, F.sqrt(F.col("_q") / (F.col("_k") - 1))))
             .select(*STAT_COLS, "fractions", *(["bins"] if len(more) > 1 else [])))
 
@@ -263,15 +298,12 @@ PSI_FLOOR = 1e-4
 
 def baseline_edges(base_long: DataFrame, probs: list[float] = PSI_PROBS) -> DataFrame:
     """(feature, edges): exact inverted-CDF quantiles of the baseline values."""
-    from tarmac.operators.running import running_total
-
-    hist = (base_long.where(F.col("value").isNotNull())
-            .groupBy("feature", "value").agg(F.count(F.lit(1)).alias("cnt")))
-    cum = (running_total(hist, ["feature"], "value", ["cnt"])
-           .withColumnsRenamed({"cum_cnt": "cum", "total_cnt": "n"}))
-    qs = [F.min(F.when(F.col("cum") >= F.greatest(F.ceil(F.lit(p) * F.col("n")), F.lit(1)),
-                       F.col("value"))) for p in probs]
-    return cum.groupBy("feature").agg(F.array(*qs).alias("edges"))
+    return edges_of(cumulative_counts(base_long), probs)
+
+
+def edges_of(cum: DataFrame, probs: list[float] = PSI_PROBS) -> DataFrame:
+    """``baseline_edges`` from ``profile.cumulative_counts``."""
+    return cum.groupBy("feature").agg(F.array(*[quantile(p) for p in probs]).alias("edges"))
 
 
 def _binned(long: DataFrame, edges: DataFrame) -> DataFrame:

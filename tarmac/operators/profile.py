@@ -8,7 +8,7 @@ task) → smallest value whose cumulative count reaches ``ceil(p·n)``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.operators.running import running_total
@@ -45,17 +45,30 @@ def _long_values(df: DataFrame, cols: list[str]) -> DataFrame:
     return wide.unpivot([], cols, "feature", "value")
 
 
+def cumulative_counts(long: DataFrame) -> DataFrame:
+    """(feature, value, cnt, cum, n): rows of each non-missing value, up to it and of its feature."""
+    hist = (long.where(F.col("value").isNotNull())
+            .groupBy("feature", "value").agg(F.count(F.lit(1)).alias("cnt")))
+    return (running_total(hist, ["feature"], "value", ["cnt"])
+            .withColumnsRenamed({"cum_cnt": "cum", "total_cnt": "n"}))
+
+
+def quantile(p: float) -> Column:
+    """Inverted-CDF quantile of a feature's ``cumulative_counts`` (an aggregate)."""
+    return F.min(F.when(F.col("cum") >= F.greatest(F.ceil(F.lit(p) * F.col("n")), F.lit(1)), F.col("value")))
+
+
 def exact_quantiles(df: DataFrame, cols: list[str] | None = None,
                     probs: list[float] = QUANTILES) -> DataFrame:
     """(feature, n, p01 … p99): inverted-CDF quantiles over non-missing values."""
     cols = [c for c in (cols or FEATURE_COLS) if c in df.columns]
-    hist = (_long_values(df, cols).where(F.col("value").isNotNull())
-            .groupBy("feature", "value").agg(F.count(F.lit(1)).alias("cnt")))
-    cum = (running_total(hist, ["feature"], "value", ["cnt"])
-           .withColumnsRenamed({"cum_cnt": "cum", "total_cnt": "n"}))
-    qs = [F.min(F.when(F.col("cum") >= F.greatest(F.ceil(F.lit(p) * F.col("n")), F.lit(1)),
-                       F.col("value"))).alias(_qname(p)) for p in probs]
-    return cum.groupBy("feature").agg(F.max("n").cast("long").alias("n"), *qs)
+    return quantiles_of(cumulative_counts(_long_values(df, cols)), probs)
+
+
+def quantiles_of(cum: DataFrame, probs: list[float] = QUANTILES) -> DataFrame:
+    """``exact_quantiles`` from ``cumulative_counts``."""
+    return cum.groupBy("feature").agg(F.max("n").cast("long").alias("n"),
+                                      *[quantile(p).alias(_qname(p)) for p in probs])
 
 
 def null_counts(df: DataFrame, cols: list[str] | None = None) -> DataFrame:

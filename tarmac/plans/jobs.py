@@ -206,12 +206,13 @@ def baseline_job(spark: SparkSession, reference_path: str, out_dir: str,
     cols = cols or [c for c in FEATURE_COLS if c in ref.columns]
     (px.baseline_constraints(ref, cols).join(px.type_rules(ref, cols), "feature")
      .write.mode("overwrite").parquet(f"{out_dir}/constraints"))
-    long = px._long_values(ref, cols)
-    edges = _kept(dx.baseline_edges(long), f"{out_dir}/edges")
-    counts = (dx.placed(long, edges, len(dx.PSI_PROBS)).groupBy("feature")
-              .agg(dx.bin_counts(len(dx.PSI_PROBS)).alias("counts")))
+    # a row for each distinct value: edges, the rows in their bins and the quantiles all follow from it
+    cum = _kept(px.cumulative_counts(px._long_values(ref, cols)), scratch_path(spark, "baseline-values"))
+    edges = _kept(dx.edges_of(cum), f"{out_dir}/edges")
+    counts = (dx.placed(cum, edges, len(dx.PSI_PROBS)).groupBy("feature")
+              .agg(dx.bin_counts(len(dx.PSI_PROBS), weight="cnt").alias("counts")))
     edges.join(counts, "feature").write.mode("overwrite").parquet(f"{out_dir}/bins")
-    stats = px.feature_profile(ref, cols).join(px.exact_quantiles(ref, cols), "feature", "left")
+    stats = px.feature_profile(ref, cols).join(px.quantiles_of(cum), "feature", "left")
     stats.write.mode("overwrite").parquet(f"{out_dir}/statistics")
     return True
 
@@ -234,13 +235,9 @@ def read_bins(spark: SparkSession, baseline_dir: str) -> DataFrame | None:
 
 
 def capture_features(capture: DataFrame, encoder, at: str = "captured_at") -> DataFrame:
-    """Captured requests → the model's features in long form (captured_at, feature, value, text),
-    by the same expressions and training counts as scoring."""
-    feats = encoder.transform(base_features(capture)).select(F.col(at).alias("captured_at"), *FEATURE_COLS)
-    wide = feats.select("captured_at", *[F.struct(F.col(c).cast("double").alias("value"),
-                                                  F.col(c).cast("string").alias("text")).alias(c)
-                                         for c in FEATURE_COLS])
-    return dx.long_capture(wide, FEATURE_COLS)
+    """Captured requests → the model's features in long form (captured_at, day, feature, value, text,
+    wrong), by the same expressions and training counts as scoring."""
+    return dx.long_features(encoder.transform(base_features(capture)), FEATURE_COLS, at)
 
 
 def _checked_days(spark: SparkSession, stats: DataFrame, baseline_dir: str, out_dir: str,
